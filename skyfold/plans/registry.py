@@ -59,3 +59,181 @@ select least(count(*), 200) as count, count(*) as total_matched, 200 as "limit",
 def q1_list_summary(spark, sf):
     t = tables(spark, sf)
     return list_summary(build_latest(t.positions), t.aircraft)
+
+
+# ---------------------------------------------------------------- Q3 / Q5 metrics
+from pyspark.sql import functions as F  # noqa: E402
+
+from skyfold.functions.taxonomy import FLEET_ORDER, SIZE_ORDER  # noqa: E402
+from skyfold.operators.activity import activity_buckets  # noqa: E402
+from skyfold.operators.enrich import enrich_events  # noqa: E402
+from skyfold.operators.metrics import enrichment_coverage, events_by_attribute  # noqa: E402
+from skyfold.plans.metrics import flights_metrics, kpi_totals  # noqa: E402
+
+
+def now_epoch(positions) -> int:
+    """``now`` for reproducible answers: the newest last_contact (one scalar)."""
+    return int(positions.agg(F.max("last_contact")).first()[0])
+
+
+def _metrics(spark, sf):
+    t = tables(spark, sf)
+    return flights_metrics(build_latest(t.positions), t.positions, t.aircraft, now_epoch(t.positions))
+
+
+_NOW = "(select max(last_contact) from positions)"
+_AREA = ("(greatest(0.0, ((49.7575 - 47.9557) * 110.574) * ((3.7221 - 0.9823) * 111.320"
+         " * cos(radians((47.9557 + 49.7575) / 2.0)))))")
+_Q3_BASE = (duck_ctes("positions", "aircraft") + ", " + O.LATEST_CTE
+            + O.snapshot_ctes(with_owner=True, since_sql=f"{_NOW} - 86400") + f""",
+snapc AS (select *, {O.fleet_sql('military_hint', 'callsign', 'category', 'owner_operator')} as fleet_type,
+    {O.size_sql('category', 'typecode')} as aircraft_size,
+    {O.type_label_sql('category', 'typecode')} as type_label from snap),
+tot AS (select count(*) as total from snapc)
+""")
+
+
+def _breakdown_sql(col: str, canon: list[str]) -> str:
+    vals = ", ".join(f"('{k}', {i})" for i, k in enumerate(canon))
+    return _Q3_BASE + f""",
+counts AS (select {col} as key, count(*) as count from snapc group by 1),
+canon AS (select * from (values {vals}) t(key, ordinal))
+select coalesce(c.key, k.key) as key, coalesce(c.count, 0) as count,
+       {O.round2_sql('case when tot.total > 0 then coalesce(c.count, 0) * 100.0 / tot.total else 0.0 end')} as percent,
+       coalesce(k.ordinal, {len(canon)}) as ordinal
+from counts c full join canon k on c.key = k.key cross join tot"""
+
+
+@register("q3_kpis", _Q3_BASE + f"""
+select count(*) as active_aircraft,
+       case when {_AREA} > 0 then {O.round2_sql(f'count(*) / {_AREA} * 10000.0')} else 0.0 end as traffic_density,
+       {O.round2_sql('case when count(*) > 0 then count_if(coalesce(military_hint, false)) * 100.0 / count(*) else 0.0 end')} as military_share,
+       {O.round2_sql('case when count(*) > 0 then count_if(coalesce(military_hint, false)) * 100.0 / count(*) else 0.0 end')} as defense_score,
+       cast(1800 as bigint) as activity_bucket_seconds, cast(86400 as bigint) as activity_window_seconds
+from snapc""")
+def q3_kpis(spark, sf):
+    return _metrics(spark, sf).kpis
+
+
+@register("q3_fleet_breakdown", _breakdown_sql("fleet_type", FLEET_ORDER))
+def q3_fleet_breakdown(spark, sf):
+    return _metrics(spark, sf).fleet
+
+
+@register("q3_size_breakdown", _breakdown_sql("aircraft_size", SIZE_ORDER))
+def q3_size_breakdown(spark, sf):
+    return _metrics(spark, sf).sizes
+
+
+@register("q3_aircraft_types", _Q3_BASE + f"""
+select key, count, {O.round2_sql('case when tot.total > 0 then count * 100.0 / tot.total else 0.0 end')} as percent
+from (select type_label as key, count(*) as count from snapc group by 1
+      order by count desc, key asc limit 8) cross join tot""")
+def q3_aircraft_types(spark, sf):
+    return _metrics(spark, sf).types
+
+
+_EV_ENRICHED = duck_ctes("positions", "aircraft") + """,
+ev AS (select p.*, a.icao24 is not null as has_metadata,
+          case when nullif(trim(a.category_description), '') is not null then a.category_description
+               when nullif(trim(a.icao_aircraft_class), '') is not null then a.icao_aircraft_class
+               else 'unknown' end as category,
+          a.country, a.typecode, a.military_hint, a.year_built, a.owner_operator
+       from positions p left join aircraft a on lower(trim(p.icao24)) = lower(trim(a.icao24))
+       where p.icao24 is not null)
+"""
+
+
+def _minutes_sql(width: int) -> str:
+    return f"""select (last_contact // {width}) * {width} as bucket_epoch, count(*) as events_total,
+       count_if(coalesce(military_hint, false)) as events_military,
+       count(distinct icao24) as aircraft_total,
+       count(distinct case when coalesce(military_hint, false) then icao24 end) as aircraft_military
+from ev where last_contact is not null group by 1"""
+
+
+_SERIES_SQL = _EV_ENRICHED + f""",
+minutes AS ({_minutes_sql(60)}),
+p AS (select {_NOW} - 86400 as start, cast(1800 as bigint) as width, {_NOW} as now),
+m AS (select least(47, case when bucket_epoch - p.start < 0 then 0
+                            else (bucket_epoch - p.start) // p.width end) as idx, minutes.*
+      from minutes, p
+      where bucket_epoch >= (p.start // 60) * 60 and bucket_epoch <= p.now),
+agg AS (select idx, sum(events_total) as events_total, sum(events_military) as events_military,
+               sum(aircraft_total) as aircraft_total, sum(aircraft_military) as aircraft_military,
+               count(*) as observed from m group by idx),
+grid AS (select range as idx, p.start + range * p.width as bucket_start from range(48), p),
+series AS (
+  select g.idx, g.bucket_start, cast(coalesce(a.events_total, 0) as bigint) as events_total,
+       cast(coalesce(a.events_military, 0) as bigint) as events_military,
+       cast(coalesce(a.aircraft_total, 0) as bigint) as aircraft_total,
+       cast(coalesce(a.aircraft_military, 0) as bigint) as aircraft_military,
+       {O.round2_sql('case when coalesce(a.aircraft_total, 0) > 0 then coalesce(a.aircraft_military, 0) * 100.0 / a.aircraft_total else 0.0 end')} as military_share_pct,
+       coalesce(a.observed, 0) > 0 as has_data
+  from grid g left join agg a on g.idx = a.idx)
+"""
+
+
+@register("q3_activity_series", _SERIES_SQL + "select * from series")
+def q3_activity_series(spark, sf):
+    return _metrics(spark, sf).series
+
+
+@register("q5_kpi_totals", _SERIES_SQL.replace("WITH ", "WITH ", 1)
+          + ", " + O.LATEST_CTE + O.snapshot_ctes(with_owner=True, since_sql=f"{_NOW} - 86400") + f""",
+snapc AS (select *, {O.fleet_sql('military_hint', 'callsign', 'category', 'owner_operator')} as fleet_type from snap),
+fleet AS (select key, coalesce(c.count, 0) as count, k.ordinal from
+   (select * from (values {", ".join(f"('{k}', {i})" for i, k in enumerate(FLEET_ORDER))}) t(key, ordinal)) k
+   left join (select fleet_type as fk, count(*) as count from snapc group by 1) c on c.fk = k.key
+   union all select fleet_type, count(*), {len(FLEET_ORDER)} from snapc
+   where fleet_type not in ({", ".join(f"'{k}'" for k in FLEET_ORDER)}) group by 1),
+known AS (select avg(case when has_data then aircraft_total end) as a,
+                 avg(case when has_data then aircraft_military end) as am from series),
+filled AS (select s.*, case when not has_data and known.a is not null
+                  then greatest(0, floor(known.a + 0.5)) else aircraft_total end as filled,
+                  not has_data and known.a is not null as imputed,
+                  not has_data and known.am is not null as imputed_m from series s, known)
+select cast(sum(events_total) as bigint) as total_events,
+       cast(sum(aircraft_military) as bigint) as military_aircraft_sum,
+       count_if(imputed) as imputed_buckets, count_if(imputed_m) as imputed_military_buckets,
+       cast(greatest(coalesce(max(filled), 0), (select count(*) from snapc), 1) as bigint) as peak,
+       (select key from fleet order by count desc, ordinal asc, key asc limit 1) as dominant_fleet
+from filled""")
+def q5_kpi_totals(spark, sf):
+    return kpi_totals(_metrics(spark, sf))
+
+
+@register("a7_activity_buckets_hourly", _EV_ENRICHED + "select * from (" + _minutes_sql(3600) + ")")
+def a7_activity_buckets_hourly(spark, sf):
+    t = tables(spark, sf)
+    ev = enrich_events(t.positions.where(F.col("icao24").isNotNull()), t.aircraft)
+    return activity_buckets(ev, 3600)
+
+
+@register("a12_events_by_attribute", _EV_ENRICHED + """,
+lab AS (select
+    case when has_metadata and nullif(trim(category), '') is not null then category else 'unknown' end as cat,
+    case when has_metadata and nullif(trim(country), '') is not null then trim(country) else 'unknown' end as country,
+    case when not has_metadata or military_hint is null then 'unknown'
+         when military_hint then 'true' else 'false' end as mil,
+    case when nullif(trim(typecode), '') is null or length(trim(typecode)) > 8 then 'unknown'
+         else upper(trim(typecode)) end as tc
+  from ev)
+select 'category' as attribute, cat as value, count(*) as events from lab group by 2
+union all select 'country', country, count(*) from lab group by 2
+union all select 'military', mil, count(*) from lab group by 2
+union all select 'military_typecode', tc, count(*) from lab where mil = 'true' group by 2""")
+def a12_events_by_attribute(spark, sf):
+    t = tables(spark, sf)
+    return events_by_attribute(enrich_events(t.positions.where(F.col("icao24").isNotNull()), t.aircraft))
+
+
+@register("a13_enrichment_coverage", _EV_ENRICHED + """
+select 'year_built' as field, case when has_metadata and year_built is not null then 'present'
+       else 'missing' end as status, count(*) as events from ev group by 2
+union all
+select 'owner_operator', case when has_metadata and coalesce(trim(owner_operator) <> '', false)
+       then 'present' else 'missing' end, count(*) from ev group by 2""")
+def a13_enrichment_coverage(spark, sf):
+    t = tables(spark, sf)
+    return enrichment_coverage(enrich_events(t.positions.where(F.col("icao24").isNotNull()), t.aircraft))
