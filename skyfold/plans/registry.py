@@ -237,3 +237,237 @@ select 'owner_operator', case when has_metadata and coalesce(trim(owner_operator
 def a13_enrichment_coverage(spark, sf):
     t = tables(spark, sf)
     return enrichment_coverage(enrich_events(t.positions.where(F.col("icao24").isNotNull()), t.aircraft))
+
+
+# ---------------------------------------------------------------- per-aircraft state
+from skyfold.functions import expr as X  # noqa: E402
+from skyfold.functions.taxonomy import (aircraft_size, aircraft_type_label, airframe_type,  # noqa: E402
+                                        fleet_type, normalized_columns)
+from skyfold.operators.enrich import aircraft_dim, enrich  # noqa: E402
+from skyfold.operators.filters import Bbox, classify_bbox, continuity_window, in_bbox  # noqa: E402
+from skyfold.operators.latest import (current_members, latest_by_last_seen,  # noqa: E402
+                                      latest_per_aircraft, membership_changes, recent_track,
+                                      with_previous)
+
+_ASC = "last_contact asc nulls first, batch_epoch asc nulls first, event_id asc"
+_POS = duck_ctes("positions", "aircraft")
+
+
+@register("a1_latest_per_aircraft", _POS + """
+select * exclude (r) from (select *, row_number() over (partition by lower(trim(icao24))
+   order by batch_epoch desc nulls last, last_contact desc nulls last, event_id desc) as r
+ from positions where icao24 is not null) where r = 1""")
+def a1_latest_per_aircraft(spark, sf):
+    return latest_per_aircraft(tables(spark, sf).positions)
+
+
+@register("a2_latest_by_last_seen", _POS + """
+select * exclude (r) from (select *, row_number() over (partition by icao24
+   order by last_contact desc nulls last, event_id desc) as r
+ from positions where lat is not null and lon is not null and trim(icao24) <> '') where r = 1""")
+def a2_latest_by_last_seen(spark, sf):
+    return latest_by_last_seen(tables(spark, sf).positions)
+
+
+@register("a11_latest_batch_epoch", _POS + "select max(batch_epoch) as latest_batch_epoch from positions")
+def a11_latest_batch_epoch(spark, sf):
+    from skyfold.operators.latest import latest_batch_epoch
+    return latest_batch_epoch(tables(spark, sf).positions)
+
+
+@register("w1_with_previous", _POS + f"""
+select event_id, icao24, last_contact,
+  lag(lat) over w as prev_lat, lag(lon) over w as prev_lon, lag(heading) over w as prev_heading,
+  lag(velocity) over w as prev_velocity, lag(coalesce(geo_altitude, baro_altitude)) over w as prev_altitude,
+  lag(last_contact) over w as prev_last_contact
+from positions where icao24 is not null window w as (partition by icao24 order by {_ASC})""")
+def w1_with_previous(spark, sf):
+    p = tables(spark, sf).positions.where(F.col("icao24").isNotNull())
+    return with_previous(p).select("event_id", "icao24", "last_contact", "prev_lat", "prev_lon",
+                                   "prev_heading", "prev_velocity", "prev_altitude", "prev_last_contact")
+
+
+@register("w1_latest_table", _POS + ", " + O.LATEST_CTE + " select * from latest")
+def w1_latest_table(spark, sf):
+    return build_latest(tables(spark, sf).positions)
+
+
+@register("w2_recent_track", _POS + f"""
+select icao24, event_id, last_contact, rank from (select icao24, event_id, last_contact,
+  row_number() over (partition by icao24 order by {O.EVENT_ORDER_DESC}) as rank from positions)
+where rank <= 20""")
+def w2_recent_track(spark, sf):
+    return recent_track(tables(spark, sf).positions, n=20).select(
+        "icao24", "event_id", "last_contact", F.col("rank").cast("long").alias("rank"))
+
+
+_K_SQL = _POS + f""",
+k AS (select icao24, last_contact, batch_epoch, event_id, {O.bbox_sql()} as inside
+      from positions where lat is not null and lon is not null)
+"""
+
+
+@register("w17_membership_changes", _K_SQL + f"""
+select icao24, last_contact, batch_epoch, event_id, case when inside then 'enter' else 'leave' end as change
+from (select *, lag(inside) over (partition by icao24 order by {_ASC}) as was from k)
+where (was is null and inside) or was <> inside""")
+def w17_membership_changes(spark, sf):
+    return membership_changes(tables(spark, sf).positions, Bbox.default())
+
+
+@register("w17_current_members", _K_SQL + f"""
+select icao24 from (select icao24, inside, row_number() over (partition by icao24
+   order by {O.EVENT_ORDER_DESC}) as r from k) where r = 1 and inside""")
+def w17_current_members(spark, sf):
+    return current_members(tables(spark, sf).positions, Bbox.default())
+
+
+@register("f2_classify_bbox_counts", _POS + f"""
+select case when lat is null or lon is null then 'UNKNOWN' when {O.bbox_sql()} then 'INSIDE'
+            else 'OUTSIDE' end as bbox_class, count(*) as events from positions group by 1""")
+def f2_classify_bbox_counts(spark, sf):
+    p = tables(spark, sf).positions
+    return p.groupBy(classify_bbox(Bbox.default()).alias("bbox_class")).agg(F.count(F.lit(1)).alias("events"))
+
+
+@register("f8_continuity_window", _POS + f""",
+cand AS (select * from positions where {O.bbox_sql()} and last_contact >= {_NOW} - 3 * 86400)
+select event_id, icao24, batch_epoch from cand
+where batch_epoch in (select distinct batch_epoch from cand where batch_epoch is not null
+                      order by batch_epoch desc limit 3)
+   or not exists (select 1 from cand where batch_epoch is not null)""")
+def f8_continuity_window(spark, sf):
+    p = tables(spark, sf).positions
+    now = now_epoch(p)
+    cand = p.where(in_bbox(Bbox.default()) & (F.col("last_contact") >= now - 3 * 86400))
+    return continuity_window(cand).select("event_id", "icao24", "batch_epoch")
+
+
+@register("x_taxonomy_aircraft", _POS + f"""
+select lower(trim(icao24)) as icao24,
+  {O.airframe_sql('category', 'typecode')} as airframe_type,
+  {O.fleet_sql('military_hint', 'cast(null as varchar)', 'category', 'owner_operator')} as fleet_type,
+  {O.size_sql('category', 'typecode')} as aircraft_size,
+  {O.type_label_sql('category', 'typecode')} as type_label
+from (select icao24, military_hint, owner_operator, upper(nullif(trim(typecode), '')) as typecode,
+        case when nullif(trim(category_description), '') is not null then category_description
+             when nullif(trim(icao_aircraft_class), '') is not null then icao_aircraft_class end as category
+      from aircraft)""")
+def x_taxonomy_aircraft(spark, sf):
+    d = normalized_columns(aircraft_dim(tables(spark, sf).aircraft, with_owner=True)
+                           .withColumn("callsign", F.lit(None).cast("string")))
+    return d.select(F.col("_ak").alias("icao24"), "airframe_type",
+                    fleet_type("military_hint", "_cs", "_cat", "_own", normalized=True).alias("fleet_type"),
+                    aircraft_size("_cat", "_tc", normalized=True).alias("aircraft_size"),
+                    aircraft_type_label("category", "typecode").alias("type_label"))
+
+
+@register("x2_fleet_type_latest", _POS + ", " + O.LATEST_CTE + f""",
+dim AS (select lower(trim(icao24)) as ak,
+        case when nullif(trim(category_description), '') is not null then category_description
+             when nullif(trim(icao_aircraft_class), '') is not null then icao_aircraft_class end as category,
+        military_hint, owner_operator from aircraft)
+select l.icao24, l.callsign, {O.fleet_sql('m.military_hint', 'l.callsign', 'm.category', 'm.owner_operator')}
+  as fleet_type from latest l left join dim m on l.icao24 = m.ak""")
+def x2_fleet_type_latest(spark, sf):
+    t = tables(spark, sf)
+    e = normalized_columns(enrich(build_latest(t.positions), t.aircraft, with_owner=True))
+    return e.select("icao24", "callsign",
+                    fleet_type("military_hint", "_cs", "_cat", "_own", normalized=True).alias("fleet_type"))
+
+
+def _r6(x: str) -> str:
+    return f"(floor(({x}) * 1000000.0 + 0.5) / 1000000.0)"
+
+
+@register("n_expressions", _POS + f""",
+w AS (select *, lag(lat) over w as plat, lag(lon) over w as plon, lag(heading) over w as phead,
+        lag(velocity) over w as pvel
+      from positions where icao24 is not null window w as (partition by icao24 order by {_ASC}))
+select event_id,
+  coalesce(geo_altitude, baro_altitude) as altitude,
+  {_r6('2 * 6371.0 * atan2(sqrt(sin(radians(lat - plat) / 2) ** 2 + cos(radians(plat)) * cos(radians(lat)) * sin(radians(lon - plon) / 2) ** 2), sqrt(1 - (sin(radians(lat - plat) / 2) ** 2 + cos(radians(plat)) * cos(radians(lat)) * sin(radians(lon - plon) / 2) ** 2)))')} as dist_km,
+  {_r6('case when plat is null or lat is null then lat else plat + (lat - plat) * 0.5 end')} as mid_lat,
+  {_r6('case when phead is null or heading is null then heading else (((phead + ((((heading - phead + 540.0) % 360.0) - 180.0)) * 0.5) % 360.0) + 360.0) % 360.0 end')} as mid_heading,
+  {_r6('velocity * 1.852')} as speed_kmh,
+  {O.round2_sql('velocity / 3.0')} as round2_third,
+  case when velocity > 0 then {_r6('(heading * 100.0) / velocity')} else 0.0 end as pct_value
+from w""")
+def n_expressions(spark, sf):
+    p = tables(spark, sf).positions.where(F.col("icao24").isNotNull())
+    from pyspark.sql import Window
+    w = Window.partitionBy("icao24").orderBy(
+        *[F.col(c).asc_nulls_first() for c in ("last_contact", "batch_epoch", "event_id")])
+    d = p.select("*", F.lag("lat").over(w).alias("plat"), F.lag("lon").over(w).alias("plon"),
+                 F.lag("heading").over(w).alias("phead"))
+    r6 = lambda c: F.floor(c * 1000000.0 + 0.5) / 1000000.0
+    return d.select(
+        "event_id", X.altitude().alias("altitude"),
+        r6(X.haversine_km("plat", "plon", "lat", "lon")).alias("dist_km"),
+        r6(X.lerp("plat", "lat", F.lit(0.5))).alias("mid_lat"),
+        r6(X.lerp_heading("phead", "heading", F.lit(0.5))).alias("mid_heading"),
+        r6(F.col("velocity") * X.KNOTS_TO_KMH).alias("speed_kmh"),
+        X.round2(F.col("velocity") / 3.0).alias("round2_third"),
+        r6(X.pct("heading", "velocity")).alias("pct_value"))
+
+
+@register("n_aircraft_labels", _POS + """
+select lower(trim(icao24)) as icao24,
+  case when nullif(trim(category_description), '') is not null then category_description
+       when nullif(trim(icao_aircraft_class), '') is not null then icao_aircraft_class
+       else 'unknown' end as category_label,
+  case when military_hint is null then 'unknown' when military_hint then 'true' else 'false' end as military_label,
+  case when nullif(trim(typecode), '') is null or length(trim(typecode)) > 8 then 'unknown'
+       else upper(trim(typecode)) end as typecode_label,
+  case when nullif(trim(country), '') is not null then trim(country) else 'unknown' end as country_label,
+  case when regexp_matches(lower(trim(icao24)), '^[0-9a-f]{6}$') then lower(trim(icao24)) end as icao_valid
+from aircraft""")
+def n_aircraft_labels(spark, sf):
+    a = tables(spark, sf).aircraft
+    return a.select(X.norm_icao24("icao24", validate=False).alias("icao24"),
+                    X.category_or_fallback().alias("category_label"),
+                    X.military_label().alias("military_label"),
+                    X.sanitize_typecode().alias("typecode_label"),
+                    X.counter_label("country", trim=True).alias("country_label"),
+                    X.norm_icao24("icao24").alias("icao_valid"))
+
+
+@register("n7_since_parsing", _POS + """
+select event_id, last_contact as parsed from positions""")
+def n7_since_parsing(spark, sf):
+    p = tables(spark, sf).positions
+    raw = (F.when(F.col("event_id") % 3 == 0, F.col("last_contact").cast("string"))
+           .when(F.col("event_id") % 3 == 1, (F.col("last_contact") * 1000 + F.col("event_id") % 1000)
+                 .cast("string"))
+           .otherwise(F.concat(F.date_format(F.timestamp_seconds("last_contact"), "yyyy-MM-dd'T'HH:mm:ss"),
+                               F.lit("+00:00"))))
+    return p.select("event_id", X.epoch_or_iso_to_epoch(raw).alias("parsed"))
+
+
+@register("n16_n17_zone_areas", """
+select n_nationkey as zone,
+  {deg} as area_deg2, {km} as area_km2,
+  {smnlo} as scaled_min_lon, {smnla} as scaled_min_lat, {smxlo} as scaled_max_lon, {smxla} as scaled_max_lat
+from (select n_nationkey, -5.0 + n_nationkey * 0.5 as mnlo, 40.0 + n_nationkey * 0.3 as mnla,
+             -5.0 + n_nationkey * 0.5 + 1.0 + n_regionkey as mxlo, 40.0 + n_nationkey * 0.3 + 0.5 + n_regionkey * 0.25 as mxla,
+             cast(n_regionkey as double) as factor from nation)""".format(
+    deg=_r6("greatest(0.0, (mxlo - mnlo) * (mxla - mnla))"),
+    km=_r6("greatest(0.0, (greatest(0.0, mxla - mnla) * 110.574) * (greatest(0.0, mxlo - mnlo) * 111.320 * cos(radians((mnla + mxla) / 2.0))))"),
+    smnlo=_r6("greatest(-180.0, (mnlo + mxlo) / 2.0 - (mxlo - mnlo) / 2.0 * sqrt(greatest(1.0, factor)))"),
+    smnla=_r6("greatest(-90.0, (mnla + mxla) / 2.0 - (mxla - mnla) / 2.0 * sqrt(greatest(1.0, factor)))"),
+    smxlo=_r6("least(180.0, (mnlo + mxlo) / 2.0 + (mxlo - mnlo) / 2.0 * sqrt(greatest(1.0, factor)))"),
+    smxla=_r6("least(90.0, (mnla + mxla) / 2.0 + (mxla - mnla) / 2.0 * sqrt(greatest(1.0, factor)))")))
+def n16_n17_zone_areas(spark, sf):
+    n = tables(spark, sf).nation
+    z = n.select(F.col("n_nationkey").alias("zone"),
+                 (F.lit(-5.0) + F.col("n_nationkey") * 0.5).alias("mnlo"),
+                 (F.lit(40.0) + F.col("n_nationkey") * 0.3).alias("mnla"),
+                 (F.lit(-5.0) + F.col("n_nationkey") * 0.5 + 1.0 + F.col("n_regionkey")).alias("mxlo"),
+                 (F.lit(40.0) + F.col("n_nationkey") * 0.3 + 0.5 + F.col("n_regionkey") * 0.25).alias("mxla"),
+                 F.col("n_regionkey").cast("double").alias("factor"))
+    r6 = lambda c: F.floor(c * 1000000.0 + 0.5) / 1000000.0
+    s = X.scale_bbox("mnlo", "mnla", "mxlo", "mxla", "factor")
+    return z.select("zone", r6(X.bbox_area_deg2("mnlo", "mnla", "mxlo", "mxla")).alias("area_deg2"),
+                    r6(X.bbox_area_km2("mnlo", "mnla", "mxlo", "mxla")).alias("area_km2"),
+                    r6(s["min_lon"]).alias("scaled_min_lon"), r6(s["min_lat"]).alias("scaled_min_lat"),
+                    r6(s["max_lon"]).alias("scaled_max_lon"), r6(s["max_lat"]).alias("scaled_max_lat"))
