@@ -471,3 +471,179 @@ def n16_n17_zone_areas(spark, sf):
                     r6(X.bbox_area_km2("mnlo", "mnla", "mxlo", "mxla")).alias("area_km2"),
                     r6(s["min_lon"]).alias("scaled_min_lon"), r6(s["min_lat"]).alias("scaled_min_lat"),
                     r6(s["max_lon"]).alias("scaled_max_lon"), r6(s["max_lat"]).alias("scaled_max_lat"))
+
+
+# ---------------------------------------------------------------- tracks and motion
+from skyfold.operators.metrics import feed_freshness, median_batch_gap  # noqa: E402
+from skyfold.operators.motion import batch_durations, interpolate_positions, motion_plan  # noqa: E402
+from skyfold.operators.tracks import static_aircraft, track_points, track_report, track_segments  # noqa: E402
+from skyfold.plans.flights import filtered_snapshots, to_map_item  # noqa: E402
+
+_PTS = _POS + """,
+pts AS (select icao24, event_id, lat, lon, last_contact as last_seen, on_ground from positions
+        where lat is not null and lon is not null and last_contact is not null)
+"""
+
+
+def _segments_sql(src: str, keys: str, gap: int) -> str:
+    return f"""
+seg0 AS (select *, case when lag(last_seen) over w is null
+             or abs(last_seen - lag(last_seen) over w) > {gap} then 1 else 0 end as brk
+         from {src} window w as (partition by {keys} order by last_seen, event_id)),
+seg1 AS (select *, sum(brk) over (partition by {keys} order by last_seen, event_id
+             rows between unbounded preceding and current row) as segment from seg0),
+seg AS (select * exclude (brk), count(*) over (partition by {keys}, segment) as segment_points from seg1)"""
+
+
+@register("w3_track_segments", _PTS + "," + _segments_sql("pts", "icao24", 14400) + """
+select icao24, event_id, last_seen, cast(segment as bigint) as segment, segment_points from seg
+where segment_points >= 2""")
+def w3_track_segments(spark, sf):
+    pts = track_points(tables(spark, sf).positions)
+    return track_segments(pts, 14400, split_seconds=86400).select(
+        "icao24", "event_id", "last_seen", F.col("segment").cast("long").alias("segment"), "segment_points")
+
+
+@register("q6_track_report", _POS + f""",
+recent AS (select * from (select *, row_number() over (partition by icao24 order by {O.EVENT_ORDER_DESC}) as rk
+           from positions) where rk <= 120),
+pts AS (select icao24, event_id, lat, lon, last_contact as last_seen, on_ground from recent
+        where lat is not null and lon is not null and last_contact is not null),
+tk AS (select *, lag(on_ground) over (partition by icao24 order by last_seen, event_id) as pog from pts),
+sided0 AS (select *, max(case when pog is not distinct from true and on_ground is not distinct from false
+                    then last_seen end) over (partition by icao24) as takeoff,
+              max(last_seen) over (partition by icao24) as latest,
+              count(*) over (partition by icao24) as n from tk),
+sided AS (select icao24, event_id, lat, lon, last_seen, on_ground,
+            case when last_seen >= coalesce(takeoff, latest - 259200) then 'current' else 'historical' end as side
+          from sided0 where n >= 2),
+{_segments_sql('sided', 'icao24, side', 43200)}
+select icao24, side, event_id, last_seen, lat, lon, cast(segment as bigint) as segment, segment_points
+from seg where segment_points >= 2""")
+def q6_track_report(spark, sf):
+    r = track_report(tables(spark, sf).positions, 120, gap_seconds=43200, fallback_seconds=259200)
+    return r.select("icao24", "side", "event_id", "last_seen", "lat", "lon",
+                    F.col("segment").cast("long").alias("segment"), "segment_points")
+
+
+@register("w5_static_aircraft", _POS + f""",
+snap AS (select icao24, batch_epoch, lat, lon from (select *, row_number() over (partition by icao24, batch_epoch
+           order by last_contact desc nulls last, event_id desc) as r from positions
+           where lat is not null and lon is not null and batch_epoch is not null) where r = 1),
+b AS (select batch_epoch, lag(batch_epoch) over (order by batch_epoch) as global_prev
+      from (select distinct batch_epoch from snap)),
+d AS (select s.*, lag(batch_epoch) over w as own_prev, lag(lat) over w as plat, lag(lon) over w as plon
+      from snap s window w as (partition by icao24 order by batch_epoch)),
+m AS (select d.*, b.global_prev, own_prev is not null and own_prev = b.global_prev as adj,
+        2 * 6371.0 * atan2(sqrt(sin(radians(lat - plat) / 2) ** 2 + cos(radians(plat)) * cos(radians(lat)) * sin(radians(lon - plon) / 2) ** 2),
+                           sqrt(1 - (sin(radians(lat - plat) / 2) ** 2 + cos(radians(plat)) * cos(radians(lat)) * sin(radians(lon - plon) / 2) ** 2))) as km
+      from d join b using (batch_epoch))
+select icao24, batch_epoch, {_r6('case when adj then km end')} as moved_km,
+       coalesce(adj and km <= 0.05, false) as is_static from m""")
+def w5_static_aircraft(spark, sf):
+    s = static_aircraft(tables(spark, sf).positions)
+    return s.select("icao24", "batch_epoch",
+                    (F.floor(F.col("moved_km") * 1000000.0 + 0.5) / 1000000.0).alias("moved_km"), "is_static")
+
+
+@register("w9_batch_durations", _POS + """
+select batch_epoch, previous_batch, cast(case when previous_batch is not null and batch_epoch > previous_batch
+   then least(20000, greatest(1000, (batch_epoch - previous_batch) * 1000)) else 10000 end as bigint) as duration_ms
+from (select batch_epoch, lag(batch_epoch) over (order by batch_epoch) as previous_batch
+      from (select distinct batch_epoch from positions where batch_epoch is not null))""")
+def w9_batch_durations(spark, sf):
+    return batch_durations(tables(spark, sf).positions)
+
+
+_ITEMS = _Q1_BASE + f""",
+items AS (select {O.MAP_ITEM_SELECT} from snap),
+st AS (select *, lat is not null and lon is not null and prev_lat is not null and prev_lon is not null
+          and not coalesce(last_seen < prev_last_seen, false) as use from items)
+"""
+
+
+def _items(spark, sf):
+    t = tables(spark, sf)
+    return to_map_item(filtered_snapshots(build_latest(t.positions), t.aircraft))
+
+
+def _frames_sql(src: str, max_gap: int, max_km: float) -> str:
+    hv = ("2 * 6371.0 * atan2(sqrt(sin(radians(lat - start_lat) / 2) ** 2 + cos(radians(start_lat)) * cos(radians(lat))"
+          " * sin(radians(lon - start_lon) / 2) ** 2), sqrt(1 - (sin(radians(lat - start_lat) / 2) ** 2"
+          " + cos(radians(start_lat)) * cos(radians(lat)) * sin(radians(lon - start_lon) / 2) ** 2)))")
+    ok = (f"coalesce(start_lat is not null and start_lon is not null and lat is not null and lon is not null"
+          f" and (start_last_seen is null or last_seen is null or (last_seen - start_last_seen >= 0"
+          f" and abs(last_seen - start_last_seen) <= {max_gap})) and {hv} <= {max_km}, false)")
+    lin = lambda a, b: f"case when {a} is null or {b} is null then {b} else {a} + ({b} - {a}) * (frame / 4.0) end"
+    hd = ("case when start_heading is null or heading is null then heading else ((((start_heading + "
+          "((((heading - start_heading + 540.0) % 360.0) - 180.0)) * (frame / 4.0)) % 360.0) + 360.0) % 360.0) end")
+    return f"""
+fr AS (select *, {ok} as interpolable from {src}, (select range as frame from range(5)))
+select icao24, frame, frame / 4.0 as progress, interpolable,
+  {_r6(f"case when interpolable then {lin('start_lat', 'lat')} else lat end")} as frame_lat,
+  {_r6(f"case when interpolable then {lin('start_lon', 'lon')} else lon end")} as frame_lon,
+  {_r6(f"case when interpolable then {hd} else heading end")} as frame_heading,
+  {_r6(f"case when interpolable then {lin('start_speed', 'speed')} else speed end")} as frame_speed,
+  {_r6(f"case when interpolable then {lin('start_altitude', 'altitude')} else altitude end")} as frame_altitude
+from fr"""
+
+
+def _round_frames(df):
+    r6 = lambda c: (F.floor(F.col(c) * 1000000.0 + 0.5) / 1000000.0).alias(c)
+    return df.select("icao24", F.col("frame").cast("bigint").alias("frame"), "progress", "interpolable",
+                     *[r6(c) for c in ("frame_lat", "frame_lon", "frame_heading", "frame_speed", "frame_altitude")])
+
+
+@register("q7_motion_frames", _ITEMS + ", starts AS (select *, " + ", ".join(
+    f"case when use then coalesce(prev_{c}, {c}) else {c} end as start_{c}"
+    for c in ["lat", "lon", "heading", "speed", "altitude", "last_seen"]) + " from st)," + _frames_sql(
+    "starts", 180, 200.0)[1:])
+def q7_motion_frames(spark, sf):
+    return _round_frames(motion_plan(_items(spark, sf), steps=4))
+
+
+@register("w7_interpolate_pairs", _POS + """,
+pairs AS (select icao24, lat, lon, heading, velocity as speed, coalesce(geo_altitude, baro_altitude) as altitude,
+   last_contact as last_seen,
+   lag(lat) over w as start_lat, lag(lon) over w as start_lon, lag(heading) over w as start_heading,
+   lag(velocity) over w as start_speed, lag(coalesce(geo_altitude, baro_altitude)) over w as start_altitude,
+   lag(last_contact) over w as start_last_seen, event_id
+   from positions where icao24 is not null
+   window w as (partition by icao24 order by last_contact asc nulls first, batch_epoch asc nulls first, event_id asc)),""" +
+          _frames_sql("pairs", 21600, 2000.0)[1:].replace("select icao24, frame,", "select icao24, event_id, frame,"))
+def w7_interpolate_pairs(spark, sf):
+    p = tables(spark, sf).positions.where(F.col("icao24").isNotNull())
+    wp = with_previous(p)
+    pairs = wp.select("icao24", "event_id", "lat", "lon", "heading", F.col("velocity").alias("speed"),
+                      X.altitude().alias("altitude"), F.col("last_contact").alias("last_seen"),
+                      F.col("prev_lat").alias("start_lat"), F.col("prev_lon").alias("start_lon"),
+                      F.col("prev_heading").alias("start_heading"), F.col("prev_velocity").alias("start_speed"),
+                      F.col("prev_altitude").alias("start_altitude"),
+                      F.col("prev_last_contact").alias("start_last_seen"))
+    fr = interpolate_positions(pairs, 4, max_gap=21600, max_km=2000.0)
+    return _round_frames_with_id(pairs, fr)
+
+
+def _round_frames_with_id(pairs, fr):
+    r6 = lambda c: (F.floor(F.col(c) * 1000000.0 + 0.5) / 1000000.0).alias(c)
+    return fr.select("icao24", "event_id", F.col("frame").cast("bigint").alias("frame"), "progress", "interpolable",
+                     *[r6(c) for c in ("frame_lat", "frame_lon", "frame_heading", "frame_speed", "frame_altitude")])
+
+
+@register("a16_median_batch_gap", _ITEMS + """,
+u AS (select * from st where use),
+d AS (select case when last_seen - prev_last_seen > 0 then last_seen - prev_last_seen end as delta from u)
+select (select count(*) from u) as usable_rows, (select quantile_cont(delta, 0.5) from d) as median_gap_s,
+  case when (select count(*) from u) > 0 then least(20000.0, greatest(1000.0,
+    coalesce((select quantile_cont(delta, 0.5) from d) * 1000.0, 10000.0))) end as duration_ms""")
+def a16_median_batch_gap(spark, sf):
+    return median_batch_gap(_items(spark, sf))
+
+
+@register("a17_feed_freshness", _ITEMS + f"""
+select max(last_seen) as newest_last_seen, {_NOW} - max(last_seen) as age_seconds,
+  case when max(last_seen) is null then 'unknown' when {_NOW} - max(last_seen) <= 120 then 'online'
+       else 'stale' end as status from items""")
+def a17_feed_freshness(spark, sf):
+    t = tables(spark, sf)
+    return feed_freshness(_items(spark, sf), now_epoch(t.positions))
