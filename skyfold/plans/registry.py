@@ -647,3 +647,273 @@ select max(last_seen) as newest_last_seen, {_NOW} - max(last_seen) as age_second
 def a17_feed_freshness(spark, sf):
     t = tables(spark, sf)
     return feed_freshness(_items(spark, sf), now_epoch(t.positions))
+
+
+# ---------------------------------------------------------------- quota (Q8)
+from skyfold.operators import quota as Qt  # noqa: E402
+
+_FL = duck_ctes("fetch_log")
+_W10_CTE = _FL + """,
+ok AS (select * from fetch_log where not coalesce(failed, false)),
+lk AS (select *, last_value(remaining ignore nulls) over (partition by source_id order by ts, seq
+          rows between unbounded preceding and 1 preceding) as last_known_remaining from ok),
+rs AS (select *, coalesce(remaining is not null and last_known_remaining is not null
+          and remaining > last_known_remaining, false) as is_reset from lk),
+pr AS (select *, cast(sum(case when is_reset then 1 else 0 end) over (partition by source_id order by ts, seq
+          rows between unbounded preceding and current row) as bigint) as period from rs),
+cc AS (select *, case when is_reset then 0 else 1 end as _req,
+          case when is_reset then 0 else coalesce(states_count, 0) end as _ev,
+          case when remaining is not null and last_known_remaining is not null and not is_reset
+               and last_known_remaining > remaining then last_known_remaining - remaining else 0 end as _cr from pr),
+w10 AS (select * exclude (_req, _ev, _cr),
+          cast(sum(_req) over w as bigint) as requests_since_reset, cast(sum(_ev) over w as bigint) as events_since_reset,
+          cast(sum(_cr) over w as bigint) as credits_since_reset
+        from cc window w as (partition by source_id, period order by ts, seq
+          rows between unbounded preceding and current row))
+"""
+_W10_COLS = ["source_id", "ts", "seq", "remaining", "last_known_remaining", "is_reset", "period",
+             "requests_since_reset", "events_since_reset", "credits_since_reset"]
+
+
+@register("w10_credit_periods", _W10_CTE + f"select {', '.join(_W10_COLS)} from w10")
+def w10_credit_periods(spark, sf):
+    return Qt.credit_periods(tables(spark, sf).fetch_log).select(*_W10_COLS)
+
+
+def _lvl_sql(x: str) -> str:
+    return (f"case when {x} >= 95.0 then 'WARN_95' when {x} >= 80.0 then 'WARN_80' "
+            f"when {x} >= 50.0 then 'WARN_50' else 'NORMAL' end")
+
+
+@register("w11_quota_levels", _W10_CTE + f""",
+q0 AS (select *, cast(case when credit_limit > 0 then credit_limit else 4000 end as double) as q from w10),
+q1 AS (select *, case when remaining is not null then least(100.0, greatest(0.0, (q - remaining) / q * 100.0)) end
+          as consumed_pct from q0),
+q2 AS (select *, case when remaining is not null then {_lvl_sql('consumed_pct')} end as lvl from q1),
+q3 AS (select *, coalesce(lvl, last_value(lvl ignore nulls) over (partition by source_id order by ts, seq
+          rows between unbounded preceding and 1 preceding), 'NORMAL') as level,
+          coalesce(remaining, last_known_remaining) as known from q2)
+select source_id, ts, seq, {_r6('consumed_pct')} as consumed_pct, level,
+  case level when 'WARN_95' then 300000 when 'WARN_80' then 30000 else 10000 end as delay_ms,
+  {_r6('case when known is null then 0.0 else least(100.0, greatest(0.0, greatest(0.0, q - known) / q * 100.0)) end')}
+      as consumed_gauge_pct,
+  {_r6('case when requests_since_reset = 0 then 0.0 else credits_since_reset / requests_since_reset end')}
+      as avg_credits_per_request,
+  {_r6('case when requests_since_reset = 0 then 0.0 else events_since_reset / requests_since_reset end')}
+      as avg_events_per_request
+from q3""")
+def w11_quota_levels(spark, sf):
+    d = Qt.quota_levels(Qt.credit_periods(tables(spark, sf).fetch_log))
+    r6 = lambda c: (F.floor(F.col(c) * 1000000.0 + 0.5) / 1000000.0).alias(c)
+    return d.select("source_id", "ts", "seq", r6("consumed_pct"), "level", "delay_ms", r6("consumed_gauge_pct"),
+                    r6("avg_credits_per_request"), r6("avg_events_per_request"))
+
+
+@register("w12_failure_streaks", _FL + f""",
+f0 AS (select *, case when coalesce(failed, false) then 1 else 0 end as f from fetch_log),
+f1 AS (select *, sum(1 - f) over (partition by source_id order by ts, seq
+         rows between unbounded preceding and current row) as island from f0),
+f2 AS (select *, sum(f) over (partition by source_id, island order by ts, seq
+         rows between unbounded preceding and current row) as n from f1)
+select source_id, ts, seq, cast(case when f = 1 then n else 0 end as bigint) as consecutive_failures,
+  cast(case when f = 1 and n <= 10 then {Qt.FAILURE_BACKOFF_SECONDS}[cast(n as bigint)] end as bigint) as backoff_seconds,
+  f = 1 and n > 10 as disabled,
+  cast(case when f = 1 then {Qt.TOKEN_BACKOFF_SECONDS}[cast(least(n, 6) as bigint)] end as bigint) as token_cooldown_seconds
+from f2""")
+def w12_failure_streaks(spark, sf):
+    return Qt.failure_streaks(tables(spark, sf).fetch_log).select(
+        "source_id", "ts", "seq", "consecutive_failures", "backoff_seconds", "disabled", "token_cooldown_seconds")
+
+
+@register("a21_http_outcomes", _FL + """
+select case when coalesce(failed, false) then 'exception' when status = 429 then 'rate_limited'
+            when status >= 500 then 'server_error' when status >= 400 then 'client_error' else 'success' end
+         as outcome, count(*) as requests,
+       floor(avg(duration_ms) * 1000.0 + 0.5) / 1000.0 as avg_duration_ms, max(duration_ms) as max_duration_ms
+from fetch_log group by 1""")
+def a21_http_outcomes(spark, sf):
+    return Qt.http_outcomes(tables(spark, sf).fetch_log)
+
+
+@register("s6_parse_fetch_headers", _FL + """
+select source_id, seq,
+  case when seq % 23 = 0 then null else remaining end as remaining,
+  case when seq % 31 = 0 then null else credit_limit end as credit_limit,
+  case seq % 4 when 0 then ts + 3600 + seq % 100 when 1 then ts + 86400 end as reset_at
+from fetch_log""")
+def s6_parse_fetch_headers(spark, sf):
+    fl = tables(spark, sf).fetch_log
+    seq = F.col("seq")
+    raw = fl.select(
+        "source_id", "seq", F.col("ts").alias("fetched_at"),
+        F.when(seq % 23 == 0, F.lit("n/a")).otherwise(F.col("remaining").cast("string")).alias("remaining_raw"),
+        F.when(seq % 31 == 0, F.lit("4.0e2")).otherwise(F.col("credit_limit").cast("string")).alias("limit_raw"),
+        F.when(seq % 4 == 0, (F.lit(3600) + seq % 100).cast("string"))
+        .when(seq % 4 == 1, (F.col("ts") + 86400).cast("string"))
+        .when(seq % 4 == 2, (F.col("ts") - 3 * 86400).cast("string")).otherwise(F.lit("soon")).alias("reset_raw"))
+    return Qt.parse_fetch_headers(raw).select("source_id", "seq", "remaining", "credit_limit", "reset_at")
+
+
+_MS = duck_ctes("metric_samples")
+_MS_NOW = "(select max(ts) from metric_samples)"
+
+
+def _increase_sql(range_s: int, metric_filter: str = "true") -> str:
+    return f"""
+inr AS (select * from metric_samples where ts > {_MS_NOW} - {range_s} and ts <= {_MS_NOW} and {metric_filter}),
+dl AS (select *, lag(value) over (partition by metric, instance order by ts, seq) as pv from inr),
+inc AS (select metric, instance, sum(case when pv is null then 0.0 when value < pv then value
+          else value - pv end) as increase from dl group by 1, 2)"""
+
+
+@register("w13_counter_increase", _MS + "," + _increase_sql(86400) + f"""
+select metric, instance, {_r6('increase')} as increase from inc""")
+def w13_counter_increase(spark, sf):
+    s = tables(spark, sf).metric_samples
+    now = int(s.agg(F.max("ts")).first()[0])
+    return Qt.counter_increase(s, now).select(
+        "metric", "instance", (F.floor(F.col("increase") * 1000000.0 + 0.5) / 1000000.0).alias("increase"))
+
+
+@register("w13_credits_per_request_24h", _MS + "," + _increase_sql(86400) + """
+select c.instance, floor(greatest(c.increase, 0.0) / greatest(r.increase, 1.0) * 100.0 + 0.5) / 100.0
+  as credits_per_request_24h
+from inc c join inc r on c.instance = r.instance
+where c.metric = 'ingester_opensky_credits_used_since_reset' and r.metric = 'ingester_opensky_requests_since_reset'""")
+def w13_credits_per_request_24h(spark, sf):
+    s = tables(spark, sf).metric_samples
+    return Qt.credits_per_request(s, int(s.agg(F.max("ts")).first()[0]))
+
+
+_RQ = duck_ctes("requests")
+
+
+@register("w15_fixed_window_contact", _RQ + """
+select client, seq, ts, (ts // 900) * 900 as window_start,
+  row_number() over (partition by sha256(client), (ts // 900) order by ts, seq) as n_in_window,
+  row_number() over (partition by sha256(client), (ts // 900) order by ts, seq) <= 3 as accepted
+from requests""")
+def w15_fixed_window_contact(spark, sf):
+    return Qt.fixed_window_quota(tables(spark, sf).requests, 900, 3, hash_key=True)
+
+
+@register("w15_global_per_second", _RQ + """
+select 'global' as client, seq, ts, ts as window_start,
+  row_number() over (partition by ts order by seq) as n_in_window,
+  row_number() over (partition by ts order by seq) <= 2 as accepted
+from requests""")
+def w15_global_per_second(spark, sf):
+    r = tables(spark, sf).requests.select(F.lit("global").alias("client"), "seq", "ts")
+    return Qt.fixed_window_quota(r, 1, 2)
+
+
+@register("w16_sliding_quota")
+def w16_sliding_quota(spark, sf):
+    """Rows-only: order-dependent acceptance (checked against brute force in tests)."""
+    return Qt.sliding_quota(tables(spark, sf).requests, window=3600, max_requests=2)
+
+
+# ---------------------------------------------------------------- observability
+from skyfold.operators import observability as Ob  # noqa: E402
+
+_FLOW = duck_ctes("flow_logs") + """,
+fp AS (select ts, string_split(message, ' ') as f from flow_logs),
+flows AS (select ts, cast(f[1] as int) as version, f[2] as account_id, f[3] as interface_id, f[4] as srcaddr,
+            f[5] as dstaddr, cast(f[6] as int) as srcport, cast(f[7] as int) as dstport, cast(f[8] as int) as protocol,
+            cast(f[9] as bigint) as packets, cast(f[10] as bigint) as bytes, cast(f[11] as bigint) as "start",
+            cast(f[12] as bigint) as "end", f[13] as action, f[14] as log_status from fp where f[14] = 'OK')
+"""
+
+
+def _flows(spark, sf):
+    return Ob.read_flow_logs(tables(spark, sf).flow_logs)
+
+
+@register("s7_flow_logs", _FLOW + "select * from flows")
+def s7_flow_logs(spark, sf):
+    return _flows(spark, sf)
+
+
+@register("a18_flows_by_action", _FLOW + """
+select (ts // 300) * 300 as bin_start, action, count(*) as flows from flows group by 1, 2""")
+def a18_flows_by_action(spark, sf):
+    return Ob.flows_by_action(_flows(spark, sf))
+
+
+@register("a19_top_rejects_by_srcaddr", _FLOW + """
+select srcaddr, count(*) as rejects from flows where action = 'REJECT' group by 1
+order by rejects desc, srcaddr asc limit 15""")
+def a19_top_rejects_by_srcaddr(spark, sf):
+    return Ob.top_rejects(_flows(spark, sf), "srcaddr")
+
+
+@register("a19_top_rejects_by_dstport", _FLOW + """
+select dstport, count(*) as rejects from flows where action = 'REJECT' group by 1
+order by rejects desc, dstport asc limit 15""")
+def a19_top_rejects_by_dstport(spark, sf):
+    return Ob.top_rejects(_flows(spark, sf), "dstport")
+
+
+@register("a20_metric_statistics", _MS + f"""
+select metric, instance, (ts // 3600) * 3600 as period_start, {_r6('avg(value)')} as average,
+  max(value) as maximum, {_r6('sum(value)')} as sum, count(*) as sample_count
+from metric_samples group by 1, 2, 3""")
+def a20_metric_statistics(spark, sf):
+    d = Ob.metric_statistics(tables(spark, sf).metric_samples, 3600)
+    r6 = lambda c: (F.floor(F.col(c) * 1000000.0 + 0.5) / 1000000.0).alias(c)
+    return d.select("metric", "instance", "period_start", r6("average"), "maximum", r6("sum"), "sample_count")
+
+
+@register("a22_rate_sum_by_instance", _MS + "," + _increase_sql(21600, "metric = 'ingester_opensky_requests_since_reset'")
+          + f"""
+select instance, {_r6('sum(increase / 21600.0)')} as rate from inc group by 1""")
+def a22_rate_sum_by_instance(spark, sf):
+    s = tables(spark, sf).metric_samples
+    d = Ob.rate_sum_by(s, "ingester_opensky_requests_since_reset", int(s.agg(F.max("ts")).first()[0]),
+                       range_seconds=21600)
+    return d.select("instance", (F.floor(F.col("rate") * 1000000.0 + 0.5) / 1000000.0).alias("rate"))
+
+
+def _alert_sql() -> str:
+    parts = []
+    for r in Ob.ALERT_RULES:
+        if r.fn == "rate":
+            agg = (f"sum(case when pv is null then 0.0 when value < pv then value else value - pv end) over "
+                   f"(partition by metric, instance order by ts range between {r.range_seconds} preceding and current row)"
+                   f" / {float(r.range_seconds)}")
+            src = (f"(select *, lag(value) over (partition by metric, instance order by ts, seq) as pv "
+                   f"from metric_samples where metric = '{r.metric}')")
+        elif r.range_seconds > 0:
+            agg = (f"{r.fn}(value) over (partition by metric, instance order by ts range between "
+                   f"{r.range_seconds} preceding and current row)")
+            src = f"(select * from metric_samples where metric = '{r.metric}')"
+        else:
+            agg = "value"
+            src = f"(select * from metric_samples where metric = '{r.metric}')"
+        parts.append(f"""select '{r.name}' as rule, {r.for_seconds} as for_s, metric, instance, ts, seq,
+            coalesce(({agg}) {r.op} {r.threshold}, false) as cond from {src} s""")
+    return " union all ".join(parts)
+
+
+@register("w14_sustained_alerts", _MS + f""",
+c AS ({_alert_sql()}),
+i0 AS (select *, case when lag(cond) over w is null or lag(cond) over w <> cond then 1 else 0 end as st
+       from c window w as (partition by rule, metric, instance order by ts, seq)),
+i1 AS (select *, sum(st) over (partition by rule, metric, instance order by ts, seq
+         rows between unbounded preceding and current row) as island from i0)
+select rule, metric, instance, min(ts) as start_ts, max(ts) as end_ts, max(ts) - min(ts) as duration_s,
+  count(*) as samples, max(ts) - min(ts) >= max(for_s) as fired
+from i1 where cond group by rule, metric, instance, island""")
+def w14_sustained_alerts(spark, sf):
+    return Ob.sustained_alerts(tables(spark, sf).metric_samples)
+
+
+@register("w18_period_alarms", _MS + """,
+per AS (select metric, instance, (ts // 3600) * 3600 as period_start, max(value) as maximum
+        from metric_samples where metric = 'processor_queue_depth' group by 1, 2, 3),
+br AS (select * from per where maximum >= 40.0)
+select b.metric, b.instance, b.period_start from br b join br p
+  on b.metric = p.metric and b.instance = p.instance and p.period_start = b.period_start - 3600""")
+def w18_period_alarms(spark, sf):
+    s = tables(spark, sf).metric_samples.where(F.col("metric") == "processor_queue_depth")
+    return Ob.period_alarms(s, 40.0, period=3600, n=2)

@@ -122,10 +122,10 @@ from {events}"""
 
 METRIC_NAMES = {
     "click": "processor_queue_depth",
-    "view": "ingester_events_published_total",
+    "view": "ingester_opensky_requests_since_reset",
     "error": "up",
-    "purchase": "ingester_backoff_seconds",
-    "signup": "opensky_credits_used_total",
+    "purchase": "ingester_opensky_backoff_seconds",
+    "signup": "ingester_opensky_credits_used_since_reset",
 }
 
 
