@@ -739,8 +739,10 @@ def a21_http_outcomes(spark, sf):
 select source_id, seq,
   case when seq % 23 = 0 then null else remaining end as remaining,
   case when seq % 31 = 0 then null else credit_limit end as credit_limit,
-  case seq % 4 when 0 then ts + 3600 + seq % 100 when 1 then ts + 86400 end as reset_at
-from fetch_log""")
+  case when r > 0 and r < 1000000000 then ts + r when r < ts - 86400 or r > ts + 604800 then null
+       else r end as reset_at
+from (select *, case seq % 4 when 0 then 3600 + seq % 100 when 1 then ts + 86400 when 2 then ts - 259200 end as r
+      from fetch_log)""")
 def s6_parse_fetch_headers(spark, sf):
     fl = tables(spark, sf).fetch_log
     seq = F.col("seq")
