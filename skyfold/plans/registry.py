@@ -919,3 +919,92 @@ select b.metric, b.instance, b.period_start from br b join br p
 def w18_period_alarms(spark, sf):
     s = tables(spark, sf).metric_samples.where(F.col("metric") == "processor_queue_depth")
     return Ob.period_alarms(s, 40.0, period=3600, n=2)
+
+
+# ---------------------------------------------------------------- reference build (Q4)
+from skyfold.sources import reference_data as R  # noqa: E402
+
+_CSV_EXPECTED = """
+csvn AS (select lower(printf('%06x', c_custkey - case when c_custkey % 7 = 0 then 1 else 0 end)) as icao24,
+    'N' || cast(c_nationkey as varchar) as country,
+    case c_mktsegment when 'AUTOMOBILE' then 'Heavy, multi-engine' when 'BUILDING' then 'O''Brien light'
+         when 'FURNITURE' then 'H2T' end as category_description,
+    case when c_custkey % 3 = 0 then 'L2J' end as icao_aircraft_class,
+    'M' || cast(c_custkey % 13 as varchar) as manufacturer_icao,
+    case when c_custkey % 4 <> 0 then 'Maker ' || cast(c_custkey % 13 as varchar) end as manufacturer_name,
+    c_name as model,
+    case when c_custkey % 6 <> 0 then 'F-' || lpad(cast(c_custkey as varchar), 5, '0') end as registration,
+    case c_custkey % 5 when 0 then 'A320' when 1 then 'B744' when 3 then 'C172' when 4 then 'C172' end as typecode,
+    c_custkey as ord, c_custkey % 50 = 0 as skipped
+  from customer),
+csvr AS (select * exclude (r) from (select *, row_number() over (partition by icao24 order by ord desc) as r
+         from csvn where not skipped) where r = 1),
+supn AS (select p_partkey as ord,
+    case when p_partkey % 97 = 0 or p_partkey % 89 = 0 then 'bad_json' when p_partkey % 83 = 0 then 'bad_icao'
+         else 'ok' end as status,
+    lower(printf('%06x', p_partkey % 1800)) as icao,
+    case when p_partkey % 3 = 0 then 'N' || cast(p_partkey as varchar) end as reg,
+    'T' || cast(p_partkey % 17 as varchar) as icaotype, 'L1P' as short_type, p_brand as manufacturer,
+    p_type as model,
+    case p_partkey % 6 when 0 then 1 when 1 then 1 when 2 then 1 when 3 then 0 when 4 then 0 end as mil,
+    case p_partkey % 5 when 0 then 1950 + p_partkey % 70 when 1 then 1990 + p_partkey % 30 end as year,
+    case when p_partkey % 4 = 0 then 'Private ' || cast(p_partkey as varchar) end as ownop
+  from part),
+supr AS (select * exclude (r) from (select *, row_number() over (partition by icao order by ord desc) as r
+         from supn where status = 'ok') where r = 1),
+merged AS (select coalesce(a.icao24, b.icao) as icao24, a.country, a.category_description,
+    coalesce(a.icao_aircraft_class, b.short_type) as icao_aircraft_class, a.manufacturer_icao,
+    coalesce(a.manufacturer_name, b.manufacturer) as manufacturer_name, coalesce(a.model, b.model) as model,
+    coalesce(a.registration, b.reg) as registration, coalesce(a.typecode, b.icaotype) as typecode,
+    case when b.mil is not null then b.mil = 1 end as military_hint, cast(b.year as integer) as year_built,
+    b.ownop as owner_operator, a.icao24 is not null as in_csv, b.icao is not null as in_sup
+  from csvr a full join supr b on a.icao24 = b.icao)
+"""
+
+
+def _reference(spark, sf):
+    t = tables(spark, sf)
+    csv = R.parse_aircraft_csv_lines(t.aircraft_csv_lines)
+    return R.build_aircraft_reference(csv, t.supplement_lines)
+
+
+@register("q4_aircraft_reference", "WITH " + _CSV_EXPECTED + """
+select * exclude (in_csv, in_sup) from merged""")
+def q4_aircraft_reference(spark, sf):
+    return _reference(spark, sf)[0]
+
+
+@register("a14_merge_stats", "WITH " + _CSV_EXPECTED + """
+select (select count(*) from csvn where not skipped) as csv_imported,
+       (select count(*) from csvn where skipped) as csv_skipped,
+       (select count(*) from supn where status = 'ok') as basic_imported,
+       (select count(*) from supn where status = 'bad_json') as basic_skipped_json,
+       (select count(*) from supn where status = 'bad_icao') as basic_skipped_icao,
+       (select count(*) from merged where in_csv) as rows_before,
+       (select count(*) from merged where in_csv and in_sup) as overlap_before,
+       (select count(*) from merged) as rows_after,
+       (select count(*) from merged where coalesce(military_hint, false)) as military_true_total,
+       (select count(*) from merged) - (select count(*) from merged where in_csv) as rows_added""")
+def a14_merge_stats(spark, sf):
+    return _reference(spark, sf)[1]
+
+
+@register("s4_supplement_records", "WITH " + _CSV_EXPECTED + """
+select ord as line_no, status, case when status = 'ok' then icao end as icao,
+  case when status <> 'bad_json' then reg end as reg, case when status <> 'bad_json' then mil end as mil,
+  cast(case when status <> 'bad_json' then year end as integer) as year from supn""")
+def s4_supplement_records(spark, sf):
+    s = R.parse_supplement(tables(spark, sf).supplement_lines)
+    return s.select(F.col("_order").alias("line_no"), F.col("_status").alias("status"),
+                    F.when(F.col("_status") == "ok", F.col("icao")).alias("icao"), "reg", "mil", "year")
+
+
+@register("j5_overlap_count", "WITH " + _CSV_EXPECTED + """
+select count(*) as overlap from csvr a where exists (select 1 from supr b where b.icao = a.icao24)""")
+def j5_overlap_count(spark, sf):
+    t = tables(spark, sf)
+    csv = R.last_row_per_key(R.normalise_csv(R.parse_aircraft_csv_lines(t.aircraft_csv_lines))
+                             .where(~F.col("_skipped")).drop("_skipped"), "icao24")
+    sup = R.parse_supplement(t.supplement_lines)
+    sup = R.last_row_per_key(sup.where(F.col("_status") == "ok").drop("_status"), "icao")
+    return csv.join(sup, csv.icao24 == sup.icao, "left_semi").agg(F.count(F.lit(1)).alias("overlap"))

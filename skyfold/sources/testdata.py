@@ -256,6 +256,68 @@ class Tables:
             raise AttributeError(name)
         if name in VIEWS:
             return self.view(name)
+        if name in SPARK_ONLY_VIEWS:
+            return spark_only_view(self, name)
         if name in BASE_TABLES:
             return self.base(name)
         raise AttributeError(name)
+
+
+# ---------------------------------------------------------------- reference-build inputs
+# Text inputs of the aircraft-reference build (S3, S4), rendered from tables
+# so their size follows the scale factor: one CSV line per customer, one
+# NDJSON line per part.  Spark-only: the oracle states the decoded values.
+
+def aircraft_csv_lines_sql(customer: str) -> str:
+    hexkey = SPARK.hex6("c_custkey - case when c_custkey % 7 = 0 then 1 else 0 end")
+    cells = [
+        f"case when c_custkey % 50 = 0 then ' ' else upper({hexkey}) end",
+        "'N' || cast(c_nationkey as string)",
+        "case c_mktsegment when 'AUTOMOBILE' then '''Heavy, multi-engine''' "
+        "when 'BUILDING' then '''O''''Brien light''' when 'FURNITURE' then 'H2T' else '  ' end",
+        "case when c_custkey % 3 = 0 then 'L2J' else '' end",
+        "'M' || cast(c_custkey % 13 as string)",
+        "case when c_custkey % 4 = 0 then '' else ' Maker ' || cast(c_custkey % 13 as string) || ' ' end",
+        "c_name",
+        "case when c_custkey % 6 = 0 then '' else 'F-' || lpad(cast(c_custkey as string), 5, '0') end",
+        "case c_custkey % 5 when 0 then 'A320' when 1 then 'B744' when 2 then '' else 'C172' end",
+    ]
+    return f"""
+select 0 as line_no, 'icao24,country,categoryDescription,icaoAircraftClass,manufacturerIcao,manufacturerName,model,registration,typecode' as line
+union all
+select c_custkey as line_no, concat_ws(',', {', '.join(cells)}) as line from {customer}"""
+
+
+def supplement_lines_sql(part: str) -> str:
+    icao = SPARK.hex6("p_partkey % 1800")
+    obj = ("'{\"icao\":\"' || case when p_partkey % 83 = 0 then 'zz' || cast(p_partkey as string) "
+           f"when p_partkey % 2 = 0 then upper({icao}) else {icao} end || '\"'"
+           " || ',\"reg\":' || case p_partkey % 3 when 0 then '\"N' || cast(p_partkey as string) || '\"' "
+           "when 1 then '\"  \"' else 'null' end"
+           " || ',\"icaotype\":\"T' || cast(p_partkey % 17 as string) || '\",\"short_type\":\"L1P\"'"
+           " || ',\"manufacturer\":\" ' || p_brand || ' \",\"model\":\"' || p_type || '\"'"
+           " || ',\"mil\":' || case p_partkey % 6 when 0 then 'true' when 1 then '1' when 2 then '\"yes\"' "
+           "when 3 then '\"0\"' when 4 then '0' else '\"maybe\"' end"
+           " || ',\"year\":' || case p_partkey % 5 when 0 then cast(1950 + p_partkey % 70 as string) "
+           "when 1 then '\"' || cast(1990 + p_partkey % 30 as string) || '\"' when 2 then '\"19x5\"' "
+           "when 3 then '1850' else '2015.0' end"
+           " || ',\"ownop\":' || case when p_partkey % 4 = 0 then '\"Private ' || cast(p_partkey as string) "
+           "|| '\"' else '\"\"' end || '}'")
+    return f"""
+select p_partkey as line_no,
+       case when p_partkey % 97 = 0 then '{{not json' when p_partkey % 89 = 0 then '[1, 2]' else {obj} end as line
+from {part}"""
+
+
+SPARK_ONLY_VIEWS = {
+    "aircraft_csv_lines": (aircraft_csv_lines_sql, ["customer"]),
+    "supplement_lines": (supplement_lines_sql, ["part"]),
+}
+
+
+def spark_only_view(t: "Tables", name: str):
+    fn, deps = SPARK_ONLY_VIEWS[name]
+    key = "sview:" + name
+    if key not in t._cache:
+        t._cache[key] = t.spark.sql(fn(*[t._registered(d) for d in deps]))
+    return t._cache[key]
