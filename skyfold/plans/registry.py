@@ -146,7 +146,7 @@ ev AS (select p.*, a.icao24 is not null as has_metadata,
 
 def _minutes_sql(width: int) -> str:
     return f"""select (last_contact // {width}) * {width} as bucket_epoch, count(*) as events_total,
-       count_if(coalesce(military_hint, false)) as events_military,
+       cast(count_if(coalesce(military_hint, false)) as bigint) as events_military,
        count(distinct icao24) as aircraft_total,
        count(distinct case when coalesce(military_hint, false) then icao24 end) as aircraft_military
 from ev where last_contact is not null group by 1"""
@@ -1008,3 +1008,152 @@ def j5_overlap_count(spark, sf):
     sup = R.parse_supplement(t.supplement_lines)
     sup = R.last_row_per_key(sup.where(F.col("_status") == "ok").drop("_status"), "icao")
     return csv.join(sup, csv.icao24 == sup.icao, "left_semi").agg(F.count(F.lit(1)).alias("overlap"))
+
+
+# ---------------------------------------------------------------- sources, photos, detail
+from skyfold.operators.enrich import fresh_photos, resolve_photo  # noqa: E402
+from skyfold.operators.photos import as_photo_struct, parse_photo_payloads  # noqa: E402
+from skyfold.plans.flights import flight_details  # noqa: E402
+from skyfold.sources import readers as Rd  # noqa: E402
+
+
+@register("s1_state_responses", _POS + """
+select icao24, callsign, lat, lon, velocity, heading, geo_altitude, baro_altitude, on_ground, time_position,
+       last_contact, batch_epoch from positions where event_id % 211 <> 0 and event_id % 101 <> 0""")
+def s1_state_responses(spark, sf):
+    states, _ = Rd.read_state_responses(tables(spark, sf).state_responses)
+    return Rd.to_events(states).drop("vertical_rate", "ingested_at")
+
+
+@register("s1_state_errors", _POS + "select count(*) as error_rows from positions where event_id % 211 = 0")
+def s1_state_errors(spark, sf):
+    _, errors = Rd.read_state_responses(tables(spark, sf).state_responses)
+    return errors.agg(F.count(F.lit(1)).alias("error_rows"))
+
+
+def _wire(spark, sf):
+    return Rd.split_events(Rd.read_position_events(tables(spark, sf).wire_payloads))
+
+
+@register("f7_split_valid_events", _POS + """
+select event_id, case when event_id % 97 = 0 or event_id % 89 = 0 then 'dead_letter' else 'valid' end as route
+from positions""")
+def f7_split_valid_events(spark, sf):
+    valid, dead = _wire(spark, sf)
+    return valid.select("event_id", F.lit("valid").alias("route")).unionByName(
+        dead.select("event_id", F.lit("dead_letter").alias("route")))
+
+
+@register("s2_position_events", _POS + """
+select event_id, icao24, callsign, lat, lon, velocity, heading, geo_altitude, baro_altitude, on_ground,
+       time_position, last_contact, batch_epoch, '2024-01-01T00:00:00Z' as ingested_at
+from positions where event_id % 97 <> 0 and event_id % 89 <> 0""")
+def s2_position_events(spark, sf):
+    valid, _ = _wire(spark, sf)
+    return valid.drop("vertical_rate")
+
+
+@register("a15_pipeline_health", _POS + f""",
+v AS (select * from positions where event_id % 97 <> 0 and event_id % 89 <> 0),
+k AS (select icao24, inside, row_number() over (partition by icao24 order by {O.EVENT_ORDER_DESC}) as r
+      from (select *, {O.bbox_sql()} as inside from v where lat is not null and lon is not null))
+select (select count(*) from v) as processed,
+       (select count(*) from positions where event_id % 97 = 0 or event_id % 89 = 0) as errors,
+       (select max(last_contact) from v) as last_processed_epoch,
+       (select count(*) from k where r = 1 and inside) as members_inside""")
+def a15_pipeline_health(spark, sf):
+    valid, dead = _wire(spark, sf)
+    return Rd.pipeline_health(valid, dead, current_members(valid, Bbox.default()))
+
+
+_PH = duck_ctes("photo_payloads") + """,
+pj AS (select *, case when http_status = 429 then 'rate_limited' when http_status = 404 then 'not_found'
+                      when http_status < 200 or http_status >= 300 then 'error' end as http_st,
+         nullif(trim(json_extract_string(body, '$.photos[0].thumbnail.src')), '') as tu,
+         nullif(trim(json_extract_string(body, '$.photos[0].thumbnail_large.src')), '') as lu,
+         nullif(trim(json_extract_string(body, '$.photos[0].link')), '') as ku
+       from photo_payloads),
+pk AS (select *,
+    case when lower(regexp_extract(tu, '^([A-Za-z][A-Za-z0-9+.-]*)://([^/:?#]+)', 1)) = 'https'
+          and lower(regexp_extract(tu, '^([A-Za-z][A-Za-z0-9+.-]*)://([^/:?#]+)', 2)) in ({hosts}) then tu end as t_ok,
+    case when lower(regexp_extract(lu, '^([A-Za-z][A-Za-z0-9+.-]*)://([^/:?#]+)', 1)) = 'https'
+          and lower(regexp_extract(lu, '^([A-Za-z][A-Za-z0-9+.-]*)://([^/:?#]+)', 2)) in ({hosts}) then lu end as l_ok,
+    case when lower(regexp_extract(ku, '^([A-Za-z][A-Za-z0-9+.-]*)://([^/:?#]+)', 1)) = 'https'
+          and lower(regexp_extract(ku, '^([A-Za-z][A-Za-z0-9+.-]*)://([^/:?#]+)', 2)) in ({hosts}) then ku end as k_ok
+    from pj),
+ps AS (select *, coalesce(http_st,
+    case when json_type(body, '$.error') = 'VARCHAR' then 'error'
+         when coalesce(json_array_length(body, '$.photos'), 0) = 0 then 'not_found'
+         when t_ok is null or l_ok is null or k_ok is null then 'error' else 'available' end) as status from pk),
+photos AS (select lookup_kind, lookup_key, http_status, fetched_at, status,
+    case when status = 'available' then t_ok end as thumbnail_url,
+    case when status = 'available' and json_type(body, '$.photos[0].thumbnail.size.width') in ('UBIGINT', 'BIGINT', 'DOUBLE')
+         then cast(json_extract(body, '$.photos[0].thumbnail.size.width') as integer) end as thumbnail_width,
+    case when status = 'available' and json_type(body, '$.photos[0].thumbnail.size.height') in ('UBIGINT', 'BIGINT', 'DOUBLE')
+         then cast(json_extract(body, '$.photos[0].thumbnail.size.height') as integer) end as thumbnail_height,
+    case when status = 'available' then l_ok end as large_thumbnail_url,
+    case when status = 'available' and json_type(body, '$.photos[0].thumbnail_large.size.width') in ('UBIGINT', 'BIGINT', 'DOUBLE')
+         then cast(json_extract(body, '$.photos[0].thumbnail_large.size.width') as integer) end as large_width,
+    case when status = 'available' and json_type(body, '$.photos[0].thumbnail_large.size.height') in ('UBIGINT', 'BIGINT', 'DOUBLE')
+         then cast(json_extract(body, '$.photos[0].thumbnail_large.size.height') as integer) end as large_height,
+    case when status = 'available' then nullif(trim(json_extract_string(body, '$.photos[0].photographer')), '') end
+         as photographer,
+    case when status = 'available' then k_ok end as source_link
+  from ps)
+""".replace("{hosts}", ", ".join(f"'{h}'" for h in ["t.plnspttrs.net", "cdn.planespotters.net",
+                                                     "www.planespotters.net", "planespotters.net"]))
+
+
+def _photos(spark, sf):
+    return parse_photo_payloads(tables(spark, sf).photo_payloads)
+
+
+@register("n18_photo_payloads", _PH + "select * exclude (fetched_at) from photos")
+def n18_photo_payloads(spark, sf):
+    return _photos(spark, sf).drop("fetched_at")
+
+
+@register("j7_resolve_photo", _PH.replace("WITH ", "WITH ", 1).replace(
+    "photo_payloads AS (", "aircraft AS (" + __import__("skyfold.sources.testdata", fromlist=["x"]).aircraft_sql(
+        __import__("skyfold.sources.testdata", fromlist=["x"]).DUCK) + "),\nphoto_payloads AS (", 1) + """,
+a AS (select lower(trim(icao24)) as icao24, case when length(upper(trim(registration))) > 0
+        then upper(trim(registration)) end as reg_key from aircraft),
+h AS (select lower(trim(lookup_key)) as icao24, status, thumbnail_url from photos where lookup_kind = 'hex'),
+r AS (select upper(trim(lookup_key)) as reg_key, status, thumbnail_url from photos where lookup_kind = 'reg')
+select h.icao24, a.reg_key,
+  case when h.status = 'not_found' and a.reg_key is not null then 'reg' else 'hex' end as resolved_by,
+  case when h.status = 'not_found' and a.reg_key is not null then r.status else h.status end as status,
+  case when h.status = 'not_found' and a.reg_key is not null then r.thumbnail_url else h.thumbnail_url end
+    as thumbnail_url
+from h left join a on h.icao24 = a.icao24 left join r on a.reg_key = r.reg_key""")
+def j7_resolve_photo(spark, sf):
+    t = tables(spark, sf)
+    p = as_photo_struct(_photos(spark, sf))
+    res = resolve_photo(p.where(F.col("lookup_kind") == "hex"), p.where(F.col("lookup_kind") == "reg"), t.aircraft)
+    return res.select("icao24", "reg_key", "resolved_by", F.col("photo.status").alias("status"),
+                      F.col("photo.thumbnail_url").alias("thumbnail_url"))
+
+
+@register("j8_fresh_photos", _PH + """,
+t AS (select *, cast(case status when 'available' then 604800 when 'not_found' then 21600
+        when 'rate_limited' then 5 else 120 end as bigint) as ttl_seconds from photos)
+select lookup_kind, lookup_key, status, fetched_at, ttl_seconds from t
+where fetched_at + ttl_seconds > (select max(fetched_at) from photos) - 3600""")
+def j8_fresh_photos(spark, sf):
+    p = _photos(spark, sf)
+    now = int(p.agg(F.max("fetched_at")).first()[0]) - 3600
+    return fresh_photos(p, now).select("lookup_kind", "lookup_key", "status", "fetched_at", "ttl_seconds")
+
+
+@register("q2_flight_detail", _POS + ", " + O.LATEST_CTE + """
+select l.icao24, nullif(trim(l.callsign), '') as callsign, a.registration,
+  coalesce(nullif(trim(a.manufacturer_name), ''), nullif(trim(a.manufacturer_icao), '')) as manufacturer,
+  a.model, upper(nullif(trim(a.typecode), '')) as typecode, a.year_built, a.owner_operator, a.country,
+  coalesce(nullif(trim(a.category_description), ''), nullif(trim(a.icao_aircraft_class), '')) as category,
+  a.military_hint, l.lat, l.lon, l.heading, l.velocity as speed, coalesce(l.geo_altitude, l.baro_altitude) as altitude,
+  l.on_ground, l.last_contact as last_seen, l.batch_epoch
+from latest l left join aircraft a on l.icao24 = lower(trim(a.icao24))""")
+def q2_flight_detail(spark, sf):
+    t = tables(spark, sf)
+    latest = build_latest(t.positions)
+    return flight_details(latest, t.aircraft, t.positions, latest.select("icao24"), flat=True)

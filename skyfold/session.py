@@ -30,6 +30,7 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.ui.enabled"] = "false"
+    conf.setdefault("spark.driver.memory", "12g")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

@@ -309,7 +309,44 @@ select p_partkey as line_no,
 from {part}"""
 
 
+def state_responses_sql(positions_sql_text: str) -> str:
+    """Upstream poll bodies: one JSON response per position event (states as
+    positional arrays), with a non-array sibling row, a non-array ``states``
+    and malformed bodies mixed in."""
+    num = lambda c: f"coalesce(cast({c} as string), 'null')"
+    cells = ", ".join([
+        "'\"' || icao24 || '\"'", "'\"' || rpad(callsign, 8, ' ') || '\"'", "'\"France\"'",
+        num("time_position"), num("last_contact"), num("lon"), num("lat"), num("baro_altitude"),
+        "case when on_ground then 'true' else 'false' end", num("velocity"), num("heading"), "'null'", "'null'",
+        num("geo_altitude"), "'null'", "'false'", "'0'"])
+    state = f"'[' || concat_ws(',', {cells}) || ']'"
+    return f"""
+select event_id, batch_epoch as fetched_at,
+  case when event_id % 211 = 0 then '{{"time": ' || cast(batch_epoch as string) || ', "states": [['
+       when event_id % 101 = 0 then '{{"time": ' || cast(batch_epoch as string) || ', "states": null}}'
+       when event_id % 13 = 0 then '{{"time": ' || cast(batch_epoch as string) || ', "states": ["junk", '
+            || {state} || ']}}'
+       else '{{"time": ' || cast(batch_epoch as string) || ', "states": [' || {state} || ']}}' end as body
+from ({positions_sql_text}) p"""
+
+
+def wire_payloads_sql(positions_sql_text: str) -> str:
+    """Queue payloads as published (K1 form), with malformed payloads and
+    blank keys mixed in."""
+    return f"""
+select event_id,
+  case when event_id % 97 = 0 then substr(to_json(struct(*)), 1, 40)
+       else to_json(named_struct('icao24', case when event_id % 89 = 0 then '  ' else icao24 end,
+            'callsign', callsign, 'lat', lat, 'lon', lon, 'velocity', velocity, 'heading', heading,
+            'geo_altitude', geo_altitude, 'baro_altitude', baro_altitude, 'on_ground', on_ground,
+            'time_position', time_position, 'last_contact', last_contact,
+            'opensky_fetch_epoch', batch_epoch, 'ingested_at', '2024-01-01T00:00:00Z', 'extra', 1)) end as value
+from ({positions_sql_text}) p"""
+
+
 SPARK_ONLY_VIEWS = {
+    "state_responses": (lambda ev: state_responses_sql(positions_sql(SPARK, ev)), ["events"]),
+    "wire_payloads": (lambda ev: wire_payloads_sql(positions_sql(SPARK, ev)), ["events"]),
     "aircraft_csv_lines": (aircraft_csv_lines_sql, ["customer"]),
     "supplement_lines": (supplement_lines_sql, ["part"]),
 }
