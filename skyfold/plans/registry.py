@@ -1157,3 +1157,94 @@ def q2_flight_detail(spark, sf):
     t = tables(spark, sf)
     latest = build_latest(t.positions)
     return flight_details(latest, t.aircraft, t.positions, latest.select("icao24"), flat=True)
+
+
+# ---------------------------------------------------------------- streaming
+from skyfold.streaming import streams as St  # noqa: E402
+
+
+def _events_stream(spark, sf):
+    return St.read_table_stream(spark, sf, "events")
+
+
+@register("t1_stream_dead_letters", ORACLES["f7_split_valid_events"])
+def t1_stream_dead_letters(spark, sf):
+    from skyfold.sources.testdata import SPARK, positions_sql, wire_payloads_sql
+    ev = _events_stream(spark, sf)
+    name = "skyfold_t1_events_" + __import__("uuid").uuid4().hex[:8]
+    ev.createOrReplaceTempView(name)
+    payloads = spark.sql(wire_payloads_sql(positions_sql(SPARK, name)))
+    valid, dead = St.stream_positions(payloads)
+    routed = valid.select("event_id", F.lit("valid").alias("route")).unionByName(
+        dead.select("event_id", F.lit("dead_letter").alias("route")))
+    d = St.stream_dir(spark, "t1")
+    St.run_available_now(St.upsert_log_sink(routed, d + "/out", d + "/ckpt", output_mode="append"))
+    return spark.read.parquet(d + "/out").drop("batch_id")
+
+
+@register("t2_stream_latest_state", _POS + ", " + O.LATEST_CTE + f""",
+k AS (select icao24, {O.bbox_sql()} as inside, row_number() over (partition by icao24
+        order by {O.EVENT_ORDER_DESC}) as r from positions where lat is not null and lon is not null),
+n AS (select icao24, least(count(*), 180) as track_points from positions group by 1)
+select l.icao24, l.event_id, l.last_contact, l.batch_epoch, l.prev_lat, l.prev_lon, l.prev_heading,
+       l.prev_velocity, l.prev_altitude, l.prev_last_contact, k.inside, cast(0 as bigint) as late_events,
+       cast(n.track_points as bigint) as track_points
+from latest l left join (select * from k where r = 1) k on l.icao24 = k.icao24 join n on l.icao24 = n.icao24""")
+def t2_stream_latest_state(spark, sf):
+    pos = St.positions_stream(_events_stream(spark, sf)).where(F.col("icao24").isNotNull())
+    d = St.stream_dir(spark, "t2")
+    St.run_available_now(St.upsert_log_sink(St.stream_latest_state(pos), d + "/out", d + "/ckpt"))
+    return St.read_upsert_log(spark, d + "/out", ["icao24"]).select(
+        "icao24", "event_id", "last_contact", "batch_epoch", "prev_lat", "prev_lon", "prev_heading",
+        "prev_velocity", "prev_altitude", "prev_last_contact", "inside", "late_events", "track_points")
+
+
+def _stream_activity_table(spark, sf):
+    t = tables(spark, sf)
+    pos = St.positions_stream(_events_stream(spark, sf)).where(F.col("icao24").isNotNull())
+    d = St.stream_dir(spark, "t5")
+    St.run_available_now(St.upsert_log_sink(St.stream_activity(St.enrich_stream(pos, t.aircraft)),
+                                            d + "/out", d + "/ckpt"))
+    return St.read_upsert_log(spark, d + "/out", ["bucket_epoch"])
+
+
+@register("t5_stream_activity_counts", _EV_ENRICHED + """
+select (last_contact // 60) * 60 as bucket_epoch, count(*) as events_total,
+       cast(count_if(coalesce(military_hint, false)) as bigint) as events_military
+from ev where last_contact is not null group by 1""")
+def t5_stream_activity_counts(spark, sf):
+    return _stream_activity_table(spark, sf).select("bucket_epoch", "events_total", "events_military")
+
+
+@register("t5_stream_activity_sketch")
+def t5_stream_activity_sketch(spark, sf):
+    """Rows-only: HyperLogLog distinct aircraft per minute (approximate)."""
+    return _stream_activity_table(spark, sf)
+
+
+@register("t6_stream_activity_series")
+def t6_stream_activity_series(spark, sf):
+    """Rows-only: display series re-aggregated from the streamed minute table."""
+    from skyfold.operators.activity import activity_series
+    minutes = _stream_activity_table(spark, sf)
+    now = now_epoch(tables(spark, sf).positions)
+    return activity_series(St.retained_buckets(minutes, now, 60, 7 * 86400), now, 86400, 48)
+
+
+@register("t8_stream_batch_updates", _POS + "select max(batch_epoch) as latest_batch_epoch from positions")
+def t8_stream_batch_updates(spark, sf):
+    pos = St.positions_stream(_events_stream(spark, sf)).where(F.col("icao24").isNotNull())
+    d = St.stream_dir(spark, "t8")
+    St.run_available_now(St.batch_update_writer(pos, d + "/out", d + "/ckpt"))
+    r = spark.read.parquet(d + "/out")
+    return r.agg(F.max_by("latest_batch_epoch", "batch_id").alias("latest_batch_epoch"))
+
+
+@register("t10_stream_events_by_attribute", ORACLES["a12_events_by_attribute"])
+def t10_stream_events_by_attribute(spark, sf):
+    t = tables(spark, sf)
+    pos = St.positions_stream(_events_stream(spark, sf)).where(F.col("icao24").isNotNull())
+    d = St.stream_dir(spark, "t10")
+    St.run_available_now(St.attribute_counts_writer(St.enrich_stream(pos, t.aircraft), d + "/out", d + "/ckpt"))
+    return (spark.read.parquet(d + "/out").groupBy("attribute", "value")
+            .agg(F.sum("events").cast("long").alias("events")))
