@@ -17,14 +17,22 @@ PHOTO_TTL_MINIMUM = {"available": 60, "not_found": 30, "rate_limited": 1, "error
 # --------------------------------------------------------------------------
 
 
+_BROADCAST_VERDICTS: dict = {}
+
+
 def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast ``dim`` only when its row count is proven under ``max_rows``.
 
-    The probe reads at most ``max_rows + 1`` rows of the (small) dimension.
-    Above the bound the plain frame is returned and the join shuffles (AQE may
-    still switch to broadcast at run time when the measured side is small)."""
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    The probe reads at most ``max_rows + 1`` rows of the (small) dimension;
+    the verdict is remembered per session and dimension plan.  Above the
+    bound the plain frame is returned and the join shuffles (AQE may still
+    switch to broadcast at run time when the measured side is small)."""
+    key = (id(dim.sparkSession), dim.semanticHash(), max_rows)
+    ok = _BROADCAST_VERDICTS.get(key)
+    if ok is None:
+        ok = dim.limit(max_rows + 1).count() <= max_rows
+        _BROADCAST_VERDICTS[key] = ok
+    return F.broadcast(dim) if ok else dim
 
 
 def aircraft_dim(aircraft: DataFrame, with_owner: bool) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyfold.schemas import FLOW_LOG_DDL
-from skyfold.operators.sequence import previous_values, running_sum, time_chunk
+from skyfold.operators.sequence import materialize, previous_values, running_sum, time_chunk
 
 # Fixed values -------------------------------------------------------------
 FLOW_BIN_SECONDS = 300
@@ -20,7 +20,7 @@ TOP_REJECTS = 15
 def read_flow_logs(df: DataFrame, message: str = "message", keep_status: str | None = "OK") -> DataFrame:
     """Split the 14 space-separated fields of a flow-log message; keep
     ``log_status = 'OK'`` records."""
-    parsed = df.select("*", F.from_csv(F.col(message), FLOW_LOG_DDL, {"sep": " "}).alias("r")).select(
+    parsed = materialize(df, r=F.from_csv(F.col(message), FLOW_LOG_DDL, {"sep": " "})).select(
         *[c for c in df.columns if c != message], "r.*")
     return parsed.where(F.col("log_status") == keep_status) if keep_status else parsed
 

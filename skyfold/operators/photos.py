@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyfold.functions.expr import photo_status_from_http, trim_ctl, trim_to_null
+from skyfold.operators.sequence import materialize
 
 # Fixed values -------------------------------------------------------------
 TRUSTED_HOSTS = ["t.plnspttrs.net", "cdn.planespotters.net", "www.planespotters.net", "planespotters.net"]
@@ -33,7 +34,7 @@ def parse_photo_payloads(payloads: DataFrame, body: str = "body", http_status: s
     ``error`` -> error; no photos -> not_found; the first photo needs https
     thumbnail, large thumbnail and link on trusted hosts, else error; sizes
     only when numeric."""
-    d = payloads.select("*", F.expr(f"try_parse_json({body})").alias("_v"))
+    d = materialize(payloads, _v=F.expr(f"try_parse_json({body})"))
     urls = {}
     for name, path in (("thumb", "$.photos[0].thumbnail.src"), ("large", "$.photos[0].thumbnail_large.src"),
                        ("link", "$.photos[0].link")):

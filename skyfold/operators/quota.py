@@ -192,36 +192,42 @@ _SLIDING_SCHEMA = T.StructType([T.StructField("client", T.StringType()), T.Struc
 def sliding_quota(requests: DataFrame, window: int = 60, max_requests: int = 120, key: str = "client",
                   split_seconds: int = 86400) -> DataFrame:
     """Reject when ≥ max *accepted* requests fall in [t − window, t];
-    rejected requests do not count.  Order-dependent, so it runs in pandas —
-    but only per *burst*: a gap longer than the window empties the state, so
-    bursts are independent groups and a busy key is spread over many tasks."""
+    rejected requests do not count.  Order-dependent, so the decision runs in
+    pandas — but per *burst*: a gap longer than the window empties the state,
+    so bursts are independent and a busy key spreads over many tasks.  Bursts
+    are hash-partitioned and sorted, then each partition is scanned once
+    (Arrow batches; state carried across batch boundaries)."""
     window, max_requests = max(1, int(window)), max(1, int(max_requests))
     chunk = time_chunk("ts", split_seconds)
     d = previous_values(requests.select(key, "seq", "ts"), [key], ["ts", "seq"], ["ts"], prefix="_p_", chunk=chunk)
     brk = F.when(F.col("_p_ts").isNull() | (F.col("ts") - F.col("_p_ts") > window), 1).otherwise(0)
     d = running_sum(d.withColumn("_b", brk), [key], ["ts", "seq"], F.col("_b"), "_burst", chunk=chunk)
+    d = (d.select(key, "seq", "ts", "_burst").repartition(key, "_burst")
+         .sortWithinPartitions(key, "_burst", "ts", "seq"))
 
-    def decide(pdf):
+    def scan(batches):
         import collections
 
         import pandas as pd
-        pdf = pdf.sort_values(["ts", "seq"], kind="mergesort")
-        dq: collections.deque = collections.deque()
-        out = []
-        for t in pdf["ts"].to_numpy():
-            cutoff = t - window
-            while dq and dq[0] < cutoff:
-                dq.popleft()
-            if len(dq) >= max_requests:
-                out.append(False)
-            else:
-                dq.append(t)
-                out.append(True)
-        return pd.DataFrame({"client": pdf[key].to_numpy(), "seq": pdf["seq"].to_numpy(),
-                             "ts": pdf["ts"].to_numpy(), "accepted": out})
-
-    return (d.select(key, "seq", "ts", "_burst").groupBy(key, "_burst")
-            .applyInPandas(lambda pdf: decide(pdf), _SLIDING_SCHEMA))
+        cur, dq = None, collections.deque()
+        for pdf in batches:
+            keys = pdf[key].to_numpy()
+            bursts = pdf["_burst"].to_numpy()
+            tss = pdf["ts"].to_numpy()
+            out = []
+            for k, b, t in zip(keys, bursts, tss):
+                if (k, b) != cur:
+                    cur, dq = (k, b), collections.deque()
+                while dq and dq[0] < t - window:
+                    dq.popleft()
+                if len(dq) >= max_requests:
+                    out.append(False)
+                else:
+                    dq.append(t)
+                    out.append(True)
+            yield pd.DataFrame({"client": keys, "seq": pdf["seq"].to_numpy(), "ts": tss, "accepted": out})
+
+    return d.mapInPandas(scan, _SLIDING_SCHEMA)
 
 
 def sliding_quota_upper_bound(requests: DataFrame, window: int = 60, key: str = "client") -> DataFrame:

@@ -106,3 +106,13 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     totals = totals.select(*keys, CHUNK, F.coalesce(F.sum("_tot").over(wt), F.lit(0)).alias("_off"))
     d = d.join(totals, on=[*keys, CHUNK], how="left")
     return d.select(*df.columns, (F.col("_local") + F.col("_off")).alias(out))
+
+
+def materialize(df: DataFrame, **exprs: Column) -> DataFrame:
+    """Add columns computed exactly once per row.
+
+    Parsers (``from_csv``, ``from_json``, ``try_parse_json``) referenced by
+    several projections and filters would otherwise be re-evaluated per
+    reference after the optimizer inlines them; a single-row generator
+    (``inline`` over a one-element array) makes them plain attributes."""
+    return df.select("*", F.inline(F.array(F.struct(*[e.alias(n) for n, e in exprs.items()]))))

@@ -195,7 +195,8 @@ filled AS (select s.*, case when not has_data and known.a is not null
                   not has_data and known.am is not null as imputed_m from series s, known)
 select cast(sum(events_total) as bigint) as total_events,
        cast(sum(aircraft_military) as bigint) as military_aircraft_sum,
-       count_if(imputed) as imputed_buckets, count_if(imputed_m) as imputed_military_buckets,
+       cast(count_if(imputed) as bigint) as imputed_buckets,
+       cast(count_if(imputed_m) as bigint) as imputed_military_buckets,
        cast(greatest(coalesce(max(filled), 0), (select count(*) from snapc), 1) as bigint) as peak,
        (select key from fleet order by count desc, ordinal asc, key asc limit 1) as dominant_fleet
 from filled""")
@@ -1205,7 +1206,7 @@ def _stream_activity_table(spark, sf):
     d = St.stream_dir(spark, "t5")
     St.run_available_now(St.upsert_log_sink(St.stream_activity(St.enrich_stream(pos, t.aircraft)),
                                             d + "/out", d + "/ckpt"))
-    return St.read_upsert_log(spark, d + "/out", ["bucket_epoch"])
+    return St.read_upsert_log(spark, d + "/out", ["bucket_epoch"]).drop("aircraft_sketch", "military_sketch")
 
 
 @register("t5_stream_activity_counts", _EV_ENRICHED + """

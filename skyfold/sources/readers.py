@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyfold.functions.expr import trim_to_null
+from skyfold.operators.sequence import materialize
 from skyfold.schemas import POSITION_FIELDS, WIRE_EVENT
 
 # Fixed values -------------------------------------------------------------
@@ -27,7 +28,7 @@ def read_state_responses(responses: DataFrame, body: str = "body",
     A body whose ``states`` is not an array yields no rows; inside the array
     only array rows are states (siblings of a bad row are kept); a body that
     is not JSON becomes an error row.  Returns (states, errors)."""
-    v = responses.select("*", F.expr(f"try_parse_json({body})").alias("_v"))
+    v = materialize(responses, _v=F.expr(f"try_parse_json({body})"))
     errors = v.where(F.col("_v").isNull()).drop("_v").withColumn("error", F.lit("malformed_json"))
     rows = (v.where(F.col("_v").isNotNull())
             .select(F.col(fetched_at).alias("_fetched_at"),
@@ -70,13 +71,12 @@ def read_position_events(payloads: DataFrame, value: str = "value") -> DataFrame
     """JSON payloads with an explicit schema; unknown fields ignored,
     missing fields null.  ``_corrupt`` holds payloads that are not JSON."""
     keep = [c for c in payloads.columns if c != value]
-    # ``inline`` turns the parsed struct into real columns: downstream filters
-    # then test plain attributes instead of re-inlining the JSON parser into
-    # every predicate (which also keeps constraint inference small).
-    parsed = payloads.select(*keep, F.col(value).alias("_raw"),
-                             F.expr(f"try_parse_json({value}) IS NULL").alias("_bad_json"),
-                             F.inline(F.array(F.from_json(F.col(value), WIRE_EVENT, {"mode": "PERMISSIVE"}))))
-    fields = [F.col(n if n != "batch_epoch" else "opensky_fetch_epoch").alias(n) for n, _ in POSITION_FIELDS]
+    # One generator step evaluates the payload text, the JSON check and the
+    # parse once per row; everything above reads plain attributes.
+    parsed = materialize(payloads.select(*keep, F.col(value).alias("_raw")),
+                         _bad_json=F.expr("try_parse_json(_raw) IS NULL"),
+                         _e=F.from_json(F.col("_raw"), WIRE_EVENT, {"mode": "PERMISSIVE"}))
+    fields = [F.col("_e." + (n if n != "batch_epoch" else "opensky_fetch_epoch")).alias(n) for n, _ in POSITION_FIELDS]
     return parsed.select(*keep, *fields, F.when(F.col("_bad_json"), F.col("_raw")).alias("_corrupt"))
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyfold.functions.expr import norm_icao24, py_strip_to_null, to_bool_flag, to_year
+from skyfold.operators.sequence import materialize
 from skyfold.schemas import AIRCRAFT, AIRCRAFT_CSV_HEADER, AIRCRAFT_OPTIONAL, AIRCRAFT_REQUIRED
 
 CSV_OPTIONS = {"header": "true", "sep": ",", "quote": "'", "escape": "'", "encoding": "UTF-8",
@@ -47,7 +48,7 @@ def parse_aircraft_csv_lines(lines: DataFrame, line: str = "line", order: str =
     header = ",".join(AIRCRAFT_CSV_HEADER)
     body = lines.where(F.col(line) != header)
     parsed = F.from_csv(F.col(line), CSV_LINE_SCHEMA, {"sep": ",", "quote": "'", "escape": "'"})
-    return body.select(parsed.alias("r"), F.col(order).alias("_order")).select("r.*", "_order")
+    return materialize(body.select(line, F.col(order).alias("_order")), r=parsed).select("r.*", "_order")
 
 
 def normalise_csv(rows: DataFrame) -> DataFrame:
@@ -68,8 +69,8 @@ def last_row_per_key(df: DataFrame, key: str, order: str = "_order", cols: list[
 def parse_supplement(lines: DataFrame, line: str = "line", order: str = "line_no") -> DataFrame:
     """One JSON object per line.  Adds ``_status``: ok / bad_json (not
     decodable or not an object) / bad_icao (key not six hex digits)."""
-    d = lines.where(F.length(F.trim(F.col(line))) > 0).select(
-        F.col(order).alias("_order"), F.expr(f"try_parse_json({line})").alias("_v"))
+    d = materialize(lines.where(F.length(F.trim(F.col(line))) > 0).select(F.col(order).alias("_order"), line),
+                    _v=F.expr(f"try_parse_json({line})")).drop(line)
     is_obj = F.coalesce(F.expr("schema_of_variant(_v)").startswith("OBJECT"), F.lit(False))
     get = lambda k: F.expr(f"try_variant_get(_v, '$.{k}', 'string')")
     typ = lambda k: F.expr(f"schema_of_variant(try_variant_get(_v, '$.{k}'))")
