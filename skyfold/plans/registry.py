@@ -1249,3 +1249,130 @@ def t10_stream_events_by_attribute(spark, sf):
     St.run_available_now(St.attribute_counts_writer(St.enrich_stream(pos, t.aircraft), d + "/out", d + "/ckpt"))
     return (spark.read.parquet(d + "/out").groupBy("attribute", "value")
             .agg(F.sum("events").cast("long").alias("events")))
+
+
+# ---------------------------------------------------------------- remaining families
+from skyfold.operators.enrich import pair_batches  # noqa: E402
+
+
+@register("k2_read_model", _EV_ENRICHED + """
+select (select count(distinct icao24) from positions where icao24 is not null) as latest_rows,
+       (select count(distinct last_contact // 60) from ev where last_contact is not null) as activity_rows,
+       (select count(*) from (select 1 from ev group by case when has_metadata and nullif(trim(country), '') is not null
+            then trim(country) else 'unknown' end)) as country_rows""")
+def k2_read_model(spark, sf):
+    t = tables(spark, sf)
+    pos = St.positions_stream(_events_stream(spark, sf)).where(F.col("icao24").isNotNull())
+    d = St.stream_dir(spark, "k2")
+    for w in St.write_read_model(pos, t.aircraft, d).values():
+        St.run_available_now(w)
+    one = lambda df, n: df.agg(F.count(F.lit(1)).alias(n)).withColumn("_one", F.lit(1))
+    latest = one(St.read_upsert_log(spark, d + "/latest", ["icao24"]), "latest_rows")
+    act = one(St.read_upsert_log(spark, d + "/activity", ["bucket_epoch"]), "activity_rows")
+    attrs = spark.read.parquet(d + "/attributes").where(F.col("attribute") == "country") \
+        .select("value").distinct()
+    return latest.join(act, "_one").join(one(attrs, "country_rows"), "_one").drop("_one")
+
+
+@register("t9_stream_dedup", _POS + """
+select icao24, last_contact, count(*) as copies from positions
+where icao24 is not null and last_contact is not null group by 1, 2""")
+def t9_stream_dedup(spark, sf):
+    pos = St.positions_stream(_events_stream(spark, sf)).where(F.col("icao24").isNotNull())
+    d = St.stream_dir(spark, "t9")
+    kept = St.dedupe_events(pos).select("icao24", "last_contact")
+    St.run_available_now(St.upsert_log_sink(kept, d + "/out", d + "/ckpt", output_mode="append"))
+    # copies seen per pair in the source, kept once in the stream
+    src = tables(spark, sf).positions.where(F.col("icao24").isNotNull() & F.col("last_contact").isNotNull()) \
+        .groupBy("icao24", "last_contact").agg(F.count(F.lit(1)).alias("copies"))
+    return spark.read.parquet(d + "/out").drop("batch_id").join(src, ["icao24", "last_contact"], "left")
+
+
+@register("j6_pair_batches", _POS + """,
+b AS (select distinct batch_epoch from positions where batch_epoch is not null order by batch_epoch desc limit 2),
+snap AS (select * exclude (r) from (select *, row_number() over (partition by icao24, batch_epoch
+          order by last_contact desc nulls last, event_id desc) as r from positions
+          where batch_epoch in (select batch_epoch from b)) where r = 1),
+cur AS (select * from snap where batch_epoch = (select max(batch_epoch) from b)),
+prv AS (select * from snap where batch_epoch = (select min(batch_epoch) from b)
+        and (select count(*) from b) = 2)
+select c.icao24, c.last_contact, c.lat, c.lon, p.last_contact as start_last_contact, p.lat as start_lat,
+       p.lon as start_lon from cur c left join prv p on c.icao24 = p.icao24""")
+def j6_pair_batches(spark, sf):
+    p = tables(spark, sf).positions
+    top = [r[0] for r in p.where(F.col("batch_epoch").isNotNull()).select("batch_epoch").distinct()
+           .orderBy(F.col("batch_epoch").desc()).limit(2).collect()]
+    snap = lambda b: latest_by_last_seen_batch(p, b)
+    cur = snap(top[0]).select("icao24", "last_contact", "lat", "lon")
+    prev = snap(top[1]).select("icao24", "last_contact", "lat", "lon") if len(top) > 1 else cur.limit(0)
+    return pair_batches(prev, cur).select("icao24", "last_contact", "lat", "lon", "start_last_contact",
+                                          "start_lat", "start_lon")
+
+
+def latest_by_last_seen_batch(p, batch):
+    """The per-aircraft snapshot of one batch (newest report in it)."""
+    b = p.where(F.col("batch_epoch") == F.lit(batch))
+    return b.groupBy("icao24").agg(F.max_by(F.struct(*b.columns), F.struct("last_contact", "event_id")).alias("r")) \
+        .select("r.*")
+
+
+@register("q1_list_flights_by_attributes", _Q1_BASE + f"""
+, items AS (select {O.MAP_ITEM_SELECT}, category as _c, typecode as _t from snap
+  where lower(nullif(trim(category), '')) = 'heavy' and upper(nullif(trim(typecode), '')) = 'B744')
+select * exclude (_c, _t) from items order by altitude desc nulls last, icao24 desc limit 50""")
+def q1_list_flights_by_attributes(spark, sf):
+    t = tables(spark, sf)
+    return list_flights(build_latest(t.positions), t.aircraft, limit=50, sort="altitude", order="desc",
+                        category=" Heavy ", typecode="b744")
+
+
+@register("a21_http_duration_quantiles")
+def a21_http_duration_quantiles(spark, sf):
+    """Rows-only: approximate duration quantiles (mergeable partial aggregates)."""
+    return Qt.http_duration_quantiles(tables(spark, sf).fetch_log)
+
+
+@register("q2_flight_detail_nested")
+def q2_flight_detail_nested(spark, sf):
+    """Rows-only: the full detail answer with photo struct and track array."""
+    t = tables(spark, sf)
+    latest = build_latest(t.positions)
+    p = as_photo_struct(_photos(spark, sf))
+    photos = resolve_photo(p.where(F.col("lookup_kind") == "hex"), p.where(F.col("lookup_kind") == "reg"), t.aircraft)
+    return flight_details(latest, t.aircraft, t.positions, latest.select("icao24"), photos=photos)
+
+
+@register("q8_fetch_quota_report", _W10_CTE + f""",
+q0 AS (select *, cast(case when credit_limit > 0 then credit_limit else 4000 end as double) as q from w10),
+q2 AS (select *, case when remaining is not null then {_lvl_sql('least(100.0, greatest(0.0, (q - remaining) / q * 100.0))')} end
+          as lvl from q0),
+q3 AS (select *, coalesce(lvl, last_value(lvl ignore nulls) over (partition by source_id order by ts, seq
+          rows between unbounded preceding and 1 preceding), 'NORMAL') as level from q2),
+lastrow AS (select source_id, level as last_level, credits_since_reset as last_credits_since_reset,
+              requests_since_reset as last_requests_since_reset from (select *, row_number() over
+              (partition by source_id order by ts desc, seq desc) as r from q3) where r = 1),
+per AS (select source_id, cast(max(period) + 1 as bigint) as periods from w10 group by 1),
+f0 AS (select *, case when coalesce(failed, false) then 1 else 0 end as f from fetch_log),
+f1 AS (select *, sum(1 - f) over (partition by source_id order by ts, seq rows between unbounded preceding
+         and current row) as island from f0),
+f2 AS (select *, sum(f) over (partition by source_id, island order by ts, seq rows between unbounded preceding
+         and current row) as n from f1),
+st AS (select source_id, count(*) as requests, cast(sum(f) as bigint) as failures,
+         cast(max(case when f = 1 then n else 0 end) as bigint) as max_consecutive_failures,
+         cast(count_if(status = 429 and f = 0) as bigint) as rate_limited from f2 group by 1)
+select st.*, per.periods, lastrow.last_level, lastrow.last_credits_since_reset, lastrow.last_requests_since_reset
+from st join per using (source_id) join lastrow using (source_id)""")
+def q8_fetch_quota_report(spark, sf):
+    fl = tables(spark, sf).fetch_log
+    lv = Qt.quota_levels(Qt.credit_periods(fl))
+    last = lv.groupBy("source_id").agg(F.max_by(F.struct("level", "credits_since_reset", "requests_since_reset"),
+                                                F.struct("ts", "seq")).alias("l"),
+                                       (F.max("period") + 1).cast("long").alias("periods"))
+    st = Qt.failure_streaks(fl).groupBy("source_id").agg(
+        F.count(F.lit(1)).alias("requests"), F.count_if("failed").alias("failures"),
+        F.max("consecutive_failures").alias("max_consecutive_failures"),
+        F.count_if((F.col("status") == 429) & ~F.col("failed")).alias("rate_limited"))
+    return st.join(last, "source_id").select(
+        "source_id", "requests", "failures", "max_consecutive_failures", "rate_limited", "periods",
+        F.col("l.level").alias("last_level"), F.col("l.credits_since_reset").alias("last_credits_since_reset"),
+        F.col("l.requests_since_reset").alias("last_requests_since_reset"))
