@@ -41,17 +41,23 @@ class Bbox:
 
 
 def in_bbox(bbox: Bbox, lat="lat", lon="lon") -> Column:
-    """inclusive edges; a null coordinate is outside."""
+    """F1 as a filter predicate: inclusive edges; a null coordinate makes the
+    predicate null, which a filter drops.  Kept as plain range comparisons so
+    the predicate reaches the parquet reader (row-group pruning)."""
     la, lo = col_of(lat), col_of(lon)
-    cond = (la.between(bbox.min_lat, bbox.max_lat) & lo.between(bbox.min_lon, bbox.max_lon))
-    return F.coalesce(cond, F.lit(False))
+    return (la >= bbox.min_lat) & (la <= bbox.max_lat) & (lo >= bbox.min_lon) & (lo <= bbox.max_lon)
+
+
+def in_bbox_flag(bbox: Bbox, lat="lat", lon="lon") -> Column:
+    """F1 as a value: true / false, never null."""
+    return F.coalesce(in_bbox(bbox, lat, lon), F.lit(False))
 
 
 def classify_bbox(bbox: Bbox, lat="lat", lon="lon") -> Column:
     """INSIDE / OUTSIDE / UNKNOWN (null coordinate)."""
     la, lo = col_of(lat), col_of(lon)
     return (F.when(la.isNull() | lo.isNull(), F.lit("UNKNOWN"))
-            .when(in_bbox(bbox, la, lo), F.lit("INSIDE")).otherwise(F.lit("OUTSIDE")))
+            .when(in_bbox_flag(bbox, la, lo), F.lit("INSIDE")).otherwise(F.lit("OUTSIDE")))
 
 
 def since_filter(df: DataFrame, since: int | None, col: str = "last_contact") -> DataFrame:
