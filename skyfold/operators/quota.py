@@ -62,14 +62,11 @@ def credit_periods(log: DataFrame, key: str = "source_id", split_seconds: int |
     d = running_sum(d, [key], LOG_ORDER, F.col("is_reset").cast("long"), "period", chunk=chunk)
     drop = F.when(rem.isNotNull() & last.isNotNull() & ~F.col("is_reset") & (last > rem), last - rem) \
         .otherwise(F.lit(0))
-    d = d.withColumn("_req", F.when(F.col("is_reset"), 0).otherwise(1).cast("long")) \
-        .withColumn("_ev", F.when(F.col("is_reset"), 0).otherwise(F.coalesce("states_count", F.lit(0))).cast("long")) \
-        .withColumn("_cr", drop.cast("long"))
-    keys = [key, "period"]
-    d = running_sum(d, keys, LOG_ORDER, F.col("_req"), "requests_since_reset", chunk=chunk)
-    d = running_sum(d, keys, LOG_ORDER, F.col("_ev"), "events_since_reset", chunk=chunk)
-    d = running_sum(d, keys, LOG_ORDER, F.col("_cr"), "credits_since_reset", chunk=chunk)
-    return d.drop("_req", "_ev", "_cr")
+    sums = {"requests_since_reset": F.when(F.col("is_reset"), 0).otherwise(1).cast("long"),
+            "events_since_reset": F.when(F.col("is_reset"), 0).otherwise(
+                F.coalesce("states_count", F.lit(0))).cast("long"),
+            "credits_since_reset": drop.cast("long")}
+    return running_sum(d, [key, "period"], LOG_ORDER, chunk=chunk, sums=sums)
 
 
 def _level(consumed: Column) -> Column:

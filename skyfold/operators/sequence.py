@@ -87,25 +87,32 @@ def previous_values(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     return d.select(*keep, *outs)
 
 
-def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column,
-                out: str, chunk: Column | None = None) -> DataFrame:
-    """Inclusive running sum of ``value`` per key along ``order``.
+def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column | None = None,
+                out: str | None = None, chunk: Column | None = None,
+                sums: dict[str, Column] | None = None) -> DataFrame:
+    """Inclusive running sums per key along ``order`` (``value`` -> ``out``,
+    or several at once via ``sums={out: value}`` sharing one pass).
 
     With a chunk column, each chunk is summed locally and offset by the total
     of the preceding chunks (a prefix sum over the small per-chunk table).
     """
     keys, order = list(keys), list(order)
+    sums = dict(sums or {})
+    if value is not None:
+        sums[out] = value
+    names = list(sums)
     if chunk is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(out, F.sum(value).over(w))
-    d = with_chunk(df, chunk).withColumn("_v", value)
+        return df.select("*", *[F.sum(sums[n]).over(w).alias(n) for n in names])
+    d = with_chunk(df, chunk).select("*", *[sums[n].alias("_v_" + n) for n in names])
     w = Window.partitionBy(*keys, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    d = d.withColumn("_local", F.sum("_v").over(w))
-    totals = d.groupBy(*keys, CHUNK).agg(F.sum("_v").alias("_tot"))
+    d = d.select("*", *[F.sum("_v_" + n).over(w).alias("_l_" + n) for n in names])
+    totals = d.groupBy(*keys, CHUNK).agg(*[F.sum("_v_" + n).alias("_t_" + n) for n in names])
     wt = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select(*keys, CHUNK, F.coalesce(F.sum("_tot").over(wt), F.lit(0)).alias("_off"))
+    totals = totals.select(*keys, CHUNK, *[F.coalesce(F.sum("_t_" + n).over(wt), F.lit(0)).alias("_o_" + n)
+                                           for n in names])
     d = d.join(totals, on=[*keys, CHUNK], how="left")
-    return d.select(*df.columns, (F.col("_local") + F.col("_off")).alias(out))
+    return d.select(*df.columns, *[(F.col("_l_" + n) + F.col("_o_" + n)).alias(n) for n in names])
 
 
 def materialize(df: DataFrame, **exprs: Column) -> DataFrame:
