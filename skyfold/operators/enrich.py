@@ -81,7 +81,7 @@ def enrich_events(events: DataFrame, aircraft: DataFrame, key: str = "icao24",
         F.col("country"), F.col("typecode"), F.col("military_hint").cast("boolean").alias("military_hint"),
         F.col("year_built"), F.col("owner_operator"))
     if broadcast_max_rows:
-        dim = F.broadcast(dim) if events.isStreaming else bounded_broadcast(dim, broadcast_max_rows)
+        dim = bounded_broadcast(dim, broadcast_max_rows)   # the dimension is static even for a stream
     j = events.withColumn("_pk", norm_icao24(F.col(key), validate=False)).join(
         dim, F.col("_pk") == F.col("_ak"), "left")
     return j.drop("_pk", "_ak").withColumn("has_metadata", F.coalesce("has_metadata", F.lit(False)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyfold.functions.expr import haversine_km, lerp, lerp_heading
@@ -66,9 +66,11 @@ def interpolate_positions(pairs: DataFrame, steps: int = 4, max_gap: int = MAX_G
 def batch_durations(batches: DataFrame, batch: str = "batch_epoch") -> DataFrame:
     """Animation duration between consecutive distinct batches:
     (batch − previous)·1000 clamped to [1 s, 20 s]; fallback = refresh
-    interval.  Distinct batches are one per poll (bounded by time)."""
+    interval.  The lag over distinct batches runs in day chunks."""
+    from skyfold.operators.sequence import previous_values, time_chunk
     b = batches.select(batch).where(F.col(batch).isNotNull()).distinct()
-    b = b.withColumn("previous_batch", F.lag(batch).over(Window.orderBy(batch)))
+    b = previous_values(b, [], [batch], [batch], prefix="_p_", chunk=time_chunk(batch, 86400)) \
+        .withColumnRenamed("_p_" + batch, "previous_batch")
     meas = (F.col(batch) - F.col("previous_batch")) * 1000
     clamp = lambda x: F.least(F.lit(MAX_DURATION_MS), F.greatest(F.lit(MIN_DURATION_MS), x))
     return b.select(batch, "previous_batch",

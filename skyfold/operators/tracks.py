@@ -80,13 +80,16 @@ def static_aircraft(positions: DataFrame, threshold_km: float = STATIC_THRESHOLD
             .groupBy("icao24", "batch_epoch")
             .agg(F.max_by(F.struct("lat", "lon"), F.struct("last_contact", "event_id")).alias("p"))
             .select("icao24", "batch_epoch", "p.lat", "p.lon"))
-    # Distinct batch ids are one per poll: bounded by time / poll interval,
-    # not by data volume, so a single ordered pass over them is cheap.
-    batches = snap.select("batch_epoch").distinct()
-    batches = batches.withColumn("global_prev", F.lag("batch_epoch").over(Window.orderBy("batch_epoch")))
-    w = Window.partitionBy("icao24").orderBy("batch_epoch")
-    d = snap.select("*", F.lag("batch_epoch").over(w).alias("own_prev"), F.lag("lat").over(w).alias("plat"),
-                    F.lag("lon").over(w).alias("plon"))
+    # Previous distinct batch overall and previous batch of the aircraft, both
+    # as chunked lags (day chunks), so neither a long history nor a hot
+    # aircraft lands in a single task.
+    day = time_chunk("batch_epoch", 86400)
+    batches = previous_values(snap.select("batch_epoch").distinct(), [], ["batch_epoch"], ["batch_epoch"],
+                              prefix="global_prev_", chunk=day) \
+        .withColumnRenamed("global_prev_batch_epoch", "global_prev")
+    d = previous_values(snap, ["icao24"], ["batch_epoch"], ["batch_epoch", "lat", "lon"], prefix="_p_", chunk=day)
+    d = d.select("icao24", "batch_epoch", "lat", "lon", F.col("_p_batch_epoch").alias("own_prev"),
+                 F.col("_p_lat").alias("plat"), F.col("_p_lon").alias("plon"))
     d = d.join(batches, "batch_epoch")
     moved = haversine_km("plat", "plon", "lat", "lon")
     adjacent = F.col("own_prev").isNotNull() & (F.col("own_prev") == F.col("global_prev"))
