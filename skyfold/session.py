@@ -22,6 +22,30 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for a large cluster (~1000 executors, ~100 TB of positions).  The
+# initial shuffle width is generous and AQE coalesces to ~256 MB partitions,
+# splits skewed ones, and turns joins into broadcasts when the measured side
+# is small.  Scans read 512 MB splits.  Stateful streams keep state in RocksDB.
+CLUSTER_CONF = {
+    **DEFAULT_CONF,
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
+    "spark.sql.files.maxPartitionBytes": str(512 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(256 * 1024 * 1024),
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
+}
+
+
+def cluster_conf(overrides: dict | None = None) -> dict:
+    """Recommended settings for the large-cluster deployment (a dict to pass
+    to ``SparkSession.builder.config`` or spark-submit ``--conf``)."""
+    return {**CLUSTER_CONF, **(overrides or {})}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int = 8,
                 app_name: str = "skyfold", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)

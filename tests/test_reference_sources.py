@@ -106,3 +106,16 @@ def test_photo_payload_cases(spark):
     r = parse_photo_payloads(df).collect()
     assert [x.status for x in r] == ["available", "not_found", "error", "rate_limited", "error"]
     assert (r[0].thumbnail_width, r[0].large_width, r[0].large_height, r[0].photographer) == (200, None, 280, "Jo")
+
+
+def test_position_layout_prunes_days(spark, tmpdir_path):
+    from skyfold.sources import sinks
+    from skyfold.sources.testdata import Tables
+    p = Tables(spark, "/root/testdata/sf0.001").positions
+    path = os.path.join(tmpdir_path, "positions")
+    sinks.write_positions(p, path)
+    since = p.agg(F.max("last_contact")).first()[0] - 86400
+    back = sinks.read_positions(spark, path, since=since)
+    assert back.count() == p.where(F.col("last_contact") >= since).count()
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
