@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyfold.functions.expr import norm_icao24, trim_to_null
+from skyfold.functions.expr import category_or_fallback, norm_icao24, trim_to_null
 from skyfold.functions.taxonomy import aircraft_size, fleet_type, normalized_columns
 from skyfold.operators.enrich import enrich
 from skyfold.operators.filters import (Bbox, airframe_filter, attr_filter, continuity_window,
@@ -115,19 +115,19 @@ def flight_details(latest: DataFrame, aircraft: DataFrame, positions: DataFrame,
     (J7 result) + newest ``track_points`` track points.  ``flat`` returns the
     scalar part only (no nested columns) for oracle comparison."""
     row = latest.join(ids, "icao24", "left_semi")
+    name_ok = trim_to_null("manufacturer_name").isNotNull()
     a = aircraft.select(
         norm_icao24("icao24", validate=False).alias("icao24"), "registration",
-        F.coalesce(trim_to_null("manufacturer_name"), trim_to_null("manufacturer_icao")).alias("manufacturer"),
+        F.when(name_ok, F.col("manufacturer_name")).otherwise(F.col("manufacturer_icao")).alias("manufacturer"),
         "model", F.upper(trim_to_null("typecode")).alias("typecode"), "year_built", "owner_operator",
-        "country", "category_description", "icao_aircraft_class",
-        F.col("military_hint").cast("boolean").alias("military_hint"))
+        "country", category_or_fallback("category_description", "icao_aircraft_class", fallback=None)
+        .alias("category"), F.col("military_hint").cast("boolean").alias("military_hint"))
     out = row.join(a, "icao24", "left").select(
         "icao24", trim_to_null("callsign").alias("callsign"), "registration", "manufacturer", "model",
-        "typecode", "year_built", "owner_operator", "country",
-        F.coalesce(trim_to_null("category_description"), trim_to_null("icao_aircraft_class")).alias("category"),
-        "military_hint", "lat", "lon", "heading", F.col("velocity").alias("speed"),
-        F.coalesce("geo_altitude", "baro_altitude").alias("altitude"), "on_ground",
-        F.col("last_contact").alias("last_seen"), "batch_epoch")
+        "typecode", "category", "lat", "lon", "heading",
+        F.coalesce("geo_altitude", "baro_altitude").alias("altitude"), F.col("velocity").alias("speed"),
+        "vertical_rate", F.col("last_contact").alias("last_seen"), "on_ground", "country", "military_hint",
+        "year_built", "owner_operator")
     if flat:
         return out
     if photos is not None:

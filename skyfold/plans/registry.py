@@ -1148,11 +1148,14 @@ def j8_fresh_photos(spark, sf):
 
 @register("q2_flight_detail", _POS + ", " + O.LATEST_CTE + """
 select l.icao24, nullif(trim(l.callsign), '') as callsign, a.registration,
-  coalesce(nullif(trim(a.manufacturer_name), ''), nullif(trim(a.manufacturer_icao), '')) as manufacturer,
-  a.model, upper(nullif(trim(a.typecode), '')) as typecode, a.year_built, a.owner_operator, a.country,
-  coalesce(nullif(trim(a.category_description), ''), nullif(trim(a.icao_aircraft_class), '')) as category,
-  a.military_hint, l.lat, l.lon, l.heading, l.velocity as speed, coalesce(l.geo_altitude, l.baro_altitude) as altitude,
-  l.on_ground, l.last_contact as last_seen, l.batch_epoch
+  case when nullif(trim(a.manufacturer_name), '') is not null then a.manufacturer_name
+       else a.manufacturer_icao end as manufacturer,
+  a.model, upper(nullif(trim(a.typecode), '')) as typecode,
+  case when nullif(trim(a.category_description), '') is not null then a.category_description
+       when nullif(trim(a.icao_aircraft_class), '') is not null then a.icao_aircraft_class end as category,
+  l.lat, l.lon, l.heading, coalesce(l.geo_altitude, l.baro_altitude) as altitude, l.velocity as speed,
+  l.vertical_rate, l.last_contact as last_seen, l.on_ground, a.country, a.military_hint, a.year_built,
+  a.owner_operator
 from latest l left join aircraft a on l.icao24 = lower(trim(a.icao24))""")
 def q2_flight_detail(spark, sf):
     t = tables(spark, sf)
