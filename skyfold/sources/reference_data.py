@@ -59,6 +59,18 @@ def normalise_csv(rows: DataFrame) -> DataFrame:
     return d.withColumn("icao24", F.lower("icao24")).withColumn("_skipped", F.col("icao24").isNull())
 
 
+def apply_import_limit(norm_rows: DataFrame, limit: int) -> DataFrame:
+    """S3 ``limit``: stop after ``limit`` imported rows in file order (rows
+    without a key that come before the cut are still counted as skipped).
+    ``orderBy + limit`` plans as a distributed top-k; the cut is one scalar."""
+    if not limit or limit <= 0:
+        return norm_rows
+    kept = norm_rows.where(~F.col("_skipped")).orderBy("_order").limit(int(limit))
+    cut = kept.agg(F.max("_order").alias("_cut"))
+    skipped = norm_rows.where(F.col("_skipped")).join(F.broadcast(cut), F.col("_order") < F.col("_cut"), "left_semi")
+    return kept.unionByName(skipped)
+
+
 def last_row_per_key(df: DataFrame, key: str, order: str = "_order", cols: list[str] | None = None) -> DataFrame:
     """Last row wins per key: ``max_by`` over the order key (partial aggregate)."""
     cols = cols or [c for c in df.columns if c not in (key, order)]
@@ -127,9 +139,9 @@ def merge_reference(csv_rows: DataFrame, supplement: DataFrame) -> DataFrame:
 
 
 def build_aircraft_reference(csv_parsed: DataFrame, supplement_lines: DataFrame,
-                             supplement_line: str = "line", supplement_order: str = "line_no"):
+                             supplement_line: str = "line", supplement_order: str = "line_no", limit: int = 0):
     """Q4: returns (reference table, one-row stats)."""
-    csv_norm = normalise_csv(csv_parsed)
+    csv_norm = apply_import_limit(normalise_csv(csv_parsed), limit)
     csv_rows = last_row_per_key(csv_norm.where(~F.col("_skipped")).drop("_skipped"), "icao24")
     sup = parse_supplement(supplement_lines, supplement_line, supplement_order)
     sup_ok = last_row_per_key(sup.where(F.col("_status") == "ok").drop("_status"), "icao")

@@ -119,3 +119,12 @@ def test_position_layout_prunes_days(spark, tmpdir_path):
     assert back.count() == p.where(F.col("last_contact") >= since).count()
     plan = back._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan
+
+
+def test_csv_import_limit(spark):
+    lines = spark.createDataFrame([(i, f"{k},FR,x,,,,,,") for i, k in
+                                   enumerate(["a00001", " ", "a00002", "a00003", " ", "a00004"])],
+                                  "line_no long, line string")
+    rows = R.apply_import_limit(R.normalise_csv(R.parse_aircraft_csv_lines(lines)), 2).collect()
+    assert sorted(r.icao24 for r in rows if not r._skipped) == ["a00001", "a00002"]
+    assert sum(1 for r in rows if r._skipped) == 1
