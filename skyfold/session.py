@@ -81,3 +81,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediate tables."""
     return os.path.join(ensure_checkpoint_dir(spark), name)
+
+
+def materialized(df):
+    """Write ``df`` once to the shared checkpoint folder and read it back
+    (``checkpoint(eager=True)``): a small table used by several branches of
+    one plan is computed once and its lineage is cut.  Never ``localCheckpoint``."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
