@@ -54,3 +54,16 @@ def test_exact_median_even_and_odd(spark):
     assert exact_median(df, F.col("v")).first()[0] == 4.0
     df = spark.createDataFrame([(v,) for v in [5, 1, 3]], "v long")
     assert exact_median(df, F.col("v")).first()[0] == 3.0
+
+
+def test_series_merge_mode_counts_true_uniques(spark):
+    # the same aircraft in two minutes of one display bucket: sum mode counts 2, merge mode 1
+    ev = spark.createDataFrame([("abc123", 1_700_000_040, False), ("abc123", 1_700_000_100, False),
+                                ("def456", 1_700_000_100, True)],
+                               "icao24 string, last_contact bigint, military_hint boolean")
+    now = 1_700_000_130          # both minutes fall in display bucket 11 (width 150 s)
+    summed = activity_series(activity_buckets(ev, 60), now, 1800, 12).where("has_data").collect()
+    merged = activity_series(activity_buckets(ev, 60, mode="sketch"), now, 1800, 12, distinct="merge") \
+        .where("has_data").collect()
+    assert sum(r.aircraft_total for r in summed) == 3
+    assert sum(r.aircraft_total for r in merged) == 2 and sum(r.aircraft_military for r in merged) == 1

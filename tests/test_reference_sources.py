@@ -128,3 +128,23 @@ def test_csv_import_limit(spark):
     rows = R.apply_import_limit(R.normalise_csv(R.parse_aircraft_csv_lines(lines)), 2).collect()
     assert sorted(r.icao24 for r in rows if not r._skipped) == ["a00001", "a00002"]
     assert sum(1 for r in rows if r._skipped) == 1
+
+
+def test_resolve_photo_falls_back_to_registration_and_ttl(spark):
+    from skyfold.operators.enrich import fresh_photos, resolve_photo
+    from skyfold.operators.photos import as_photo_struct
+    ok = ('{"photos":[{"thumbnail":{"src":"https://t.plnspttrs.net/a.jpg"},'
+          '"thumbnail_large":{"src":"https://t.plnspttrs.net/b.jpg"},"link":"https://planespotters.net/p/1"}]}')
+    pay = spark.createDataFrame([("hex", "abc123", 404, "", 100), ("reg", "f-test", 200, ok, 100),
+                                 ("hex", "def456", 404, "", 100)],
+                                "lookup_kind string, lookup_key string, http_status int, body string, fetched_at long")
+    aircraft = spark.createDataFrame([("abc123", " F-TEST "), ("def456", "  ")], "icao24 string, registration string")
+    p = as_photo_struct(parse_photo_payloads(pay))
+    res = {r.icao24: (r.resolved_by, r.photo.status) for r in
+           resolve_photo(p.where("lookup_kind = 'hex'"), p.where("lookup_kind = 'reg'"), aircraft).collect()}
+    assert res == {"abc123": ("reg", "available"), "def456": ("hex", "not_found")}
+    parsed = parse_photo_payloads(pay)
+    fresh = {r.lookup_key for r in fresh_photos(parsed, now=100 + 6 * 3600 - 1).collect()}
+    assert fresh == {"abc123", "def456", "f-test"}
+    fresh = {r.lookup_key for r in fresh_photos(parsed, now=100 + 6 * 3600).collect()}
+    assert fresh == {"f-test"}
