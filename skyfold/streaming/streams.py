@@ -109,6 +109,9 @@ _LATEST_SCHEMA = _schema(
     "geo_altitude double, baro_altitude double, on_ground boolean, last_contact bigint, batch_epoch bigint, "
     "prev_lat double, prev_lon double, prev_heading double, prev_velocity double, prev_altitude double, "
     "prev_last_contact bigint")
+# One value state per aircraft: latest + previous, membership flag, late count.
+_AIRCRAFT_STATE = StructType(list(_LATEST_SCHEMA.fields) + [
+    T.StructField("inside", T.BooleanType()), T.StructField("late", T.LongType())])
 _TRACK_SCHEMA = _schema("last_contact bigint, batch_epoch bigint, event_id bigint, lat double, "
                                    "lon double, altitude double, on_ground boolean")
 
@@ -129,10 +132,8 @@ class AircraftStateProcessor(StatefulProcessor):
         self.track_length = track_length
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.latest = handle.getValueState("latest", _LATEST_SCHEMA)
+        self.state = handle.getValueState("aircraft", _AIRCRAFT_STATE)
         self.track = handle.getListState("track", _TRACK_SCHEMA)
-        self.inside = handle.getValueState("inside", _schema("inside boolean"))
-        self.late = handle.getValueState("late", _schema("late bigint"))
 
     def _classify(self, lat, lon):
         if lat is None or lon is None or pd.isna(lat) or pd.isna(lon):
@@ -145,11 +146,13 @@ class AircraftStateProcessor(StatefulProcessor):
         none = lambda v: None if v is None or (isinstance(v, float) and pd.isna(v)) else v
         recs = [{c: none(v) for c, v in r.items()} for r in pdf.to_dict("records")]
         recs.sort(key=lambda r: _order_key(r["last_contact"], r["batch_epoch"], r["event_id"]))
-        cur = self.latest.get() if self.latest.exists() else None
-        cur = dict(zip(_LATEST_SCHEMA.names, cur)) if cur is not None else None
-        inside = self.inside.get()[0] if self.inside.exists() else None
-        late = self.late.get()[0] if self.late.exists() else 0
-        track = [tuple(t) for t in self.track.get()] if self.track.exists() else []
+        held = self.state.get()
+        cur, inside, late = None, None, 0
+        if held is not None:
+            held = dict(zip(_AIRCRAFT_STATE.names, held))
+            cur = {c: held[c] for c in _LATEST_SCHEMA.names}
+            inside, late = held["inside"], held["late"] or 0
+        track = [tuple(t) for t in self.track.get()]
         for r in recs:
             alt = r["geo_altitude"] if r["geo_altitude"] is not None else r["baro_altitude"]
             track.append((r["last_contact"], r["batch_epoch"], r["event_id"], r["lat"], r["lon"], alt, r["on_ground"]))
@@ -173,10 +176,7 @@ class AircraftStateProcessor(StatefulProcessor):
         track.sort(key=lambda t: _order_key(t[0], t[1], t[2]), reverse=True)
         track = track[: self.track_length]
         self.track.put(track)
-        self.latest.update(tuple(cur[c] for c in _LATEST_SCHEMA.names))
-        if inside is not None:
-            self.inside.update((inside,))
-        self.late.update((late,))
+        self.state.update(tuple(cur[c] for c in _LATEST_SCHEMA.names) + (inside, late))
         out = {"icao24": [key[0]], **{c: [cur[c]] for c in _LATEST_SCHEMA.names},
                "inside": [inside], "late_events": [late], "track_points": [len(track)]}
         yield pd.DataFrame(out)[STATE_OUTPUT.names]
