@@ -448,8 +448,7 @@ def n7_since_parsing(spark, sf):
     raw = (F.when(F.col("event_id") % 3 == 0, F.col("last_contact").cast("string"))
            .when(F.col("event_id") % 3 == 1, (F.col("last_contact") * 1000 + F.col("event_id") % 1000)
                  .cast("string"))
-           .otherwise(F.concat(F.date_format(F.timestamp_seconds("last_contact"), "yyyy-MM-dd'T'HH:mm:ss"),
-                               F.lit("+00:00"))))
+           .otherwise(F.date_format(F.timestamp_seconds("last_contact"), "yyyy-MM-dd'T'HH:mm:ssXXX")))
     return p.select("event_id", X.epoch_or_iso_to_epoch(raw).alias("parsed"))
 
 

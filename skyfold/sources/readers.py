@@ -61,7 +61,7 @@ def publish_events(events: DataFrame, ingested_at: str | None = None) -> DataFra
     batch id on the wire as ``opensky_fetch_epoch``.  Returns a ``value``
     column for ``write.text`` / a Kafka sink."""
     stamp = F.lit(ingested_at) if ingested_at else F.date_format(
-        F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+        F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
     cols = [F.col(n).alias(n) for n, _ in POSITION_FIELDS if n not in ("ingested_at", "batch_epoch")]
     payload = F.struct(*cols, F.col("batch_epoch").alias("opensky_fetch_epoch"), stamp.alias("ingested_at"))
     return events.select(F.to_json(payload).alias("value"))

@@ -11,8 +11,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def utc_day(epoch) -> F.Column:
+    """UTC calendar day of an epoch (independent of the session zone)."""
+    c = F.col(epoch) if isinstance(epoch, str) else epoch
+    return F.date_from_unix_date(F.floor(c / 86400).cast("int"))
+
+
 def with_day(df: DataFrame, ts: str = "last_contact") -> DataFrame:
-    return df.withColumn("day", F.to_date(F.timestamp_seconds(F.col(ts))))
+    return df.withColumn("day", utc_day(ts))
 
 
 def write_positions(positions: DataFrame, path: str, mode: str = "append") -> None:
@@ -31,6 +37,6 @@ def read_positions(spark, path: str, since: int | None = None) -> DataFrame:
     """Positions with day-partition pruning for a ``since`` bound."""
     df = spark.read.parquet(path)
     if since is not None:
-        df = df.where((F.col("day") >= F.to_date(F.timestamp_seconds(F.lit(int(since)))))
+        df = df.where((F.col("day") >= utc_day(F.lit(int(since))))
                       & (F.col("last_contact") >= int(since)))
     return df.drop("day")
