@@ -30,6 +30,15 @@ def with_chunk(df: DataFrame, chunk: Column | None) -> DataFrame:
     return df.withColumn(CHUNK, F.coalesce(chunk.cast("long"), F.lit(MIN_CHUNK)))
 
 
+def _join_summary(d: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
+    """Left-join a per-(key, chunk) summary back to the rows; keys compare
+    null-safely so rows with a null key keep their chunk carry as well."""
+    s = summary.select(*[F.col(k).alias("_sk_" + k) for k in keys], F.col(CHUNK).alias("_sc"),
+                       *[c for c in summary.columns if c not in keys and c != CHUNK])
+    cond = [d[k].eqNullSafe(s["_sk_" + k]) for k in keys] + [d[CHUNK] == s["_sc"]]
+    return d.join(s, cond, "left").drop(*["_sk_" + k for k in keys], "_sc")
+
+
 def time_chunk(ts_col: str, width_seconds: int) -> Column:
     """Chunk id for a time-ordered sequence: ``floor(ts / width)`` (null -> first)."""
     return F.floor(F.col(ts_col) / F.lit(int(width_seconds)))
@@ -77,7 +86,7 @@ def previous_values(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     else:
         tails = tails.select(*keys, CHUNK, F.lag("_tail").over(wt).alias("_ptail"))
         carry = {c: F.col("_ptail")[c] for c in cols}
-    d = d.join(tails, on=[*keys, CHUNK], how="left")
+    d = _join_summary(d, tails, keys)
     if ignore_nulls:
         outs = [F.coalesce(F.col("_l_" + c), carry[c]).alias(prefix + c) for c in cols]
     else:
@@ -111,7 +120,7 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     wt = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(*keys, CHUNK, *[F.coalesce(F.sum("_t_" + n).over(wt), F.lit(0)).alias("_o_" + n)
                                            for n in names])
-    d = d.join(totals, on=[*keys, CHUNK], how="left")
+    d = _join_summary(d, totals, keys)
     return d.select(*df.columns, *[(F.col("_l_" + n) + F.col("_o_" + n)).alias(n) for n in names])
 
 

@@ -117,3 +117,18 @@ def test_parse_headers(spark):
     assert (r[0].remaining, r[0].credit_limit, r[0].reset_at) == (350, 400, 1_700_000_120)
     assert (r[1].remaining, r[1].credit_limit, r[1].reset_at) == (None, None, None)
     _ = F
+
+
+def test_chunked_helpers_keep_null_keys(spark):
+    from skyfold.operators.sequence import previous_values, running_sum, time_chunk
+    df = spark.createDataFrame([(None, t, 1) for t in (0, 100, 90000, 200000)] + [("k", 5, 1)],
+                               "k string, ts long, v int")
+    key = lambda t: (t[0] or "", t[1])
+    plain = sorted(((r.k, r.ts, r.p_ts, r.s) for r in running_sum(
+        previous_values(df, ["k"], ["ts"], ["ts"], prefix="p_"), ["k"], ["ts"], F.col("v"), "s").collect()), key=key)
+    ch = time_chunk("ts", 86400)
+    chunked = sorted(((r.k, r.ts, r.p_ts, r.s) for r in running_sum(
+        previous_values(df, ["k"], ["ts"], ["ts"], prefix="p_", chunk=ch), ["k"], ["ts"], F.col("v"), "s",
+        chunk=ch).collect()), key=key)
+    assert plain == chunked
+    assert [r for r in chunked if r[1] == 200000][0][2:] == (90000, 4)
