@@ -47,6 +47,30 @@ def read_table_stream(spark: SparkSession, sf_dir: str, table: str, max_files: i
     return r.parquet(f"{sf_dir}/{table}.parque[t]")
 
 
+def payload_stream(spark: SparkSession, source: str = "files", path: str | None = None,
+                   max_files: int | None = None, **kafka_options) -> DataFrame:
+    """T1 source: queue payloads as a ``value`` string column.
+
+    ``files``: newline-delimited JSON payloads landed in a folder (what
+    ``publish_events(...).write.text`` produces).  ``kafka``: the production
+    queue (needs the spark-sql-kafka connector on the classpath; options such
+    as ``kafka.bootstrap.servers`` / ``subscribe`` are passed through)."""
+    if source == "files":
+        r = spark.readStream.format("text")
+        if max_files:
+            r = r.option("maxFilesPerTrigger", max_files)
+        return r.load(path)
+    if source == "kafka":
+        try:
+            r = spark.readStream.format("kafka")
+            for k, v in kafka_options.items():
+                r = r.option(k, v)
+            return r.load().select(F.col("value").cast("string").alias("value"))
+        except Exception as e:  # noqa: BLE001
+            raise RuntimeError("the Kafka source needs the spark-sql-kafka connector on the classpath") from e
+    raise ValueError(f"unknown payload source {source!r}")
+
+
 def positions_stream(events_stream: DataFrame) -> DataFrame:
     """The positions view over a stream of ``events`` rows."""
     from skyfold.sources.testdata import SPARK, positions_sql

@@ -68,3 +68,19 @@ def test_stream_activity_counts_equal_batch(spark, tmpdir_path):
     batch = {r.bucket_epoch: r.events_total for r in
              activity_buckets(enrich_events(t.positions.where("icao24 is not null"), t.aircraft), 60).collect()}
     assert streamed == batch
+
+
+def test_published_payload_files_round_trip_through_stream(spark, tmpdir_path):
+    from skyfold.sources import readers as Rd
+    t = Tables(spark, SF)
+    land = os.path.join(tmpdir_path, "queue")
+    pos = t.positions
+    Rd.publish_events(pos.where("event_id % 2 = 0"), "2024-01-01T00:00:00Z").write.text(land + "/a")
+    Rd.publish_events(pos.where("event_id % 2 = 1"), "2024-01-01T00:00:00Z").write.text(land + "/b")
+    payloads = St.payload_stream(spark, "files", land + "/*", max_files=1)
+    valid, dead = St.stream_positions(payloads)
+    out = os.path.join(tmpdir_path, "valid")
+    St.run_available_now(St.upsert_log_sink(valid.select("icao24", "last_contact", "lat"), out,
+                                            os.path.join(tmpdir_path, "ck3"), output_mode="append"))
+    got = spark.read.parquet(out).count()
+    assert got == pos.where("icao24 is not null").count()
