@@ -3,8 +3,6 @@ inside whole-stage codegen and need no Python at run time."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -214,5 +212,3 @@ def ntz_epoch_seconds(c) -> Column:
         if isinstance(c, str) else F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
                                                     c.cast("timestamp_ntz"))
 
-
-_ = math

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyfold.functions.expr import photo_status_from_http, trim_ctl, trim_to_null
+from skyfold.functions.expr import photo_status_from_http, trim_to_null
 from skyfold.operators.sequence import materialize
 
 # Fixed values -------------------------------------------------------------
@@ -74,5 +74,3 @@ def as_photo_struct(parsed: DataFrame) -> DataFrame:
     keep = [c for c in parsed.columns if c not in PHOTO_COLUMNS]
     return parsed.select(*keep, F.struct(*PHOTO_COLUMNS).alias("photo"))
 
-
-_ = trim_ctl

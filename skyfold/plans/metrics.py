@@ -112,5 +112,3 @@ def kpi_totals(m: MetricsResult) -> DataFrame:
                                F.lit(1).cast("long")).alias("peak"),
                     F.col("dominant_fleet"))
 
-
-_ = series_totals

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyfold.functions.expr import trim_to_null
 from skyfold.operators.sequence import materialize
 from skyfold.schemas import POSITION_FIELDS, WIRE_EVENT
 

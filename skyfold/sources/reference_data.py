@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from skyfold.functions.expr import norm_icao24, py_strip_to_null, to_bool_flag, to_year
 from skyfold.operators.sequence import materialize
@@ -171,5 +170,3 @@ def write_aircraft_reference(table: DataFrame, stats: DataFrame, path: str, vers
     stats.coalesce(1).write.mode("errorifexists").json(target + "/stats")
     return target
 
-
-_ = T
