@@ -331,11 +331,11 @@ from ({positions_sql_text}) p"""
 
 
 def wire_payloads_sql(positions_sql_text: str) -> str:
-    """Queue payloads as published (K1 form), with malformed payloads and
-    blank keys mixed in."""
+    """Queue payloads as published (K1 form), with malformed payloads (an
+    unclosed array around the whole record) and blank keys mixed in."""
     return f"""
 select event_id,
-  case when event_id % 97 = 0 then substr(to_json(struct(*)), 1, 40)
+  case when event_id % 97 = 0 then '[' || to_json(struct(*))
        else to_json(named_struct('icao24', case when event_id % 89 = 0 then '  ' else icao24 end,
             'callsign', callsign, 'lat', lat, 'lon', lon, 'velocity', velocity, 'heading', heading,
             'geo_altitude', geo_altitude, 'baro_altitude', baro_altitude, 'on_ground', on_ground,
