@@ -303,3 +303,45 @@ def write_read_model(valid: DataFrame, aircraft: DataFrame, out_dir: str, bbox:
 def enrich_stream(valid: DataFrame, aircraft: DataFrame) -> DataFrame:
     """J2 on a stream: stream-static left join with the broadcast reference."""
     return enrich_events(valid, aircraft)
+
+
+def _offset_total(o) -> int | None:
+    """Sum the numeric leaves of a source offset (file log offset, Kafka
+    partition offsets, ...); None when it carries no number."""
+    import json
+    if o is None:
+        return None
+    if isinstance(o, str):
+        try:
+            o = json.loads(o)
+        except ValueError:
+            return None
+    if isinstance(o, bool):
+        return None
+    if isinstance(o, (int, float)):
+        return int(o)
+    if isinstance(o, dict):
+        vals = [_offset_total(v) for v in o.values()]
+        vals = [v for v in vals if v is not None]
+        return sum(vals) if vals else None
+    if isinstance(o, list):
+        vals = [_offset_total(v) for v in o]
+        vals = [v for v in vals if v is not None]
+        return sum(vals) if vals else None
+    return None
+
+
+def stream_health(query, spark: SparkSession | None = None) -> DataFrame:
+    """A15 for a running stream: per micro-batch, input rows, processing
+    rate and the source backlog (latest available offset − end offset of the
+    batch), from the query's progress reports (small, driver-side metadata)."""
+    rows = []
+    for p in query.recentProgress:
+        backlog = 0
+        for s in p.sources:
+            latest, end = _offset_total(s.latestOffset), _offset_total(s.endOffset)
+            if latest is not None and end is not None:
+                backlog += max(0, latest - end)
+        rows.append((int(p.batchId), int(p.numInputRows), float(p.processedRowsPerSecond or 0.0), int(backlog)))
+    spark = spark or SparkSession.getActiveSession()
+    return spark.createDataFrame(rows, "batch_id bigint, input_rows bigint, rows_per_second double, backlog bigint")

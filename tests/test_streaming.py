@@ -84,3 +84,16 @@ def test_published_payload_files_round_trip_through_stream(spark, tmpdir_path):
                                             os.path.join(tmpdir_path, "ck3"), output_mode="append"))
     got = spark.read.parquet(out).count()
     assert got == pos.where("icao24 is not null").count()
+
+
+def test_stream_health_backlog_counts_down(spark, tmpdir_path):
+    src = split_events(spark, tmpdir_path)
+    schema = spark.read.parquet(f"{SF}/events.parquet").schema
+    ev = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src + "/*")
+    q = (ev.writeStream.format("noop").option("checkpointLocation", os.path.join(tmpdir_path, "ck_h"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    h = St.stream_health(q).where("input_rows > 0").orderBy("batch_id").collect()
+    assert len(h) >= 2
+    assert [r.backlog for r in h] == sorted((r.backlog for r in h), reverse=True) and h[-1].backlog == 0
+    assert sum(r.input_rows for r in h) == spark.read.parquet(f"{SF}/events.parquet").count()
