@@ -1020,7 +1020,7 @@ def j5_overlap_count(spark, sf):
 
 # ---------------------------------------------------------------- sources, photos, detail
 from skyfold.operators.enrich import fresh_photos, resolve_photo  # noqa: E402
-from skyfold.operators.photos import as_photo_struct, parse_photo_payloads  # noqa: E402
+from skyfold.operators.photos import TRUSTED_HOSTS, as_photo_struct, parse_photo_payloads  # noqa: E402
 from skyfold.plans.flights import flight_details  # noqa: E402
 from skyfold.sources import readers as Rd  # noqa: E402
 
@@ -1108,8 +1108,7 @@ photos AS (select lookup_kind, lookup_key, http_status, fetched_at, status,
          as photographer,
     case when status = 'available' then k_ok end as source_link
   from ps)
-""".replace("{hosts}", ", ".join(f"'{h}'" for h in ["t.plnspttrs.net", "cdn.planespotters.net",
-                                                     "www.planespotters.net", "planespotters.net"]))
+""".replace("{hosts}", ", ".join(f"'{h}'" for h in TRUSTED_HOSTS))
 
 
 def _photos(spark, sf):
