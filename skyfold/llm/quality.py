@@ -98,41 +98,46 @@ def _repeat_words(words: Column, hashes: Column, twice: Column) -> Column:
         _let(_let(F.sort_array(windows), repeated), covered))
 
 
-def measures(text: Column) -> dict[str, Column]:
-    """Measure name to an expression over the columns ``_words``, ``_lines``,
+def counts(text: Column) -> dict[str, Column]:
+    """Count name to an expression over the columns ``_words``, ``_lines``,
     ``_hashes``, ``_twice`` and the text itself.  A stop word counts in lower
     case, capitalised or in upper case."""
     words, lines = F.col("_words"), F.col("_lines")
     forms = [f for w in STOP_WORDS for f in dict.fromkeys((w, w.capitalize(), w.upper()))]
-    n_words, n_lines = F.size(words).cast("long"), F.size(lines)
-    word_chars = F.length(F.array_join(words, "")).cast("long")
-    symbols = F.regexp_count(text, F.lit(f"[{SYMBOLS}]")).cast("long")
-    return {
-        "n_words": n_words,
-        "word_chars": word_chars,
-        "n_symbols": symbols,
-        "n_dup_lines": (n_lines - F.size(F.array_distinct(lines))).cast("long"),
+    out = {
+        "n_words": F.size(words),
+        "word_chars": F.length(F.array_join(words, "")),
+        "n_symbols": F.regexp_count(text, F.lit(f"[{SYMBOLS}]")),
+        "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
         "n_repeat_words": _repeat_words(words, F.col("_hashes"), F.col("_twice")),
-        "mean_word_chars": _ratio(word_chars, n_words),
-        "symbol_ratio": _ratio(symbols, n_words),
-        "letter_word_ratio": _ratio(F.size(F.filter(words, lambda w: w.rlike(r"\p{L}"))), n_words),
-        "stop_word_ratio": _ratio(F.size(F.filter(words, lambda w: w.isin(*forms))), n_words),
-        "bullet_line_ratio": _ratio(F.size(F.filter(lines, lambda x: x.rlike(r"^[\x09-\x0D\x20]*[-*•]"))), n_lines),
-        "ellipsis_line_ratio": _ratio(
-            F.size(F.filter(lines, lambda x: x.rlike(r"(\.\.\.|…)[\x09-\x0D\x20]*$"))), n_lines),
+        "n_letter_words": F.size(F.filter(words, lambda w: w.rlike(r"\p{L}"))),
+        "n_stop_words": F.size(F.filter(words, lambda w: w.isin(*forms))),
+        "n_lines": F.size(lines),
+        "n_bullet_lines": F.size(F.filter(lines, lambda x: x.rlike(r"^[\x09-\x0D\x20]*[-*•]"))),
+        "n_ellipsis_lines": F.size(F.filter(lines, lambda x: x.rlike(r"(\.\.\.|…)[\x09-\x0D\x20]*$"))),
     }
+    return {k: c.cast("long") for k, c in out.items()}
+
+
+def ratios() -> dict[str, Column]:
+    """Ratio name to an expression over the counts."""
+    return {k: _ratio(F.col(a), F.col(b)) for k, a, b in (
+        ("mean_word_chars", "word_chars", "n_words"), ("symbol_ratio", "n_symbols", "n_words"),
+        ("letter_word_ratio", "n_letter_words", "n_words"), ("stop_word_ratio", "n_stop_words", "n_words"),
+        ("repeat_word_ratio", "n_repeat_words", "n_words"), ("dup_line_ratio", "n_dup_lines", "n_lines"),
+        ("bullet_line_ratio", "n_bullet_lines", "n_lines"), ("ellipsis_line_ratio", "n_ellipsis_lines", "n_lines"))}
 
 
 def compile_rules(rules=RULES) -> Column:
-    """The names of the rules that the struct column ``quality`` breaks."""
+    """The names of the rules that the measures break."""
+    measure = {**ratios(), **{k: F.col(k) for k in counts(F.lit(""))}}
     broken = []
-    for rule, measure, least, most in rules:
-        value = F.col(f"quality.{measure}")
+    for rule, name, least, most in rules:
         bad = F.lit(False)
         if least is not None:
-            bad = bad | (value < F.lit(least))
+            bad = bad | (measure[name] < F.lit(least))
         if most is not None:
-            bad = bad | (value > F.lit(most))
+            bad = bad | (measure[name] > F.lit(most))
         broken.append(F.when(bad, F.lit(rule)))
     return F.array_compact(F.array(*broken)) if broken else F.array().cast("array<string>")
 
@@ -140,22 +145,22 @@ def compile_rules(rules=RULES) -> Column:
 def quality_rules(docs: DataFrame, text_col: str = "text", rules=RULES) -> DataFrame:
     """Input columns plus ``quality``: a struct of all measures, the list
     ``failed`` of broken rules and the verdict ``kept``."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    # materialize: each array and measure is computed once, not once per rule
-    split = materialize(
-        docs.drop("quality", "_words", "_lines", "_hashes", "_twice"),
-        _words=F.filter(F.split(text, SPACE), lambda w: w != ""),
+    kept = [c for c in docs.columns if c != "quality"]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"),
+                       F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    text = F.col("_text")
+    # materialize: each array and count is computed once, not once per use
+    rows = materialize(
+        rows, _words=F.filter(F.split(text, SPACE), lambda w: w != ""),
         _lines=F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x09-\x0D\x20]")))
-    split = materialize(split, _hashes=_hashes(F.col("_words")))
-    split = materialize(split, _twice=_twice(F.col("_hashes")))
-    out = materialize(split, quality=F.struct(*[c.alias(k) for k, c in measures(text).items()]))
-    out = out.withColumn("quality", F.struct(
-        "quality.*",
-        _ratio(F.col("quality.n_dup_lines"), F.size("_lines")).alias("dup_line_ratio"),
-        _ratio(F.col("quality.n_repeat_words"), F.col("quality.n_words")).alias("repeat_word_ratio")))
-    out = out.withColumn("quality", F.col("quality").withField("failed", compile_rules(rules)))
-    out = out.withColumn("quality", F.col("quality").withField("kept", F.size("quality.failed") == 0))
-    return out.drop("_words", "_lines", "_hashes", "_twice")
+    rows = materialize(rows, _hashes=_hashes(F.col("_words")))
+    rows = materialize(rows, _twice=_twice(F.col("_hashes")))
+    measured = counts(text)
+    rows = materialize(rows, **measured)
+    return rows.select(
+        "_row.*", F.struct(*measured, *[c.alias(k) for k, c in ratios().items()],
+                           compile_rules(rules).alias("failed"),
+                           (F.size(compile_rules(rules)) == 0).alias("kept")).alias("quality"))
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
