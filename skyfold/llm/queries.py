@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from skyfold.llm.quality import ORACLE_OP5, op5_quality_rules
+from skyfold.llm.simhash import op9_simhash_near_dedup
 
 QUERIES = {
     "op5_quality_rules": op5_quality_rules,
+    "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
 ORACLES = {
