@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from skyfold.llm.credentials import op2_secret_scan
 from skyfold.llm.quality import ORACLE_OP5, op5_quality_rules
 from skyfold.llm.simhash import op9_simhash_near_dedup
 from skyfold.llm.substrings import ORACLE_OP3, op3_substring_dedup
 
 QUERIES = {
+    "op2_secret_scan": op2_secret_scan,
     "op3_substring_dedup": op3_substring_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
