@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame
 from skyfold.session import shared_path
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` written once as Parquet under ``spark.checkpoint.dir`` and read
     back: later branches read the table instead of computing it again, and a
     lost executor costs only the read.  The name is unique per call."""
     spark = df.sparkSession
     path = shared_path(spark, f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -103,24 +103,13 @@ class Windows:
         out = np.full(int(to[-1]), 32, dtype=np.uint8)
         body = np.ones(len(out), dtype=bool)
         body[to[1:] - 1] = False
-        out[body] = self.raw[_ranges(s, e)]
+        out[body] = self.raw[W.ranges(s, e)]
         a, b = to[first[:-1]], to[first[1:]]
         b = np.maximum(a, b - 1)  # without the last space
         text = out.tobytes()
         return pa.array([text[i:j].decode() for i, j in zip(a, b)], pa.string())
 
 
-def _ranges(s: np.ndarray, e: np.ndarray) -> np.ndarray:
-    """All positions of the ranges [s, e), in order."""
-    size = e - s
-    if not len(size):
-        return size
-    step = np.ones(int(size.sum()), dtype=np.int64)
-    step[0] = s[0]
-    step[np.cumsum(size)[:-1]] = s[1:] - e[:-1] + 1
-    return np.cumsum(step)
-
-
 def _new_columns(w: Windows, repeated: np.ndarray) -> dict[str, pa.Array]:
     a, b = w.paths(repeated)
     edge = np.zeros(len(w.start) + 1, dtype=np.int32)

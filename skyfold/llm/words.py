@@ -145,3 +145,13 @@ def groups_by_bytes(off: np.ndarray, most: int) -> list[tuple[int, int]]:
         out.append((i, min(j, n)))
         i = min(j, n)
     return out
+
+
+def ranges(s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """All positions of the ranges [s, e), in order; no range is empty."""
+    if not len(s):
+        return np.zeros(0, dtype=np.int64)
+    step = np.ones(int((e - s).sum()), dtype=np.int64)
+    step[0] = s[0]
+    step[np.cumsum(e - s)[:-1]] = s[1:] - e[:-1] + 1
+    return np.cumsum(step)
