@@ -34,6 +34,7 @@ columns cannot clash.
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -110,6 +111,10 @@ def half(fp: Column, h: int) -> Column:
     return F.shiftrightunsigned(fp, 32 * h).bitwiseAND(F.lit(0xFFFFFFFF))
 
 
+def _plus(leaves: Column, branch: Column) -> Column:
+    return F.transform(leaves, lambda x: x + branch)
+
+
 def _shards(nodes: DataFrame, slack: int) -> DataFrame:
     """(half, leaf, fp): every node in its leaf and in those it visits."""
     n = nodes.count()
@@ -131,17 +136,15 @@ def _shards(nodes: DataFrame, slack: int) -> DataFrame:
                     if 2 * below >= n:
                         break
                 median.append(value)
-        codes = F.array(F.lit(0).cast("bigint"))
-        for k, (d, m) in enumerate(zip(dist, median)):
-            out_of = F.lit(1 << k).cast("bigint")
-            codes = F.when(d > m, F.transform(codes, lambda c, o=out_of: c + o)).when(
-                d + slack > m, F.concat(codes, F.transform(codes, lambda c, o=out_of: c + o))).otherwise(codes)
-            if k % 4 == 3:  # keep the expression small: a few levels at a time
-                nodes = materialize(nodes.drop(f"_c{h}"), **{f"_c{h}": codes})
-                codes = F.col(f"_c{h}")
-        part = nodes.select(F.lit(h).alias("half"), F.explode(codes).alias("leaf"), "fp")
+        zero, one = F.lit(0).cast("bigint"), [F.lit(1 << k).cast("bigint") for k in range(levels)]
+        base = functools.reduce(lambda a, x: a + x, [
+            F.when(d > m, o).otherwise(zero) for d, m, o in zip(dist, median, one)], zero)
+        visits = F.array_compact(F.array(*[
+            F.when((d <= m) & (d + slack > m), o) for d, m, o in zip(dist, median, one)]).cast("array<bigint>"))
+        # a leaf is the sum of its branches; every visited branch doubles the leaves
+        leaves = F.aggregate(visits, F.array(base), lambda got, o: F.concat(got, _plus(got, o)))
+        part = nodes.select(F.lit(h).alias("half"), F.explode(leaves).alias("leaf"), "fp")
         out = part if out is None else out.union(part)
-        nodes = nodes.select("fp")
     return out
 
 

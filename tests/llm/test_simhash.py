@@ -82,6 +82,8 @@ def test_tree_and_chunks_lose_no_link(spark, monkeypatch, aim, leaf):
     fps = sorted(fps)
     signed = [x - 2**64 if x >= 2**63 else x for x in fps]
     nodes = spark.createDataFrame([(x,) for x in signed], "fp long")
+    leaves = simhash._shards(nodes, 1).groupBy("half", "leaf").count().collect()
+    assert len(leaves) > 4 and max(r["count"] for r in leaves) < 0.9 * len(fps)
     root = {r["node"]: r["root"] for r in components(simhash.close_links(nodes)).collect()}
     got = [root.get(x, x) for x in signed]
     want = brute(fps)
