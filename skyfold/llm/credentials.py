@@ -207,7 +207,7 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document of ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     found = find_secrets(docs)
-    count = {f"n_{k}": F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long") for k in BASE}
+    kinds = F.transform("base", lambda s: s["kind"])
     return found.select(
-        "doc_id", *[c.alias(n) for n, c in count.items()], F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
+        "doc_id", *[(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in BASE], F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
         _listed(F.concat("base", "added")).alias("spans"))
