@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from skyfold.llm.bpe import op4_byte_bpe
 from skyfold.llm.credentials import op2_secret_scan
+from skyfold.llm.langid import op1_language_id
 from skyfold.llm.packing import op7_curve_packing
 from skyfold.llm.quality import ORACLE_OP5, op5_quality_rules
 from skyfold.llm.simhash import op9_simhash_near_dedup
 from skyfold.llm.substrings import ORACLE_OP3, op3_substring_dedup
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_secret_scan": op2_secret_scan,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_byte_bpe": op4_byte_bpe,
