@@ -216,14 +216,15 @@ def close_links(nodes: DataFrame, max_bits: int = 3) -> DataFrame:
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                    max_bits: int = 3, extra: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, extra columns, fp, component_id) for every row of ``docs``."""
+    """(doc_id, extra columns, fp, component_id, root) for every row of ``docs``;
+    ``root`` is the fingerprint that stands for the component."""
     prints = stored(fingerprints(docs, id_col, text_col, shingle, extra), "simhash")
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-nodes")
     groups = components(close_links(nodes.select("fp"), max_bits))
     rooted = nodes.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "low", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    return prints.join(rooted.join(least, "root").select("fp", "component_id"), "fp")
+    return prints.join(rooted.join(least, "root").select("fp", "component_id", "root"), "fp")
 
 
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
