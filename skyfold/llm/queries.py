@@ -9,6 +9,7 @@ from skyfold.llm.packing import op7_curve_packing
 from skyfold.llm.quality import ORACLE_OP5, op5_quality_rules
 from skyfold.llm.simhash import op9_simhash_near_dedup
 from skyfold.llm.substrings import ORACLE_OP3, op3_substring_dedup
+from skyfold.llm.toolcalls import ORACLE_OP10, op10_tool_call_linking
 
 QUERIES = {
     "op1_language_id": op1_language_id,
@@ -18,9 +19,11 @@ QUERIES = {
     "op5_quality_rules": op5_quality_rules,
     "op7_curve_packing": op7_curve_packing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_tool_call_linking": op10_tool_call_linking,
 }
 
 ORACLES = {
     "op3_substring_dedup": ORACLE_OP3,
     "op5_quality_rules": ORACLE_OP5,
+    "op10_tool_call_linking": ORACLE_OP10,
 }
