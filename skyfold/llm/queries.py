@@ -10,6 +10,7 @@ from skyfold.llm.quality import ORACLE_OP5, op5_quality_rules
 from skyfold.llm.simhash import op9_simhash_near_dedup
 from skyfold.llm.substrings import ORACLE_OP3, op3_substring_dedup
 from skyfold.llm.toolcalls import ORACLE_OP10, op10_tool_call_linking
+from skyfold.llm.warc import ORACLE_OP8, op8_warc_fixity
 
 QUERIES = {
     "op1_language_id": op1_language_id,
@@ -18,6 +19,7 @@ QUERIES = {
     "op4_byte_bpe": op4_byte_bpe,
     "op5_quality_rules": op5_quality_rules,
     "op7_curve_packing": op7_curve_packing,
+    "op8_warc_fixity": op8_warc_fixity,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_tool_call_linking": op10_tool_call_linking,
 }
@@ -25,5 +27,6 @@ QUERIES = {
 ORACLES = {
     "op3_substring_dedup": ORACLE_OP3,
     "op5_quality_rules": ORACLE_OP5,
+    "op8_warc_fixity": ORACLE_OP8,
     "op10_tool_call_linking": ORACLE_OP10,
 }
