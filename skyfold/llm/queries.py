@@ -5,6 +5,7 @@ from __future__ import annotations
 from skyfold.llm.bpe import op4_byte_bpe
 from skyfold.llm.credentials import op2_secret_scan
 from skyfold.llm.langid import op1_language_id
+from skyfold.llm.neighbours import op6_learned_partitions
 from skyfold.llm.packing import op7_curve_packing
 from skyfold.llm.quality import ORACLE_OP5, op5_quality_rules
 from skyfold.llm.simhash import op9_simhash_near_dedup
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_quality_rules": op5_quality_rules,
+    "op6_learned_partitions": op6_learned_partitions,
     "op7_curve_packing": op7_curve_packing,
     "op8_warc_fixity": op8_warc_fixity,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
