@@ -49,7 +49,7 @@ def to_batch(rows: list[tuple]) -> pa.RecordBatch:
 def pack_batch(batch: pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(
-            compression=pa.Codec("zstd", compression_level=1))) as w:
+            compression=pa.Codec("zstd", compression_level=3))) as w:
         w.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
