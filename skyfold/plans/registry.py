@@ -1192,23 +1192,82 @@ def t1_stream_dead_letters(spark, sf):
     return spark.read.parquet(d + "/out").drop("batch_id")
 
 
-@register("t2_stream_latest_state", _POS + ", " + O.LATEST_CTE + f""",
-k AS (select icao24, {O.bbox_sql()} as inside, row_number() over (partition by icao24
-        order by {O.EVENT_ORDER_DESC}) as r from positions where lat is not null and lon is not null),
-n AS (select icao24, least(count(*), 180) as track_points from positions group by 1)
-select l.icao24, l.event_id, l.last_contact, l.batch_epoch, l.prev_lat, l.prev_lon, l.prev_heading,
-       l.prev_velocity, l.prev_altitude, l.prev_last_contact, k.inside, cast(0 as bigint) as late_events,
-       cast(n.track_points as bigint) as track_points
-from latest l left join (select * from k where r = 1) k on l.icao24 = k.icao24 join n on l.icao24 = n.icao24""")
+from skyfold.sources.testdata import DUCK, positions_sql, stream_events_sql  # noqa: E402
+
+
+def _arrivals(spark, sf):
+    """The out-of-order stream fixture, a batch table with the micro-batch number ``mb``."""
+    from skyfold.sources.testdata import SPARK, stream_events_sql
+    t = tables(spark, sf)
+    return spark.sql(stream_events_sql(SPARK, t._registered("events")))
+
+
+def _run_batches(spark, sf, name, make_writer):
+    """Land the fixture's micro-batches one after another in a shared folder
+    and run the stream over each as it lands (one checkpoint for all runs).
+    ``make_writer(positions, folder)`` gives the stream's writer."""
+    from skyfold.sources.testdata import STREAM_BATCHES
+    d = St.stream_dir(spark, name)
+    arrivals = _arrivals(spark, sf)
+    for mb in range(STREAM_BATCHES):
+        arrivals.where(F.col("mb") == mb).drop("mb").write.parquet(f"{d}/in/mb{mb}")
+        src = spark.readStream.schema(arrivals.drop("mb").schema).parquet(f"{d}/in/*")
+        pos = St.positions_stream(src).where(F.col("icao24").isNotNull())
+        St.run_available_now(make_writer(pos, d))
+    return d
+
+
+def _state_log(spark, sf):
+    return _run_batches(spark, sf, "t2", lambda pos, d: St.upsert_log_sink(
+        St.stream_latest_state(pos), d + "/out", d + "/ckpt")) + "/out"
+
+
+# arrivals in the oracle: position rows with their micro-batch, and one number
+# that orders the events of an aircraft (time, nulls first, then id)
+_ARR = f"""WITH sev AS ({stream_events_sql(DUCK)}),
+arr AS (select *, coalesce(last_contact, -1)::HUGEINT * 1000000000000 + event_id as k
+        from ({positions_sql(DUCK, "sev", extra="mb")})),"""
+_T2_SQL = _ARR + f"""
+late AS (select *, max(k) over (partition by icao24 order by mb range between unbounded preceding and 1 preceding) as held
+         from arr),
+fin AS (select icao24, max(k) as top, max_by(mb, (k, mb)) as at from arr group by 1),
+ranked AS (select a.*, row_number() over (partition by a.icao24 order by a.k desc) as r
+           from arr a join fin f on a.icao24 = f.icao24 and a.mb <= f.at),
+known AS (select icao24, max_by({O.bbox_sql()}, k) as inside from arr where lat is not null and lon is not null group by 1),
+cnt AS (select icao24, count_if(k < held) as late_events, least(count(*), 180) as track_points from late group by 1)
+select c.icao24, c.event_id, c.last_contact, c.batch_epoch, p.lat as prev_lat, p.lon as prev_lon, p.heading as prev_heading,
+       p.velocity as prev_velocity, coalesce(p.geo_altitude, p.baro_altitude) as prev_altitude,
+       p.last_contact as prev_last_contact, known.inside, cast(cnt.late_events as bigint) as late_events,
+       cast(cnt.track_points as bigint) as track_points
+from ranked c left join ranked p on c.icao24 = p.icao24 and p.r = 2
+left join known on known.icao24 = c.icao24 join cnt on cnt.icao24 = c.icao24 where c.r = 1"""
+
+
+@register("t2_stream_latest_state", _T2_SQL)
 def t2_stream_latest_state(spark, sf):
-    pos = St.positions_stream(_events_stream(spark, sf)).where(F.col("icao24").isNotNull())
-    d = St.stream_dir(spark, "t2")
-    St.run_available_now(St.upsert_log_sink(St.stream_latest_state(pos), d + "/out", d + "/ckpt"))
-    return St.read_upsert_log(spark, d + "/out", ["icao24"]).select(
+    """Keyed state over out-of-order micro-batches with null times and replays."""
+    return St.read_upsert_log(spark, _state_log(spark, sf), ["icao24"]).select(
         "icao24", "event_id", "last_contact", "batch_epoch", "prev_lat", "prev_lon", "prev_heading",
         "prev_velocity", "prev_altitude", "prev_last_contact", "inside", "late_events", "track_points")
 
 
+@register("t3_stream_tracks", _ARR + """
+r AS (select *, row_number() over (partition by icao24 order by k desc) as rank from arr)
+select icao24, rank, event_id, last_contact, batch_epoch, lat, lon, coalesce(geo_altitude, baro_altitude) as altitude,
+       on_ground from r where rank <= 180""")
+def t3_stream_tracks(spark, sf):
+    """The track table that the stream maintains: newest 180 points per aircraft."""
+    return St.track_table(St.read_upsert_log(spark, _state_log(spark, sf), ["icao24"]))
+
+
+@register("t4_stream_members", _ARR + f"""
+known AS (select icao24, max_by({O.bbox_sql()}, k) as inside from arr where lat is not null and lon is not null group by 1)
+select icao24 from known where inside""")
+def t4_stream_members(spark, sf):
+    """Aircraft whose newest known position is inside, however late other reports come."""
+    return St.read_upsert_log(spark, _state_log(spark, sf), ["icao24"]).where("inside").select("icao24")
+
+
 def _stream_activity_table(spark, sf):
     t = tables(spark, sf)
     pos = St.positions_stream(_events_stream(spark, sf)).where(F.col("icao24").isNotNull())
@@ -1241,13 +1300,15 @@ def t6_stream_activity_series(spark, sf):
     return activity_series(St.retained_buckets(minutes, now, 60, 7 * 86400), now, 86400, 48)
 
 
-@register("t8_stream_batch_updates", _POS + "select max(batch_epoch) as latest_batch_epoch from positions")
+@register("t8_stream_batch_updates", _ARR + """
+m AS (select mb, max(batch_epoch) as e from arr group by 1),
+h AS (select e, max(e) over (order by mb rows between unbounded preceding and 1 preceding) as before from m)
+select e as latest_batch_epoch from h where before is null or e > before""")
 def t8_stream_batch_updates(spark, sf):
-    pos = St.positions_stream(_events_stream(spark, sf)).where(F.col("icao24").isNotNull())
-    d = St.stream_dir(spark, "t8")
-    St.run_available_now(St.batch_update_writer(pos, d + "/out", d + "/ckpt"))
-    r = spark.read.parquet(d + "/out")
-    return r.agg(F.max_by("latest_batch_epoch", "batch_id").alias("latest_batch_epoch"))
+    """Every epoch emitted: the running maximum over all micro-batches, when it rises."""
+    d = _run_batches(spark, sf, "t8", lambda pos, d: St.upsert_log_sink(
+        St.stream_batch_updates(pos), d + "/out", d + "/ckpt"))
+    return spark.read.parquet(d + "/out").select("latest_batch_epoch")
 
 
 @register("t10_stream_events_by_attribute", ORACLES["a12_events_by_attribute"])
@@ -1264,39 +1325,63 @@ def t10_stream_events_by_attribute(spark, sf):
 from skyfold.operators.enrich import pair_batches  # noqa: E402
 
 
-@register("k2_read_model", _EV_ENRICHED + """
-select (select count(distinct icao24) from positions where icao24 is not null) as latest_rows,
-       (select count(distinct last_contact // 60) from ev where last_contact is not null) as activity_rows,
-       (select count(*) from (select 1 from ev group by case when has_metadata and nullif(trim(country), '') is not null
-            then trim(country) else 'unknown' end)) as country_rows""")
+@register("k2_read_model", _EV_ENRICHED + """,
+lat AS (select icao24, max(last_contact) as last_contact from positions where icao24 is not null group by 1)
+select 'latest' as tbl, icao24 as key, last_contact as n from lat
+union all select 'track', icao24, least(count(*), 180) from positions where icao24 is not null group by icao24
+union all select 'activity', ((last_contact // 60) * 60)::varchar, count(*) from ev
+          where last_contact is not null group by last_contact // 60
+union all select 'country', case when has_metadata and nullif(trim(country), '') is not null
+            then trim(country) else 'unknown' end as c, count(*) from ev group by c""")
 def k2_read_model(spark, sf):
+    """Contents of all tables of the read model, as (table, key, number)."""
     t = tables(spark, sf)
     pos = St.positions_stream(_events_stream(spark, sf)).where(F.col("icao24").isNotNull())
     d = St.stream_dir(spark, "k2")
     for w in St.write_read_model(pos, t.aircraft, d).values():
         St.run_available_now(w)
-    one = lambda df, n: df.agg(F.count(F.lit(1)).alias(n)).withColumn("_one", F.lit(1))
-    latest = one(St.read_upsert_log(spark, d + "/latest", ["icao24"]), "latest_rows")
-    act = one(St.read_upsert_log(spark, d + "/activity", ["bucket_epoch"]), "activity_rows")
-    attrs = spark.read.parquet(d + "/attributes").where(F.col("attribute") == "country") \
-        .select("value").distinct()
-    return latest.join(act, "_one").join(one(attrs, "country_rows"), "_one").drop("_one")
-
-
-@register("t9_stream_dedup", _POS + """
-select icao24, last_contact, count(*) as copies from positions
+    St.compact_upsert_log(spark, d + "/latest", ["icao24"])
+    latest = St.read_upsert_log(spark, d + "/latest", ["icao24"])
+    row = lambda df, tbl, key, n: df.select(
+        F.lit(tbl).alias("tbl"), F.col(key).cast("string").alias("key"), F.col(n).cast("long").alias("n"))
+    act = St.read_upsert_log(spark, d + "/activity", ["bucket_epoch"])
+    attrs = spark.read.parquet(d + "/attributes").where(F.col("attribute") == "country").groupBy("value").agg(
+        F.sum("events").alias("events"))
+    tracks = St.track_table(latest).groupBy("icao24").agg(F.count(F.lit(1)).alias("points"))
+    return (row(latest, "latest", "icao24", "last_contact").unionByName(row(tracks, "track", "icao24", "points"))
+            .unionByName(row(act, "activity", "bucket_epoch", "events_total"))
+            .unionByName(row(attrs, "country", "value", "events")))
+
+
+@register("t9_stream_dedup", _ARR + """
+one AS (select 1)
+select icao24, last_contact, count(*) as copies from arr
 where icao24 is not null and last_contact is not null group by 1, 2""")
 def t9_stream_dedup(spark, sf):
-    pos = St.positions_stream(_events_stream(spark, sf)).where(F.col("icao24").isNotNull())
-    d = St.stream_dir(spark, "t9")
-    kept = St.dedupe_events(pos).select("icao24", "last_contact")
-    St.run_available_now(St.upsert_log_sink(kept, d + "/out", d + "/ckpt", output_mode="append"))
-    # copies seen per pair in the source, kept once in the stream
-    src = tables(spark, sf).positions.where(F.col("icao24").isNotNull() & F.col("last_contact").isNotNull()) \
-        .groupBy("icao24", "last_contact").agg(F.count(F.lit(1)).alias("copies"))
+    """Each (icao24, last_contact) passes once over all micro-batches; ``copies``
+    counts it in the source."""
+    from skyfold.sources.testdata import SPARK, positions_sql
+    d = _run_batches(spark, sf, "t9", lambda pos, d: St.upsert_log_sink(
+        St.dedupe_events(pos, 60 * 86400).select("icao24", "last_contact"), d + "/out", d + "/ckpt", output_mode="append"))
+    _arrivals(spark, sf).createOrReplaceTempView("skyfold_t9_arrivals")
+    src = spark.sql(positions_sql(SPARK, "skyfold_t9_arrivals")).where(
+        F.col("icao24").isNotNull() & F.col("last_contact").isNotNull()).groupBy("icao24", "last_contact").agg(
+        F.count(F.lit(1)).alias("copies"))
     return spark.read.parquet(d + "/out").drop("batch_id").join(src, ["icao24", "last_contact"], "left")
 
 
+@register("t9_late_rows", _ARR + """
+h AS (select *, max(last_contact) over (partition by icao24 order by mb range between unbounded preceding and 1 preceding)
+        as held from arr)
+select icao24, event_id, last_contact, case when last_contact is null then 'no_time' else 'late' end as reason
+from h where last_contact is null or last_contact < held - 3600""")
+def t9_late_rows(spark, sf):
+    """Side table of the rows that come more than an hour after a newer report, or carry no time."""
+    d = _run_batches(spark, sf, "t9l", lambda pos, d: St.upsert_log_sink(
+        St.late_rows(pos, 3600), d + "/out", d + "/ckpt", output_mode="append"))
+    return spark.read.parquet(d + "/out").drop("batch_id")
+
+
 @register("j6_pair_batches", _POS + """,
 b AS (select distinct batch_epoch from positions where batch_epoch is not null order by batch_epoch desc limit 2),
 snap AS (select * exclude (r) from (select *, row_number() over (partition by icao24, batch_epoch

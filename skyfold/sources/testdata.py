@@ -44,7 +44,7 @@ SPARK = Dialect("spark")
 DUCK = Dialect("duck")
 
 
-def positions_sql(d: Dialect, events: str = "events") -> str:
+def positions_sql(d: Dialect, events: str = "events", extra: str = "") -> str:
     """M3 position events: one per ``events`` row (FIXTURES §3)."""
     return f"""
 select event_id,
@@ -62,10 +62,27 @@ select event_id,
        epoch - (event_id % 3) as time_position,
        epoch as last_contact,
        cast(null as {d.string()}) as ingested_at,
-       {d.idiv('epoch', '21600')} * 21600 as batch_epoch
+       {d.idiv('epoch', '21600')} * 21600 as batch_epoch{', ' + extra if extra else ''}
 from (select *, {d.json_int('props', 'k')} as k, {d.epoch('ts')} as epoch from {events}) e"""
 
 
+#: Micro-batches of the out-of-order stream fixture.
+STREAM_BATCHES = 5
+
+
+def stream_events_sql(d: Dialect, events: str = "events") -> str:
+    """The ``events`` rows as they arrive out of order, in ``STREAM_BATCHES``
+    micro-batches (``mb``): neighbouring rows come in different batches, some
+    carry no time (so last_contact and batch_epoch are null), and some are
+    replayed, time and all, in a later batch."""
+    mb = f"{d.idiv('event_id', '7')} % 4"
+    cols = "event_id, user_id, event_type, value, props"
+    return f"""
+select {cols}, case when event_id % 89 <> 5 then ts end as ts, {mb} as mb from {events}
+union all
+select {cols}, ts, {mb} + 1 as mb from {events} where event_id % 97 = 3 and event_id % 89 <> 5"""
+
+
 def aircraft_sql(d: Dialect, customer: str = "customer", nation: str = "nation") -> str:
     """M9 aircraft reference: one row per customer."""
     s = d.string()
@@ -246,7 +263,7 @@ class Tables:
         if key not in self._cache:
             import inspect
             fn = VIEWS[name]
-            params = [p for p in inspect.signature(fn).parameters if p != "d"]
+            params = [p for p in inspect.signature(fn).parameters if p not in ("d", "extra")]
             sql = fn(SPARK, **{p: self._registered(p) for p in params})
             self._cache[key] = self.spark.sql(sql)
         return self._cache[key]

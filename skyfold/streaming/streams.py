@@ -100,6 +100,35 @@ def read_upsert_log(spark: SparkSession, out: str, keys: list[str]) -> DataFrame
             .select(*keys, *[F.col("_r")[c].alias(c) for c in cols]))
 
 
+def compact_upsert_log(spark: SparkSession, out: str, keys: list[str]) -> None:
+    """Replace the micro-batch files of a stopped stream's log by one row per key
+    under its highest batch number, so that readers do not rescan every update
+    since the start.  The compacted files are written beside the log and take
+    the highest batch's place; older batches go last, so that a reader or a
+    restart between the steps sees the same newest rows."""
+    log = spark.read.parquet(out)
+    batches = sorted(r[0] for r in log.select("batch_id").distinct().collect())
+    if not batches:
+        return
+    top = batches[-1]
+    done = f"{out}-compact-{uuid.uuid4().hex[:8]}"
+    read_upsert_log(spark, out, keys).select(*[c for c in log.columns if c != "batch_id"]).write.parquet(done)
+    spark.read.parquet(done).write.mode("overwrite").parquet(f"{out}/batch_id={top}")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    spark.catalog.refreshByPath(out)
+    for old in batches[:-1]:
+        p = path(f"{out}/batch_id={old}")
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    spark.catalog.refreshByPath(out)
+
+
+def track_table(state: DataFrame) -> DataFrame:
+    """The held tracks as a table, newest point first (rank 1)."""
+    return state.select("icao24", F.posexplode("track").alias("pos", "p")).select(
+        "icao24", (F.col("pos") + 1).alias("rank"), "p.event_id", "p.last_contact", "p.batch_epoch", "p.lat", "p.lon",
+        "p.altitude", "p.on_ground")
+
+
 def run_available_now(writer) -> None:
     q = writer.trigger(availableNow=True).start()
     q.awaitTermination()
@@ -120,11 +149,14 @@ def _schema(spec: str) -> StructType:
     return StructType([T.StructField(n, _TYPES[t]) for n, t in (f.split() for f in spec.split(","))])
 
 
-STATE_OUTPUT = _schema(
+_TRACK_SCHEMA = _schema("last_contact bigint, batch_epoch bigint, event_id bigint, lat double, "
+                        "lon double, altitude double, on_ground boolean")
+STATE_OUTPUT = StructType([*_schema(
     "icao24 string, event_id bigint, callsign string, lat double, lon double, heading double, velocity double, "
     "geo_altitude double, baro_altitude double, on_ground boolean, last_contact bigint, batch_epoch bigint, "
     "prev_lat double, prev_lon double, prev_heading double, prev_velocity double, prev_altitude double, "
-    "prev_last_contact bigint, inside boolean, late_events bigint, track_points bigint")
+    "prev_last_contact bigint, inside boolean, late_events bigint, track_points bigint").fields,
+    T.StructField("track", T.ArrayType(_TRACK_SCHEMA))])
 
 _LATEST_FIELDS = ["event_id", "callsign", "lat", "lon", "heading", "velocity", "geo_altitude", "baro_altitude",
                   "on_ground", "last_contact", "batch_epoch"]
@@ -133,23 +165,45 @@ _LATEST_SCHEMA = _schema(
     "geo_altitude double, baro_altitude double, on_ground boolean, last_contact bigint, batch_epoch bigint, "
     "prev_lat double, prev_lon double, prev_heading double, prev_velocity double, prev_altitude double, "
     "prev_last_contact bigint")
-# One value state per aircraft: latest + previous, membership flag, late count.
+# One value state per aircraft: latest + previous, membership flag, late count,
+# and the order key of the event that the membership flag comes from.
 _AIRCRAFT_STATE = StructType(list(_LATEST_SCHEMA.fields) + [
-    T.StructField("inside", T.BooleanType()), T.StructField("late", T.LongType())])
-_TRACK_SCHEMA = _schema("last_contact bigint, batch_epoch bigint, event_id bigint, lat double, "
-                                   "lon double, altitude double, on_ground boolean")
+    T.StructField("inside", T.BooleanType()), T.StructField("late", T.LongType()),
+    T.StructField("known_last_contact", T.LongType()), T.StructField("known_batch_epoch", T.LongType()),
+    T.StructField("known_event_id", T.LongType())])
 
 
-def _order_key(last_contact, batch, event_id):
+def _order_key(r: dict) -> tuple:
     """(last_contact, batch, id) with nulls first, as a sortable tuple."""
-    conv = lambda v: (0, 0) if v is None or (isinstance(v, float) and pd.isna(v)) else (1, int(v))
-    return (conv(last_contact), conv(batch), conv(event_id))
+    return tuple((0, 0) if r[c] is None else (1, r[c]) for c in ("last_contact", "batch_epoch", "event_id"))
+
+
+def _records(frames: Iterator[pd.DataFrame]) -> Iterator[dict]:
+    """Rows of the frames as dicts of plain values.
+
+    Pandas holds a long column with nulls as floats and a boolean one as
+    objects; values go back to the column's declared type, and NaN to None, so
+    that state rows encode what the batch engine would hold."""
+    back = {"bigint": int, "double": float, "boolean": bool, "string": str}
+    kinds = {f.name: back[f.dataType.simpleString()] for f in STATE_OUTPUT.fields if f.name != "track"}
+    for pdf in frames:
+        cols = {c: [None if v is None or v is pd.NA or v != v else kinds[c](v) for v in pdf[c].tolist()]
+                for c in pdf.columns}
+        for values in zip(*cols.values()):
+            yield dict(zip(cols, values))
 
 
 class AircraftStateProcessor(StatefulProcessor):
     """Per-aircraft state: latest event with its predecessor (T2), the newest
     ``track_length`` track points (T3), geofence membership (T4) and a late
-    counter (T9: an event older than the held latest updates the track only)."""
+    counter (T9: an event older than the held latest updates the track only).
+
+    Membership follows the newest event whose position is known, so its order
+    key is part of the state: a late event cannot move it back.  A micro-batch
+    is read frame by frame; only the held track and the batch's newest
+    ``track_length`` points are kept at a time, whatever the batch's size.
+    Frames need not be sorted: the latest event, its predecessor and the
+    membership are running maxima by the event order."""
 
     def __init__(self, bbox: Bbox | None = None, track_length: int = TRACK_WRITE_LENGTH):
         self.bbox = bbox or Bbox.default()
@@ -159,62 +213,67 @@ class AircraftStateProcessor(StatefulProcessor):
         self.state = handle.getValueState("aircraft", _AIRCRAFT_STATE)
         self.track = handle.getListState("track", _TRACK_SCHEMA)
 
-    def _classify(self, lat, lon):
-        if lat is None or lon is None or pd.isna(lat) or pd.isna(lon):
+    def _inside(self, r: dict) -> bool | None:
+        if r["lat"] is None or r["lon"] is None:
             return None
         b = self.bbox
-        return bool(b.min_lat <= lat <= b.max_lat and b.min_lon <= lon <= b.max_lon)
+        return b.min_lat <= r["lat"] <= b.max_lat and b.min_lon <= r["lon"] <= b.max_lon
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True)
-        none = lambda v: None if v is None or (isinstance(v, float) and pd.isna(v)) else v
-        recs = [{c: none(v) for c, v in r.items()} for r in pdf.to_dict("records")]
-        recs.sort(key=lambda r: _order_key(r["last_contact"], r["batch_epoch"], r["event_id"]))
         held = self.state.get()
-        cur, inside, late = None, None, 0
-        if held is not None:
-            held = dict(zip(_AIRCRAFT_STATE.names, held))
-            cur = {c: held[c] for c in _LATEST_SCHEMA.names}
-            inside, late = held["inside"], held["late"] or 0
-        track = [tuple(t) for t in self.track.get()]
-        for r in recs:
+        held = dict(zip(_AIRCRAFT_STATE.names, held)) if held is not None else None
+        start = _order_key(held) if held else None
+        late = held["late"] or 0 if held else 0
+        inside = held["inside"] if held else None
+        known = {"last_contact": held["known_last_contact"], "batch_epoch": held["known_batch_epoch"],
+                 "event_id": held["known_event_id"]} if held and inside is not None else None
+        newest: list[tuple[tuple, dict]] = []  # the two newest events of this micro-batch
+        points: list[tuple] = [tuple(t) for t in self.track.get()]
+        names = _TRACK_SCHEMA.names
+        order = lambda t: _order_key(dict(zip(names, t)))
+        for r in _records(rows):
+            k = _order_key(r)
             alt = r["geo_altitude"] if r["geo_altitude"] is not None else r["baro_altitude"]
-            track.append((r["last_contact"], r["batch_epoch"], r["event_id"], r["lat"], r["lon"], alt, r["on_ground"]))
-            k = _order_key(r["last_contact"], r["batch_epoch"], r["event_id"])
-            if cur is None or k >= _order_key(cur["last_contact"], cur["batch_epoch"], cur["event_id"]):
-                prev = cur
-                cur = {f: r[f] for f in _LATEST_FIELDS}
-                if prev is not None:
-                    palt = prev["geo_altitude"] if prev["geo_altitude"] is not None else prev["baro_altitude"]
-                    cur.update(prev_lat=prev["lat"], prev_lon=prev["lon"], prev_heading=prev["heading"],
-                               prev_velocity=prev["velocity"], prev_altitude=palt,
-                               prev_last_contact=prev["last_contact"])
-                else:
-                    cur.update(prev_lat=None, prev_lon=None, prev_heading=None, prev_velocity=None,
-                               prev_altitude=None, prev_last_contact=None)
-            else:
+            points.append((r["last_contact"], r["batch_epoch"], r["event_id"], r["lat"], r["lon"], alt, r["on_ground"]))
+            if len(points) >= 4 * self.track_length:
+                points = sorted(points, key=order, reverse=True)[: self.track_length]
+            if start is not None and k < start:
                 late += 1
-            cls = self._classify(r["lat"], r["lon"])
-            if cls is not None:
-                inside = cls
-        track.sort(key=lambda t: _order_key(t[0], t[1], t[2]), reverse=True)
-        track = track[: self.track_length]
-        self.track.put(track)
-        self.state.update(tuple(cur[c] for c in _LATEST_SCHEMA.names) + (inside, late))
-        out = {"icao24": [key[0]], **{c: [cur[c]] for c in _LATEST_SCHEMA.names},
-               "inside": [inside], "late_events": [late], "track_points": [len(track)]}
-        yield pd.DataFrame(out)[STATE_OUTPUT.names]
+            else:
+                newest = sorted([*newest, (k, r)], key=lambda x: x[0])[-2:]
+            now_inside = self._inside(r)
+            if now_inside is not None and (known is None or k >= _order_key(known)):
+                inside, known = now_inside, r
+        cur = {c: held[c] for c in _LATEST_SCHEMA.names} if held else None
+        for _, r in newest:
+            prev, cur = cur, {f: r[f] for f in _LATEST_FIELDS}
+            alt = prev and (prev["geo_altitude"] if prev["geo_altitude"] is not None else prev["baro_altitude"])
+            cur |= {f"prev_{c}": prev[c] if prev else None for c in ("lat", "lon", "heading", "velocity", "last_contact")}
+            cur["prev_altitude"] = alt
+        points = sorted(points, key=order, reverse=True)[: self.track_length]
+        self.track.put(points)
+        known = known or dict.fromkeys(("last_contact", "batch_epoch", "event_id"))
+        self.state.update(tuple(cur[c] for c in _LATEST_SCHEMA.names) + (
+            inside, late, known["last_contact"], known["batch_epoch"], known["event_id"]))
+        out = {"icao24": key[0], **cur, "inside": inside, "late_events": late, "track_points": len(points),
+               "track": [dict(zip(names, p)) for p in points]}
+        # object columns: a missing number stays None and does not turn its column into floats
+        yield pd.DataFrame([[out[c] for c in STATE_OUTPUT.names]], columns=STATE_OUTPUT.names, dtype=object)
 
     def close(self) -> None:
         pass
 
 
-def stream_latest_state(valid: DataFrame, bbox: Bbox | None = None) -> DataFrame:
-    """Keyed state per aircraft; emits the updated state row of every
-    aircraft seen in a micro-batch."""
-    spark = valid.sparkSession
+def _use_rocksdb(spark: SparkSession) -> None:
+    """Keyed processors need the RocksDB state store."""
     if not spark.conf.get("spark.sql.streaming.stateStore.providerClass", "").endswith("RocksDBStateStoreProvider"):
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE_PROVIDER)
+
+
+def stream_latest_state(valid: DataFrame, bbox: Bbox | None = None) -> DataFrame:
+    """Keyed state per aircraft; emits the updated state row of every
+    aircraft seen in a micro-batch, with its track (newest point first)."""
+    _use_rocksdb(valid.sparkSession)
     cols = ["icao24", *_LATEST_FIELDS]
     return (valid.select(*cols).groupBy("icao24")
             .transformWithStateInPandas(AircraftStateProcessor(bbox), STATE_OUTPUT, "Update", "None"))
@@ -248,25 +307,40 @@ def retained_buckets(buckets: DataFrame, now: int, width: int = 60,
 
 
 # ---------------------------------------------------------------- T8, T10
-def batch_update_writer(valid: DataFrame, out: str, checkpoint: str):
-    """Record a change event whenever a micro-batch's max batch epoch
-    differs from the last one recorded (a one-number read of the sink)."""
-    spark = valid.sparkSession
+class BatchEpochProcessor(StatefulProcessor):
+    """The largest batch epoch seen so far; emits when it rises."""
 
-    def write(batch: DataFrame, batch_id: int):
-        m = batch.agg(F.max("batch_epoch").alias("latest_batch_epoch")).first()[0]
-        if m is None:
-            return
-        try:
-            prev = spark.read.parquet(out).where(F.col("batch_id") < batch_id) \
-                .agg(F.max_by("latest_batch_epoch", "batch_id")).first()[0]
-        except Exception:  # noqa: BLE001 - no output yet
-            prev = None
-        if prev != m:
-            spark.createDataFrame([(int(m),)], "latest_batch_epoch bigint") \
-                .write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.highest = handle.getValueState("highest", _schema("epoch bigint"))
 
-    return valid.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        seen = max(int(pdf["batch_epoch"].max()) for pdf in rows)
+        held = self.highest.get()
+        if held is None or seen > held[0]:
+            self.highest.update((seen,))
+            yield pd.DataFrame({"latest_batch_epoch": [seen]})
+
+    def close(self) -> None:
+        pass
+
+
+def stream_batch_updates(valid: DataFrame) -> DataFrame:
+    """A row whenever the largest batch epoch of the whole latest table
+    rises; older epochs that arrive late emit nothing.  The running maximum is
+    one number of state.  A micro-batch's rows are reduced to its distinct
+    epochs by the task that reads them, so the single state key receives a few
+    numbers per input partition, not the rows."""
+    _use_rocksdb(valid.sparkSession)
+
+    def local_max(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        top = [int(m) for pdf in frames if len(pdf) and not pd.isna(m := pdf["batch_epoch"].max())]
+        if top:
+            yield pd.DataFrame({"batch_epoch": [max(top)]})
+
+    highest = valid.select("batch_epoch").where(F.col("batch_epoch").isNotNull()).mapInPandas(
+        local_max, "batch_epoch bigint")
+    return highest.withColumn("all", F.lit(0)).groupBy("all").transformWithStateInPandas(
+        BatchEpochProcessor(), _schema("latest_batch_epoch bigint"), "Update", "None")
 
 
 def attribute_counts_writer(enriched: DataFrame, out: str, checkpoint: str):
@@ -280,13 +354,59 @@ def attribute_counts_writer(enriched: DataFrame, out: str, checkpoint: str):
 
 def dedupe_events(valid: DataFrame, delay_seconds: int = 600) -> DataFrame:
     """Drop replayed copies of the same report (icao24, last_contact)
-    within the watermark; state for a pair expires with the watermark."""
+    within the watermark; state for a pair expires with the watermark.  Rows
+    behind the watermark or without a time do not pass; ``late_rows`` is where
+    they are kept."""
     return (valid.where(F.col("last_contact").isNotNull())
             .withColumn("event_time", F.timestamp_seconds("last_contact"))
             .withWatermark("event_time", f"{int(delay_seconds)} seconds")
             .dropDuplicatesWithinWatermark(["icao24", "last_contact"]).drop("event_time"))
 
 
+class LateRowsProcessor(StatefulProcessor):
+    """Per key, the newest time of earlier micro-batches; emits the rows
+    that are older than it by more than the delay, and those without a time."""
+
+    def __init__(self, delay_seconds: int, columns: list[str]):
+        self.delay, self.columns = delay_seconds, columns
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.newest = handle.getValueState("newest", _schema("last_contact bigint"))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        held = self.newest.get()
+        limit = held[0] - self.delay if held is not None else None
+        top = held[0] if held is not None else None
+        for pdf in rows:
+            time = pd.to_numeric(pdf["last_contact"])
+            if time.notna().any():
+                top = int(time.max()) if top is None else max(top, int(time.max()))
+            late = time.isna() if limit is None else time.isna() | (time < limit)
+            if late.any():
+                out = pdf.loc[late, self.columns].astype(object)
+                out = out.where(out.notna(), None)
+                out["reason"] = ["no_time" if t else "late" for t in time[late].isna()]
+                yield out
+        if top is not None:
+            self.newest.update((top,))
+
+    def close(self) -> None:
+        pass
+
+
+def late_rows(valid: DataFrame, delay_seconds: int = 600) -> DataFrame:
+    """T9 side table: (icao24, event_id, last_contact, reason) of the rows that
+    come more than ``delay_seconds`` after a newer report of their aircraft, or
+    carry no time.  A row that a watermark of the same delay drops is behind the
+    newest report of all aircraft; the aircraft's own newest report is what
+    decides here, so that the table says which rows came out of order."""
+    _use_rocksdb(valid.sparkSession)
+    cols = ["event_id", "last_contact"]
+    out = StructType([*_schema("icao24 string, event_id bigint, last_contact bigint, reason string").fields])
+    return valid.select("icao24", *cols).groupBy("icao24").transformWithStateInPandas(
+        LateRowsProcessor(int(delay_seconds), ["icao24", *cols]), out, "Append", "None")
+
+
 def write_read_model(valid: DataFrame, aircraft: DataFrame, out_dir: str, bbox: Bbox | None = None) -> dict:
     """K2: the read model from one parsed source — latest + previous, track
     length and membership (keyed state), minute activity, and attribute

@@ -97,3 +97,50 @@ def test_stream_health_backlog_counts_down(spark, tmpdir_path):
     assert len(h) >= 2
     assert [r.backlog for r in h] == sorted((r.backlog for r in h), reverse=True) and h[-1].backlog == 0
     assert sum(r.input_rows for r in h) == spark.read.parquet(f"{SF}/events.parquet").count()
+
+
+def _arrive(spark, tmp, batches, writer):
+    """Land hand-made event rows batch by batch and run the stream over each."""
+    schema = "icao24 string, event_id long, callsign string, lat double, lon double, heading double, velocity double, " \
+             "geo_altitude double, baro_altitude double, on_ground boolean, last_contact long, batch_epoch long"
+    for i, rows in enumerate(batches):
+        full = [(k, e, None, la, lo, None, None, None, None, None, lc, b) for k, e, la, lo, lc, b in rows]
+        spark.createDataFrame(full, schema).coalesce(1).write.parquet(f"{tmp}/in/b{i}")
+        St.run_available_now(writer(spark.readStream.schema(schema).parquet(f"{tmp}/in/*")))
+
+
+def test_null_times_do_not_erase_state(spark, tmpdir_path):
+    out = os.path.join(tmpdir_path, "out")
+    _arrive(spark, tmpdir_path, [[("a", 1, 48.5, 2.0, 1000, 900), ("a", 2, None, None, None, None)],
+                                 [("a", 3, 48.6, 2.1, 2000, 1800)], [("a", 4, 48.7, 2.2, 1500, 1800)]],
+            lambda s: St.upsert_log_sink(St.stream_latest_state(s), out, f"{tmpdir_path}/ck"))
+    r = St.read_upsert_log(spark, out, ["icao24"]).first()
+    assert (r.last_contact, r.prev_last_contact, r.prev_lat, r.late_events) == (2000, 1000, 48.5, 1)
+    assert [p.last_contact for p in r.track] == [2000, 1500, 1000, None]
+    St.compact_upsert_log(spark, out, ["icao24"])
+    assert spark.read.parquet(out).count() == 1 and St.read_upsert_log(spark, out, ["icao24"]).first() == r
+
+
+def test_late_event_does_not_move_membership(spark, tmpdir_path):
+    out = os.path.join(tmpdir_path, "out")
+    _arrive(spark, tmpdir_path, [[("a", 1, 48.5, 2.0, 5000, 1)], [("a", 2, 10.0, 2.0, 3000, 1)]],
+            lambda s: St.upsert_log_sink(St.stream_latest_state(s), out, f"{tmpdir_path}/ck"))
+    r = St.read_upsert_log(spark, out, ["icao24"]).first()
+    assert r.inside is True and r.late_events == 1
+
+
+def test_older_epochs_emit_nothing(spark, tmpdir_path):
+    out = os.path.join(tmpdir_path, "out")
+    _arrive(spark, tmpdir_path, [[("a", 1, 1.0, 1.0, 1, 5000)], [("b", 2, 1.0, 1.0, 1, 3000)], [("c", 3, 1.0, 1.0, 1, None)],
+                                 [("d", 4, 1.0, 1.0, 1, 6000), ("d", 5, 1.0, 1.0, 1, 100)]],
+            lambda s: St.upsert_log_sink(St.stream_batch_updates(s), out, f"{tmpdir_path}/ck"))
+    assert sorted(r.latest_batch_epoch for r in spark.read.parquet(out).collect()) == [5000, 6000]
+
+
+def test_late_rows_go_to_the_side_table(spark, tmpdir_path):
+    out = os.path.join(tmpdir_path, "out")
+    _arrive(spark, tmpdir_path, [[("a", 1, 1.0, 1.0, 10_000, 1)],
+                                 [("a", 2, 1.0, 1.0, 9_500, 1), ("a", 3, 1.0, 1.0, 9_000, 1), ("b", 4, 1.0, 1.0, None, 1)]],
+            lambda s: St.upsert_log_sink(St.late_rows(s, 600), out, f"{tmpdir_path}/ck", output_mode="append"))
+    got = sorted((r.icao24, r.event_id, r.last_contact, r.reason) for r in spark.read.parquet(out).collect())
+    assert got == [("a", 3, 9_000, "late"), ("b", 4, None, "no_time")]
