@@ -33,12 +33,14 @@ from pyspark.sql import types as T
 
 from skyfold.llm import blocks as B
 from skyfold.llm.pretokens import distinct, expand, rank_encoder, read_ranks
-from skyfold.llm.words import ranges, word_hashes
+from skyfold.llm.words import groups_by_bytes, ranges, word_hashes
 
 #: Larger blocks repeat fewer words between blocks.
-BLOCK_BYTES = 1 << 24
+BLOCK_BYTES = 12 << 20
+#: Pre-tokens put together at a time.
+ASSEMBLE = 1 << 18
 #: Ids decoded at a time.
-DECODE = 1 << 20
+DECODE = 1 << 18
 
 
 def _planes(a: np.ndarray) -> np.ndarray:
@@ -51,7 +53,7 @@ def _numbers(planes: np.ndarray) -> np.ndarray:
 
 
 def _dump(*parts) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(parts, protocol=5))
+    return zstandard.ZstdCompressor(level=9).compress(pickle.dumps(parts, protocol=5))
 
 
 def _load(data: bytes) -> tuple:
@@ -66,13 +68,13 @@ def _split(batch: pa.RecordBatch, parts: int) -> tuple[bytes, list[bytes]]:
     stream = []
     for words, inverse, rows, sizes in distinct(batch.column("_text").to_pylist()):
         number = np.array([known.setdefault(w, len(known)) for w in words], dtype=np.int64)
-        stream.append(number[inverse])
+        stream.append(number[inverse].astype(np.int32))
         np.add.at(count, rows, sizes)
     words = list(known)
-    flat = np.concatenate(stream) if stream else np.zeros(0, dtype=np.int64)
+    flat = np.concatenate(stream) if stream else np.zeros(0, dtype=np.int32)
     # frequent words get small numbers
     order = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")
-    rank = np.empty(len(words), dtype=np.int64)
+    rank = np.empty(len(words), dtype=np.int32)
     rank[order] = np.arange(len(words))
     words = [words[k] for k in order]
     body = _dump(B.pack_batch(batch.select(["doc_id"])), _planes(count), _planes(rank[flat]))
@@ -119,7 +121,7 @@ def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
 
     def assemble(block, body, answers):
         batch, count, stream = _load(body)
-        which, count = _numbers(stream), _numbers(count)
+        which, count = _numbers(stream).astype(np.int32), _numbers(count)
         sizes, flats, places = [], [], []
         for data in answers:
             place, many, ids = _load(data)
@@ -129,15 +131,17 @@ def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
         # words in the order of their numbers
         place, size = np.concatenate(places), np.concatenate(sizes)
         order = np.argsort(place)
-        flat = expand(np.concatenate(flats), size, order)
+        flat = expand(np.concatenate(flats), size, order).astype("<u4")
         size = size[order]
-        ids = expand(flat, size, which).astype("<u4")
-        total = np.r_[0, np.cumsum(size[which])]
-        cut = total[np.r_[0, np.cumsum(count)]]
-        data = ids.tobytes()
+        at, found, many = np.r_[0, np.cumsum(count)], [], []
+        for i, j in groups_by_bytes(at, ASSEMBLE):  # some documents at a time
+            some = which[at[i]:at[j]]
+            data = expand(flat, size, some).tobytes()
+            cut = np.r_[0, np.cumsum(size[some])][at[i:j + 1] - at[i]]
+            many.append(np.diff(cut))
+            found += [data[a:b] for a, b in zip((cut[:-1] * 4).tolist(), (cut[1:] * 4).tolist())]
         return pa.table([
-            B.unpack_batch(batch).column(0), pa.array(np.diff(cut), pa.int64()),
-            pa.array([data[i:j] for i, j in zip((cut[:-1] * 4).tolist(), (cut[1:] * 4).tolist())], pa.binary())],
+            B.unpack_batch(batch).column(0), pa.array(np.concatenate(many), pa.int64()), pa.array(found, pa.binary())],
             names=["doc_id", "n_tokens", "ids"])
 
     sent = B.blocks_out(rows, "_text", parts, lambda batch: _split(batch, parts), block_bytes)
