@@ -83,8 +83,8 @@ def to_bool_flag(c) -> Column:
 def to_year(c) -> Column:
     """Digits only, within 1900..2100."""
     s = F.trim(F.regexp_replace(col_of(c).cast("string"), '^"|"$', ""))
-    y = F.when(s.rlike(r"^\d+$") & (F.length(s) <= 9), s.cast("int"))
-    return F.when(y.between(1900, 2100), y)
+    # leading zeros go first: what is left of a year in range has four digits
+    return F.regexp_extract(s, r"^0*(19\d\d|20\d\d|2100)$", 1).try_cast("int")
 
 
 def altitude(geo="geo_altitude", baro="baro_altitude") -> Column:
@@ -92,14 +92,28 @@ def altitude(geo="geo_altitude", baro="baro_altitude") -> Column:
     return F.coalesce(col_of(geo), col_of(baro))
 
 
-def epoch_or_iso_to_epoch(c) -> Column:
-    """Digits (> 1e10 are milliseconds) or ISO-8601 with offset -> epoch s."""
-    s = F.trim(col_of(c))
-    digits = s.rlike(r"^\d+$")
-    n = F.when(digits & (F.length(s) <= 18), s.cast("long"))
-    ts = F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]XXX"))
-    return (F.when(digits, F.when(n > 10_000_000_000, F.floor(n / 1000).cast("long")).otherwise(n))
-            .otherwise(F.unix_seconds(ts)))
+def epoch_or_iso_to_epoch(c, strict: bool = False) -> Column:
+    """Digits (> 1e10 are milliseconds) or an ISO-8601 date-time with an
+    offset (seconds and up to nine fraction digits optional) -> epoch s.
+
+    Blank input is null.  Input that is neither is null too, or an error if
+    ``strict`` (what the query parameter does); ``unreadable_epoch`` tells such
+    rows apart for a reject path."""
+    s = F.upper(trim_to_null(c))
+    n = F.when(s.rlike(r"^\d+$"), s.try_cast("bigint"))
+    iso = s.rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d(:\d\d(\.\d{1,9})?)?(Z|[+-]\d\d:\d\d)$")
+    out = F.coalesce(F.when(n > 10_000_000_000, F.floor(n / 1000).cast("long")).otherwise(n),
+                     F.when(iso, F.unix_seconds(
+                         F.regexp_replace(s, r"^(.{10}T\d\d:\d\d)([Z+-])", "$1:00$2").try_cast("timestamp"))))
+    if not strict:
+        return out
+    return F.when(s.isNotNull() & out.isNull(), F.raise_error(F.concat(F.lit("not an epoch or date-time: "), s))
+                  .cast("long")).otherwise(out)
+
+
+def unreadable_epoch(c) -> Column:
+    """True for non-blank input that ``epoch_or_iso_to_epoch`` cannot read."""
+    return trim_to_null(c).isNotNull() & epoch_or_iso_to_epoch(c).isNull()
 
 
 def category_or_fallback(category="category_description", klass="icao_aircraft_class",

@@ -10,6 +10,8 @@ from skyfold.functions.expr import pct, round2
 # Fixed values -------------------------------------------------------------
 DEFAULT_BUCKET_SECONDS = 60
 READER_GRID_SECONDS = 60
+# Both batch and stream sketches use one size, so they can be merged.
+HLL_LG_K = 14
 HLL_RSD = 0.0081          # relative error of the store's HyperLogLog
 MIN_SERIES_BUCKETS = 12
 DEFAULT_SERIES_BUCKETS = 48
@@ -49,8 +51,8 @@ def activity_buckets(events: DataFrame, width: int = DEFAULT_BUCKET_SECONDS,
         return g.agg(*base, F.approx_count_distinct(key, HLL_RSD).alias("aircraft_total"),
                      F.approx_count_distinct(milkey, HLL_RSD).alias("aircraft_military"))
     if mode == "sketch":
-        return g.agg(*base, F.hll_sketch_agg(key, 12).alias("aircraft_sketch"),
-                     F.hll_sketch_agg(milkey, 12).alias("military_sketch"))
+        return g.agg(*base, F.hll_sketch_agg(key, HLL_LG_K).alias("aircraft_sketch"),
+                     F.hll_sketch_agg(milkey, HLL_LG_K).alias("military_sketch"))
     raise ValueError(mode)
 
 
@@ -122,12 +124,16 @@ def impute_gaps(series: DataFrame, count_col: str, has_data: str = "has_data",
                     imputed.alias("imputed"))
 
 
-def series_totals(filled: DataFrame, active: int | F.Column | None = None) -> DataFrame:
-    """A10: total events, summed military aircraft, peak = max(series, active, 1)."""
-    act = F.lit(0) if active is None else (active if isinstance(active, F.Column) else F.lit(int(active)))
-    return filled.agg(F.sum("events_total").cast("long").alias("total_events"),
+def series_totals(filled: DataFrame, active: int | DataFrame | None = None) -> DataFrame:
+    """A10: total events, summed military aircraft, peak = max(series, active, 1).
+    ``active`` is a number or a one-row frame with ``active_aircraft``."""
+    act = F.col("active_aircraft") if isinstance(active, DataFrame) else F.lit(int(active or 0))
+    out = filled.agg(F.sum("events_total").cast("long").alias("total_events"),
                       F.sum("aircraft_military").cast("long").alias("military_aircraft_sum"),
                       F.count_if("imputed").alias("imputed_buckets"),
-                      F.max("filled").alias("_mx")).select(
+                      F.max("filled").alias("_mx"))
+    if isinstance(active, DataFrame):  # one row each
+        out = out.crossJoin(F.broadcast(active.select("active_aircraft")))
+    return out.select(
         "total_events", "military_aircraft_sum", "imputed_buckets",
         F.greatest(F.coalesce(F.col("_mx"), F.lit(0)), act.cast("long"), F.lit(1).cast("long")).alias("peak"))

@@ -9,32 +9,11 @@ from skyfold.functions.expr import category_or_fallback, norm_icao24, norm_optio
 from skyfold.functions.taxonomy import airframe_type
 
 # Fixed values -------------------------------------------------------------
-# Broadcast ceiling for a dimension side: the aircraft reference is bounded by
-# the world fleet (~600k rows, ~100 MB of CSV); above this the join shuffles.
-BROADCAST_MAX_ROWS = 2_000_000
 PHOTO_TTL_SECONDS = {"available": 7 * 86400, "not_found": 6 * 3600, "rate_limited": 5, "error": 120}
 PHOTO_TTL_MINIMUM = {"available": 60, "not_found": 30, "rate_limited": 1, "error": 5}
 # --------------------------------------------------------------------------
 
 
-_BROADCAST_VERDICTS: dict = {}
-
-
-def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``dim`` only when its row count is proven under ``max_rows``.
-
-    The probe reads at most ``max_rows + 1`` rows of the (small) dimension;
-    the verdict is remembered per session and dimension plan.  Above the
-    bound the plain frame is returned and the join shuffles (AQE may still
-    switch to broadcast at run time when the measured side is small)."""
-    key = (id(dim.sparkSession), dim.semanticHash(), max_rows)
-    ok = _BROADCAST_VERDICTS.get(key)
-    if ok is None:
-        ok = dim.limit(max_rows + 1).count() <= max_rows
-        _BROADCAST_VERDICTS[key] = ok
-    return F.broadcast(dim) if ok else dim
-
-
 def aircraft_dim(aircraft: DataFrame, with_owner: bool) -> DataFrame:
     """Enrichment columns of the reference, keyed by canonical icao24."""
     cols = [
@@ -55,12 +34,13 @@ def aircraft_dim(aircraft: DataFrame, with_owner: bool) -> DataFrame:
 
 
 def enrich(positions: DataFrame, aircraft: DataFrame, with_owner: bool = False,
-           key: str = "icao24", broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+           key: str = "icao24") -> DataFrame:
     """Left join on the canonical key; adds category (dashboard fallback,
     null when absent), country, upper typecode, military_hint, airframe_type
-    and, only when asked, owner_operator."""
+    and, only when asked, owner_operator.  No join strategy is forced: Spark
+    broadcasts the reference if its measured size allows, and shuffles (and
+    splits skewed keys) if not."""
     dim = aircraft_dim(aircraft, with_owner)
-    dim = bounded_broadcast(dim, broadcast_max_rows) if broadcast_max_rows else dim
     j = positions.withColumn("_pk", norm_icao24(F.col(key), validate=False)).join(
         dim, F.col("_pk") == F.col("_ak"), "left")
     out = j.drop("_pk", "_ak")
@@ -69,8 +49,7 @@ def enrich(positions: DataFrame, aircraft: DataFrame, with_owner: bool = False,
     return out
 
 
-def enrich_events(events: DataFrame, aircraft: DataFrame, key: str = "icao24",
-                  broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def enrich_events(events: DataFrame, aircraft: DataFrame, key: str = "icao24") -> DataFrame:
     """The processor's per-event lookup (all reference columns, processor
     category fallback ``unknown``); works on a stream (stream-static join)."""
     dim = aircraft.select(
@@ -80,8 +59,6 @@ def enrich_events(events: DataFrame, aircraft: DataFrame, key: str = "icao24",
         .alias("category"),
         F.col("country"), F.col("typecode"), F.col("military_hint").cast("boolean").alias("military_hint"),
         F.col("year_built"), F.col("owner_operator"))
-    if broadcast_max_rows:
-        dim = bounded_broadcast(dim, broadcast_max_rows)   # the dimension is static even for a stream
     j = events.withColumn("_pk", norm_icao24(F.col(key), validate=False)).join(
         dim, F.col("_pk") == F.col("_ak"), "left")
     return j.drop("_pk", "_ak").withColumn("has_metadata", F.coalesce("has_metadata", F.lit(False)))

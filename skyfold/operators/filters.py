@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyfold.functions.expr import col_of, norm_optional
@@ -98,22 +98,16 @@ def attr_filter(df: DataFrame, col: str, value: str | None, case: str) -> DataFr
     return df.where(F.coalesce(norm_optional(col, case) == F.lit(want), F.lit(False)))
 
 
-def split_valid_events(parsed: DataFrame, icao_col: str = "icao24",
-                       corrupt_col: str = "_corrupt") -> tuple[DataFrame, DataFrame]:
-    """(valid, dead-letter).  Malformed payload or blank icao24 is an error."""
-    bad = F.col(corrupt_col).isNotNull() | F.coalesce(F.trim(F.col(icao_col)) == "", F.lit(True))
-    return parsed.where(~bad), parsed.where(bad)
-
-
 def continuity_window(df: DataFrame, k: int = CONTINUITY_BATCHES, batch: str = "batch_epoch") -> DataFrame:
     """F8: keep rows whose batch is one of the ``k`` largest present; if no row
     carries a batch keep everything, otherwise null-batch rows drop.
 
-    The key set is at most ``k`` rows (TakeOrdered), so broadcasting it is
-    size-proven; the fallback row exists only when no batch is present."""
-    top = (df.where(F.col(batch).isNotNull()).select(F.col(batch).alias("_kb")).distinct()
-           .orderBy(F.col("_kb").desc()).limit(k))
-    none_present = (df.agg(F.max(batch).alias("_kb")).where(F.col("_kb").isNull()))
-    keys = top.unionByName(none_present)
-    cond = (F.col(batch) == F.col("_kb")) | F.col("_kb").isNull()
-    return df.join(F.broadcast(keys), cond, "left_semi")
+    The key set is at most ``k`` rows (TakeOrdered over distinct batches), so
+    broadcasting it is size-proven; null is one of its keys only when no batch
+    is present (nulls sort last and a window of one row says whether they come
+    first), and the join is a null-safe equality."""
+    top = df.groupBy(F.col(batch).alias("_kb")).agg(F.lit(1).alias("_one")).orderBy(F.col("_kb").desc_nulls_last()).limit(k)
+    first = Window.partitionBy("_one").orderBy(F.col("_kb").desc_nulls_last())
+    keys = top.withColumn("_max", F.first("_kb").over(first)).where(
+        F.col("_kb").isNotNull() | F.col("_max").isNull()).select("_kb")
+    return df.join(F.broadcast(keys), F.col(batch).eqNullSafe(F.col("_kb")), "left_semi")

@@ -36,11 +36,11 @@ def latest_per_aircraft(df: DataFrame, key: str = "icao24", tiebreak: str = "eve
 
 def latest_by_last_seen(df: DataFrame, key: str = "icao24", ts: str = "last_contact",
                         tiebreak: str = "event_id") -> DataFrame:
-    """A2: drop null coordinates / blank id, keep max last_seen (missing ranks
+    """A2: trim and lower-case the id, drop null coordinates / blank id, keep max last_seen (missing ranks
     lowest, later row wins ties -> tie-break column)."""
     cols = df.columns
-    valid = df.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()
-                     & (F.trim(F.col(key)) != ""))
+    valid = df.withColumn(key, norm_icao24(F.col(key), validate=False)).where(
+        F.col("lat").isNotNull() & F.col("lon").isNotNull() & F.col(key).isNotNull())
     return (valid.groupBy(key)
             .agg(F.max_by(F.struct(*cols), F.struct(F.col(ts), F.col(tiebreak))).alias("_r"))
             .select(*[F.col("_r")[c].alias(c) for c in cols]))

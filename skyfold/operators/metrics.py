@@ -91,19 +91,9 @@ def enrichment_coverage(enriched: DataFrame) -> DataFrame:
 
 
 def exact_median(df: DataFrame, value: Column, out: str = "median") -> DataFrame:
-    """Exact median (mean of the two middle values when even) without
-    gathering the values: count per distinct value (partial aggregate), then
-    locate the middle ranks on the small value-count table."""
-    vc = df.where(value.isNotNull()).groupBy(value.alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    w = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    vc = vc.withColumn("cum", F.sum("c").over(w))
-    n = vc.agg(F.sum("c").alias("n")).withColumn("_one", F.lit(1))
-    j = vc.withColumn("_one", F.lit(1)).join(F.broadcast(n), "_one")
-    lo = F.floor((F.col("n") - 1) / 2) + 1
-    hi = F.floor(F.col("n") / 2) + 1
-    return j.agg(F.min(F.when(F.col("cum") >= lo, F.col("v"))).alias("_lo"),
-                 F.min(F.when(F.col("cum") >= hi, F.col("v"))).alias("_hi")).select(
-        ((F.col("_lo") + F.col("_hi")) / 2.0).alias(out))
+    """Exact median (mean of the two middle values when even): one aggregate
+    that counts per distinct value, map-side first."""
+    return df.agg(F.percentile(value.cast("double"), 0.5).alias(out))
 
 
 def motion_usable(lat="lat", lon="lon", prev_lat="prev_lat", prev_lon="prev_lon",

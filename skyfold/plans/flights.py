@@ -30,7 +30,9 @@ MAP_ITEM_COLUMNS = [
 def clamp_limit(limit: int | None) -> int:
     if limit is None:
         return DEFAULT_LIMIT
-    return max(1, min(int(limit), MAX_LIMIT))
+    if int(limit) <= 0:
+        raise ValueError("limit must be positive")
+    return min(int(limit), MAX_LIMIT)
 
 
 def snapshots(latest: DataFrame, aircraft: DataFrame, bbox: Bbox, since: int | None,

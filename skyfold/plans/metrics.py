@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyfold.functions.taxonomy import (FLEET_ORDER, SIZE_ORDER, aircraft_size, aircraft_type_label,
@@ -67,14 +67,18 @@ def flights_metrics(latest: DataFrame, positions: DataFrame, aircraft: DataFrame
                     buckets: int = DEFAULT_SERIES_BUCKETS) -> MetricsResult:
     """Q3: snapshot KPIs, breakdowns and the activity series.
 
-    The classified snapshot is cached: five small answers derive from it."""
+    The classified snapshot is a plan that four of the answers share; a caller
+    that takes them all writes it once (``session.materialized``)."""
     bbox = bbox or Bbox.default()
     w = parse_window(window)
     n = max(MIN_SERIES_BUCKETS, buckets)
     snap = classified_snapshots(latest, aircraft, bbox, now, w)
     k = kpis(snap, bbox).select("*", F.lit(max(1, w // n)).cast("long").alias("activity_bucket_seconds"),
                                 F.lit(max(1, w)).cast("long").alias("activity_window_seconds"))
-    series = activity_series(activity_minutes(positions, aircraft), now, w, n)
+    # only the window's positions are aggregated; the bounds reach the scan
+    start = (int(now) - max(1, w)) // 60 * 60
+    recent = positions.where((F.col("last_contact") >= start) & (F.col("last_contact") < int(now) // 60 * 60 + 60))
+    series = activity_series(activity_minutes(recent, aircraft), now, w, n)
     return MetricsResult(
         kpis=k,
         fleet=breakdown(snap, F.col("fleet_type"), FLEET_ORDER),
@@ -89,26 +93,32 @@ def kpi_strip(m: MetricsResult) -> dict:
     top = lambda df: df.orderBy(F.col("count").desc(), F.col("ordinal").asc() if "ordinal" in df.columns
                                 else F.col("key").asc()).limit(KPI_TOP)
     filled = impute_gaps(m.series, "aircraft_total")
-    totals = series_totals(filled, m.kpis.select("active_aircraft"))
     return {"top_fleet": top(m.fleet), "top_sizes": top(m.sizes), "top_types": top(m.types),
-            "filled_series": filled, "totals": totals}
+            "filled_series": filled, "totals": kpi_totals(m)}
+
+
+def kpi_strip_rows(m: MetricsResult) -> DataFrame:
+    """Q5 as one table: (part, position, key, value) of the three top lists and
+    the filled series."""
+    s = kpi_strip(m)
+    out = None
+    for part in ("top_fleet", "top_sizes", "top_types"):
+        order = F.col("ordinal") if "ordinal" in s[part].columns else F.col("key")
+        rank = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.col("count").desc(), order))  # three rows
+        rows = s[part].select(F.lit(part).alias("part"), rank.cast("long").alias("position"), "key",
+                              F.col("count").cast("long").alias("value"))
+        out = rows if out is None else out.unionByName(rows)
+    series = s["filled_series"].select(F.lit("series").alias("part"), F.col("idx").alias("position"),
+                                       F.when(F.col("imputed"), "imputed").otherwise("measured").alias("key"),
+                                       F.col("filled").alias("value"))
+    return out.unionByName(series)
 
 
 def kpi_totals(m: MetricsResult) -> DataFrame:
     """Q5 one-row summary: series totals, peak and dominant fleet."""
-    filled = impute_gaps(m.series, "aircraft_total")
-    mil_filled = impute_gaps(m.series, "aircraft_military", out="filled_military")
-    act = m.kpis.select("active_aircraft").withColumn("_one", F.lit(1))
-    tot = filled.agg(F.sum("events_total").cast("long").alias("total_events"),
-                     F.sum("aircraft_military").cast("long").alias("military_aircraft_sum"),
-                     F.count_if("imputed").alias("imputed_buckets"),
-                     F.max("filled").alias("_mx")).withColumn("_one", F.lit(1))
-    mi = mil_filled.agg(F.count_if("imputed").alias("imputed_military_buckets")).withColumn("_one", F.lit(1))
-    dom = (m.fleet.orderBy(F.col("count").desc(), F.col("ordinal").asc()).limit(1)
-           .select(F.col("key").alias("dominant_fleet")).withColumn("_one", F.lit(1)))
-    j = tot.join(F.broadcast(act), "_one").join(F.broadcast(mi), "_one").join(F.broadcast(dom), "_one", "left")
-    return j.select("total_events", "military_aircraft_sum", "imputed_buckets", "imputed_military_buckets",
-                    F.greatest(F.coalesce("_mx", F.lit(0)).cast("long"), F.col("active_aircraft"),
-                               F.lit(1).cast("long")).alias("peak"),
-                    F.col("dominant_fleet"))
-
+    total = series_totals(impute_gaps(m.series, "aircraft_total"), m.kpis)
+    military = impute_gaps(m.series, "aircraft_military", out="filled_military").agg(
+        F.count_if("imputed").alias("imputed_military_buckets"))
+    dominant = m.fleet.agg(F.max_by("key", F.struct(F.col("count"), -F.col("ordinal"))).alias("dominant_fleet"))
+    return total.crossJoin(F.broadcast(military)).crossJoin(F.broadcast(dominant)).select(  # one row each
+        "total_events", "military_aircraft_sum", "imputed_buckets", "imputed_military_buckets", "peak", "dominant_fleet")

@@ -212,6 +212,23 @@ def q5_kpi_totals(spark, sf):
     return kpi_totals(_metrics(spark, sf))
 
 
+@register("q5_kpi_strip", ORACLES["q5_kpi_totals"].split("select cast(sum(events_total)")[0] + f""",
+sizes AS (select key, coalesce(c.count, 0) as count, k.ordinal from
+   (select * from (values {", ".join(f"('{k}', {i})" for i, k in enumerate(SIZE_ORDER))}) t(key, ordinal)) k
+   left join (select {O.size_sql('category', 'typecode')} as sk, count(*) as count from snap group by 1) c on c.sk = k.key),
+types AS (select {O.type_label_sql('category', 'typecode')} as key, count(*) as count from snap group by 1)
+select * from (select 'top_fleet' as part, row_number() over (order by count desc, ordinal) as position, key,
+        cast(count as bigint) as value from fleet) where position <= 3
+union all select * from (select 'top_sizes', row_number() over (order by count desc, ordinal) as position, key,
+        cast(count as bigint) from sizes) where position <= 3
+union all select * from (select 'top_types', row_number() over (order by count desc, key) as position, key,
+        cast(count as bigint) from types) where position <= 3
+union all select 'series', idx, case when imputed then 'imputed' else 'measured' end, cast(filled as bigint) from filled""")
+def q5_kpi_strip(spark, sf):
+    from skyfold.plans.metrics import kpi_strip_rows
+    return kpi_strip_rows(_metrics(spark, sf))
+
+
 @register("a7_activity_buckets_hourly", _EV_ENRICHED + "select * from (" + _minutes_sql(3600) + ")")
 def a7_activity_buckets_hourly(spark, sf):
     t = tables(spark, sf)
@@ -275,7 +292,10 @@ select * exclude (r) from (select *, row_number() over (partition by icao24
    order by last_contact desc nulls last, event_id desc) as r
  from positions where lat is not null and lon is not null and trim(icao24) <> '') where r = 1""")
 def a2_latest_by_last_seen(spark, sf):
-    return latest_by_last_seen(tables(spark, sf).positions)
+    """The ids arrive in mixed case and with blanks around them."""
+    raw = F.when(F.col("event_id") % 3 == 0, F.upper("icao24")).when(
+        F.col("event_id") % 3 == 1, F.concat(F.lit(" \t"), F.col("icao24"), F.lit(" "))).otherwise(F.col("icao24"))
+    return latest_by_last_seen(tables(spark, sf).positions.withColumn("icao24", raw))
 
 
 @register("a11_latest_batch_epoch", _POS + "select max(batch_epoch) as latest_batch_epoch from positions")
@@ -442,14 +462,34 @@ def n_aircraft_labels(spark, sf):
 
 
 @register("n7_since_parsing", _POS + """
-select event_id, last_contact as parsed from positions""")
+select event_id, case event_id % 8 when 7 then null when 6 then (last_contact // 60) * 60 else last_contact end as parsed,
+       event_id % 8 = 7 as unreadable from positions""")
 def n7_since_parsing(spark, sf):
+    """Epoch seconds and milliseconds, leading zeros, offset date-times without
+    seconds or with nine fraction digits, and unreadable input."""
     p = tables(spark, sf).positions
-    raw = (F.when(F.col("event_id") % 3 == 0, F.col("last_contact").cast("string"))
-           .when(F.col("event_id") % 3 == 1, (F.col("last_contact") * 1000 + F.col("event_id") % 1000)
-                 .cast("string"))
-           .otherwise(F.date_format(F.timestamp_seconds("last_contact"), "yyyy-MM-dd'T'HH:mm:ssXXX")))
-    return p.select("event_id", X.epoch_or_iso_to_epoch(raw).alias("parsed"))
+    t, kind = F.timestamp_seconds("last_contact"), F.col("event_id") % 8
+    iso = F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss")
+    raw = (F.when(kind == 0, F.col("last_contact").cast("string"))
+           .when(kind == 1, (F.col("last_contact") * 1000 + F.col("event_id") % 1000).cast("string"))
+           .when(kind == 2, F.concat(F.lit("000000000000"), F.col("last_contact")))
+           .when(kind == 3, F.concat(F.lit("  "), iso, F.lit("Z\t")))
+           .when(kind == 4, F.concat(iso, F.lit(".123456789Z")))
+           .when(kind == 5, F.concat(F.date_format(t + F.expr("interval 2 hours"), "yyyy-MM-dd't'HH:mm:ss"), F.lit("+02:00")))
+           .when(kind == 6, F.concat(F.date_format(t, "yyyy-MM-dd'T'HH:mm"), F.lit("z")))
+           .otherwise(F.when(F.col("event_id") % 16 == 7, iso).otherwise(F.lit("99999999999999999999"))))
+    return p.select("event_id", X.epoch_or_iso_to_epoch(raw).alias("parsed"), X.unreadable_epoch(raw).alias("unreadable"))
+
+
+@register("n4_years", """
+select p_partkey, case when (1880 + p_partkey % 240) between 1900 and 2100 and p_partkey % 7 <> 6
+       then cast(1880 + p_partkey % 240 as integer) end as year from part""")
+def n4_years(spark, sf):
+    """Years with any number of leading zeros, quoted, and with junk."""
+    y, k = (1880 + F.col("p_partkey") % 240).cast("string"), F.col("p_partkey")
+    raw = F.when(k % 7 == 6, F.concat(y, F.lit("x"))).when(k % 7 == 5, F.concat(F.lit('"'), y, F.lit('"'))).otherwise(
+        F.concat(F.expr("repeat('0', cast(p_partkey % 30 as int))"), y))
+    return tables(spark, sf).part.select("p_partkey", X.to_year(raw).alias("year"))
 
 
 @register("n16_n17_zone_areas", """
@@ -1040,38 +1080,38 @@ def s1_state_errors(spark, sf):
 
 
 def _wire(spark, sf):
-    return Rd.split_events(Rd.read_position_events(tables(spark, sf).wire_payloads))
+    return Rd.route_events(Rd.read_position_events(tables(spark, sf).wire_payloads))
+
+
+# payloads of the fixture that are dead letters: not JSON, blank keys (spaces, a tab), a field of the wrong type
+_DEAD = "(event_id % 97 = 0 or event_id % 89 = 0 or event_id % 83 = 0 or event_id % 79 = 0)"
 
 
-@register("f7_split_valid_events", _POS + """
-select event_id, case when event_id % 97 = 0 or event_id % 89 = 0 then 'dead_letter' else 'valid' end as route
-from positions""")
+@register("f7_split_valid_events", _POS + f"""
+select event_id, case when {_DEAD} then 'dead_letter' else 'valid' end as route from positions""")
 def f7_split_valid_events(spark, sf):
-    valid, dead = _wire(spark, sf)
-    return valid.select("event_id", F.lit("valid").alias("route")).unionByName(
-        dead.select("event_id", F.lit("dead_letter").alias("route")))
+    return _wire(spark, sf).select("event_id", F.when(F.col("_route") == "ok", "valid").otherwise("dead_letter").alias("route"))
 
 
-@register("s2_position_events", _POS + """
+@register("s2_position_events", _POS + f"""
 select event_id, icao24, callsign, lat, lon, velocity, heading, geo_altitude, baro_altitude, on_ground,
        time_position, last_contact, batch_epoch, '2024-01-01T00:00:00Z' as ingested_at
-from positions where event_id % 97 <> 0 and event_id % 89 <> 0""")
+from positions where not {_DEAD}""")
 def s2_position_events(spark, sf):
-    valid, _ = _wire(spark, sf)
-    return valid.drop("vertical_rate")
+    """Payloads with numeric strings, mixed-case and padded keys among the plain ones."""
+    return _wire(spark, sf).where(F.col("_route") == "ok").drop("vertical_rate", "_corrupt", "_route")
 
 
 @register("a15_pipeline_health", _POS + f""",
-v AS (select * from positions where event_id % 97 <> 0 and event_id % 89 <> 0),
+v AS (select * from positions where not {_DEAD}),
 k AS (select icao24, inside, row_number() over (partition by icao24 order by {O.EVENT_ORDER_DESC}) as r
       from (select *, {O.bbox_sql()} as inside from v where lat is not null and lon is not null))
 select (select count(*) from v) as processed,
-       (select count(*) from positions where event_id % 97 = 0 or event_id % 89 = 0) as errors,
+       (select count(*) from positions where {_DEAD}) as errors,
        (select max(last_contact) from v) as last_processed_epoch,
        (select count(*) from k where r = 1 and inside) as members_inside""")
 def a15_pipeline_health(spark, sf):
-    valid, dead = _wire(spark, sf)
-    return Rd.pipeline_health(valid, dead, current_members(valid, Bbox.default()))
+    return Rd.routed_health(_wire(spark, sf), Bbox.default())
 
 
 _PH = duck_ctes("photo_payloads") + """,
@@ -1184,9 +1224,8 @@ def t1_stream_dead_letters(spark, sf):
     name = "skyfold_t1_events_" + __import__("uuid").uuid4().hex[:8]
     ev.createOrReplaceTempView(name)
     payloads = spark.sql(wire_payloads_sql(positions_sql(SPARK, name)))
-    valid, dead = St.stream_positions(payloads)
-    routed = valid.select("event_id", F.lit("valid").alias("route")).unionByName(
-        dead.select("event_id", F.lit("dead_letter").alias("route")))
+    routed = Rd.route_events(Rd.read_position_events(payloads)).select(  # parsed once
+        "event_id", F.when(F.col("_route") == "ok", "valid").otherwise("dead_letter").alias("route"))
     d = St.stream_dir(spark, "t1")
     St.run_available_now(St.upsert_log_sink(routed, d + "/out", d + "/ckpt", output_mode="append"))
     return spark.read.parquet(d + "/out").drop("batch_id")

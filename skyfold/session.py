@@ -68,9 +68,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when it is unset (local tests) a scratch folder is created.
+    as is.  Only a local master (one machine, as in tests) gets a scratch
+    folder when it is unset; on a cluster that is an error, as every machine
+    would write to its own disk.
     """
     cur = spark.conf.get("spark.checkpoint.dir", None)
+    if not cur and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not cur:
         cur = tempfile.mkdtemp(prefix="skyfold-ckpt-")
         spark.conf.set("spark.checkpoint.dir", cur)

@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyfold.functions.expr import norm_icao24, trim_ctl, trim_to_null
+from skyfold.operators.filters import classify_bbox
 from skyfold.operators.sequence import materialize
-from skyfold.schemas import POSITION_FIELDS, WIRE_EVENT
+from skyfold.schemas import POSITION_FIELDS
+
+EVENT_ORDER = ("last_contact", "batch_epoch", "event_id")
 
 # Fixed values -------------------------------------------------------------
 # Positional cells of an upstream state vector.
@@ -33,7 +37,7 @@ def read_state_responses(responses: DataFrame, body: str = "body",
             .select(F.col(fetched_at).alias("_fetched_at"),
                     F.explode(F.expr("try_variant_get(_v, '$.states', 'array<variant>')")).alias("_row"))
             .where(F.coalesce(F.expr("schema_of_variant(_row)").startswith("ARRAY"), F.lit(False))))
-    text = lambda i: F.trim(_cell(i, "string"))
+    text = lambda i: trim_ctl(_cell(i, "string"))
     states = rows.select(
         text(CELL_ICAO24).alias("icao24"), text(CELL_CALLSIGN).alias("callsign"),
         _cell(CELL_LAT, "double").alias("latitude"), _cell(CELL_LON, "double").alias("longitude"),
@@ -68,25 +72,65 @@ def publish_events(events: DataFrame, ingested_at: str | None = None) -> DataFra
 
 def read_position_events(payloads: DataFrame, value: str = "value") -> DataFrame:
     """JSON payloads with an explicit schema; unknown fields ignored,
-    missing fields null.  ``_corrupt`` holds payloads that are not JSON."""
+    missing and null fields null.  Scalars are coerced as the queue's reader
+    does it (numeric strings to numbers, numbers to strings, a blank string to
+    a null number).  ``_corrupt`` holds payloads that are not a JSON object, and
+    those with a field that is there but cannot be read as its type.
+
+    Every payload is parsed once, into a variant; every field is read off it."""
     keep = [c for c in payloads.columns if c != value]
-    # One generator step evaluates the payload text, the JSON check and the
-    # parse once per row; everything above reads plain attributes.
-    parsed = materialize(payloads.select(*keep, F.col(value).alias("_raw")),
-                         _bad_json=F.expr("try_parse_json(_raw) IS NULL"),
-                         _e=F.from_json(F.col("_raw"), WIRE_EVENT, {"mode": "PERMISSIVE"}))
-    fields = [F.col("_e." + (n if n != "batch_epoch" else "opensky_fetch_epoch")).alias(n) for n, _ in POSITION_FIELDS]
-    return parsed.select(*keep, *fields, F.when(F.col("_bad_json"), F.col("_raw")).alias("_corrupt"))
+    parsed = materialize(payloads.select(*keep, F.col(value).alias("_raw")), _v=F.expr("try_parse_json(_raw)"))
+    wire = {n: ("opensky_fetch_epoch" if n == "batch_epoch" else n) for n, _ in POSITION_FIELDS}
+    # text and typed value of every field, once per row
+    parsed = materialize(parsed, **{f"_t_{n}": F.expr(f"try_variant_get(_v, '$.{w}', 'string')") for n, w in wire.items()},
+                         **{f"_e_{n}": F.expr(f"try_variant_get(_v, '$.{wire[n]}', '{t.simpleString()}')")
+                            for n, t in POSITION_FIELDS if t.simpleString() != "string"})
+    fields, bad = [], ~F.coalesce(F.expr("schema_of_variant(_v)").startswith("OBJECT"), F.lit(False))
+    for n, t in POSITION_FIELDS:
+        text = F.col(f"_t_{n}")
+        if t.simpleString() == "string":
+            # only an array or object has text that starts so and a nested type
+            nested = text.rlike(r"^[\[{]") & F.expr(
+                f"schema_of_variant(try_variant_get(_v, '$.{wire[n]}', 'variant'))").rlike("^(ARRAY|OBJECT)")
+            fields.append(text.alias(n))
+            bad = bad | F.coalesce(nested, F.lit(False))
+        else:
+            fields.append(F.col(f"_e_{n}").alias(n))
+            bad = bad | (F.coalesce(trim_to_null(text).isNotNull(), F.lit(False)) & F.col(f"_e_{n}").isNull())
+    return parsed.select(*keep, *fields, F.when(bad, F.col("_raw")).alias("_corrupt"))
+
+
+def route_events(parsed: DataFrame) -> DataFrame:
+    """F7 on parsed payloads: ``_route`` is ``ok`` or ``dead`` (corrupt, or a
+    key that is blank after trimming control characters and spaces).  The key is
+    trimmed and lower-cased once here so every downstream key is canonical."""
+    k = norm_icao24("icao24", validate=False)
+    dead = F.col("_corrupt").isNotNull() | k.isNull()
+    return parsed.withColumn("_route", F.when(dead, F.lit("dead")).otherwise(F.lit("ok"))).withColumn(
+        "icao24", F.when(dead, F.col("icao24")).otherwise(k))
 
 
 def split_events(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """F7 on parsed payloads: (valid, dead letters).  The key is trimmed and
-    lower-cased once here so every downstream key is canonical."""
-    k = F.lower(F.trim(F.col("icao24")))
-    d = parsed.withColumn("_route", F.when(F.col("_corrupt").isNotNull() | F.coalesce(k == "", F.lit(True)),
-                                           F.lit("dead")).otherwise(F.lit("ok")))
-    valid = d.where(F.col("_route") == "ok").withColumn("icao24", k).drop("_corrupt", "_route")
-    return valid, d.where(F.col("_route") == "dead").drop("_route")
+    """(valid, dead letters).  Each side parses the payloads by itself;
+    where both are needed together, take ``route_events``."""
+    d = route_events(parsed)
+    return (d.where(F.col("_route") == "ok").drop("_corrupt", "_route"),
+            d.where(F.col("_route") == "dead").drop("_route"))
+
+
+def routed_health(routed: DataFrame, bbox) -> DataFrame:
+    """A15 from one parsed frame (``route_events``): processed and error counts,
+    last processed epoch, and the members inside the box."""
+    inside = classify_bbox(bbox)
+    ok = F.col("_route") == "ok"
+    # per aircraft first (map-side), so that the payloads are read and parsed once
+    per = routed.groupBy(F.when(ok, F.col("icao24")).alias("k")).agg(
+        F.count_if(ok).alias("n"), F.count_if(~ok).alias("e"), F.max(F.when(ok, F.col("last_contact"))).alias("t"),
+        F.max_by(F.when(ok, inside), F.when(ok & (inside != "UNKNOWN"), F.struct(*EVENT_ORDER))).alias("at"))
+    return per.agg(F.sum("n").alias("processed"), F.sum("e").alias("errors"), F.max("t").alias("last_processed_epoch"),
+                   F.count_if(F.col("at") == "INSIDE").alias("members_inside")).select(
+        F.coalesce("processed", F.lit(0)).alias("processed"), F.coalesce("errors", F.lit(0)).alias("errors"),
+        "last_processed_epoch", "members_inside")
 
 
 def pipeline_health(valid: DataFrame, errors: DataFrame, members: DataFrame) -> DataFrame:

@@ -23,7 +23,8 @@ def with_day(df: DataFrame, ts: str = "last_contact") -> DataFrame:
 
 def write_positions(positions: DataFrame, path: str, mode: str = "append") -> None:
     """Append positions partitioned by day, bbox-clustered within files."""
-    (with_day(positions).repartition("day").sortWithinPartitions("lat", "lon")
+    # ranges of (day, lat, lon): a busy day is many tasks and files, each a strip of latitudes
+    (with_day(positions).repartitionByRange("day", "lat", "lon").sortWithinPartitions("day", "lat", "lon")
      .write.mode(mode).partitionBy("day").parquet(path))
 
 

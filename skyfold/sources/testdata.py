@@ -349,15 +349,22 @@ from ({positions_sql_text}) p"""
 
 def wire_payloads_sql(positions_sql_text: str) -> str:
     """Queue payloads as published (K1 form), with malformed payloads (an
-    unclosed array around the whole record) and blank keys mixed in."""
+    unclosed array around the whole record), blank keys (spaces, a tab) and
+    fields of the wrong type mixed in; some keys are padded or in upper case,
+    and some numbers are strings."""
+    key = """case when event_id % 89 = 0 then '  ' when event_id % 83 = 0 then '\\t'
+            when event_id % 5 = 1 then concat('\\t', upper(icao24), ' ') else icao24 end"""
+    rest = """'callsign', callsign, 'lon', lon, 'velocity', velocity, 'heading', heading,
+            'geo_altitude', geo_altitude, 'baro_altitude', baro_altitude, 'on_ground', on_ground,
+            'time_position', time_position, 'opensky_fetch_epoch', batch_epoch,
+            'ingested_at', '2024-01-01T00:00:00Z', 'extra', 1"""
     return f"""
 select event_id,
   case when event_id % 97 = 0 then '[' || to_json(struct(*))
-       else to_json(named_struct('icao24', case when event_id % 89 = 0 then '  ' else icao24 end,
-            'callsign', callsign, 'lat', lat, 'lon', lon, 'velocity', velocity, 'heading', heading,
-            'geo_altitude', geo_altitude, 'baro_altitude', baro_altitude, 'on_ground', on_ground,
-            'time_position', time_position, 'last_contact', last_contact,
-            'opensky_fetch_epoch', batch_epoch, 'ingested_at', '2024-01-01T00:00:00Z', 'extra', 1)) end as value
+       when event_id % 79 = 0 then to_json(named_struct('icao24', {key}, 'lat', 'oops', 'last_contact', last_contact, {rest}))
+       when event_id % 11 = 2 then to_json(named_struct('icao24', {key}, 'lat', cast(lat as string),
+            'last_contact', cast(last_contact as string), {rest}))
+       else to_json(named_struct('icao24', {key}, 'lat', lat, 'last_contact', last_contact, {rest})) end as value
 from ({positions_sql_text}) p"""
 
 

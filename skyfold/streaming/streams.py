@@ -18,7 +18,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
-from skyfold.operators.activity import bucket_ttl_seconds
+from skyfold.operators.activity import HLL_LG_K, bucket_ttl_seconds
 from skyfold.operators.enrich import enrich_events
 from skyfold.operators.filters import Bbox
 from skyfold.operators.latest import TRACK_WRITE_LENGTH
@@ -29,7 +29,6 @@ from skyfold.sources import readers as Rd
 # Fixed values -------------------------------------------------------------
 STATE_STORE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 ACTIVITY_WATERMARK_SECONDS = 172_800  # bucket retention (48 h) bounds window state
-HLL_LG_K = 14
 # --------------------------------------------------------------------------
 
 
