@@ -3,10 +3,17 @@
 A plain ``Window.partitionBy(key)`` puts every row of a key in one task; one
 aircraft (or one log source) holding a third of all rows would then sit in a
 single task.  These helpers split each key's sequence into *chunks* (a column
-that never decreases along the order, e.g. ``floor(ts / width)``), run the
-window inside ``(key, chunk)`` and stitch chunk boundaries with a small
-per-(key, chunk) summary table (one row per chunk, pre-aggregated before any
-shuffle).  With ``chunk=None`` they degrade to the plain single-window form.
+that never decreases along the order, e.g. ``floor(ts / width)``) and work in
+up to three windows over one pass of the rows, without a join:
+
+1. within (key, chunk): the local lag, last value or running sum;
+2. over the boundary rows only (the first and last row of every chunk; all
+   other rows stay spread by chunk): what the preceding chunks carry over;
+3. within (key, chunk) again: the carry of the chunk's first row, for all rows.
+
+The input is read once however many steps are chained, and a step's third and
+the next step's first window share their partitioning.  With ``chunk=None``
+the helpers are the plain single-window form.
 """
 
 from __future__ import annotations
@@ -30,13 +37,18 @@ def with_chunk(df: DataFrame, chunk: Column | None) -> DataFrame:
     return df.withColumn(CHUNK, F.coalesce(chunk.cast("long"), F.lit(MIN_CHUNK)))
 
 
-def _join_summary(d: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
-    """Left-join a per-(key, chunk) summary back to the rows; keys compare
-    null-safely so rows with a null key keep their chunk carry as well."""
-    s = summary.select(*[F.col(k).alias("_sk_" + k) for k in keys], F.col(CHUNK).alias("_sc"),
-                       *[c for c in summary.columns if c not in keys and c != CHUNK])
-    cond = [d[k].eqNullSafe(s["_sk_" + k]) for k in keys] + [d[CHUNK] == s["_sc"]]
-    return d.join(s, cond, "left").drop(*["_sk_" + k for k in keys], "_sc")
+def _boundary_window(keys: list[str], order: list[str]):
+    """Window 2: the boundary rows of a key in order; other rows apart, by chunk."""
+    apart = F.when(F.col("_first") | F.col("_last"), F.lit(None).cast("long")).otherwise(F.col(CHUNK))
+    return Window.partitionBy(*keys, apart).orderBy(CHUNK, *order)
+
+
+def _local(df: DataFrame, keys: list[str], order: list[str], chunk: Column, extra) -> tuple[DataFrame, object]:
+    """Window 1: ``extra(window)`` columns plus the marks of boundary rows."""
+    w = Window.partitionBy(*keys, CHUNK).orderBy(*order)
+    d = with_chunk(df, chunk)
+    return d.select("*", (F.row_number().over(w) == 1).alias("_first"),
+                    F.lead(F.lit(1)).over(w).isNull().alias("_last"), *extra(w)), w
 
 
 def time_chunk(ts_col: str, width_seconds: int) -> Column:
@@ -61,39 +73,25 @@ def previous_values(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             return df.select("*", *[F.last(c, ignorenulls=True).over(wp).alias(prefix + c) for c in cols])
         return df.select("*", *[F.lag(c).over(w).alias(prefix + c) for c in cols])
 
-    d = with_chunk(df, chunk)
-    w = Window.partitionBy(*keys, CHUNK).orderBy(*order)
-    wp = w.rowsBetween(Window.unboundedPreceding, -1)
-    if ignore_nulls:
-        local = [F.last(c, ignorenulls=True).over(wp).alias("_l_" + c) for c in cols]
-    else:
-        local = [F.lag(c).over(w).alias("_l_" + c) for c in cols]
-    d = d.select("*", F.row_number().over(w).alias("_rn"), *local)
-
-    # Tail of every chunk: the last row (or last non-null value) per column.
-    ordkey = F.struct(*[F.col(o) for o in order])
-    if ignore_nulls:
-        aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), ordkey)).alias("_t_" + c) for c in cols]
-    else:
-        aggs = [F.max_by(F.struct(*[F.col(c).alias(c) for c in cols]), ordkey).alias("_tail")]
-    tails = df.transform(lambda x: with_chunk(x, chunk)).groupBy(*keys, CHUNK).agg(*aggs)
-    wt = Window.partitionBy(*keys).orderBy(CHUNK)
-    if ignore_nulls:
-        tails = tails.select(*keys, CHUNK, *[
-            F.last("_t_" + c, ignorenulls=True).over(wt.rowsBetween(Window.unboundedPreceding, -1))
-            .alias("_p_" + c) for c in cols])
-        carry = {c: F.col("_p_" + c) for c in cols}
-    else:
-        tails = tails.select(*keys, CHUNK, F.lag("_tail").over(wt).alias("_ptail"))
-        carry = {c: F.col("_ptail")[c] for c in cols}
-    d = _join_summary(d, tails, keys)
-    if ignore_nulls:
-        outs = [F.coalesce(F.col("_l_" + c), carry[c]).alias(prefix + c) for c in cols]
-    else:
-        outs = [F.when(F.col("_rn") == 1, carry[c]).otherwise(F.col("_l_" + c)).alias(prefix + c)
-                for c in cols]
-    keep = [c for c in df.columns]
-    return d.select(*keep, *outs)
+    if not ignore_nulls:
+        d, _ = _local(df, keys, order, chunk, lambda w: [F.lag(c).over(w).alias("_l_" + c) for c in cols])
+        b = _boundary_window(keys, order)
+        d = d.select("*", *[F.lag(c).over(b).alias("_p_" + c) for c in cols])
+        return d.select(*df.columns, *[F.when(F.col("_first"), F.col("_p_" + c)).otherwise(F.col("_l_" + c))
+                                       .alias(prefix + c) for c in cols])
+
+    def values(w):
+        before, upto = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(Window.unboundedPreceding, 0)
+        return [e for c in cols for e in (F.last(c, ignorenulls=True).over(before).alias("_l_" + c),
+                                          F.last(c, ignorenulls=True).over(upto).alias("_t_" + c))]
+
+    d, w = _local(df, keys, order, chunk, values)
+    b = _boundary_window(keys, order).rowsBetween(Window.unboundedPreceding, -1)
+    d = d.select("*", *[F.last(F.when(F.col("_last"), F.col("_t_" + c)), ignorenulls=True).over(b).alias("_p_" + c)
+                        for c in cols])
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    d = d.select("*", *[F.first("_p_" + c).over(upto).alias("_c_" + c) for c in cols])
+    return d.select(*df.columns, *[F.coalesce(F.col("_l_" + c), F.col("_c_" + c)).alias(prefix + c) for c in cols])
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column | None = None,
@@ -102,8 +100,8 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     """Inclusive running sums per key along ``order`` (``value`` -> ``out``,
     or several at once via ``sums={out: value}`` sharing one pass).
 
-    With a chunk column, each chunk is summed locally and offset by the total
-    of the preceding chunks (a prefix sum over the small per-chunk table).
+    With a chunk column, each chunk is summed locally and offset by the totals
+    of the preceding chunks.
     """
     keys, order = list(keys), list(order)
     sums = dict(sums or {})
@@ -113,15 +111,15 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     if chunk is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.select("*", *[F.sum(sums[n]).over(w).alias(n) for n in names])
-    d = with_chunk(df, chunk).select("*", *[sums[n].alias("_v_" + n) for n in names])
-    w = Window.partitionBy(*keys, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    d = d.select("*", *[F.sum("_v_" + n).over(w).alias("_l_" + n) for n in names])
-    totals = d.groupBy(*keys, CHUNK).agg(*[F.sum("_v_" + n).alias("_t_" + n) for n in names])
-    wt = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select(*keys, CHUNK, *[F.coalesce(F.sum("_t_" + n).over(wt), F.lit(0)).alias("_o_" + n)
-                                           for n in names])
-    d = _join_summary(d, totals, keys)
-    return d.select(*df.columns, *[(F.col("_l_" + n) + F.col("_o_" + n)).alias(n) for n in names])
+    d = df.select("*", *[sums[n].alias("_v_" + n) for n in names])
+    d, w = _local(d, keys, order, chunk, lambda w: [
+        F.sum("_v_" + n).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_l_" + n) for n in names])
+    b = _boundary_window(keys, order).rowsBetween(Window.unboundedPreceding, -1)
+    d = d.select("*", *[F.sum(F.when(F.col("_last"), F.col("_l_" + n))).over(b).alias("_o_" + n) for n in names])
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    d = d.select("*", *[F.first("_o_" + n).over(upto).alias("_c_" + n) for n in names])
+    return d.select(*df.columns, *[F.coalesce(F.col("_l_" + n) + F.col("_c_" + n), "_l_" + n, "_c_" + n).alias(n)
+                                   for n in names])
 
 
 def materialize(df: DataFrame, **exprs: Column) -> DataFrame:
