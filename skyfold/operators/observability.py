@@ -59,79 +59,91 @@ def rate_sum_by(samples: DataFrame, metric: str, now: int, label: str = "instanc
     return inc.groupBy(label).agg(F.sum(F.col("increase") / float(range_seconds)).alias("rate"))
 
 
-def range_agg(samples: DataFrame, series: list[str], range_seconds: int, value: Column, fn: str,
-              out: str, chunk_seconds: int = 3600) -> DataFrame:
-    """Trailing range-frame aggregate ``fn(value)`` over [ts − range, ts] per
-    series without one task per series: rows are bucketed by time chunk and
-    each row is also copied into the next chunk when it lies within
-    ``range`` of that chunk's start (a halo).  The window runs per
-    (series, chunk); halo copies are dropped afterwards."""
-    cw = max(int(chunk_seconds), int(range_seconds))
-    d = samples.withColumn("_v", value).withColumn("_c", F.floor(F.col("ts") / cw).cast("long"))
-    nxt_start = (F.col("_c") + 1) * cw
-    d = d.withColumn("_copies", F.when(F.col("ts") >= nxt_start - range_seconds,
-                                       F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
-    d = d.select("*", F.explode("_copies").alias("_halo")).withColumn("_chunk", F.col("_c") + F.col("_halo"))
-    w = Window.partitionBy(*series, "_chunk").orderBy("ts").rangeBetween(-range_seconds, 0)
-    agg = getattr(F, fn)(F.col("_v")).over(w)
-    return d.select("*", agg.alias(out)).where(F.col("_halo") == 0).drop("_v", "_c", "_copies", "_halo", "_chunk")
-
-
 @dataclass(frozen=True)
 class AlertRule:
+    """A condition over the instant values of a metric's series.
+
+    ``fn``: ``last`` (newest sample), ``avg`` or ``increase`` over the range;
+    ``across``: how series are put together (``max``, ``sum``, or None: each
+    series by itself); ``age``: compare the time minus the value; ``labels``:
+    label values that a series must have."""
     name: str
     metric: str
-    fn: str                 # aggregate over the range frame: avg | max | rate
-    range_seconds: int
+    fn: str
+    across: str | None
     op: str                 # '<' or '>'
     threshold: float
     for_seconds: int
+    age: bool = False
+    outcome: str | None = None
 
 
 # Fixed values -------------------------------------------------------------
+ALERT_LOOKBACK_SECONDS = 300
+ALERT_STEP_SECONDS = 60
 ALERT_RULES = [
-    AlertRule("CriticalTargetDown", "up", "avg", 300, "<", 1.0, 600),
-    AlertRule("RedisQueueBacklogHigh", "processor_queue_depth", "max", 0, ">", 500.0, 600),
-    AlertRule("IngesterBackoffActive", "ingester_opensky_backoff_seconds", "max", 0, ">", 0.0, 600),
-    AlertRule("OpenSkyRateLimited", "ingester_opensky_requests_since_reset", "rate", 300, ">", 0.0, 600),
+    AlertRule("CriticalTargetDown", "up", "avg", None, "<", 1.0, 600),
+    AlertRule("ProcessorStalled", "processor_last_processed_epoch", "last", "max", ">", 600.0, 300, age=True),
+    AlertRule("RedisQueueBacklogHigh", "processor_queue_depth", "last", "max", ">", 500.0, 600),
+    AlertRule("IngesterBackoffActive", "ingester_opensky_backoff_seconds", "last", "max", ">", 0.0, 600),
+    AlertRule("IngesterDisabled", "ingester_opensky_disabled", "last", "max", ">", 0.0, 120),
+    AlertRule("OpenSkyRateLimited", "ingester_opensky_states_http_requests_total", "increase", "sum", ">", 0.0, 600,
+              outcome="rate_limited"),
 ]
 # --------------------------------------------------------------------------
 
 
-def sustained_alerts(samples: DataFrame, rules=ALERT_RULES, series=("metric", "instance")) -> DataFrame:
-    """A rule fires when its condition holds continuously for at least
-    its ``for`` duration.  Condition per sample from a trailing range frame;
-    islands of consecutive true samples (chunked running sums); an island
-    fires when last ts − first ts ≥ for.  One row per true island."""
-    series = list(series)
-    out = None
+def sustained_alerts(samples: DataFrame, rules=ALERT_RULES, lookback: int = ALERT_LOOKBACK_SECONDS,
+                     step: int = ALERT_STEP_SECONDS) -> DataFrame:
+    """Islands in which a rule's condition holds at every evaluation, and
+    whether they last for the rule's ``for`` duration.  All rules in one pass.
+
+    ``samples``: metric, instance, outcome (a label, may be null), ts, seq, value.
+    Rules are evaluated every ``step`` seconds, as the alert manager does: at a
+    time g a series has the samples of (g - lookback, g], and none if it went
+    quiet longer ago.  So every sample is copied to the lookback / step times that
+    see it (a constant), values are aggregated per series and time, then
+    across series; no window holds a series.  An evaluation without samples has
+    no value and ends an island."""
+    spec = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.lit(r.metric).alias("m"), F.lit(r.outcome).alias("o"))
+                     for r in rules])
+    d = previous_values(samples, ["metric", "instance", "outcome"], ["ts", "seq"], ["value", "ts"], prefix="_p_",
+                        chunk=time_chunk("ts", 86400))
+    mine = F.filter(spec, lambda r: (r["m"] == F.col("metric")) & (r["o"].isNull() | (r["o"] == F.col("outcome"))))
+    first = F.ceil(F.col("ts") / step) * step
+    times = F.sequence(first, first + (lookback // step - 1) * step, F.lit(step).cast("long"))
+    d = d.select(F.explode(F.transform(mine, lambda r: r["rule"])).alias("rule"), "instance", "outcome", "ts", "seq",
+                 "value", "_p_value", "_p_ts", times.alias("times"))
+    d = d.select("*", F.explode("times").alias("at")).where((F.col("at") - F.col("ts")) < lookback)
+    # an increase counts if both of its samples are seen; a counter that falls was reset
+    grown = F.when(F.col("_p_ts") > F.col("at") - lookback, F.when(F.col("value") < F.col("_p_value"), F.col("value"))
+                   .otherwise(F.col("value") - F.col("_p_value"))).otherwise(0.0)
+    by = lambda f: F.col("rule").isin([r.name for r in rules if f(r)])
+    series = d.groupBy("rule", "at", "instance", "outcome").agg(
+        F.max_by("value", F.struct("ts", "seq")).alias("last"), F.avg("value").alias("avg"), F.sum(grown).alias("increase"))
+    value = F.when(by(lambda r: r.fn == "last"), F.col("last")).when(by(lambda r: r.fn == "avg"), F.col("avg")).otherwise(
+        F.col("increase"))
+    alone = by(lambda r: r.across is None)
+    group = F.when(alone, F.concat_ws("/", "instance", "outcome")).otherwise("")
+    all_ = series.select("rule", "at", group.alias("series"), value.alias("v")).groupBy("rule", "series", "at").agg(
+        F.max("v").alias("max"), F.sum("v").alias("sum"))
+    v = F.when(by(lambda r: r.across == "sum"), F.col("sum")).otherwise(F.col("max"))
+    v = F.when(by(lambda r: r.age), F.col("at") - v).otherwise(v)
+    holds = F.lit(False)
     for r in rules:
-        s = samples.where(F.col("metric") == r.metric)
-        if r.fn == "rate":
-            p = previous_values(s, series, ["ts", "seq"], ["value", "ts"], prefix="_p_", chunk=time_chunk("ts", 86400))
-            inc = F.when(F.col("_p_value").isNull(), F.lit(0.0)).when(F.col("value") < F.col("_p_value"),
-                                                                       F.col("value")) \
-                .otherwise(F.col("value") - F.col("_p_value"))
-            p = p.withColumn("_inc", inc).drop("_p_value", "_p_ts")
-            s = range_agg(p, series, r.range_seconds, F.col("_inc"), "sum", "_agg").drop("_inc")
-            s = s.withColumn("_agg", F.col("_agg") / float(r.range_seconds))
-        elif r.range_seconds > 0:
-            s = range_agg(s, series, r.range_seconds, F.col("value"), r.fn, "_agg")
-        else:
-            s = s.withColumn("_agg", F.col("value"))
-        cond = (F.col("_agg") < r.threshold) if r.op == "<" else (F.col("_agg") > r.threshold)
-        s = s.withColumn("_cond", F.coalesce(cond, F.lit(False)))
-        chunk = time_chunk("ts", 86400)
-        p = previous_values(s, series, ["ts", "seq"], ["_cond"], prefix="_p", chunk=chunk)
-        start = F.when(F.col("_p_cond").isNull() | (F.col("_p_cond") != F.col("_cond")), 1).otherwise(0)
-        isl = running_sum(p.withColumn("_st", start), series, ["ts", "seq"], F.col("_st"), "_island", chunk=chunk)
-        g = (isl.where(F.col("_cond")).groupBy(*series, "_island")
-             .agg(F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts"), F.count(F.lit(1)).alias("samples")))
-        g = g.select(F.lit(r.name).alias("rule"), *series, "start_ts", "end_ts",
-                     (F.col("end_ts") - F.col("start_ts")).alias("duration_s"), "samples",
-                     (F.col("end_ts") - F.col("start_ts") >= r.for_seconds).alias("fired"))
-        out = g if out is None else out.unionByName(g)
-    return out
+        bad = (v < r.threshold) if r.op == "<" else (v > r.threshold)
+        holds = F.when(F.col("rule") == r.name, bad).otherwise(holds)
+    true = all_.where(holds).select("rule", "series", "at")
+    key, chunk = ["rule", "series"], time_chunk("at", 86400)
+    p = previous_values(true.withColumn("before", F.col("at")), key, ["at"], ["before"], prefix="_p_", chunk=chunk)
+    new = F.when(F.col("_p_before") == F.col("at") - step, 0).otherwise(1)
+    isl = running_sum(p.withColumn("_new", new), key, ["at"], F.col("_new"), "_island", chunk=chunk)
+    lasts = F.max("at") - F.min("at")
+    due = F.create_map(*[F.lit(x) for r in rules for x in (r.name, r.for_seconds)])[F.col("rule")]
+    return isl.groupBy(*key, "_island").agg(
+        F.min("at").alias("start_ts"), F.max("at").alias("end_ts"), lasts.alias("duration_s"),
+        F.count(F.lit(1)).alias("evaluations")).select(
+        *key, "start_ts", "end_ts", "duration_s", "evaluations", (F.col("duration_s") >= due).alias("fired"))
 
 
 def period_alarms(samples: DataFrame, threshold: float, period: int = 60, n: int = 2,

@@ -924,38 +924,32 @@ def a22_rate_sum_by_instance(spark, sf):
     return d.select("instance", (F.floor(F.col("rate") * 1000000.0 + 0.5) / 1000000.0).alias("rate"))
 
 
-def _alert_sql() -> str:
-    parts = []
-    for r in Ob.ALERT_RULES:
-        if r.fn == "rate":
-            agg = (f"sum(case when pv is null then 0.0 when value < pv then value else value - pv end) over "
-                   f"(partition by metric, instance order by ts range between {r.range_seconds} preceding and current row)"
-                   f" / {float(r.range_seconds)}")
-            src = (f"(select *, lag(value) over (partition by metric, instance order by ts, seq) as pv "
-                   f"from metric_samples where metric = '{r.metric}')")
-        elif r.range_seconds > 0:
-            agg = (f"{r.fn}(value) over (partition by metric, instance order by ts range between "
-                   f"{r.range_seconds} preceding and current row)")
-            src = f"(select * from metric_samples where metric = '{r.metric}')"
-        else:
-            agg = "value"
-            src = f"(select * from metric_samples where metric = '{r.metric}')"
-        parts.append(f"""select '{r.name}' as rule, {r.for_seconds} as for_s, metric, instance, ts, seq,
-            coalesce(({agg}) {r.op} {r.threshold}, false) as cond from {src} s""")
-    return " union all ".join(parts)
-
-
-@register("w14_sustained_alerts", _MS + f""",
-c AS ({_alert_sql()}),
-i0 AS (select *, case when lag(cond) over w is null or lag(cond) over w <> cond then 1 else 0 end as st
-       from c window w as (partition by rule, metric, instance order by ts, seq)),
-i1 AS (select *, sum(st) over (partition by rule, metric, instance order by ts, seq
-         rows between unbounded preceding and current row) as island from i0)
-select rule, metric, instance, min(ts) as start_ts, max(ts) as end_ts, max(ts) - min(ts) as duration_s,
-  count(*) as samples, max(ts) - min(ts) >= max(for_s) as fired
-from i1 where cond group by rule, metric, instance, island""")
+@register("w14_sustained_alerts", duck_ctes("alert_samples") + """,
+rules AS (select * from (values
+  ('CriticalTargetDown', 'up', null, 600), ('ProcessorStalled', 'processor_last_processed_epoch', null, 300),
+  ('RedisQueueBacklogHigh', 'processor_queue_depth', null, 600),
+  ('IngesterBackoffActive', 'ingester_opensky_backoff_seconds', null, 600),
+  ('IngesterDisabled', 'ingester_opensky_disabled', null, 120),
+  ('OpenSkyRateLimited', 'ingester_opensky_states_http_requests_total', 'rate_limited', 600)) t(rule, m, o, due)),
+s AS (select *, lag(value) over w as pv, lag(ts) over w as pt from alert_samples
+      window w as (partition by metric, instance, outcome order by ts, seq)),
+g AS (select s.*, rule, due, unnest(range(((ts + 59) // 60) * 60, ts + 300, 60)) as tick
+      from s join rules on metric = m and (o is null or o = outcome)),
+per AS (select rule, due, tick, instance, max_by(value, ts) as last, avg(value) as mean,
+        sum(case when pt > tick - 300 then case when value < pv then value else value - pv end else 0 end) as inc
+        from g group by all),
+v AS (select rule, due, tick, case when rule = 'CriticalTargetDown' then instance else '' end as series,
+        max(last) as top, max(mean) as mean, sum(inc) as inc from per group by all),
+c AS (select rule, due, series, tick from v where case rule
+        when 'CriticalTargetDown' then mean < 1 when 'ProcessorStalled' then tick - top > 600
+        when 'RedisQueueBacklogHigh' then top > 500 when 'OpenSkyRateLimited' then inc > 0 else top > 0 end),
+i AS (select *, tick - 60 * row_number() over (partition by rule, series order by tick) as island from c)
+select rule, series, min(tick) as start_ts, max(tick) as end_ts, max(tick) - min(tick) as duration_s, count(*) as evaluations,
+       max(tick) - min(tick) >= max(due) as fired
+from i group by rule, series, island""")
 def w14_sustained_alerts(spark, sf):
-    return Ob.sustained_alerts(tables(spark, sf).metric_samples)
+    """Six rules over scrapes with spells that fire, spells too short, and gaps."""
+    return Ob.sustained_alerts(tables(spark, sf).alert_samples)
 
 
 @register("w18_period_alarms", _MS + """,

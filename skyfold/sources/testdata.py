@@ -159,6 +159,28 @@ select case event_type {cases} end as metric,
 from {events}"""
 
 
+def alert_samples_sql(d: Dialect, events: str = "events") -> str:
+    """M17 samples of the alert metrics: every event is a scrape of one of two
+    instances, a minute apart, with spells in which a condition holds, short
+    and long ones, and spells without any scrape (stale series)."""
+    t = "(1700000000 + event_id * 60)"
+    blk = lambda n, m, r: f"{d.idiv('event_id', str(n))} % {m} = {r}"
+    metrics = [
+        ("up", "null", f"case when {blk(40, 9, 2)} or {blk(2, 23, 4)} then 0 else 1 end"),
+        ("processor_last_processed_epoch", "null", f"{t} - case when {blk(50, 6, 3)} or {blk(2, 29, 3)} then 700 else 20 end"),
+        ("processor_queue_depth", "null", f"case when {blk(30, 7, 4)} or {blk(3, 11, 2)} then 600 else 100 + event_id % 50 end"),
+        ("ingester_opensky_backoff_seconds", "null", f"case when {blk(25, 8, 5)} or {blk(2, 31, 9)} then 30 else 0 end"),
+        ("ingester_opensky_disabled", "null", f"case when {blk(9, 17, 1)} or event_id % 37 = 5 then 1 else 0 end"),
+        ("ingester_opensky_states_http_requests_total", "'rate_limited'",
+         f"{d.idiv('(event_id % 2000)', '200')} * 40 + least(event_id % 200, 40) + {d.idiv('event_id', '700')}"),
+        ("ingester_opensky_states_http_requests_total", "'success'", "event_id"),
+    ]
+    return " union all ".join(f"""
+select '{m}' as metric, 'i' || cast(event_id % 2 as {d.string()}) as instance, cast({o} as {d.string()}) as outcome,
+       {t} as ts, event_id as seq, cast({v} as double) as value
+from {events} where {d.idiv('event_id', '100')} % 11 <> 7""" for m, o, v in metrics)
+
+
 def flow_logs_sql(d: Dialect, lineitem: str = "lineitem") -> str:
     """M18 flow-log lines: 14 space-separated fields per lineitem row."""
     s = d.string()
@@ -223,6 +245,7 @@ VIEWS = {
     "fetch_log": fetch_log_sql,
     "requests": requests_sql,
     "metric_samples": metric_samples_sql,
+    "alert_samples": alert_samples_sql,
     "flow_logs": flow_logs_sql,
     "photo_payloads": photo_payloads_sql,
 }
