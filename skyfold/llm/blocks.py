@@ -13,22 +13,26 @@ Rows of an exchange: ``dest`` (where the shuffle deals the row), ``block``,
 ``kind`` ("keys", "body" or "answer"), ``part`` (bucket, or chunk of the
 body), ``of`` (number of parts) and ``data``.  A block's body, an Arrow batch
 compressed by zstd, travels in chunks of ``BODY_BYTES`` that are dealt evenly.
-Assembly checks that every part of a block is there, once.
+Assembly checks that every part of a block is there, once.  An operator may
+send keys and bodies in one pass over the input (bodies then pass through the
+bucket tasks) or read the input again for the bodies, which halves what they
+shuffle.
 
 The number of buckets is ``spark.sql.shuffle.partitions`` (all bucket rows of a
 task are held together: choose it as for any other shuffle, so that a
-partition fits an executor's memory).  Block numbers come from the partition
-number, so the input must be a table scan or a written table.
+partition fits an executor's memory).  The input must be a table scan or a
+written table: its partitions and their order must not change between reads.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyfold.llm.words import groups_by_bytes, string_bytes
@@ -36,8 +40,8 @@ from skyfold.llm.words import groups_by_bytes, string_bytes
 BLOCK_BYTES = 1 << 22
 BODY_BYTES = 1 << 16
 
-SCHEMA = "dest int, block long, kind string, part int, of int, data binary"
-_ARROW = pa.schema([("dest", pa.int32()), ("block", pa.int64()), ("kind", pa.string()), ("part", pa.int32()),
+SCHEMA = "dest int, block string, kind string, part int, of int, data binary"
+_ARROW = pa.schema([("dest", pa.int32()), ("block", pa.string()), ("kind", pa.string()), ("part", pa.int32()),
                     ("of", pa.int32()), ("data", pa.binary())])
 
 
@@ -81,13 +85,12 @@ def _joined(held: list[pa.RecordBatch]) -> pa.RecordBatch:
     return pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def body_rows(block: int, body: bytes, parts: int) -> list[tuple]:
-    n = max(1, -(-len(body) // BODY_BYTES))
-    return [((block * 7919 + k) % parts, block, "body", k, n, body[k * BODY_BYTES:(k + 1) * BODY_BYTES])
-            for k in range(n)]
+def body_rows(block: str, body: bytes, parts: int, kind: str = "body") -> list[tuple]:
+    n, first = max(1, -(-len(body) // BODY_BYTES)), zlib.crc32(block.encode())
+    return [((first + k) % parts, block, kind, k, n, body[k * BODY_BYTES:(k + 1) * BODY_BYTES]) for k in range(n)]
 
 
-def key_rows(block: int, packed: list[bytes], parts: int) -> list[tuple]:
+def key_rows(block: str, packed: list[bytes], parts: int) -> list[tuple]:
     """One row per bucket; buckets without keys still get their row, so that
     the assembly can tell a lost row from an empty one."""
     return [(b, block, "keys", b, parts, data) for b, data in enumerate(packed)]
@@ -99,18 +102,25 @@ def bucket_of(keys: np.ndarray, parts: int) -> np.ndarray:
 
 
 def blocks_out(docs: DataFrame, text_col: str, parts: int, split: Callable, most: int = BLOCK_BYTES) -> DataFrame:
-    """Cuts ``docs`` into blocks; ``split(batch)`` gives (body, packed keys by bucket)."""
+    """Cuts ``docs`` into blocks; ``split(batch)`` gives (body, packed keys by
+    bucket), either of which may be None.  A block is named by its partition,
+    its place there and a checksum of its texts: if ``docs`` is read twice and
+    differs, the names do not meet and the assembly raises."""
     def run(batches):
-        first = TaskContext.get().partitionId() << 32
         for k, batch in enumerate(slices(batches, text_col, most)):
+            part = batch.column("_part")[0].as_py()
+            batch = batch.drop_columns(["_part"])
             body, packed = split(batch)
-            block = first + k
-            yield to_batch(key_rows(block, packed, parts))
-            rows = body_rows(block, body, parts)
+            raw, off = string_bytes(batch.column(text_col))
+            block = f"{part}-{k}-{zlib.crc32(off.tobytes(), zlib.crc32(raw[off[0]:off[-1]]))}"
+            if packed is not None:
+                yield to_batch(key_rows(block, packed, parts))
+            rows = body_rows(block, body, parts) if body is not None else []
             for i in range(0, len(rows), 64):
                 yield to_batch(rows[i:i + 64])
 
-    return docs.mapInArrow(run, SCHEMA)
+    # the input's own partition number: a task's differs under a union
+    return docs.withColumn("_part", F.spark_partition_id()).mapInArrow(run, SCHEMA)
 
 
 def by_bucket(rows: DataFrame, parts: int, answer: Callable) -> DataFrame:
@@ -134,9 +144,9 @@ def by_bucket(rows: DataFrame, parts: int, answer: Callable) -> DataFrame:
     return rows.repartition(parts, "dest").mapInArrow(run, SCHEMA)
 
 
-def parts_of(table: pa.Table) -> tuple[bytes, list[bytes]]:
-    """(body, answers by bucket) of a block; raises if a part is missing."""
-    found: dict[str, dict[int, bytes]] = {"body": {}, "answer": {}}
+def parts_of(table: pa.Table, kinds: tuple[str, ...]) -> list[list[bytes]]:
+    """The parts of each kind of a block, in order; raises if one is missing."""
+    found: dict[str, dict[int, bytes]] = {k: {} for k in kinds}
     want: dict[str, int] = {}
     for kind, part, of, data in zip(*(table.column(c).to_pylist() for c in ("kind", "part", "of", "data"))):
         if part in found[kind]:
@@ -146,16 +156,16 @@ def parts_of(table: pa.Table) -> tuple[bytes, list[bytes]]:
     for kind, got in found.items():
         if len(got) != want.get(kind):
             raise RuntimeError("a part of a block is missing: the input of the operator is not stable")
-    return (b"".join(found["body"][k] for k in range(want["body"])),
-            [found["answer"][k] for k in range(want["answer"])])
+    return [[got[k] for k in range(want[kind])] for kind, got in found.items()]
 
 
-def by_block(rows: DataFrame, assemble: Callable, schema: T.StructType | str) -> DataFrame:
-    """Brings a block's body and answers together: ``assemble(block, body, answers)``
-    gives an Arrow table of ``schema``."""
+def by_block(rows: DataFrame, assemble: Callable, schema: T.StructType | str,
+             kinds: tuple[str, ...] = ("body", "answer")) -> DataFrame:
+    """Brings a block's parts together: ``assemble(block, *parts by kind)`` gives
+    an Arrow table of ``schema``; a body comes as one piece, answers as a list."""
     def run(key, table):
-        body, answers = parts_of(table)
-        return assemble(key[0].as_py(), body, answers)
+        parts = parts_of(table, kinds)
+        return assemble(key[0].as_py(), *[p if kind == "answer" else b"".join(p) for kind, p in zip(kinds, parts)])
 
     return rows.groupBy("block").applyInArrow(run, schema)
 

@@ -29,6 +29,8 @@ through, input columns named as an output column are replaced.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -140,33 +142,33 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = WINDOW
     out = T.StructType([f for f in docs.schema.fields if f.name != "_text" or source == text_col] + NEW.fields)
 
     def nodes(batch):
-        packed, _ = B.pack_keys([Windows(batch.column(source), window).nodes()[0]], parts)
-        return B.pack_batch(batch), packed
+        return None, B.pack_keys([Windows(batch.column(source), window).nodes()[0]], parts)[0]
 
     def edges(block, body, answers):
-        batch = B.unpack_batch(body)
-        w = Windows(batch.column(source), window)
+        w = Windows(B.unpack_batch(body).column(source), window)
         keys, of = w.nodes()
         packed, inverse = B.pack_keys([keys], parts)
         some = B.unpack_bits(answers, packed)[inverse][of] if len(of) else np.zeros(0, dtype=bool)
         packed, _ = B.pack_keys(w.edges(np.flatnonzero(some)), parts)
-        mask = np.packbits(some).tobytes()
-        body = np.int64(len(mask)).tobytes() + mask + body
-        return pa.Table.from_batches([B.to_batch(B.key_rows(block, packed, parts) + B.body_rows(block, body, parts))])
+        mask = zlib.compress(np.packbits(some).tobytes())
+        return pa.Table.from_batches([B.to_batch(
+            B.key_rows(block, packed, parts) + B.body_rows(block, mask, parts, "mask"))])
 
-    def paths(block, body, answers):
-        n = int(np.frombuffer(body, np.int64, 1)[0])
-        batch = B.unpack_batch(body[8 + n:])
+    def paths(block, body, mask, answers):
+        batch = B.unpack_batch(body)
         w = Windows(batch.column(source), window)
-        some = np.flatnonzero(np.unpackbits(np.frombuffer(body, np.uint8, n, 8), count=len(w.at)))
+        some = np.flatnonzero(np.unpackbits(np.frombuffer(zlib.decompress(mask), np.uint8), count=len(w.at)))
         packed, inverse = B.pack_keys(w.edges(some), parts)
         repeated = some[B.unpack_bits(answers, packed)[inverse]] if len(some) else some
         cols = {c: batch.column(c) for c in batch.schema.names} | _new_columns(w, repeated)
         return pa.table([cols[f.name] for f in out.fields], names=out.names)
 
-    sent = B.by_bucket(B.blocks_out(docs, source, parts, nodes, block_bytes), parts, B.answer_repeated(1))
-    sent = B.by_bucket(B.by_block(sent, edges, B.SCHEMA), parts, B.answer_repeated(2))
-    return B.by_block(sent, paths, out)
+    blocks = lambda split: B.blocks_out(docs, source, parts, split, block_bytes)
+    bodies = blocks(lambda batch: (B.pack_batch(batch), None))
+    repeated_nodes = B.by_bucket(blocks(nodes), parts, B.answer_repeated(1))
+    sent = B.by_block(repeated_nodes.union(bodies), edges, B.SCHEMA)
+    repeated_edges = B.by_bucket(sent, parts, B.answer_repeated(2))
+    return B.by_block(repeated_edges.union(bodies), paths, out, ("body", "mask", "answer"))
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
