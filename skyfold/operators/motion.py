@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyfold.functions.expr import haversine_km, lerp, lerp_heading
+from skyfold.operators.latest import latest_by_last_seen
+from skyfold.operators.metrics import median_batch_gap, motion_usable
 
 # Fixed values -------------------------------------------------------------
 MAX_GAP_SECONDS = 180
@@ -81,5 +83,17 @@ def batch_durations(batches: DataFrame, batch: str = "batch_epoch") -> DataFrame
 
 def motion_plan(items: DataFrame, steps: int = 4) -> DataFrame:
     """Q7 frames: dedup items (A2 on map items) -> start pose (W8) -> frames."""
-    starts = motion_start(items)
+    starts = motion_start(latest_by_last_seen(items, ts="last_seen", tiebreak="callsign"))
     return interpolate_positions(starts, steps)
+
+
+def motion_answer(items: DataFrame) -> DataFrame:
+    """Q7 without its frames: per aircraft the start pose (W8), the shared
+    duration (A16, one row, broadcast) and whether it stands still (W5's
+    threshold between start and target)."""
+    from skyfold.operators.tracks import STATIC_THRESHOLD_KM
+    one = latest_by_last_seen(items, ts="last_seen", tiebreak="callsign")
+    usable = motion_usable()
+    still = usable & (haversine_km("prev_lat", "prev_lon", "lat", "lon") <= STATIC_THRESHOLD_KM)
+    return motion_start(one).withColumn("is_static", F.coalesce(still, F.lit(False))).crossJoin(
+        F.broadcast(median_batch_gap(one).select("duration_ms")))

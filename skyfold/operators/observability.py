@@ -25,9 +25,15 @@ def read_flow_logs(df: DataFrame, message: str = "message", keep_status: str | N
     return parsed.where(F.col("log_status") == keep_status) if keep_status else parsed
 
 
-def read_metric_samples(spark, path: str, fmt: str = "parquet") -> DataFrame:
-    """(metric, labels, ts, value) samples from files."""
-    return spark.read.format(fmt).load(path)
+METRIC_SAMPLE_DDL = "metric string, labels map<string, string>, ts timestamp, value double"
+
+
+def read_metric_samples(spark, path: str, fmt: str = "parquet", labels: tuple[str, ...] = ("instance",)) -> DataFrame:
+    """Typed samples from files, with the named labels as columns and the
+    time as an epoch: (metric, labels, <labels>, ts, value)."""
+    d = spark.read.schema(METRIC_SAMPLE_DDL).format(fmt).load(path)
+    return d.select("metric", "labels", *[F.col("labels")[n].alias(n) for n in labels],
+                    F.unix_seconds("ts").alias("ts"), "value")
 
 
 def flows_by_action(flows: DataFrame, ts: str = "ts", width: int = FLOW_BIN_SECONDS) -> DataFrame:

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 
 from skyfold.plans import oracle_sql as O
 from skyfold.sources.testdata import Tables, duck_ctes
@@ -438,7 +438,7 @@ select event_id,
   {_r6('2 * 6371.0 * atan2(sqrt(sin(radians(lat - plat) / 2) ** 2 + cos(radians(plat)) * cos(radians(lat)) * sin(radians(lon - plon) / 2) ** 2), sqrt(1 - (sin(radians(lat - plat) / 2) ** 2 + cos(radians(plat)) * cos(radians(lat)) * sin(radians(lon - plon) / 2) ** 2)))')} as dist_km,
   {_r6('case when plat is null or lat is null then lat else plat + (lat - plat) * 0.5 end')} as mid_lat,
   {_r6('case when phead is null or heading is null then heading else (((phead + ((((heading - phead + 540.0) % 360.0) - 180.0)) * 0.5) % 360.0) + 360.0) % 360.0 end')} as mid_heading,
-  {_r6('velocity * 1.852')} as speed_kmh,
+  floor(velocity * 1.852 * 10.0 + 0.5) / 10.0 as speed_kmh,
   {O.round2_sql('velocity / 3.0')} as round2_third,
   case when velocity > 0 then {_r6('(heading * 100.0) / velocity')} else 0.0 end as pct_value
 from w""")
@@ -455,7 +455,7 @@ def n_expressions(spark, sf):
         r6(X.haversine_km("plat", "plon", "lat", "lon")).alias("dist_km"),
         r6(X.lerp("plat", "lat", F.lit(0.5))).alias("mid_lat"),
         r6(X.lerp_heading("phead", "heading", F.lit(0.5))).alias("mid_heading"),
-        r6(F.col("velocity") * X.KNOTS_TO_KMH).alias("speed_kmh"),
+        r6(X.knots_to_kmh("velocity")).alias("speed_kmh"),
         X.round2(F.col("velocity") / 3.0).alias("round2_third"),
         r6(X.pct("heading", "velocity")).alias("pct_value"))
 
@@ -1457,20 +1457,15 @@ select c.icao24, c.last_contact, c.lat, c.lon, p.last_contact as start_last_cont
        p.lon as start_lon from cur c left join prv p on c.icao24 = p.icao24""")
 def j6_pair_batches(spark, sf):
     p = tables(spark, sf).positions
-    top = [r[0] for r in p.where(F.col("batch_epoch").isNotNull()).select("batch_epoch").distinct()
-           .orderBy(F.col("batch_epoch").desc()).limit(2).collect()]
-    snap = lambda b: latest_by_last_seen_batch(p, b)
-    cur = snap(top[0]).select("icao24", "last_contact", "lat", "lon")
-    prev = snap(top[1]).select("icao24", "last_contact", "lat", "lon") if len(top) > 1 else cur.limit(0)
-    return pair_batches(prev, cur).select("icao24", "last_contact", "lat", "lon", "start_last_contact",
-                                          "start_lat", "start_lon")
-
-
-def latest_by_last_seen_batch(p, batch):
-    """The per-aircraft snapshot of one batch (newest report in it)."""
-    b = p.where(F.col("batch_epoch") == F.lit(batch))
-    return b.groupBy("icao24").agg(F.max_by(F.struct(*b.columns), F.struct("last_contact", "event_id")).alias("r")) \
-        .select("r.*")
+    # the two newest batches, at most two rows; without any batch there is no pair
+    top = p.where(F.col("batch_epoch").isNotNull()).groupBy("batch_epoch").agg(F.lit(0).alias("_one")).orderBy(
+        F.col("batch_epoch").desc()).limit(2)
+    newest = F.max("batch_epoch").over(Window.partitionBy("_one"))
+    rows = p.join(F.broadcast(top.select("batch_epoch", (F.col("batch_epoch") == newest).alias("_current"))), "batch_epoch")
+    snap = rows.groupBy("icao24", "_current").agg(F.max_by(
+        F.struct("last_contact", "lat", "lon"), F.struct("last_contact", "event_id")).alias("r")).select("icao24", "_current", "r.*")
+    return pair_batches(snap.where(~F.col("_current")).drop("_current"), snap.where("_current").drop("_current")).select(
+        "icao24", "last_contact", "lat", "lon", "start_last_contact", "start_lat", "start_lon")
 
 
 @register("q1_list_flights_by_attributes", _Q1_BASE + f"""
@@ -1546,3 +1541,68 @@ def q8_fetch_quota_report(spark, sf):
         "source_id", "requests", "failures", "max_consecutive_failures", "rate_limited", "periods",
         F.col("l.level").alias("last_level"), F.col("l.credits_since_reset").alias("last_credits_since_reset"),
         F.col("l.requests_since_reset").alias("last_requests_since_reset"))
+
+
+# ---------------------------------------------------------------- readers and writers, by round trip
+from skyfold.operators import metrics as _MO  # noqa: E402
+from skyfold.operators.filters import attr_filter  # noqa: E402
+from skyfold.operators.motion import motion_answer  # noqa: E402
+
+
+@register("k1_publish_events", _POS + """
+select icao24, callsign, lat, lon, velocity, heading, geo_altitude, baro_altitude, on_ground, time_position, last_contact,
+       batch_epoch, '2024-01-01T00:00:00Z' as ingested_at from positions where icao24 is not null""")
+def k1_publish_events(spark, sf):
+    """Published payloads, written as text to the shared folder and read again."""
+    d = St.stream_dir(spark, "k1")
+    Rd.publish_events(tables(spark, sf).positions.where("icao24 is not null"), "2024-01-01T00:00:00Z").write.text(d)
+    valid, _ = Rd.split_events(Rd.read_position_events(spark.read.text(d)))
+    return valid.drop("vertical_rate")
+
+
+@register("k3_reference_artifact", ORACLES["q4_aircraft_reference"])
+def k3_reference_artifact(spark, sf):
+    """The reference table as a versioned artifact, loaded again."""
+    table, stats = _reference(spark, sf)
+    target = R.write_aircraft_reference(table, stats, St.stream_dir(spark, "k3"), "1")
+    return R.load_aircraft_reference(spark, target + "/aircraft").select(*q4_aircraft_reference(spark, sf).columns)
+
+
+@register("s8_metric_samples", _MS + "select metric, instance, ts, value from metric_samples")
+def s8_metric_samples(spark, sf):
+    """Samples written as JSON with a label map, read with the typed reader."""
+    d = St.stream_dir(spark, "s8")
+    tables(spark, sf).metric_samples.select(
+        "metric", F.create_map(F.lit("instance"), F.col("instance")).alias("labels"),
+        F.timestamp_seconds("ts").alias("ts"), "value").write.json(d)
+    return Ob.read_metric_samples(spark, d, "json").select("metric", "instance", "ts", "value")
+
+
+@register("t7_retained_buckets", _EV_ENRICHED + f"""
+select bucket_epoch, events_total from ({_minutes_sql(3600)})
+where bucket_epoch + 604800 + 3600 > (select max(last_contact) from positions)""")
+def t7_retained_buckets(spark, sf):
+    """Hourly buckets still kept at the newest report, with a retention of a week."""
+    t = tables(spark, sf)
+    b = activity_buckets(enrich_events(t.positions.where(F.col("icao24").isNotNull()), t.aircraft), 3600)
+    return St.retained_buckets(b, now_epoch(t.positions), 3600, 7 * 86400).select("bucket_epoch", "events_total")
+
+
+@register("f6_country_filter", _POS + "select icao24, country from aircraft where lower(trim(country)) = 'nation_3'")
+def f6_country_filter(spark, sf):
+    return attr_filter(tables(spark, sf).aircraft, "country", "  NATION_3 ", "lower").select("icao24", "country")
+
+
+@register("q7_motion_answer", _ITEMS + f""",
+gap AS (select median(last_seen - prev_last_seen) as g from st where use and last_seen > prev_last_seen),
+n AS (select count(*) as n from st where use)
+select icao24, case when use then coalesce(prev_lat, lat) else lat end as start_lat,
+       case when use then coalesce(prev_lon, lon) else lon end as start_lon,
+       cast(case when n.n > 0 then least({float(_MO.MOTION_MAX_MS)}, greatest({float(_MO.MOTION_MIN_MS)},
+            coalesce(gap.g * 1000.0, {float(_MO.MOTION_FALLBACK_MS)}))) end as double) as duration_ms,
+       coalesce(use and 2 * 6371.0 * asin(sqrt(sin(radians(lat - prev_lat) / 2) ** 2 + cos(radians(prev_lat))
+            * cos(radians(lat)) * sin(radians(lon - prev_lon) / 2) ** 2)) <= 0.05, false) as is_static
+from st, gap, n""")
+def q7_motion_answer(spark, sf):
+    """Start pose, duration and static flag of every map item."""
+    return motion_answer(_items(spark, sf)).select("icao24", "start_lat", "start_lon", "duration_ms", "is_static")
