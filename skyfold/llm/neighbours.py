@@ -15,7 +15,8 @@ all parts are merged.
 Parts are dealt out as blocks of at most ``BLOCK`` vectors by ``BLOCK`` queries,
 so a part that holds a third of all vectors (copies of one vector, say) is many
 tasks, and no block is unbounded.  Every block returns at most ``k`` rows a
-query.  The model and one count per part are all that is broadcast.
+query; a query's most probable part is searched first, and other parts return
+only what reaches the k-th score found there.  The model and one count per part are all that is broadcast.
 
 Defined results: vectors that are null, zero, of another length than most, or
 that hold null or non-finite components take no part, nor do rows without an
@@ -113,69 +114,81 @@ def ranked_parts(rows: DataFrame, model) -> DataFrame:
     return rows.mapInArrow(run, fields + ", parts array<int>")
 
 
-def best_rows(q: np.ndarray, qid: np.ndarray, x: np.ndarray, xid: np.ndarray, k: int) -> pd.DataFrame:
-    """The k best rows of a block for each query, scores added up in order."""
+def best_rows(q: np.ndarray, qid: np.ndarray, floor: np.ndarray, x: np.ndarray, xid: np.ndarray, k: int) -> pd.DataFrame:
+    """The k best rows of a block for each query, scores added up in order;
+    rows below the query's ``floor`` are left out."""
     out = []
     for i in range(0, len(q), 512):
         s = q[i:i + 512] @ x.T
         s[qid[i:i + 512, None] == xid[None, :]] = -np.inf
         m = min(k, len(x))
-        edge = np.partition(s, len(x) - m, axis=1)[:, len(x) - m]
+        edge = np.maximum(np.partition(s, len(x) - m, axis=1)[:, len(x) - m], floor[i:i + 512])
         # products of a matrix may differ in their last bits from sums in order
         slack = 1e-9 * (1 + np.abs(edge))
         a, b = np.nonzero((s >= (edge - np.where(np.isfinite(edge), slack, 0))[:, None]) & np.isfinite(s))
         for j in range(0, len(a), 1 << 16):
             aa, bb = a[j:j + (1 << 16)], b[j:j + (1 << 16)]
             score = np.cumsum(q[i + aa] * x[bb], axis=1)[:, -1]
-            out.append(pd.DataFrame({"query_id": qid[i + aa], "vec_id": xid[bb], "score": score}))
+            high = score >= floor[i + aa]
+            out.append(pd.DataFrame({"query_id": qid[i + aa][high], "vec_id": xid[bb][high], "score": score[high]}))
     if not out:
         return pd.DataFrame({"query_id": qid[:0], "vec_id": xid[:0], "score": np.zeros(0)})
     got = pd.concat(out).sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True], kind="stable")
     return got[got.groupby("query_id").cumcount() < k]
 
 
-def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest found of every row that
-    ``is_query`` (a condition on vec_id) names."""
-    rows = stored(usable(vectors, id_col, vector_col), "ann-vectors")
-    model, visits = learn(rows, k)
-    placed = stored(ranked_parts(rows, model).select(
-        "vec_id", "v", F.get("parts", F.lit(0)).alias("part"), F.when(is_query, F.col("parts")).alias("parts")), "ann-parts")
-    size = {r["part"]: r["count"] for r in placed.groupBy("part").count().collect()}
-    total = F.create_map(*[F.lit(x) for p, n in size.items() for x in (p, n)]) if size else F.lit(None).cast("map<int,bigint>")
-    index = placed.select("vec_id", "v", "part")
-    # a query's parts: the first ``visits``, and on while those before hold too few vectors
-    before = lambda i: F.aggregate(F.slice("parts", 1, i), F.lit(0).cast("bigint"),
-                                   lambda a, p: a + F.coalesce(total[p], F.lit(0)))
-    queries = placed.where(F.col("parts").isNotNull()).select(
-        F.col("vec_id").alias("query_id"), F.col("v").alias("q"), F.explode(F.filter(F.transform(
-            "parts", lambda p, i: F.when((i < visits) | (before(i) <= k), p)), lambda p: p.isNotNull())).alias("part"))
-    # blocks: a part's vectors by its queries, dealt by hash
-    asked = {r["part"]: r["count"] for r in queries.groupBy("part").count().collect()}
+def compare_in_blocks(index: DataFrame, queries: DataFrame, size: dict[int, int], k: int) -> DataFrame:
+    """(query_id, vec_id, score): per block the k best of each query that reach
+    its floor.  ``index``: vec_id, v, part; ``queries``: query_id, q, part, floor."""
+    asked = {r["part"]: r["count"] for r in queries.groupBy("part").count().collect()}  # one row a part
     blocks = lambda n: -(-n // BLOCK)
-    deal = vectors.sparkSession.createDataFrame(
-        [(p, blocks(n), blocks(asked.get(p, 0))) for p, n in size.items() if asked.get(p)], "part int, vs int, qs int")
+    deal = index.sparkSession.createDataFrame(
+        [(p, blocks(n), blocks(asked[p])) for p, n in size.items() if asked.get(p)], "part int, vs int, qs int")
     vs = index.join(F.broadcast(deal), "part").select(
         "part", F.pmod(F.xxhash64("vec_id"), "vs").cast("int").alias("vb"),
         F.explode(F.sequence(F.lit(0), F.col("qs") - 1)).alias("qb"), "vec_id", "v")
     qs = queries.join(F.broadcast(deal), "part").select(
         "part", F.explode(F.sequence(F.lit(0), F.col("vs") - 1)).alias("vb"),
-        F.pmod(F.xxhash64("query_id"), "qs").cast("int").alias("qb"), "query_id", "q")
+        F.pmod(F.xxhash64("query_id"), "qs").cast("int").alias("qb"), "query_id", "q", "floor")
 
     def compare(x: pa.Table, q: pa.Table) -> pa.Table:
         if not len(x) or not len(q):
             got = pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
         else:
-            got = best_rows(_matrix(q.column("q")), np.asarray(q.column("query_id")), _matrix(x.column("v")),
-                            np.asarray(x.column("vec_id")), k)
+            got = best_rows(_matrix(q.column("q")), np.asarray(q.column("query_id")), np.asarray(q.column("floor")),
+                            _matrix(x.column("v")), np.asarray(x.column("vec_id")), k)
         return pa.Table.from_pandas(got, pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()),
                                                     ("score", pa.float64())]), preserve_index=False)
 
     key = ["part", "vb", "qb"]
-    found = vs.groupBy(*key).cogroup(qs.groupBy(*key)).applyInArrow(
+    return vs.groupBy(*key).cogroup(qs.groupBy(*key)).applyInArrow(
         compare, "query_id bigint, vec_id bigint, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    """(query_id, rank, vec_id, score): the k nearest found of every row that
+    ``is_query`` (a condition on vec_id) names."""
+    rows = stored(usable(vectors, id_col, vector_col), "ann-vectors")
+    model, visits = learn(rows, k)
+    placed = stored(ranked_parts(rows, model).select(
+        "vec_id", "v", F.get("parts", F.lit(0)).alias("part"), F.when(is_query, F.col("parts")).alias("parts")), "ann-parts")
+    size = {r["part"]: r["count"] for r in placed.groupBy("part").count().collect()}
+    total = F.create_map(*[F.lit(x) for p, n in size.items() for x in (p, n)]) if size else F.lit(None).cast("map<int,bigint>")
+    index = placed.select("vec_id", "v", "part")
+    # a query's parts: the first ``visits``, and on while those before hold too few vectors
+    before = lambda i: F.aggregate(F.slice("parts", 1, i), F.lit(0).cast("bigint"),
+                                   lambda a, p: a + F.coalesce(total[p], F.lit(0)))
+    queries = placed.where(F.col("parts").isNotNull()).select(
+        F.col("vec_id").alias("query_id"), F.col("v").alias("q"), F.posexplode(F.filter(F.transform(
+            "parts", lambda p, i: F.when((i < visits) | (before(i) <= k), p)), lambda p: p.isNotNull())).alias("nth", "part"))
+    # the most probable part first: its k-th score is a floor for what other parts need to report
+    low = F.lit(float("-inf"))
+    home = stored(compare_in_blocks(index, queries.where("nth = 0").withColumn("floor", low), size, k), "ann-home")
+    best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    floor = home.withColumn("n", best).where(F.col("n") == k).select("query_id", F.col("score").alias("floor"))
+    rest = queries.where("nth > 0").join(floor, "query_id", "left").withColumn("floor", F.coalesce("floor", low))
+    found = home.union(compare_in_blocks(index, rest, size, k))
+    return found.withColumn("rank", best).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op6_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
