@@ -36,7 +36,7 @@ from skyfold.llm.pretokens import distinct, expand, rank_encoder, read_ranks
 from skyfold.llm.words import groups_by_bytes, ranges, word_hashes
 
 #: Larger blocks repeat fewer words between blocks.
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 10 << 20
 #: Pre-tokens put together at a time.
 ASSEMBLE = 1 << 18
 #: Ids decoded at a time.

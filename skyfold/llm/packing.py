@@ -39,7 +39,7 @@ SEQUENCE = 2048
 END_ID = 1
 BUCKETS, DIMS, BITS = 256, 3, 16
 #: Pre-tokens a worker remembers.
-CACHE = 400_000
+CACHE = 200_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -72,7 +72,7 @@ def piece_encoder(path: str):
     return lambda piece: whole.encode(piece.decode(), add_special_tokens=False).ids
 
 
-_known: dict[str, dict[bytes, np.ndarray]] = {}
+_known: dict[str, dict[bytes, bytes]] = {}
 
 
 def tokenise(texts: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
@@ -86,12 +86,12 @@ def tokenise(texts: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
             if got is None:
                 if len(known) >= CACHE:
                     known.clear()
-                got = known[w] = np.array(encode(w), dtype=np.uint32)
+                got = known[w] = np.array(encode(w), dtype="<u4").tobytes()
             ids.append(got)
         if not ids:
             continue
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat.append(expand(np.concatenate(ids), size, inverse))
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat.append(expand(np.frombuffer(b"".join(ids), "<u4"), size, inverse))
         total = np.r_[0, np.cumsum(size[inverse])]
         at = np.r_[0, np.cumsum(sizes)]
         np.add.at(count, rows, total[at[1:]] - total[at[:-1]])
@@ -154,7 +154,7 @@ def tokenised(docs: DataFrame, path: str, id_col: str, text_col: str, end_id: in
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
+            for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 1024)
                 ids, count = tokenise(part.column("_text").to_pylist(), path)
                 key = hilbert_key(curve_cells(ids, count))

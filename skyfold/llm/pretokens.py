@@ -94,7 +94,7 @@ def rank_encoder(path: str):
 # Distinct pre-tokens of many rows ------------------------------------------
 
 #: Characters that are split at a time.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 
 
 def _pieces(texts: list[str]):

@@ -54,7 +54,7 @@ LEAF_AIM, LEAF = 4096, 16384
 #: Below this many nodes a branch of the in-memory tree is compared directly.
 DIRECT = 512
 #: Shingle hashes whose bits are unpacked at a time.
-UNPACK = 1 << 16
+UNPACK = 1 << 14
 
 
 def shingle_hashes(text: Column, shingle: int) -> tuple[Column, Column]:

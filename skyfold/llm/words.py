@@ -13,7 +13,9 @@ import functools
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = (1 << 18) - 1
+#: Values that are hashed together at a time.
+CHUNK_VALUES = (1 << 16) - 1
 
 #: Odd multipliers of the two independent polynomial hashes.
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
@@ -59,13 +61,16 @@ def _table(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def rolling(h: np.ndarray, k: int, which: int) -> np.ndarray:
     """Hash of every ``k`` consecutive values of ``h`` (length ``len(h)-k+1``)."""
-    n = len(h)
-    if n < k:
-        return np.zeros(0, dtype=np.uint64)
-    p, inv = _table(which, n + 1)
-    s = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(h * p[:n], out=s[1:])
-    return mix((s[k:] - s[:-k]) * inv[:n - k + 1] + _U(k))
+    n = max(0, len(h) - k + 1)
+    out = np.zeros(n, dtype=np.uint64)
+    step = max(1, CHUNK_VALUES - k)
+    for i in range(0, n, step):
+        part = h[i:i + step + k - 1]
+        p, inv = _table(which, len(part) + 1)
+        s = np.zeros(len(part) + 1, dtype=np.uint64)
+        np.cumsum(part * p[:len(part)], out=s[1:])
+        out[i:i + step] = mix((s[k:] - s[:-k]) * inv[:len(part) - k + 1] + _U(k))
+    return out
 
 
 def string_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
