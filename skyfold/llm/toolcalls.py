@@ -9,10 +9,9 @@ canonical JSON.  Everything is built-in DataFrame functions.
   turn; how many there were is counted), by partial aggregation, so a repeated
   identifier costs one row and the hash join has unique keys on both sides.
 * Order: ``depth`` is the length of the longest dependency chain before a call.
-  Calls without open dependencies are peeled off round by round; each round is
-  two joins over the edges that are left, written to the shared folder.  The
-  rounds are as many as the longest chain; a conversation is never gathered in
-  one task.  (depth, turn, call_id) is the topological order; calls on a cycle,
+  Edges from calls that wait for nothing go, round by round; a round is one
+  join over the edges that are left, written to the shared folder.  The rounds
+  are as many as the longest chain; a conversation is never gathered in one task.  (depth, turn, call_id) is the topological order; calls on a cycle,
   or behind one, have no depth.
 * Arguments are parsed once into a variant; schemas compile into one
   expression.  Canonical JSON has no blanks, sorted keys at every level and
@@ -28,11 +27,13 @@ tables give an empty result; columns other than the named ones are not read.
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyfold.llm.storage import stored
 from skyfold.operators.sequence import materialize
 from skyfold.session import ensure_checkpoint_dir
 
@@ -89,31 +90,26 @@ def argument_errors(name: Column, arguments: Column, value: Column, schemas: dic
 
 
 def topological_depth(edges: DataFrame) -> DataFrame:
-    """(conv_id, call_id, depth) for the calls on ``edges`` (conv_id, before,
-    after); depth is null on and behind cycles."""
+    """(conv_id, call_id, depth) for the calls that wait on ``edges`` (conv_id,
+    before, after); depth is null on and behind cycles.
+
+    A round keeps the edges whose first call waits itself; a call that still
+    waits in round k has a chain of more than k calls before it.  Edges that no
+    round removes are cycles and what they lead to."""
     ensure_checkpoint_dir(edges.sparkSession)
     left = edges.select("conv_id", "before", "after").distinct().checkpoint()
-    nodes = left.select("conv_id", F.col("before").alias("call_id")).union(
-        left.select("conv_id", F.col("after").alias("call_id"))).distinct()
-
-    def waiting(e: DataFrame) -> DataFrame:
-        return e.select("conv_id", F.col("after").alias("call_id")).distinct()
-
-    free = nodes.join(waiting(left), KEY, "left_anti").checkpoint()
-    found, depth = [], 0
-    while not free.isEmpty():
-        found.append(free.withColumn("depth", F.lit(depth)))
-        done = free.withColumnRenamed("call_id", "before")
-        freed = waiting(left.join(done, ["conv_id", "before"], "left_semi"))
-        left = left.join(done, ["conv_id", "before"], "left_anti").checkpoint()
-        free = freed.join(waiting(left), KEY, "left_anti").checkpoint()
-        depth += 1
-    out = nodes.select(*KEY, F.lit(None).cast("int").alias("depth")).join(waiting(left), KEY, "left_semi")
-    behind = left.select("conv_id", F.col("before").alias("call_id"), F.lit(None).cast("int").alias("depth")).distinct()
-    out = out.union(behind).distinct()
-    for f in found:
-        out = out.union(f.select(*KEY, "depth"))
-    return out
+    n, rounds = left.count(), []
+    while n:
+        rounds.append(left.withColumn("round", F.lit(len(rounds))))
+        waiting = left.select("conv_id", F.col("after").alias("before")).distinct()
+        left = left.join(waiting, ["conv_id", "before"], "left_semi").checkpoint()
+        n, was = left.count(), n
+        if n == was:
+            rounds.append(left.withColumn("round", F.lit(None).cast("int")))
+            break
+    seen = functools.reduce(DataFrame.union, rounds, left.limit(0).withColumn("round", F.lit(0)))
+    return seen.groupBy("conv_id", F.col("after").alias("call_id")).agg(
+        F.when(F.bool_and(F.col("round").isNotNull()), F.max("round") + 1).alias("depth"))
 
 
 def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, list[Field]]) -> DataFrame:
@@ -122,8 +118,8 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, lis
 
     ``calls``: conv_id, call_id, turn, name, arguments (JSON text), depends_on
     (array of call ids); ``results``: conv_id, call_id, turn, content."""
-    first = calls.groupBy(*KEY).agg(
-        F.min(F.struct("turn", "name", "arguments", "depends_on")).alias("call"), F.count("*").alias("n_calls"))
+    first = stored(calls.groupBy(*KEY).agg(
+        F.min(F.struct("turn", "name", "arguments", "depends_on")).alias("call"), F.count("*").alias("n_calls")), "calls")
     answer = results.groupBy(*KEY).agg(
         F.min(F.struct("turn", "content")).alias("result"), F.count("*").alias("n_results"))
     same = F.col("c.conv_id").eqNullSafe(F.col("r.conv_id")) & F.col("c.call_id").eqNullSafe(F.col("r.call_id"))
@@ -132,9 +128,9 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, lis
         "call", "result", F.coalesce("n_calls", F.lit(0)).cast("long").alias("n_calls"),
         F.coalesce("n_results", F.lit(0)).cast("long").alias("n_results"))
 
-    wanted = calls.groupBy(*KEY).agg(F.min(F.struct("turn", "name", "arguments", "depends_on")).alias("call")).select(
-        "conv_id", F.col("call_id").alias("after"), F.explode(F.array_distinct("call.depends_on")).alias("before"))
-    known = calls.select("conv_id", F.col("call_id").alias("before")).distinct()
+    wanted = first.select("conv_id", F.col("call_id").alias("after"),
+                          F.explode(F.array_distinct("call.depends_on")).alias("before"))
+    known = first.select("conv_id", F.col("call_id").alias("before"))
     edges = wanted.join(known, ["conv_id", "before"], "left_semi")
     depth = topological_depth(edges).withColumn("linked", F.lit(True))
     missing = wanted.join(known, ["conv_id", "before"], "left_anti").groupBy(
