@@ -40,6 +40,8 @@ END_ID = 1
 BUCKETS, DIMS, BITS = 256, 3, 16
 #: Pre-tokens a worker remembers.
 CACHE = 200_000
+#: Rows that are tokenised at a time.
+ROWS = 512
 
 
 def byte_letters() -> dict[str, int]:
@@ -154,8 +156,8 @@ def tokenised(docs: DataFrame, path: str, id_col: str, text_col: str, end_id: in
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 1024)
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
                 ids, count = tokenise(part.column("_text").to_pylist(), path)
                 key = hilbert_key(curve_cells(ids, count))
                 ids = np.insert(ids, np.cumsum(count), end_id)

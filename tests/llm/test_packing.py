@@ -56,6 +56,27 @@ def test_empty_table(spark):
     assert P.pack(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
 
 
+def test_one_batch_of_many_rows(spark):
+    """A partition of over 1024 rows, which Spark hands over as one batch: one set of pieces per row."""
+    n = 2500
+    df = spark.range(0, n, 1, 1).selectExpr("id AS doc_id", "repeat(concat('word ', id, ' '), int(id % 7)) AS text")
+    texts = [f"word {i} " * (i % 7) for i in range(n)]
+    want = [e.ids + [1] for e in Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)]
+    pieces = {}
+    at = 0
+    for r in P.pack(df, PATH).orderBy("sequence_id", "offset").collect():
+        assert (r["sequence_id"], r["offset"]) == divmod(at, 2048)
+        at += r["length"]
+        pieces.setdefault(r["doc_id"], []).append((r["start"], np.frombuffer(r["ids"], "<u4").tolist()))
+    assert at == sum(map(len, want)) and sorted(pieces) == list(range(n))
+    for i, ids in enumerate(want):
+        start = 0
+        for first, part in sorted(pieces[i]):
+            assert first == start
+            start += len(part)
+        assert [x for _, part in sorted(pieces[i]) for x in part] == ids
+
+
 @pytest.mark.parametrize("dims", [2, 3])
 def test_hilbert_key_visits_neighbours(dims):
     cells = np.array(list(itertools.product(range(8), repeat=dims)))
