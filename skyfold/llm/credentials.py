@@ -55,7 +55,7 @@ WEAK_ID = re.compile(
     r"""(?:access[_-]?key(?:[_-]?id)?|client[_-]?id|account(?:[_-]?id)?|user(?:[_-]?name)?|login)"""
     r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._-]{4,})""", re.IGNORECASE | re.ASCII)
 WEAK_ID_HINTS = (b"access", b"client", b"account", b"user", b"login")
-WEAK_SECRET = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/=_-])")
+WEAK_SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/=_-])")
 #: Bits per character from which unlabelled key material is a candidate.
 ENTROPY = 3.5
 ENDPOINT = re.compile(r"""[a-z][a-z0-9+]*://[^\s"'<>]+|(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w.])""", re.ASCII)
