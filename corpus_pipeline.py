@@ -45,9 +45,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     without an id come last; equal ids: the smallest hash of the row; equal rows: one)."""
     row = docs.select("*", F.xxhash64(*_columns(docs)).alias("_row"))
     groups = simhash_groups(row, extra=("_row",))
-    # the group of a row is its component; without any id in it, the fingerprint class
-    group = F.struct(F.col("component_id").alias("c"), F.when(F.col("component_id").isNull(), F.col("root")).alias("f"))
-    best = groups.groupBy(group.alias("g")).agg(F.min(F.struct(
+    # by fingerprint, not by smallest id: unlike texts under one id are two groups
+    best = groups.groupBy("root").agg(F.min(F.struct(
         F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("_row").alias("row"))).alias("m"))
     winners = best.select("m.id", "m.row")
     found = row.join(winners, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("_row") == F.col("row")))

@@ -80,6 +80,13 @@ def test_stages(spark):
     assert at[0] == 0 and len(set(at)) == len(at)
 
 
+def test_unlike_texts_under_one_id(spark):
+    """Two unlike texts with the smallest id, each with a copy: one row of each group stays."""
+    a, b = (" ".join(f"{c}{i * i}" for i in range(120)) for c in "ab")
+    docs = spark.createDataFrame([(1, a), (1, b), (2, a), (3, b), (3, b)], "doc_id long, text string")
+    assert sorted(map(tuple, P.near_dedup(spark, docs, "").collect())) == sorted([(1, a), (1, b)])
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     for _, stage in P.STAGES:
