@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from skyfold.llm.bpe import op4_byte_bpe
+from skyfold.llm.collocations import ORACLE_OP11, op11_phrase_collocations
 from skyfold.llm.credentials import op2_secret_scan
 from skyfold.llm.langid import op1_language_id
 from skyfold.llm.neighbours import op6_learned_partitions
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_warc_fixity": op8_warc_fixity,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_tool_call_linking": op10_tool_call_linking,
+    "op11_phrase_collocations": op11_phrase_collocations,
 }
 
 ORACLES = {
@@ -31,4 +33,5 @@ ORACLES = {
     "op5_quality_rules": ORACLE_OP5,
     "op8_warc_fixity": ORACLE_OP8,
     "op10_tool_call_linking": ORACLE_OP10,
+    "op11_phrase_collocations": ORACLE_OP11,
 }
