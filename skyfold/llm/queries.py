@@ -5,6 +5,7 @@ from __future__ import annotations
 from skyfold.llm.bpe import op4_byte_bpe
 from skyfold.llm.collocations import ORACLE_OP11, op11_phrase_collocations
 from skyfold.llm.credentials import op2_secret_scan
+from skyfold.llm.hard_negatives import ORACLE_OP13, op13_hard_negatives
 from skyfold.llm.langid import op1_language_id
 from skyfold.llm.neighbours import op6_learned_partitions
 from skyfold.llm.packing import op7_curve_packing
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_tool_call_linking": op10_tool_call_linking,
     "op11_phrase_collocations": op11_phrase_collocations,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLES = {
@@ -34,4 +36,5 @@ ORACLES = {
     "op8_warc_fixity": ORACLE_OP8,
     "op10_tool_call_linking": ORACLE_OP10,
     "op11_phrase_collocations": ORACLE_OP11,
+    "op13_hard_negatives": ORACLE_OP13,
 }

@@ -52,14 +52,14 @@ def corpus():
     return rows + rows[10:14] + [("fr", "new york w1 w2 w3 w4 " * 2000)]
 
 
-@pytest.mark.parametrize("shard_bytes,bits,top", [(1 << 22, 1 << 22, 2000), (150, 8, 7)])
+@pytest.mark.parametrize("shard_bytes,bits,top", [(1 << 22, 1 << 22, 2000), (1500, 8, 7)])
 def test_equals_brute_force(spark, monkeypatch, shard_bytes, bits, top):
     """One trie, and many tries with a table of bits that tells nearly nothing."""
     monkeypatch.setattr(C, "SHARD_BYTES", shard_bytes)
     monkeypatch.setattr(C, "FREQUENT_BITS", bits)
     rows = corpus()
     df = spark.createDataFrame([(a, b, "x", 1) for a, b in rows], "lang string, text string, phrase string, n int")
-    if shard_bytes < 100:  # many tries are many passes: two levels are enough here
+    if shard_bytes < 2000:  # many tries are many passes: two levels are enough here
         got, want = C.collocations(df, min_count=8, max_words=2, top=top), brute(rows, 8, 2, top)
     else:
         got, want = C.collocations(df, min_count=5), brute(rows, 5)
