@@ -7,6 +7,7 @@ from skyfold.llm.collocations import ORACLE_OP11, op11_phrase_collocations
 from skyfold.llm.credentials import op2_secret_scan
 from skyfold.llm.hard_negatives import ORACLE_OP13, op13_hard_negatives
 from skyfold.llm.langid import op1_language_id
+from skyfold.llm.minhash import op12_minhash_near_dedup
 from skyfold.llm.neighbours import op6_learned_partitions
 from skyfold.llm.packing import op7_curve_packing
 from skyfold.llm.quality import ORACLE_OP5, op5_quality_rules
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_tool_call_linking": op10_tool_call_linking,
     "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_minhash_near_dedup": op12_minhash_near_dedup,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
