@@ -8,8 +8,9 @@ whose score lies in the pair's window [50 %, 95 %] of the positive's score.
 Search.  Rows are dealt into blocks of about ``BLOCK`` rows (for positives, blocks
 of one label).  In a block every dimension has its sorted candidate list.  An
 anchor reads all lists together from the end that its component's sign names
-(sorted access, in steps that double), scores every row met for the first time
-by its whole integer vector (random access), and stops as soon as the
+(sorted access, in steps that double and for a batch of anchors in step), every
+row met for the first time is scored by its whole integer vector (random
+access), and the anchor stops as soon as the
 threshold - the inner product of the anchor with the values last read, which no
 unseen row can pass - is strictly below the k-th score in each of its windows
 or below all windows.  A block returns at most k rows a window; the best of
@@ -32,8 +33,6 @@ not read.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -44,6 +43,10 @@ from pyspark.sql.window import Window
 from skyfold.llm.storage import stored
 
 BLOCK, ANCHORS = 8192, 1024
+#: Anchors that read a block's lists in step.
+BATCH = 64
+#: The score of a row that takes no part; real scores are below 2**62 in size.
+NONE, LOWEST, HIGHEST = -2**63, -2**62, 2**62
 #: Depth of the first step of sorted access.
 STEP = 16
 
@@ -72,55 +75,65 @@ class Lists:
         self.top = np.abs(self.x).max(initial=0)
         self.exact = self.x.astype(np.float64)  # integers; used where sums stay below 2**53
 
-    def scores(self, rows: np.ndarray, anchor: np.ndarray) -> np.ndarray:
-        """Exact integer inner products."""
-        if float(np.abs(anchor).max(initial=0)) * float(self.top) * len(anchor) < 2.0 ** 53:
-            return (self.exact[rows] @ anchor.astype(np.float64)).astype(np.int64)
-        return self.x[rows] @ anchor
-
-    def threshold(self, anchor: np.ndarray, depth: int) -> int:
-        """No row beyond ``depth`` entries of every list scores more."""
-        last = np.where(anchor >= 0, depth - 1, len(self.ids) - depth)
-        rows = self.order[np.arange(len(anchor)), last]
-        return sum(int(a) * int(v) for a, v in zip(anchor, self.x[rows, np.arange(len(anchor))]))
-
-    def best(self, anchor: np.ndarray, own: int, fits: Callable[[np.ndarray], np.ndarray],
-             windows: list[tuple[int | None, int | None]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Per window (low, high): rows and scores of the k best of those that
-        ``fits`` allows, other than ``own``; ties to the smaller identifier."""
-        n, depth, done = len(self.ids), 0, 0
+    def scores(self, rows: np.ndarray, anchors: np.ndarray) -> np.ndarray:
+        """Exact integer inner products, anchors x rows."""
+        if float(np.abs(anchors).max(initial=0)) * float(self.top) * anchors.shape[1] < 2.0 ** 53:
+            return (anchors.astype(np.float64) @ self.exact[rows].T).astype(np.int64)
+        return anchors @ self.x[rows].T
+
+    def thresholds(self, anchors: np.ndarray, depth: int) -> np.ndarray:
+        """Per anchor: no row beyond ``depth`` entries of every list scores more."""
+        dims = np.arange(self.x.shape[1])
+        high = self.x[self.order[:, depth - 1], dims]  # the value last read from the top, and from the end
+        low = self.x[self.order[:, len(self.ids) - depth], dims]
+        if float(np.abs(anchors).max(initial=0)) * float(self.top) * anchors.shape[1] >= 2.0 ** 62:
+            anchors, high, low = anchors.astype(object), high.astype(object), low.astype(object)
+        return np.maximum(anchors, 0) @ high + np.minimum(anchors, 0) @ low
+
+    def best(self, anchors: np.ndarray, own: np.ndarray, allowed: np.ndarray, low: np.ndarray, high: np.ndarray,
+             k: int) -> list[list[tuple[np.ndarray, np.ndarray]]]:
+        """Per anchor and window [low, high]: rows and scores of the k best of the
+        rows that ``allowed`` (anchors x rows) names, other than ``own``; ties to
+        the smaller identifier.
+
+        The anchors of a batch read the lists in step; a row that one of them
+        meets is scored for all in one product.  An anchor is done when the
+        threshold is strictly below the k-th score of each of its windows (or
+        below the window); the batch goes on for the others."""
+        n, m = len(self.ids), len(anchors)
+        score = np.full((m, n), NONE)
         seen = np.zeros(n, dtype=bool)
-        use = np.flatnonzero(anchor)  # a list of a zero component says nothing
-        down = use[anchor[use] > 0]
-        up = use[anchor[use] < 0]
-        got = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in windows]
-        floor = [None] * len(windows)
-        while done < n:
+        on, depth = np.arange(m), 0
+        while len(on) and depth < n:
             depth = min(n, max(STEP, 2 * depth))
-            if not len(use) or depth == n:
-                fresh = np.flatnonzero(~seen)
-                depth = n
-            else:
-                met = np.zeros(n, dtype=bool)
-                met[self.order[down, :depth]] = True
-                met[self.order[up, n - depth:]] = True
-                fresh = np.flatnonzero(met & ~seen)
+            a = anchors[on]
+            met = np.zeros(n, dtype=bool)
+            met[self.order[(a > 0).any(axis=0), :depth]] = True
+            met[self.order[(a < 0).any(axis=0), n - depth:]] = True
+            if depth == n:
+                met[:] = True  # an anchor of zeros has no list to read
+            fresh = np.flatnonzero(met & ~seen)
             seen[fresh] = True
-            done = depth
-            fresh = fresh[fits(self.labels[fresh]) & (self.ids[fresh] != own)]
-            score = self.scores(fresh, anchor)
-            for i, (low, high) in enumerate(windows):
-                in_it = np.ones(len(score), dtype=bool)
-                if low is not None:
-                    in_it &= (score >= low) & (score <= high)
-                rows, values = np.concatenate([got[i][0], fresh[in_it]]), np.concatenate([got[i][1], score[in_it]])
-                first = np.lexsort((rows, -values))[:k]  # rows are in the order of identifiers
-                got[i] = rows[first], values[first]
-                floor[i] = int(got[i][1][-1]) if len(first) == k else low
-            if done < n and all(f is not None for f in floor):
-                if self.threshold(anchor, depth) < min(floor):
-                    break
-        return got
+            if len(fresh):
+                got = self.scores(fresh, a)
+                got[~allowed[np.ix_(on, fresh)] | (self.ids[fresh] == own[on, None])] = NONE
+                score[np.ix_(on, fresh)] = got
+            top = self.thresholds(a, depth)[:, None]
+            may = ((top < high[on]) | (low[on] > high[on])).all(axis=1)
+            for i in np.flatnonzero(may):
+                s = score[on[i]]
+                may[i] = all(t < lo or lo > hi or np.count_nonzero((s > t) & (s >= lo) & (s <= hi)) >= k
+                             for t, lo, hi in zip(np.broadcast_to(top[i], low.shape[1]), low[on[i]], high[on[i]]))
+            on = on[~may] if seen.sum() < n else on[:0]
+        out = []
+        for s, lows, highs in zip(score, low, high):
+            real = lows <= highs
+            at = np.flatnonzero((s > NONE) & (s >= lows[real].min()) & (s <= highs[real].max())) if real.any() else []
+            at = at[np.argsort(-s[at], kind="stable")] if len(at) else np.zeros(0, np.int64)  # rows are in the order of identifiers
+            fall = -s[at]
+            cut = [(np.searchsorted(fall, -hi), np.searchsorted(fall, -lo, "right")) for lo, hi in zip(lows, highs)]
+            out.append([(at[i:min(j, i + k)], s[at[i:min(j, i + k)]]) for i, j in cut])
+        return out
 
 
 def _matrix(col: pa.ChunkedArray) -> np.ndarray:
@@ -155,12 +168,15 @@ def positives(rows: DataFrame, anchors: DataFrame, k: int) -> DataFrame:
     def find(x: pa.Table, q: pa.Table) -> pa.Table:
         out = [[], [], []]
         if len(x) and len(q):
-            lists = _lists(x)
-            for own, a in zip(q.column("anchor_id").to_pylist(), _matrix(q.column("a"))):
-                at, score = lists.best(a, own, lambda labels: np.ones(len(labels), dtype=bool), [(None, None)], k)[0]
-                for c, v in zip(out, ([own] * len(at), lists.ids[at].tolist(), score.tolist())):
-                    c.extend(v)
-        return pa.table([pa.array(c, pa.int64()) for c in out], schema=schema)
+            lists, ids, a = _lists(x), np.asarray(q.column("anchor_id")), _matrix(q.column("a"))
+            for i in range(0, len(ids), BATCH):
+                own = ids[i:i + BATCH]
+                every = np.ones((len(own), len(lists.ids)), dtype=bool)
+                whole = np.full((len(own), 1), LOWEST), np.full((len(own), 1), HIGHEST)
+                for o, ((at, score),) in zip(own, lists.best(a[i:i + BATCH], own, every, *whole, k)):
+                    for c, v in zip(out, ([o] * len(at), lists.ids[at], score)):
+                        c.extend(v)
+        return pa.table([pa.array(np.array(c, dtype=np.int64)) for c in out], schema=schema)
 
     r, q = _dealt(rows, anchors, ["label"])
     key = ["label", "rb", "qb"]
@@ -187,18 +203,23 @@ def hard_negatives(vectors: DataFrame, is_anchor: Column, label: Column, n_posit
     def find(x: pa.Table, q: pa.Table) -> pa.Table:
         out = [[], [], [], [], []]
         if len(x) and len(q):
-            lists = _lists(x)
-            for own, tag, a, ps in zip(q.column("anchor_id").to_pylist(), q.column("label").to_pylist(),
-                                       _matrix(q.column("a")), q.column("ps").to_pylist()):
-                ps = [(p["positive_id"], s) for p in ps if low * (s := p["positive_score"]) <= high * s]
-                windows = [(-(-low * s // 100), high * s // 100) for _, s in ps]
-                if not windows:
-                    continue
-                for (p, s), (at, score) in zip(ps, lists.best(a, own, lambda labels: labels != tag, windows, n_negatives)):
-                    for c, v in zip(out, ([own] * len(at), [p] * len(at), [s] * len(at), lists.ids[at].tolist(),
-                                          score.tolist())):
-                        c.extend(v)
-        return pa.table([pa.array(c, pa.int64()) for c in out], schema=schema)
+            lists, ids, a = _lists(x), np.asarray(q.column("anchor_id")), _matrix(q.column("a"))
+            tags, asked = np.asarray(q.column("label")), q.column("ps").to_pylist()
+            for i in range(0, len(ids), BATCH):
+                own = ids[i:i + BATCH]
+                lows, highs = np.ones((2, len(own), n_positives), dtype=np.int64)  # low > high: no window
+                highs[:] = 0
+                for w, ps in enumerate(asked[i:i + BATCH]):
+                    for j, p in enumerate(ps):
+                        lows[w, j], highs[w, j] = -(-low * p["positive_score"] // 100), high * p["positive_score"] // 100
+                other = lists.labels[None, :] != tags[i:i + BATCH, None]
+                for o, ps, found in zip(own, asked[i:i + BATCH],
+                                        lists.best(a[i:i + BATCH], own, other, lows, highs, n_negatives)):
+                    for p, (at, score) in zip(ps, found):
+                        for c, v in zip(out, ([o] * len(at), [p["positive_id"]] * len(at),
+                                              [p["positive_score"]] * len(at), lists.ids[at], score)):
+                            c.extend(v)
+        return pa.table([pa.array(np.array(c, dtype=np.int64)) for c in out], schema=schema)
 
     r, q = _dealt(rows.withColumn("all", F.lit(0)), asks, ["all"])
     key = ["all", "rb", "qb"]

@@ -67,10 +67,12 @@ def test_stops_before_the_end(monkeypatch):
     scored = []
     scores = lists.scores
     monkeypatch.setattr(lists, "scores", lambda rows, a: scored.append(len(rows)) or scores(rows, a))
-    a = np.array([3, 1, 2])
-    (at, got), = lists.best(a, -1, lambda t: np.ones(len(t), dtype=bool), [(None, None)], 5)
-    order = np.lexsort((np.arange(2000), -(x @ a)))[:5]
-    assert list(at) == list(order) and list(got) == list((x @ a)[order])
+    a = np.array([[3, 1, 2], [5, 0, 1]])
+    every = np.ones((2, 2000), dtype=bool)
+    low, high = np.full((2, 1), H.LOWEST), np.full((2, 1), H.HIGHEST)
+    for i, ((at, got),) in enumerate(lists.best(a, np.array([-1, -1]), every, low, high, 5)):
+        order = np.lexsort((np.arange(2000), -(x @ a[i])))[:5]
+        assert list(at) == list(order) and list(got) == list((x @ a[i])[order])
     assert sum(scored) < 1000
 
 
