@@ -1388,32 +1388,96 @@ def t10_stream_events_by_attribute(spark, sf):
 from skyfold.operators.enrich import pair_batches  # noqa: E402
 
 
-@register("k2_read_model", _EV_ENRICHED + """,
-lat AS (select icao24, max(last_contact) as last_contact from positions where icao24 is not null group by 1)
-select 'latest' as tbl, icao24 as key, last_contact as n from lat
-union all select 'track', icao24, least(count(*), 180) from positions where icao24 is not null group by icao24
+from skyfold.sources.testdata import aircraft_sql  # noqa: E402
+from skyfold.streaming.read_model import ReadModel  # noqa: E402
+from skyfold.streaming.routing import route_events, routed_sink  # noqa: E402
+
+# the stream fixture's arrivals with aircraft data; ``before``: the newest time of earlier micro-batches
+_ARR_EV = _ARR + f"""
+aircraft AS ({aircraft_sql(DUCK)}),
+tops AS (select mb, max(last_contact) as top from arr where icao24 is not null group by 1),
+befores AS (select mb, max(top) over (order by mb rows between unbounded preceding and 1 preceding) as before from tops),
+ev AS (select p.*, b.before, a.icao24 is not null as has_metadata, a.country, a.military_hint
+       from arr p join befores b on b.mb = p.mb left join aircraft a on lower(trim(p.icao24)) = lower(trim(a.icao24))
+       where p.icao24 is not null)"""
+
+
+def _read_model(spark, sf, name):
+    """The read model after the five out-of-order micro-batches of the stream fixture."""
+    aircraft = tables(spark, sf).aircraft
+    models = []
+
+    def writer(pos, d):
+        models.append(ReadModel(spark, d + "/model", max_deltas=2))
+        return models[-1].writer(pos, aircraft, d + "/ckpt")
+
+    _run_batches(spark, sf, name, writer)
+    return models[-1]
+
+
+@register("k2_read_model", _ARR_EV + f""",
+known AS (select icao24, max_by({O.bbox_sql()}, k) as inside from ev where lat is not null and lon is not null group by 1)
+select 'latest' as tbl, icao24 as key, max(last_contact) as n from ev group by icao24
+union all select 'track', icao24, least(count(*), 180) from ev group by icao24
+union all select 'member', icao24, 1 from known where inside
 union all select 'activity', ((last_contact // 60) * 60)::varchar, count(*) from ev
           where last_contact is not null group by last_contact // 60
 union all select 'country', case when has_metadata and nullif(trim(country), '') is not null
             then trim(country) else 'unknown' end as c, count(*) from ev group by c""")
 def k2_read_model(spark, sf):
-    """Contents of all tables of the read model, as (table, key, number)."""
-    t = tables(spark, sf)
-    pos = St.positions_stream(_events_stream(spark, sf)).where(F.col("icao24").isNotNull())
-    d = St.stream_dir(spark, "k2")
-    for w in St.write_read_model(pos, t.aircraft, d).values():
-        St.run_available_now(w)
-    St.compact_upsert_log(spark, d + "/latest", ["icao24"])
-    latest = St.read_upsert_log(spark, d + "/latest", ["icao24"])
+    """Contents of all tables of the read model, as (table, key, number), after
+    five micro-batches with compactions between them."""
+    model = _read_model(spark, sf, "k2")
+    latest = model.latest()
     row = lambda df, tbl, key, n: df.select(
-        F.lit(tbl).alias("tbl"), F.col(key).cast("string").alias("key"), F.col(n).cast("long").alias("n"))
-    act = St.read_upsert_log(spark, d + "/activity", ["bucket_epoch"])
-    attrs = spark.read.parquet(d + "/attributes").where(F.col("attribute") == "country").groupBy("value").agg(
-        F.sum("events").alias("events"))
-    tracks = St.track_table(latest).groupBy("icao24").agg(F.count(F.lit(1)).alias("points"))
-    return (row(latest, "latest", "icao24", "last_contact").unionByName(row(tracks, "track", "icao24", "points"))
-            .unionByName(row(act, "activity", "bucket_epoch", "events_total"))
-            .unionByName(row(attrs, "country", "value", "events")))
+        F.lit(tbl).alias("tbl"), F.col(key).cast("string").alias("key"), F.expr(n).cast("long").alias("n"))
+    return (row(latest, "latest", "icao24", "last_contact").unionByName(row(latest, "track", "icao24", "track_points"))
+            .unionByName(row(latest.where("inside"), "member", "icao24", "1"))
+            .unionByName(row(model.activity().where("bucket_epoch is not null"), "activity", "bucket_epoch", "events_total"))
+            .unionByName(row(model.table("attributes").where("attribute = 'country'"), "country", "value", "events")))
+
+
+@register("t5_activity_corrections", _ARR_EV + """
+select (last_contact // 60) * 60 as bucket_epoch, count(*) as events_total,
+       cast(count_if(coalesce(military_hint, false)) as bigint) as events_military,
+       count(distinct icao24) as aircraft_total,
+       count(distinct case when coalesce(military_hint, false) then icao24 end) as aircraft_military,
+       cast(count_if(before is not null and (last_contact // 60) * 60 + 60 + 600 <= before) as bigint) as late_events
+from ev group by 1""")
+def t5_activity_corrections(spark, sf):
+    """Minute buckets over out-of-order micro-batches: late reports correct closed
+    buckets and are counted; reports without a time are the null bucket."""
+    return _read_model(spark, sf, "t5c").activity().select(
+        "bucket_epoch", "events_total", "events_military", "aircraft_total", "aircraft_military", "late_events")
+
+
+@register("t7_bucket_expiry", _ARR_EV + """,
+now AS (select max(last_contact) as now from ev),
+b AS (select (last_contact // 60) * 60 as bucket_epoch, count(*) as events_total from ev
+      where last_contact is not null group by 1)
+select bucket_epoch, events_total, case when bucket_epoch + 604800 + 60 <= now then 'expired' else 'kept' end as state
+from b, now""")
+def t7_bucket_expiry(spark, sf):
+    """What a clock step to the newest report expires with a retention of a week,
+    and what the table still holds."""
+    model = _read_model(spark, sf, "t7")
+    gone = model.expire(model.current()["newest"], 7 * 86400)
+    kept = model.activity().where("bucket_epoch is not null")
+    return gone.select("bucket_epoch", "events_total", F.lit("expired").alias("state")).unionByName(
+        kept.select("bucket_epoch", "events_total", F.lit("kept").alias("state")))
+
+
+@register("t9_event_routes", _ARR_EV + """,
+timed AS (select *, last_contact is null as no_time, coalesce(last_contact < before - 600, false) as late from ev),
+nth AS (select *, row_number() over (partition by icao24, last_contact, no_time, late order by mb, event_id) as r from timed)
+select icao24, event_id, last_contact,
+       case when no_time then 'no_time' when late then 'late' when r > 1 then 'duplicate' else 'passed' end as route
+from nth""")
+def t9_event_routes(spark, sf):
+    """Every report of five out-of-order micro-batches with its route, one
+    watermark of 600 s deciding."""
+    d = _run_batches(spark, sf, "t9r", lambda pos, d: routed_sink(route_events(pos, 600), d + "/out", d + "/ckpt"))
+    return spark.read.parquet(d + "/out").select("icao24", "event_id", "last_contact", "route")
 
 
 @register("t9_stream_dedup", _ARR + """

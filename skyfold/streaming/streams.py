@@ -406,19 +406,6 @@ def late_rows(valid: DataFrame, delay_seconds: int = 600) -> DataFrame:
         LateRowsProcessor(int(delay_seconds), ["icao24", *cols]), out, "Append", "None")
 
 
-def write_read_model(valid: DataFrame, aircraft: DataFrame, out_dir: str, bbox: Bbox | None = None) -> dict:
-    """K2: the read model from one parsed source — latest + previous, track
-    length and membership (keyed state), minute activity, and attribute
-    counts — as three queries over the same source, each with its own
-    checkpoint and idempotent sink.  Returns {table: DataStreamWriter}."""
-    enriched = enrich_stream(valid, aircraft)
-    return {
-        "latest": upsert_log_sink(stream_latest_state(valid, bbox), f"{out_dir}/latest", f"{out_dir}/_ck/latest"),
-        "activity": upsert_log_sink(stream_activity(enriched), f"{out_dir}/activity", f"{out_dir}/_ck/activity"),
-        "attributes": attribute_counts_writer(enriched, f"{out_dir}/attributes", f"{out_dir}/_ck/attributes"),
-    }
-
-
 def enrich_stream(valid: DataFrame, aircraft: DataFrame) -> DataFrame:
     """J2 on a stream: stream-static left join with the broadcast reference."""
     return enrich_events(valid, aircraft)
