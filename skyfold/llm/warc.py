@@ -21,8 +21,9 @@ offset comes to the driver.
 Defined results: a null payload counts as empty bytes, a null file as the file
 named "", a null offset as -1 (range -1, the first); records that repeat at one offset are
 compared as a multiset; an empty replica makes all records of the other
-missing or extra; two empty ones give an empty result; columns other than the
-named ones are not read.
+missing or extra; two empty ones give an empty result; pages without a number
+are records of files of their own; a very long payload is hashed whole by the task
+that reads it; columns other than the named ones are not read.
 """
 
 from __future__ import annotations
@@ -67,10 +68,14 @@ def tree_height(offset: int) -> int:
 def merkle_tree(records: DataFrame, height: int, name: str = "merkle") -> MerkleTree:
     """Tree of ``records`` (file, offset, payload as binary) with ``height`` levels."""
     payload = F.coalesce("payload", F.lit("").cast("binary"))
-    each = records.select(
+    return measured_tree(records.select(
         F.coalesce(F.col("file").cast("string"), F.lit("")).alias("file"),
         F.coalesce(F.col("offset").cast("bigint"), F.lit(-1).cast("bigint")).alias("offset"),
-        F.octet_length(payload).cast("bigint").alias("length"), F.sha2(payload, 256).alias("digest"))
+        F.octet_length(payload).cast("bigint").alias("length"), F.sha2(payload, 256).alias("digest")), height, name)
+
+
+def measured_tree(each: DataFrame, height: int, name: str = "merkle") -> MerkleTree:
+    """Tree of records that are measured already: (file, offset, length, digest)."""
     # records at one offset are counted first, then put together: copies cost one line
     alike = each.groupBy("file", "offset", "length", "digest").count()
     lines = F.sort_array(F.collect_list(F.struct("digest", "length", "count")))
@@ -119,41 +124,69 @@ def audit(a: MerkleTree, b: MerkleTree) -> DataFrame:
         "file", "offset", status.alias("status"), "length_a", "length_b", "digest_a", "digest_b")
 
 
-def warc_records(pages: DataFrame, pages_per_file: int = 256) -> DataFrame:
-    """(page_id, file, offset, payload): a response record per page, in archive
-    files of ``pages_per_file`` consecutive page numbers."""
+def warc_payload(pages: DataFrame) -> DataFrame:
+    """(page_id, payload): a response record per page."""
     html = F.coalesce("html", F.lit(""))
-    head = F.concat(F.lit("WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:"), F.col("page_id"),
+    head = F.concat(F.lit("WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:"),
+                    F.coalesce(F.col("page_id").cast("string"), F.lit("")),
                     F.lit(">\r\nWARC-Target-URI: "), F.coalesce("url", F.lit("")), F.lit("\r\nContent-Length: "),
                     F.octet_length(html), F.lit("\r\n\r\n"))
-    rows = pages.select("page_id", F.floor(F.col("page_id") / pages_per_file).alias("n"),
-                        F.concat(head, html, F.lit("\r\n\r\n")).cast("binary").alias("payload"))
-    # a file is bounded by its page numbers, so this window is, too
-    before = Window.partitionBy("n").orderBy("page_id", F.xxhash64("payload")).rowsBetween(Window.unboundedPreceding, -1)
-    size = F.octet_length("payload").cast("bigint")
+    return pages.select("page_id", F.concat(head, html, F.lit("\r\n\r\n")).cast("binary").alias("payload"))
+
+
+def archived(rows: DataFrame, size: Column, order: Column, pages_per_file: int = 256) -> DataFrame:
+    """``rows`` (with page_id) plus ``file`` and ``offset``, in archive files of
+    ``pages_per_file`` consecutive page numbers; records of a page that repeats
+    follow each other by ``order``.  A record without a page number is a file of
+    its own, named by ``order``, at offset 0; equal ones share it."""
+    n = F.floor(F.col("page_id") / pages_per_file)
+    # without a number: every record alone, so that they are no hot group
+    before = Window.partitionBy(n, F.when(n.isNull(), order)).orderBy("page_id", order).rowsBetween(
+        Window.unboundedPreceding, -1)
     return rows.select(
-        "page_id", F.concat(F.lit("part-"), F.lpad(F.col("n").cast("string"), 6, "0"), F.lit(".warc")).alias("file"),
-        F.coalesce(F.sum(size).over(before), F.lit(0)).alias("offset"), "payload")
+        "*", F.when(n.isNull(), F.concat(F.lit("unnumbered-"), order.cast("string"), F.lit(".warc"))).otherwise(
+            F.format_string("part-%06d.warc", n)).alias("file"),
+        F.when(n.isNull(), F.lit(0)).otherwise(F.coalesce(F.sum(size).over(before), F.lit(0))).cast("bigint").alias("offset"))
 
 
-def damaged(records: DataFrame) -> DataFrame:
-    """A replica with faults, by page number: flipped first bytes, lost tails,
-    lost records, and records that do not belong."""
-    p, data = F.col("page_id"), F.col("payload")
-    size = F.octet_length(data)
-    kept = records.where(p % 53 != 1).withColumn("payload", F.when(
-        p % 41 == 0, F.concat(F.lit("X").cast("binary"), F.substring(data, 2, 1 << 30))).when(
-        p % 59 == 2, F.substring(data, F.lit(1), size - 10)).otherwise(data))
-    extra = records.where(p % 61 == 3).withColumn("offset", F.col("offset") + 1)
-    return kept.union(extra)
+def warc_records(pages: DataFrame, pages_per_file: int = 256) -> DataFrame:
+    """(page_id, file, offset, payload) of the archive that ``pages`` makes."""
+    rows = warc_payload(pages).withColumn("_h", F.xxhash64("payload"))
+    return archived(rows, F.octet_length("payload").cast("bigint"), F.col("_h"), pages_per_file).select(
+        "page_id", "file", "offset", "payload")
+
+
+def damaged_payload(page: Column, data: Column) -> Column:
+    """A page's record in a replica with faults: flipped first bytes and lost tails."""
+    return F.when(page % 41 == 0, F.concat(F.lit("X").cast("binary"), F.substring(data, 2, 1 << 30))).when(
+        page % 59 == 2, F.substring(data, F.lit(1), F.octet_length(data) - 10)).otherwise(data)
+
+
+def replicas(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(file, offset, length, digest) of the archive that ``pages`` makes and of a
+    replica with faults: changed, lost and foreign records.
+
+    Payloads are measured by the tasks that read them; only page numbers, sizes
+    and digests go through the window."""
+    p = F.col("page_id")
+    data, bad = F.col("payload"), damaged_payload(p, F.col("payload"))
+    rows = warc_payload(pages).select(
+        "page_id", F.octet_length(data).cast("bigint").alias("length"), F.sha2(data, 256).alias("digest"),
+        F.xxhash64(data).alias("_h"), F.octet_length(bad).cast("bigint").alias("length_b"), F.sha2(bad, 256).alias("digest_b"))
+    both = stored(archived(rows, F.col("length"), F.col("_h")), "merkle-records")
+    kept = both.where(~F.coalesce(p % 53 == 1, F.lit(False)))
+    other = lambda df, at: df.select("file", at.alias("offset"), F.col("length_b").alias("length"),
+                                     F.col("digest_b").alias("digest"))
+    first = both.select("file", "offset", "length", "digest")
+    foreign = both.where(p % 61 == 3).select("file", (F.col("offset") + 1).alias("offset"), "length", "digest")
+    return first, other(kept, F.col("offset")).union(foreign)
 
 
 def op8_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audit of a damaged replica of the archive that ``pages`` makes."""
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html").where("page_id is not null")
-    records = warc_records(pages)
-    height = tree_height(largest_offset(records) + 1)
-    return audit(merkle_tree(records, height), merkle_tree(damaged(records), height))
+    a, b = replicas(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"))
+    height = tree_height(largest_offset(a) + 1)
+    return audit(measured_tree(a, height), measured_tree(b, height))
 
 
 ORACLE_OP8 = r"""
@@ -165,7 +198,7 @@ WITH p AS (
          || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS body
   FROM pages WHERE page_id IS NOT NULL),
 a AS (
-  SELECT page_id, 'part-' || lpad(n::VARCHAR, 6, '0') || '.warc' AS file, body,
+  SELECT page_id, printf('part-%06d.warc', n) AS file, body,
          coalesce(sum(strlen(body)) OVER (PARTITION BY n ORDER BY page_id
                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset"
   FROM p),

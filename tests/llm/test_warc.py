@@ -89,3 +89,32 @@ def test_record_bytes(spark):
     assert body.startswith(b"WARC/1.1\r\n") and body.endswith("<p>ü</p>\r\n\r\n".encode()) and b"Content-Length: 9\r\n" in body
     assert (got[1]["offset"], got[2]["offset"]) == (0, len(body))
     assert hashlib.sha256(body).hexdigest()
+
+
+def test_files_of_large_missing_and_repeated_page_numbers(spark):
+    ids = [25_600_000, 256_000_000, 256_000_001, 7, 7, 7, None, None, None]
+    pages = spark.createDataFrame([(i, f"u{k % 4}", "x" * k if i != 7 else "same") for k, i in enumerate(ids)],
+                                  "page_id long, url string, html string")
+    got = M.warc_records(pages).collect()
+    where = {(r["file"], r["offset"]) for r in got if r["page_id"]}
+    assert len(where) == 6  # no two numbered records at one place
+    assert {r["file"] for r in got if (r["page_id"] or 0) > 7} == {"part-100000.warc", "part-1000000.warc"}
+    alone = [r for r in got if r["page_id"] is None]
+    assert len({r["file"] for r in alone}) == 3 and all(r["offset"] == 0 for r in alone)
+
+
+def test_replicas_of_the_query(spark):
+    """What the query finds, by page number."""
+    ids = [41, 59 * 3 + 2, 54, 61 + 3, 100, None, 256_000_000 + 53 * 41]
+    pages = spark.createDataFrame([(i, "u", "y" * 40) for i in ids], "page_id long, url string, html string")
+    a, b = M.replicas(pages)
+    height = M.tree_height(M.largest_offset(a) + 1)
+    got = sorted((r["status"], r["length_a"], r["length_b"]) for r in M.audit(
+        M.measured_tree(a, height), M.measured_tree(b, height)).collect())
+    flips = sum(1 for i in ids if i is not None and i % 41 == 0)
+    tails = sum(1 for i in ids if i is not None and i % 41 and i % 59 == 2)
+    lost = sum(1 for i in ids if i is not None and i % 53 == 1)
+    foreign = sum(1 for i in ids if i is not None and i % 61 == 3)
+    assert [sum(s == k for s, *_ in got) for k in ("changed", "missing", "extra")] == [flips + tails, lost, foreign]
+    assert flips and tails and lost and foreign
+    assert sum(1 for s, x, y in got if s == "changed" and x - y == 10) == tails
