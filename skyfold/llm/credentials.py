@@ -84,7 +84,8 @@ def base_spans(text: str, low: bytes) -> list[tuple[str, int, int]]:
 
 
 def weak_parts(text: str, low: bytes, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-    """Candidates outside the base spans; none if no link is possible."""
+    """Candidates that no base span overlaps - endpoints: that none covers, so that an
+    endpoint which carries its credential stays; none if no link is possible."""
     ids = [s for s in base if s[0] == "access"]
     weak = [("weak_id", *m.span()) for m in WEAK_ID.finditer(text)] if any(h in low for h in WEAK_ID_HINTS) else []
     if not ids and not weak:
@@ -97,7 +98,12 @@ def weak_parts(text: str, low: bytes, base: list[tuple[str, int, int]]) -> list[
     for s in sorted(weak, key=lambda s: s[1]):
         while i < len(base) and base[i][2] <= s[1]:
             i += 1
-        if not any(b[1] < s[2] and s[1] < b[2] for b in base[i:i + 4]):
+        near = base[i:i + 4]
+        if s[0] == "endpoint":
+            hidden = any(b[1] <= s[1] and s[2] <= b[2] for b in near)
+        else:
+            hidden = any(b[1] < s[2] and s[1] < b[2] for b in near)
+        if not hidden:
             out.append(s)
     return out
 
@@ -188,7 +194,7 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scop
     spans = spans.where(F.size("_spans") > 0).dropDuplicates(["k1", "k2"])
     start = F.array_sort(F.transform("_spans", lambda s: F.struct(s["start"].alias("s"), s["end"].alias("e"))))
     # fold: text so far and the end of the last span
-    text = F.col(text_col)
+    text = F.col("_text")
     done = F.aggregate(
         start, F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at"), F.lit(False).alias("any")),
         lambda a, s: F.when((s["s"] <= a["at"]) & a["any"], F.struct(
@@ -196,11 +202,13 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scop
             F.struct(F.concat(a["out"], F.substr(text, (a["at"] + 1).cast("int"), (s["s"] - a["at"]).cast("int")),
                               F.lit(mark)).alias("out"), s["e"].alias("at"), F.lit(True).alias("any"))),
         lambda a: F.concat(a["out"], F.substr(text, (a["at"] + 1).cast("int"))))
-    keyed = docs.withColumns(dict(zip(("_k1", "_k2"), document_key(id_col, text_col))))
-    spans = spans.withColumnsRenamed({"k1": "_k1", "k2": "_k2"})
-    out = keyed.join(spans, ["_k1", "_k2"], "left")
-    return out.withColumn(text_col, F.when(F.col("_spans").isNull(), text).otherwise(done)).select(
-        *[f"`{c}`" for c in docs.columns])
+    # the row is one struct meanwhile, so that no column of it can clash
+    columns = [f"`{c}`" for c in docs.columns]
+    keyed = docs.select(F.struct(*columns).alias("_row"), F.col(text_col).alias("_text"), *document_key(id_col, text_col))
+    out = keyed.join(spans, ["k1", "k2"], "left").withColumn(
+        "_text", F.when(F.col("_spans").isNull(), F.col("_text")).otherwise(done))
+    return out.select(*[F.col("_text").alias(c) if c == text_col else F.col(f"_row.{q}").alias(c)
+                        for c, q in zip(docs.columns, columns)])
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
