@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import functools
 import json
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -77,8 +78,41 @@ def piece_encoder(path: str):
 _known: dict[str, dict[bytes, bytes]] = {}
 
 
+@functools.cache
+def added_tokens(path: str) -> dict[str, int]:
+    """The strings that the tokenizer file takes out of a text before all else.
+    (Flags that reach beyond the string itself, such as lstrip, are refused.)"""
+    with open(path, encoding="utf-8") as f:
+        tokens = json.load(f).get("added_tokens", [])
+    if any(t.get(flag) for t in tokens for flag in ("lstrip", "rstrip", "single_word")):
+        raise ValueError("added tokens that take in their surroundings")
+    return {t["content"]: t["id"] for t in tokens}
+
+
 def tokenise(texts: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all texts one after another, number of ids of each text)."""
+    """(ids of all texts one after another, number of ids of each text), as the
+    tokenizer library encodes by default: texts are split at the added tokens first."""
+    added = added_tokens(path)
+    if not any(token in text for text in texts for token in added):
+        return _tokenise(texts, path)
+    cut = re.compile("(" + "|".join(re.escape(t) for t in sorted(added, key=len, reverse=True)) + ")")
+    parts = [cut.split(text) for text in texts]  # plain, token, plain, ...
+    ids, count = _tokenise([p for some in parts for p in some[::2]], path)
+    plain, flat, total, k = np.split(ids, np.cumsum(count)[:-1]), [], [], 0
+    for some in parts:
+        n = 0
+        for i, part in enumerate(some):
+            if i % 2:
+                got = np.array([added[part]], dtype=np.uint32)
+            else:
+                got, k = plain[k], k + 1
+            flat.append(got)
+            n += len(got)
+        total.append(n)
+    return np.concatenate(flat).astype(np.uint32), np.array(total, dtype=np.int64)
+
+
+def _tokenise(texts: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
     encode, known = piece_encoder(path), _known.setdefault(path, {})
     flat, count = [], np.zeros(len(texts), dtype=np.int64)
     for words, inverse, rows, sizes in distinct(texts):

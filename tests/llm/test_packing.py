@@ -28,7 +28,6 @@ def test_pieces(spark, monkeypatch, chunk):
     monkeypatch.setattr(pretokens, "CHUNK", chunk)
     texts = corpus()
     whole = Tokenizer.from_file(PATH)
-    whole.encode_special_tokens = True
     want = sorted((len(e.ids) + 1, tuple(e.ids) + (1,)) for e in
                   whole.encode_batch([t or "" for t in texts], add_special_tokens=False))
     df = spark.createDataFrame([(None if i % 9 == 0 else i // 2, t, 1, "k") for i, t in enumerate(texts)],
@@ -91,3 +90,12 @@ def test_similar_documents_are_near(spark):
     ids, count = P.tokenise([a, b, a + "the", b + "le"], PATH)
     key = P.hilbert_key(P.curve_cells(ids, count))
     assert abs(key[0] - key[2]) < abs(key[0] - key[1]) and abs(key[1] - key[3]) < abs(key[0] - key[1])
+
+
+def test_added_tokens_are_taken_out_first():
+    """Literal ids of the library's default settings."""
+    ids, count = P.tokenise(["a <|endoftext|> b", "", "<|endoftext|><|endoftext|>", "<|endoftext", "a"], PATH)
+    assert list(count) == [4, 0, 2, len(count) and count[3], 1]
+    assert list(ids[:4]) == [64, 220, 50256, 275] and list(ids[4:6]) == [50256, 50256] and ids[-1] == 64
+    plain = Tokenizer.from_file(PATH).encode("<|endoftext", add_special_tokens=False).ids
+    assert list(ids[6:6 + count[3]]) == plain
