@@ -5,39 +5,47 @@ identifier, orders the calls of a conversation by their dependencies,
 validates arguments against schemas and serialises each linked pair as
 canonical JSON.  Everything is built-in DataFrame functions.
 
-* Calls and results are first reduced to one row per identifier (the first by
-  turn; how many there were is counted), by partial aggregation, so a repeated
-  identifier costs one row and the hash join has unique keys on both sides.
-* Order: ``depth`` is the length of the longest dependency chain before a call.
-  Edges from calls that wait for nothing go, round by round; a round is one
-  join over the edges that are left, written to the shared folder.  The rounds
-  are as many as the longest chain; a conversation is never gathered in one task.  (depth, turn, call_id) is the topological order; calls on a cycle,
-  or behind one, have no depth.
+* An identifier may be used again in a later turn: its calls are numbered by
+  turn, so are its results, and the n-th call is linked with the n-th result by a
+  hash join on (conversation, identifier, number).  Rows that are equal in every
+  field are one, and counted.  Numbers are running sums over chunks of turns, so
+  a hot identifier is many tasks.
+* A dependency names an identifier; meant is its last call in an earlier turn,
+  else its first call.  ``depth`` is the length of the longest dependency chain
+  before a call.  Calls with one dependency find the head of their chain by
+  pointer doubling, in rounds as the logarithm of its length; what is left are
+  calls with several dependencies, settled round by round as soon as all calls
+  before them are.  Rounds are written to the shared folder; a conversation is
+  never gathered in one task.  (depth, turn, call_id) is the topological order;
+  calls on a cycle, or behind one, have no depth.
 * Arguments are parsed once into a variant; schemas compile into one
   expression.  Canonical JSON has no blanks, sorted keys at every level and
   shortest numbers.
 
 Defined results: calls or results without a conversation or call identifier
-have status ``no_identifier`` and one row per such key; a call without result
+are not linked and have status ``no_identifier``, one row each; a call without result
 ``missing_result``; a result without call ``orphan_result``; arguments that are
 null, not JSON or have a key twice ``invalid_json``; a dependency on an unknown
 call is listed in ``missing_dependencies`` and does not delay the call; empty
-tables give an empty result; columns other than the named ones are not read.
+tables give an empty result; very long arguments are one value, parsed whole;
+columns other than the named ones are not read.
 """
 
 from __future__ import annotations
 
-import functools
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyfold.llm.storage import stored
-from skyfold.operators.sequence import materialize
-from skyfold.session import ensure_checkpoint_dir
+from skyfold.operators.sequence import materialize, previous_values, running_sum
+from skyfold.session import shared_path
 
 KEY = ["conv_id", "call_id"]
+#: Turns of an identifier that are numbered together.
+CHUNK_TURNS = 4096
 
 
 @dataclass(frozen=True)
@@ -89,58 +97,116 @@ def argument_errors(name: Column, arguments: Column, value: Column, schemas: dic
             .when(~F.schema_of_variant(value).startswith("OBJECT"), F.array(F.lit("not_object"))).otherwise(out))
 
 
+def chain_heads(single: DataFrame) -> DataFrame:
+    """(conv_id, node, head, dist) by pointer doubling over ``single`` (conv_id,
+    node, head): where the chain of only predecessors begins and how far back;
+    head is null on and behind cycles."""
+    jump = stored(single.withColumn("dist", F.lit(1).cast("bigint")), "chain")
+    rounds = max(1, jump.count()).bit_length() + 1
+    for k in range(rounds):
+        ahead = jump.select("conv_id", F.col("node").alias("head"), F.col("head").alias("far"), F.col("dist").alias("more"))
+        both = stored(jump.join(ahead, ["conv_id", "head"], "left"), "chain")
+        open_ = F.col("far").isNotNull()
+        if both.where(open_).isEmpty():
+            break
+        last = F.lit(k == rounds - 1)  # longer than all nodes: it goes round
+        jump = both.select("conv_id", "node", F.when(open_ & last, F.lit(None)).otherwise(
+            F.coalesce("far", "head")).alias("head"), (F.col("dist") + F.coalesce("more", F.lit(0))).alias("dist"))
+    return jump.select("conv_id", "node", "head", "dist")
+
+
 def topological_depth(edges: DataFrame) -> DataFrame:
     """(conv_id, call_id, depth) for the calls that wait on ``edges`` (conv_id,
-    before, after); depth is null on and behind cycles.
-
-    A round keeps the edges whose first call waits itself; a call that still
-    waits in round k has a chain of more than k calls before it.  Edges that no
-    round removes are cycles and what they lead to."""
-    ensure_checkpoint_dir(edges.sparkSession)
-    left = edges.select("conv_id", "before", "after").distinct().checkpoint()
-    n, rounds = left.count(), []
-    while n:
-        rounds.append(left.withColumn("round", F.lit(len(rounds))))
-        waiting = left.select("conv_id", F.col("after").alias("before")).distinct()
-        left = left.join(waiting, ["conv_id", "before"], "left_semi").checkpoint()
-        n, was = left.count(), n
-        if n == was:
-            rounds.append(left.withColumn("round", F.lit(None).cast("int")))
-            break
-    seen = functools.reduce(DataFrame.union, rounds, left.limit(0).withColumn("round", F.lit(0)))
-    return seen.groupBy("conv_id", F.col("after").alias("call_id")).agg(
-        F.when(F.bool_and(F.col("round").isNotNull()), F.max("round") + 1).alias("depth"))
+    before, after); depth is null on and behind cycles."""
+    spark = edges.sparkSession
+    edges = stored(edges.select("conv_id", "before", "after").distinct(), "edges")
+    count = stored(edges.groupBy("conv_id", "after").agg(F.count("*").alias("n"), F.min("before").alias("one")), "waits")
+    heads = stored(chain_heads(count.where("n = 1").select("conv_id", F.col("after").alias("node"), F.col("one").alias("head"))),
+                   "heads")
+    merges = count.where("n > 1").select("conv_id", "after")
+    # a merge point waits for the heads of the chains that lead to it; heads that are none are done
+    lead = heads.select("conv_id", F.col("node").alias("before"), "head", "dist", F.lit(True).alias("chained"))
+    left = edges.join(merges, ["conv_id", "after"], "left_semi").join(lead, ["conv_id", "before"], "left").select(
+        "conv_id", "after", F.when(F.col("chained"), F.col("head")).otherwise(F.col("before")).alias("head"),
+        (F.coalesce("dist", F.lit(0)) + 1).alias("w"))
+    waits = merges.select("conv_id", F.col("after").alias("head"), F.lit(True).alias("waits"))
+    left = stored(left.join(waits, ["conv_id", "head"], "left").select(
+        "conv_id", "after", "head", "w", F.when(F.col("head").isNotNull() & F.col("waits").isNull(), F.col("w")).alias("known")),
+        "merges")
+    path, k = shared_path(spark, f"depths-{uuid.uuid4().hex}"), 0
+    done = left.select("conv_id", "after", F.col("known").alias("depth")).limit(0)
+    done.write.parquet(f"{path}/round=-1")
+    while not left.isEmpty():
+        ready = left.groupBy("conv_id", "after").agg(
+            F.max("known").alias("depth"), F.count_if(F.col("known").isNull()).alias("open")).where("open = 0").drop("open")
+        ready.write.parquet(f"{path}/round={k}")
+        ready = spark.read.schema(done.schema).parquet(f"{path}/round={k}")
+        if ready.isEmpty():
+            break  # only cycles and what they lead to
+        settled = ready.select("conv_id", F.col("after").alias("head"), "depth")
+        left = stored(left.join(ready, ["conv_id", "after"], "left_anti").join(settled, ["conv_id", "head"], "left").select(
+            "conv_id", "after", "head", "w", F.coalesce("known", F.col("w") + F.col("depth")).alias("known")), "merges")
+        k += 1
+    depths = spark.read.schema(done.schema).parquet(path)
+    found = merges.join(depths, ["conv_id", "after"], "left").select("conv_id", F.col("after").alias("call_id"), "depth")
+    at = found.select("conv_id", F.col("call_id").alias("head"), F.col("depth").alias("base"), F.lit(True).alias("merge"))
+    chained = heads.join(at, ["conv_id", "head"], "left").select(
+        "conv_id", F.col("node").alias("call_id"),
+        F.when(F.col("head").isNotNull() & F.col("merge").isNull(), F.col("dist")).otherwise(
+            F.col("base") + F.col("dist")).alias("depth"))
+    return found.union(chained)
+
+
+def numbered(rows: DataFrame, fields: list[str], count: str) -> DataFrame:
+    """Distinct rows of KEY and ``fields`` (the first is the turn) with ``count``
+    and ``nth``: their place among the rows of their identifier.  Rows without an
+    identifier have no place."""
+    alike = rows.groupBy(*KEY, *fields).agg(F.count("*").alias(count))
+    known = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
+    placed = running_sum(alike.where(known), KEY, fields, F.lit(1).cast("bigint"), "nth",
+                         chunk=F.floor(F.col(fields[0]) / CHUNK_TURNS))
+    return placed.union(alike.where(~known).withColumn("nth", F.lit(None).cast("bigint")))
 
 
 def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, list[Field]]) -> DataFrame:
-    """One row per (conv_id, call_id): turn, depth, status, errors,
-    missing_dependencies, n_calls, n_results and the canonical ``json``.
+    """One row per call or unlinked result: conv_id, call_id, nth, turn, depth, status,
+    errors, missing_dependencies, n_calls, n_results and the canonical ``json``.
 
     ``calls``: conv_id, call_id, turn, name, arguments (JSON text), depends_on
     (array of call ids); ``results``: conv_id, call_id, turn, content."""
-    first = stored(calls.groupBy(*KEY).agg(
-        F.min(F.struct("turn", "name", "arguments", "depends_on")).alias("call"), F.count("*").alias("n_calls")), "calls")
-    answer = results.groupBy(*KEY).agg(
-        F.min(F.struct("turn", "content")).alias("result"), F.count("*").alias("n_results"))
-    same = F.col("c.conv_id").eqNullSafe(F.col("r.conv_id")) & F.col("c.call_id").eqNullSafe(F.col("r.call_id"))
-    both = first.alias("c").join(answer.alias("r").hint("shuffle_hash"), same, "full_outer").select(
-        F.coalesce("c.conv_id", "r.conv_id").alias("conv_id"), F.coalesce("c.call_id", "r.call_id").alias("call_id"),
-        "call", "result", F.coalesce("n_calls", F.lit(0)).cast("long").alias("n_calls"),
-        F.coalesce("n_results", F.lit(0)).cast("long").alias("n_results"))
-
-    wanted = first.select("conv_id", F.col("call_id").alias("after"),
-                          F.explode(F.array_distinct("call.depends_on")).alias("before"))
-    known = first.select("conv_id", F.col("call_id").alias("before"))
-    edges = wanted.join(known, ["conv_id", "before"], "left_semi")
-    depth = topological_depth(edges).withColumn("linked", F.lit(True))
-    missing = wanted.join(known, ["conv_id", "before"], "left_anti").groupBy(
-        "conv_id", F.col("after").alias("call_id")).agg(F.array_sort(F.collect_set("before")).alias("missing_dependencies"))
-
-    rows = both.join(depth, KEY, "left").join(missing, KEY, "left")
+    asked = stored(numbered(calls.select(*KEY, "turn", "name", "arguments", "depends_on"),
+                            ["turn", "name", "arguments", "depends_on"], "n_calls"), "calls")
+    given = numbered(results.select(*KEY, "turn", "content"), ["turn", "content"], "n_results")
+    one = asked.select(*KEY, "nth", F.struct("turn", "name", "arguments", "depends_on").alias("call"), "n_calls")
+    two = given.select(*KEY, "nth", F.struct("turn", "content").alias("result"), "n_results")
+    key = [*KEY, "nth"]
+    linked = one.where("nth is not null").join(two.where("nth is not null").hint("shuffle_hash"), key, "full_outer")
+    both = linked.unionByName(one.where("nth is null"), allowMissingColumns=True).unionByName(
+        two.where("nth is null"), allowMissingColumns=True).withColumns(
+        {c: F.coalesce(c, F.lit(0)).cast("long") for c in ("n_calls", "n_results")})
+
+    known = asked.where("nth is not null")
+    me = F.struct("call_id", "nth")
+    wanted = known.select("conv_id", me.alias("after"), "turn", F.explode(F.array_distinct("depends_on")).alias("call_id")
+                          ).where("call_id is not null")
+    there = known.select(*KEY).distinct()
+    # as of the call's turn: asks and calls of an identifier in one sequence, asks first in a turn
+    line = known.select(*KEY, "turn", F.lit(1).alias("kind"), "nth").unionByName(
+        wanted.join(there, KEY, "left_semi").withColumn("kind", F.lit(0)), allowMissingColumns=True)
+    at = previous_values(line, KEY, ["turn", "kind", "nth"], ["nth"], "at_",
+                         chunk=F.floor(F.col("turn") / CHUNK_TURNS), ignore_nulls=True)
+    edges = at.where("kind = 0").select("conv_id", F.struct(
+        "call_id", F.coalesce("at_nth", F.lit(1).cast("bigint")).alias("nth")).alias("before"), "after")
+    depth = topological_depth(edges).select("conv_id", "call_id.*", "depth", F.lit(True).alias("linked"))
+    missing = wanted.join(there, KEY, "left_anti").groupBy("conv_id", "after").agg(
+        F.array_sort(F.collect_set("call_id")).alias("missing_dependencies")).select(
+        "conv_id", "after.*", "missing_dependencies")
+
+    rows = both.join(depth, key, "left").join(missing, key, "left")
     rows = materialize(rows, value=F.try_parse_json(F.col("call.arguments")))
     rows = materialize(rows, errors=F.when(F.col("call").isNull(), F.array().cast("array<string>")).otherwise(
         argument_errors(F.col("call.name"), F.col("call.arguments"), F.col("value"), schemas)))
-    status = (F.when(F.col("conv_id").isNull() | F.col("call_id").isNull(), "no_identifier")
+    status = (F.when(F.col("nth").isNull(), "no_identifier")
               .when(F.col("call").isNull(), "orphan_result")
               .when(F.col("linked") & F.col("depth").isNull(), "cycle")
               .when(F.size("errors") > 0, "invalid_arguments")
@@ -149,8 +215,8 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, lis
         F.col("value").alias("arguments"), F.col("call_id").alias("id"), F.col("call.name").alias("name"),
         F.col("result.content").alias("result")), {"ignoreNullFields": "false"})
     return rows.select(
-        *KEY, F.coalesce("call.turn", "result.turn").alias("turn"),
-        F.when(F.col("call").isNotNull() & F.col("linked").isNull(), F.lit(0)).otherwise(F.col("depth")).alias("depth"),
+        *key, F.coalesce("call.turn", "result.turn").alias("turn"),
+        F.when(F.col("call").isNotNull() & F.col("linked").isNull(), F.lit(0)).otherwise(F.col("depth")).cast("int").alias("depth"),
         status.alias("status"), F.col("errors"),
         F.coalesce("missing_dependencies", F.array().cast("array<string>")).alias("missing_dependencies"),
         "n_calls", "n_results", json.alias("json"))
@@ -204,21 +270,24 @@ c0 AS (
          CASE WHEN turn % 4 = 1 THEN 'search' ELSE 'translate' END AS name,
          CASE WHEN turn >= 2 THEN 'call_' || conv_id || '_' || (turn - 2) END AS before
   FROM m WHERE role = 'assistant'),
-c AS (SELECT * EXCLUDE (k) FROM (
-        SELECT *, row_number() OVER (PARTITION BY conv_id, call_id ORDER BY turn, j) AS k,
-               count(*) OVER (PARTITION BY conv_id, call_id) AS n_calls FROM c0) WHERE k = 1),
+c AS (SELECT *, row_number() OVER (PARTITION BY conv_id, call_id ORDER BY turn, j) AS nth
+      FROM (SELECT *, count(*) AS n_calls FROM c0 GROUP BY ALL)),
 r AS (
-  SELECT conv_id, 'call_' || conv_id || '_' || (turn - 1) AS call_id, min(turn) AS rturn,
-         arg_min(j, turn) AS content, count(*) AS n_results
-  FROM m WHERE role = 'user' GROUP BY ALL),
+  SELECT *, row_number() OVER (PARTITION BY conv_id, call_id ORDER BY content) AS nth
+  FROM (SELECT conv_id, 'call_' || conv_id || '_' || (turn - 1) AS call_id, turn AS rturn, j AS content, count(*) AS n_results
+        FROM m WHERE role = 'user' GROUP BY ALL)),
 d AS (
-  WITH RECURSIVE w(conv_id, call_id, depth) AS (
-    SELECT conv_id, call_id, 0 FROM c WHERE before IS NULL OR (conv_id, before) NOT IN (SELECT (conv_id, call_id) FROM c)
+  WITH RECURSIVE last AS (SELECT conv_id, call_id, max(nth) AS nth FROM c GROUP BY ALL),
+  w(conv_id, call_id, nth, depth) AS (
+    SELECT conv_id, call_id, nth, 0 FROM c
+    WHERE before IS NULL OR (conv_id, before) NOT IN (SELECT (conv_id, call_id) FROM c)
     UNION ALL
-    SELECT c.conv_id, c.call_id, w.depth + 1 FROM c JOIN w ON c.conv_id = w.conv_id AND c.before = w.call_id)
+    SELECT c.conv_id, c.call_id, c.nth, w.depth + 1
+    FROM c JOIN w ON c.conv_id = w.conv_id AND c.before = w.call_id
+    JOIN last l ON l.conv_id = w.conv_id AND l.call_id = w.call_id AND l.nth = w.nth)
   SELECT * FROM w),
 x AS (
-  SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id) AS call_id,
+  SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id) AS call_id, coalesce(c.nth, r.nth) AS nth,
          coalesce(c.turn, r.rturn) AS turn, d.depth, c.name, c.n, c.j, r.content,
          coalesce(c.n_calls, 0) AS n_calls, coalesce(r.n_results, 0) AS n_results,
          CASE WHEN c.before IS NOT NULL AND NOT EXISTS (
@@ -237,8 +306,9 @@ x AS (
                 || '"target":"' || CASE WHEN n % 4 = 0 THEN 'it' ELSE 'de' END || '","text":' || j
                 || CASE WHEN n % 3 = 0 THEN ',"x":1' ELSE '' END || '}'
               ELSE 'null' END AS args
-  FROM c FULL JOIN r USING (conv_id, call_id) LEFT JOIN d ON d.conv_id = c.conv_id AND d.call_id = c.call_id)
-SELECT conv_id, call_id, turn, depth::INTEGER AS depth,
+  FROM c FULL JOIN r ON r.conv_id = c.conv_id AND r.call_id = c.call_id AND r.nth = c.nth
+  LEFT JOIN d ON d.conv_id = c.conv_id AND d.call_id = c.call_id AND d.nth = c.nth)
+SELECT conv_id, call_id, nth, turn, depth::INTEGER AS depth,
        CASE WHEN name IS NULL THEN 'orphan_result' WHEN errors <> '' THEN 'invalid_arguments'
             WHEN content IS NULL THEN 'missing_result' ELSE 'ok' END AS status,
        errors, miss AS missing_dependencies, n_calls, n_results,
