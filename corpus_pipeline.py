@@ -43,16 +43,18 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group: the one with the smallest id (rows
     without an id come last; equal ids: the smallest hash of the row; equal rows: one)."""
-    row = docs.select("*", F.xxhash64(*_columns(docs)).alias("_row"))
-    groups = simhash_groups(row, extra=("_row",))
+    # the row is one struct, so that no column of it can clash; maps have no hash of their own
+    parts = [F.to_json(F.struct(c)) if "map<" in t else F.col(c) for c, (_, t) in zip(_columns(docs), docs.dtypes)]
+    row = docs.select(F.struct(*_columns(docs)).alias("row"), F.xxhash64(*parts).alias("mark"),
+                      F.col("doc_id").alias("own"), F.col("text").alias("body"))
+    groups = simhash_groups(row, "own", "body", extra=("mark",))
     # by fingerprint, not by smallest id: unlike texts under one id are two groups
     best = groups.groupBy("root").agg(F.min(F.struct(
-        F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("_row").alias("row"))).alias("m"))
-    winners = best.select("m.id", "m.row")
-    found = row.join(winners, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("_row") == F.col("row")))
+        F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("mark").alias("hash"))).alias("m"))
+    winners = best.select("m.id", "m.hash")
+    found = row.join(winners, F.col("own").eqNullSafe(F.col("id")) & (F.col("mark") == F.col("hash")))
     # equal rows have one key, so the aggregate keeps one of them without another shuffle
-    return found.groupBy("id", "row").agg(*[F.first(c).alias(n) for c, n in zip(_columns(docs), docs.columns)]).select(
-        *_columns(docs))
+    return found.groupBy("id", "hash").agg(F.first("row").alias("row")).select("row.*")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

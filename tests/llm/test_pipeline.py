@@ -103,3 +103,17 @@ def test_run_on_a_table(spark, sf):
     clean = docs.join(P.quality(spark, docs, path).select("doc_id"), "doc_id")
     assert ids <= {r["doc_id"] for r in clean.collect()} and len(ids) > 0.6 * clean.count()
     assert np.all(np.diff(sorted(r["sequence_id"] for r in out.collect())) <= 1)
+
+
+def test_clashing_columns_in_every_stage(spark):
+    """Columns named like those that the stages and operators use, and a map."""
+    names = ["id", "row", "_row", "_spans", "mark", "own", "body", "k1", "root", "fp", "hash", "quality", "kept", "n_removed"]
+    docs = spark.createDataFrame(rows(), SCHEMA).drop("quality", "body").select(
+        "*", *[F.lit(n).alias(n) for n in names], F.create_map(F.lit("a"), F.col("n_chars")).alias("map"))
+    for name, stage in P.STAGES:
+        before, docs = docs, stage(spark, docs, "")
+        if name != "packing":
+            assert docs.columns == before.columns
+            assert all(r[n] == n for r in docs.collect() for n in names)
+            docs = P.stored(docs, "clash")
+    assert docs.count() > 0
