@@ -77,33 +77,31 @@ def _nodes(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(parents), np.concatenate(labels), ends
 
 
-def build(strings: list[bytes]) -> ByteTrie:
-    """The trie of distinct, sorted byte strings; string i is accepted as i.
+def place(kids: np.ndarray, first: np.ndarray, label: np.ndarray, width: int) -> np.ndarray:
+    """Bases of nodes so that no two edges share a slot: node v has the edges
+    ``first[v]`` to ``first[v] + kids[v]``, with rising labels below ``width``;
+    the edge's slot is the base plus its label, and slot 0 stays free.
 
-    Nodes with many children get ranges of their own; the others are placed
-    together, those with more children first: every one proposes a base, those
+    Nodes with many edges get ranges of their own; the others are placed
+    together, those with more edges first: every one proposes a base, those
     whose slots are free and not proposed twice are taken, the rest proposes again."""
-    if not strings:
-        return ByteTrie(np.zeros(1, np.int32), np.full(257, -1, np.int32), np.full(257, -1, np.int32))
-    parent, label, ends = _nodes(strings)
-    n = len(parent)
-    kids = np.bincount(parent[1:], minlength=n)
-    first = 1 + np.concatenate([[0], np.cumsum(kids)[:-1]])  # breadth first: children are neighbours
+    n = len(kids)
     base = np.zeros(n, dtype=np.int64)
     inner = np.flatnonzero(kids)
     wide = inner[kids[inner] > WIDE]
     low, high = label[first[wide]], label[first[wide] + kids[wide] - 1]
-    starts = 256 + np.concatenate([[0], np.cumsum(high - low + 1)]).astype(np.int64)
+    starts = width + np.concatenate([[0], np.cumsum(high - low + 1)]).astype(np.int64)
     base[wide] = starts[:-1] - low
-    used = np.zeros(int(starts[-1]) + 2 * n + 1024, dtype=bool)
+    used = np.zeros(int(starts[-1]) + 2 * n + width + 1024, dtype=bool)
     used[0] = True
-    of_wide = np.isin(parent[1:], wide)
-    used[base[parent[1:][of_wide]] + label[1:][of_wide]] = True
+    of = np.repeat(np.arange(len(wide)), kids[wide])
+    step = np.arange(len(of)) - np.repeat(np.cumsum(kids[wide]) - kids[wide], kids[wide])
+    used[base[wide][of] + label[first[wide][of] + step]] = True
     rng = np.random.default_rng(n)
     for most, least in ((WIDE, 9), (8, 5), (4, 3), (2, 1)):
         rest = inner[(kids[inner] <= most) & (kids[inner] >= least)]
         while len(rest):
-            b = rng.integers(0, len(used) - 256, len(rest))
+            b = rng.integers(0, len(used) - width, len(rest))
             owner = np.repeat(np.arange(len(rest)), kids[rest])
             step = np.arange(len(owner)) - np.repeat(np.cumsum(kids[rest]) - kids[rest], kids[rest])
             slot = b[owner] + label[first[rest][owner] + step]
@@ -117,6 +115,18 @@ def build(strings: list[bytes]) -> ByteTrie:
             if bad.mean() > 0.9:
                 used = np.concatenate([used, np.zeros(n + 1024, dtype=bool)])
             rest = rest[bad]
+    return base
+
+
+def build(strings: list[bytes]) -> ByteTrie:
+    """The trie of distinct, sorted byte strings; string i is accepted as i."""
+    if not strings:
+        return ByteTrie(np.zeros(1, np.int32), np.full(257, -1, np.int32), np.full(257, -1, np.int32))
+    parent, label, ends = _nodes(strings)
+    n = len(parent)
+    kids = np.bincount(parent[1:], minlength=n)
+    first = 1 + np.concatenate([[0], np.cumsum(kids)[:-1]])  # breadth first: children are neighbours
+    base = place(kids, first, label, 256)
     slots = np.zeros(n, dtype=np.int64)
     slots[1:] = base[parent[1:]] + label[1:]
     top = int(max(slots.max(), base.max())) + 257

@@ -1,17 +1,18 @@
 """Language identification by cross-parsing entropy (operator 1).
 
 Learning.  From the labelled rows a bounded, documented sample is taken: per
-language the distinct texts whose hash lies under a threshold that about
-``SAMPLE_ROWS`` rows meet, in hash order, up to ``sample_chars`` characters.
-The sample (at most ``MAX_LANGUAGES`` texts) is broadcast, and every worker
-builds one suffix automaton per language from it, once.
+language the ``SAMPLE_ROWS`` distinct texts with the smallest hashes, in hash
+order, up to ``sample_chars`` characters; every language with a text is learnt,
+however many copies it has.  With many languages each has fewer characters, so
+that all have ``TOTAL_CHARS`` at most.  The sample is broadcast, and every
+worker builds one suffix automaton per language from it, once.
 
 Prediction.  A text is cross-parsed against each automaton: starting at the
 root, transitions are followed as long as they exist; where none does, a
 phrase ends and the next one starts.  The number of phrases c of n characters
 gives the cross entropy c * log2(m) / n for a training text of m characters;
 the language with the smallest wins (ties: the smaller label).  The automata
-are walked as tables, many texts in step; a text is parsed in segments of
+are walked as double arrays, many texts in step; a text is parsed in segments of
 ``SEGMENT`` characters (a phrase does not run over a segment's end), so a very
 long text is many short lanes and no part of it is skipped.
 
@@ -32,6 +33,7 @@ from __future__ import annotations
 
 import functools
 import unicodedata
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -39,13 +41,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
+
+from skyfold.llm.byte_trie import place
+from skyfold.llm.storage import stored
 
 #: Characters of training text per language.
 SAMPLE_CHARS = 40_000
-#: Rows per language that the sample is drawn to have, about.
+#: Distinct texts per language that the sample takes at most.
 SAMPLE_ROWS = 400
-#: More labels than this are an error: the models would not be a small broadcast.
-MAX_LANGUAGES = 32
+#: Characters of training text of all languages together, which bounds the
+#: broadcast: with more than 32 labels, each has less.
+TOTAL_CHARS = 32 * SAMPLE_CHARS
 SEGMENT = 1024
 #: Characters that walk the automata at a time.
 LANES = 1 << 22
@@ -59,9 +66,24 @@ def letter_table() -> np.ndarray:
     return np.array([unicodedata.category(chr(c))[0] == "L" for c in range(0x110000)])
 
 
-def suffix_automaton(symbols: np.ndarray, width: int) -> np.ndarray:
-    """Transitions (states, width) of the suffix automaton; -1: none.  State 0
-    is the root."""
+@dataclass
+class Automaton:
+    """Transitions as a double array: state s goes by symbol c to ``to[base[s] + c]``
+    if ``check`` of that slot is s.  Its size follows the number of transitions
+    (three a character at most), not the alphabet.  State 0 is the root."""
+
+    base: np.ndarray
+    check: np.ndarray
+    to: np.ndarray
+
+    def step(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """The next states; -1: none."""
+        at = self.base[state] + symbol
+        return np.where(self.check[at] == state, self.to[at], np.int32(-1))
+
+
+def suffix_automaton(symbols: np.ndarray, width: int) -> Automaton:
+    """The suffix automaton of ``symbols``, all below ``width``."""
     following, link, length, last = [{}], [-1], [0], 0
     for c in symbols.tolist():
         new = len(following)
@@ -86,11 +108,14 @@ def suffix_automaton(symbols: np.ndarray, width: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = copy
         last = new
-    table = np.full((len(following), width), -1, dtype=np.int32)
-    for s, f in enumerate(following):
-        for c, t in f.items():
-            table[s, c] = t
-    return table
+    kids = np.fromiter(map(len, following), np.int64, len(following))
+    edges = np.array([(s, c, t) for s, f in enumerate(following) for c, t in sorted(f.items())], np.int64).reshape(-1, 3)
+    base = place(kids, np.cumsum(kids) - kids, edges[:, 1], width)
+    slots = base[edges[:, 0]] + edges[:, 1]
+    size = int(base.max()) + width + 1
+    out = Automaton(base.astype(np.int32), np.full(size, -1, np.int32), np.full(size, -1, np.int32))
+    out.check[slots], out.to[slots] = edges[:, 0], edges[:, 2]
+    return out
 
 
 def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -141,12 +166,12 @@ class Models:
         owner, start, size = owner[order], start[order], size[order]
         active = np.searchsorted(-size, -np.arange(int(size[0]) if len(size) else 0), "left")
         for k, table in enumerate(self.tables):
-            flat, root = table.reshape(-1), table[0]
-            state = np.zeros(len(start), dtype=np.int64)
+            root = table.step(np.zeros(self.width, dtype=np.int32), np.arange(self.width))
+            state = np.zeros(len(start), dtype=np.int32)
             count = np.ones(len(start), dtype=np.int64)
             for t, n in enumerate(active.tolist()):  # lanes longer than t
                 c = symbols[start[:n] + t]
-                to = flat[state[:n] * self.width + c]
+                to = table.step(state[:n], c)
                 miss = np.flatnonzero(to < 0)
                 count[miss] += 1
                 again = root[c[miss]]
@@ -188,15 +213,16 @@ def training_texts(labelled: DataFrame, text_col: str, lang_col: str, sample_cha
     """The bounded sample: at most ``sample_chars`` characters per language."""
     rows = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    counts = rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    if not counts:
+    # copies are one text; the first few by hash are the sample, however many rows a text has
+    marks = rows.select("lang", F.xxhash64("text").alias("h")).distinct()
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    drawn = stored(marks.withColumn("n", nth).where(F.col("n") <= SAMPLE_ROWS).drop("n"), "langid-sample")
+    n = drawn.agg(F.count_distinct("lang")).first()[0]
+    if not n:
         return {}
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, SAMPLE_ROWS / r["count"]))])
-    drawn = F.shiftrightunsigned(F.xxhash64("text"), 11) / float(1 << 53)  # 0..1 by the text's hash
-    some = rows.where(drawn <= share[F.col("lang")]).select(
-        "lang", drawn.alias("h"), F.substring("text", 1, sample_chars).alias("text")).distinct()
+    sample_chars = max(1, min(sample_chars, TOTAL_CHARS // n))
+    some = rows.withColumn("h", F.xxhash64("text")).join(drawn, ["lang", "h"]).groupBy("lang", "h").agg(
+        F.min(F.substring("text", 1, sample_chars)).alias("text"))
 
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
         text = "\n".join(pdf.sort_values(["h", "text"])["text"])[:sample_chars]

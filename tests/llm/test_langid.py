@@ -21,7 +21,7 @@ def test_automaton_knows_every_substring():
             w = tuple(rnd.randrange(3) for _ in range(rnd.randint(1, 8)))
             state = 0
             for c in w:
-                state = table[state, c] if state >= 0 else -1
+                state = int(table.step(np.array([state]), np.array([c]))[0]) if state >= 0 else -1
             assert (state >= 0) == (w in have)
 
 
@@ -76,3 +76,23 @@ def test_defined_cases(spark):
     assert got == [(1, "und"), (1, "und"), (2, "und"), (None, "en"), (3, "fr"), (3, "fr"), (4, "en")]
     assert {r["lang_pred"] for r in L.identify(df, labelled.limit(0)).collect()} == {"und"}
     assert L.identify(df.limit(0), labelled).count() == 0
+
+
+def test_every_label_is_learnt(spark):
+    """20,000 copies of one text beside 50 others, and more than 32 labels."""
+    rows = [("the cat and the dog of the house", "en")] * 20_000
+    rows += [(f"le chat numéro {chr(97 + i % 26) * (i // 5 + 1)} et le chien", "fr") for i in range(50)]
+    texts = L.training_texts(spark.createDataFrame(rows, "text string, lang string"), "text", "lang", 1000)
+    assert set(texts) == {"en", "fr"} and texts["en"] == rows[0][0] and texts["fr"].count("le chat") > 20
+    many = [(chr(0x4E00 + 40 * i) + "".join(chr(0x4E00 + 40 * i + j) for j in range(30)), f"l{i:02d}") for i in range(40)]
+    df = spark.createDataFrame(many, "text string, lang string")
+    got = L.identify(df.select("text", F.col("lang").alias("want")), df).collect()
+    assert all(r["lang_pred"] == r["want"] for r in got) and len(got) == 40
+
+
+def test_a_large_alphabet_takes_little_memory():
+    rnd = random.Random(6)
+    text = "".join(chr(0x4E00 + int(rnd.paretovariate(0.6)) % 4000) for _ in range(10_000))
+    models = L.Models({"en": "the cat and the dog", "zh": text})
+    assert models.width > 500
+    assert sum(a.nbytes for m in models.tables for a in (m.base, m.check, m.to)) < 10_000_000
