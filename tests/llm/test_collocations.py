@@ -60,7 +60,7 @@ def test_equals_brute_force(spark, monkeypatch, shard_bytes, bits, top):
     rows = corpus()
     df = spark.createDataFrame([(a, b, "x", 1) for a, b in rows], "lang string, text string, phrase string, n int")
     if shard_bytes < 2000:  # many tries are many passes: two levels are enough here
-        got, want = C.collocations(df, min_count=8, max_words=2, top=top), brute(rows, 8, 2, top)
+        got, want = C.collocations(df, min_count=5, max_words=2, top=top), brute(rows, 5, 2, top)
     else:
         got, want = C.collocations(df, min_count=5), brute(rows, 5)
     assert len(want) > 10
