@@ -107,7 +107,7 @@ PLANTED = [  # text, spans counted by hand
     ("client_id=app-1 sig=abcDEF0123456789ghiJKL==", "", "weak_id:0:15 weak_secret:20:44"),
     (f"key={KEY}", "", ""),  # no identifier
     # an endpoint that carries its credential stays: all three parts co-occur
-    ("client_id=abcd1234 https://host/path?token=abcdef123456", "assign:38:56", "weak_id:0:18 endpoint:19:56"),
+    ("client_id=abcd1234 https://host/path?token=abcdef123456", "assign:37:55", "weak_id:0:18 endpoint:19:55"),
 ]
 
 
