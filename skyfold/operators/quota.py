@@ -187,46 +187,85 @@ def fixed_window_quota(requests: DataFrame, width: int, max_requests: int, key:
                     (n <= max_requests).alias("accepted")).drop("_key")
 
 
-_SLIDING_SCHEMA = T.StructType([T.StructField("client", T.StringType()), T.StructField("seq", T.LongType()),
-                                T.StructField("ts", T.LongType()), T.StructField("accepted", T.BooleanType())])
+def _contested_scan(window: int, max_requests: int):
+    """Sequential part of W16: seconds of contested runs in order -> accepted per second."""
+    def scan(batches):
+        from collections import deque
+
+        import pandas as pd
+        run, held, total = None, deque(), 0
+        for pdf in batches:
+            accepted = []
+            for c, r, t, n, at, counts in zip(pdf["_key"], pdf["_run"], pdf["ts"], pdf["_n"],
+                                              pdf["_seed_ts"], pdf["_seed_n"]):
+                if (c, r) != run:  # a run starts with its head, which carries the state
+                    run, held = (c, r), deque(zip(at, counts))
+                    total = sum(x for _, x in held)
+                while held and held[0][0] < t - window:
+                    total -= held.popleft()[1]
+                k = min(n, max_requests - total)
+                if k > 0:
+                    held.append((t, k))
+                    total += k
+                accepted.append(k)
+            yield pd.DataFrame({"_key": pdf["_key"], "ts": pdf["ts"], "_k": accepted})
+    return scan
 
 
 def sliding_quota(requests: DataFrame, window: int = 60, max_requests: int = 120, key: str = "client",
                   split_seconds: int = 86400) -> DataFrame:
     """Reject when ≥ max *accepted* requests fall in [t − window, t];
-    rejected requests do not count.  Order-dependent, so the decision runs in
-    pandas — but per *burst*: a gap longer than the window empties the state,
-    so bursts are independent and a busy key spreads over many tasks.  Bursts
-    are hash-partitioned and sorted, then each partition is scanned once
-    (Arrow batches; state carried across batch boundaries)."""
+    rejected requests do not count.  A request without a time has a null answer.
+
+    The decision depends on order, but only where requests compete:
+
+    1. Requests are counted per (client, second) before any shuffle; inside a
+       second nothing expires, so the first k of it are accepted and at most
+       ``max`` can be.
+    2. Where fewer than ``max`` requests lie in [t − 2·window, t), everything in
+       [t − window, t) was accepted, whatever came before.  Such a second is
+       decided by a sum over a range frame.  Frames run per (client, stretch of
+       ``split_seconds``) with the rows of two windows on either side copied in,
+       so a busy client is spread over many tasks.
+    3. Only the runs of other seconds are scanned in order, in pandas; a run
+       starts with the last free second before it, which carries the state.  A
+       client that never falls below its limit is one run, of at most one row a
+       second."""
     window, max_requests = max(1, int(window)), max(1, int(max_requests))
-    chunk = time_chunk("ts", split_seconds)
-    d = previous_values(requests.select(key, "seq", "ts"), [key], ["ts", "seq"], ["ts"], prefix="_p_", chunk=chunk)
-    brk = F.when(F.col("_p_ts").isNull() | (F.col("ts") - F.col("_p_ts") > window), 1).otherwise(0)
-    d = running_sum(d.withColumn("_b", brk), [key], ["ts", "seq"], F.col("_b"), "_burst", chunk=chunk)
-    d = (d.select(key, "seq", "ts", "_burst").repartition(key, "_burst")
-         .sortWithinPartitions(key, "_burst", "ts", "seq"))
-
-    def scan(batches):
-        import collections
-
-        import pandas as pd
-        cur, dq = None, collections.deque()
-        for pdf in batches:
-            keys = pdf[key].to_numpy()
-            bursts = pdf["_burst"].to_numpy()
-            tss = pdf["ts"].to_numpy()
-            out = []
-            for k, b, t in zip(keys, bursts, tss):
-                if (k, b) != cur:
-                    cur, dq = (k, b), collections.deque()
-                while dq and dq[0] < t - window:
-                    dq.popleft()
-                if len(dq) >= max_requests:
-                    out.append(False)
-                else:
-                    dq.append(t)
-                    out.append(True)
-            yield pd.DataFrame({"client": keys, "seq": pdf["seq"].to_numpy(), "ts": tss, "accepted": out})
-
-    return d.mapInPandas(scan, _SLIDING_SCHEMA)
+    split = max(int(split_seconds), 4 * window)
+    d = requests.select(F.col(key).alias("_key"), "seq", "ts")
+    per = d.where(F.col("ts").isNotNull()).groupBy("_key", "ts").agg(
+        F.least(F.count(F.lit(1)), F.lit(max_requests)).alias("_n"))
+
+    stretch = F.floor(F.col("ts") / split)
+    into = F.col("ts") - stretch * split
+    near = F.when(into < 2 * window, stretch - 1).when(into >= split - 2 * window, stretch + 1)
+    copies = per.select("*", stretch.alias("_home"), F.explode(F.array_compact(F.array(stretch, near))).alias("_s"))
+    w = Window.partitionBy("_key", "_s").orderBy("ts")
+    last = w.rangeBetween(-window, -1)
+    d1 = copies.select(
+        "*", F.coalesce(F.sum("_n").over(w.rangeBetween(-2 * window, -1)), F.lit(0)).alias("_two"),
+        F.coalesce(F.sum("_n").over(last), F.lit(0)).alias("_one"),
+        F.collect_list("ts").over(last).alias("_seed_ts"), F.collect_list("_n").over(last).alias("_seed_n"))
+    free = F.col("_two") < max_requests
+    d2 = d1.select("_key", "ts", "_n", "_s", "_home", free.alias("_free"),
+                   F.least(F.col("_n"), F.lit(max_requests) - F.col("_one")).alias("_k"),
+                   (free & ~F.coalesce(F.lead(free).over(w), F.lit(True))).alias("_head"),
+                   *[F.when(free, F.col(c)).otherwise(F.array().cast("array<bigint>")).alias(c)
+                     for c in ("_seed_ts", "_seed_n")]).where(F.col("_s") == F.col("_home"))
+
+    decided = d2.where("_free").select("_key", "ts", "_k")
+    runs = running_sum(d2.where(~F.col("_free") | F.col("_head")), ["_key"], ["ts"],
+                       F.col("_head").cast("long"), "_run", chunk=time_chunk("ts", split))
+    scanned = (runs.select("_key", "_run", "ts", "_n", "_seed_ts", "_seed_n")
+               .repartition("_key", "_run").sortWithinPartitions("_key", "_run", "ts")
+               .mapInPandas(_contested_scan(window, max_requests),
+                            T.StructType([d.schema["_key"], T.StructField("ts", T.LongType()),
+                                          T.StructField("_k", T.LongType())])))
+    # heads are in both; both have the same number for them
+    quota = decided.unionByName(scanned).groupBy("_key", "ts").agg(F.max("_k").alias("_k"))
+    nth = F.row_number().over(Window.partitionBy("_key", "ts").orderBy("seq"))
+    r, q = d.select("*", nth.alias("_nth")).alias("r"), quota.alias("q")
+    return r.join(q, F.col("r._key").eqNullSafe(F.col("q._key")) & (F.col("r.ts") == F.col("q.ts")), "left").select(
+        F.col("r._key").alias("client"), "seq", "r.ts",
+        F.when(F.col("r.ts").isNotNull(), F.col("_nth") <= F.coalesce("_k", F.lit(0))).alias("accepted"))

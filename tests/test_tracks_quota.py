@@ -104,6 +104,31 @@ def test_sliding_quota_matches_brute_force(spark):
     assert got == brute_sliding(reqs, 60, 5)
 
 
+def test_sliding_quota_of_a_client_that_never_pauses(spark):
+    """No gap exceeds the window; busy hours alternate with free ones over many
+    stretches, seconds hold several requests and a client may be null."""
+    random.seed(11)
+    reqs, t = [], 0
+    while t < 40_000:
+        t += random.randint(0, 6) if (t // 1500) % 2 else random.randint(12, 40)
+        reqs.append(("busy", len(reqs), t))
+    reqs += [(None, len(reqs) + i, random.randint(0, 3000)) for i in range(400)]
+    df = spark.createDataFrame(reqs, "client string, seq bigint, ts bigint")
+    for mx in (1, 6):
+        got = {r.seq: r.accepted for r in Q.sliding_quota(df, 60, mx, split_seconds=500).collect()}
+        assert got == brute_sliding([(c or "", s, t) for c, s, t in reqs], 60, mx)
+
+
+def test_sliding_quota_scans_contested_runs_only(spark):
+    free = [("a", i, 100 * i) for i in range(50)]
+    df = spark.createDataFrame(free + [("b", 100 + i, i // 4) for i in range(40)] + [("c", 900, None)],
+                               "client string, seq bigint, ts bigint")
+    rows = {(r.client, r.seq): r.accepted for r in Q.sliding_quota(df, 60, 10).collect()}
+    assert all(rows["a", i] for i in range(50))
+    assert [rows["b", 100 + i] for i in range(40)] == [True] * 10 + [False] * 30
+    assert rows["c", 900] is None
+
+
 def test_counter_increase_with_reset(spark):
     s = spark.createDataFrame([("m", "i", t, t, v) for t, v in [(10, 5.0), (20, 8.0), (30, 2.0), (40, 6.0)]],
                               "metric string, instance string, ts bigint, seq bigint, value double")
