@@ -79,24 +79,27 @@ def read_position_events(payloads: DataFrame, value: str = "value") -> DataFrame
 
     Every payload is parsed once, into a variant; every field is read off it."""
     keep = [c for c in payloads.columns if c != value]
-    parsed = materialize(payloads.select(*keep, F.col(value).alias("_raw")), _v=F.expr("try_parse_json(_raw)"))
     wire = {n: ("opensky_fetch_epoch" if n == "batch_epoch" else n) for n, _ in POSITION_FIELDS}
-    # text and typed value of every field, once per row
-    parsed = materialize(parsed, **{f"_t_{n}": F.expr(f"try_variant_get(_v, '$.{w}', 'string')") for n, w in wire.items()},
-                         **{f"_e_{n}": F.expr(f"try_variant_get(_v, '$.{wire[n]}', '{t.simpleString()}')")
-                            for n, t in POSITION_FIELDS if t.simpleString() != "string"})
-    fields, bad = [], ~F.coalesce(F.expr("schema_of_variant(_v)").startswith("OBJECT"), F.lit(False))
-    for n, t in POSITION_FIELDS:
-        text = F.col(f"_t_{n}")
-        if t.simpleString() == "string":
+    typed = [(n, t.simpleString()) for n, t in POSITION_FIELDS if t.simpleString() != "string"]
+    as_struct = lambda fields: F.expr(
+        "try_variant_get(_v, '$', 'struct<" + ",".join(f"{wire[n]}:{t}" for n, t in fields) + ">')")
+    parsed = materialize(payloads.select(*keep, F.col(value).alias("_raw")), _v=F.expr("try_parse_json(_raw)"))
+    # every field as text and as its type, one walk over the payload each
+    parsed = materialize(parsed, _t=as_struct([(n, "string") for n, _ in POSITION_FIELDS]), _e=as_struct(typed))
+    is_typed = {n for n, _ in typed}
+    fields, bad = [], F.col("_t").isNull()  # not an object
+    for n, _ in POSITION_FIELDS:
+        text = F.col("_t")[wire[n]]
+        if n not in is_typed:
             # only an array or object has text that starts so and a nested type
             nested = text.rlike(r"^[\[{]") & F.expr(
                 f"schema_of_variant(try_variant_get(_v, '$.{wire[n]}', 'variant'))").rlike("^(ARRAY|OBJECT)")
             fields.append(text.alias(n))
             bad = bad | F.coalesce(nested, F.lit(False))
         else:
-            fields.append(F.col(f"_e_{n}").alias(n))
-            bad = bad | (F.coalesce(trim_to_null(text).isNotNull(), F.lit(False)) & F.col(f"_e_{n}").isNull())
+            value_of = F.col("_e")[wire[n]]
+            fields.append(value_of.alias(n))
+            bad = bad | (value_of.isNull() & F.coalesce(trim_to_null(text).isNotNull(), F.lit(False)))
     return parsed.select(*keep, *fields, F.when(bad, F.col("_raw")).alias("_corrupt"))
 
 
