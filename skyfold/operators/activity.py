@@ -56,6 +56,36 @@ def activity_buckets(events: DataFrame, width: int = DEFAULT_BUCKET_SECONDS,
     raise ValueError(mode)
 
 
+def unite_buckets(*tables: DataFrame) -> DataFrame:
+    """Sketch buckets of several tables (batch history, stream, corrections) as one
+    row per bucket: counts are summed, sketches united, so an aircraft that is in
+    more than one table is one aircraft.  The tables' reports must be disjoint for
+    the event counts to be so too.  Every table is reduced before the shuffle."""
+    names = ["bucket_epoch", "events_total", "events_military", "aircraft_sketch", "military_sketch"]
+    rows = tables[0].select(*names)
+    for t in tables[1:]:
+        rows = rows.unionByName(t.select(*names))
+    return rows.where(F.col("bucket_epoch").isNotNull()).groupBy("bucket_epoch").agg(
+        *[F.sum(c).cast("long").alias(c) for c in names[1:3]],
+        *[F.hll_union_agg(c).alias(c) for c in names[3:]])
+
+
+def sketch_estimates(buckets: DataFrame) -> DataFrame:
+    """Distinct aircraft of sketch buckets (relative error ``HLL_RSD``)."""
+    return buckets.select(
+        "bucket_epoch", "events_total", "events_military",
+        F.hll_sketch_estimate("aircraft_sketch").alias("aircraft_total"),
+        F.hll_sketch_estimate("military_sketch").alias("aircraft_military"))
+
+
+def within_error(estimate, exact, errors: float = 4.0) -> F.Column:
+    """Whether a sketch's estimate lies within ``errors`` relative errors of the
+    exact count (and at least one aircraft of slack)."""
+    e = F.col(estimate) if isinstance(estimate, str) else estimate
+    x = F.col(exact) if isinstance(exact, str) else exact
+    return F.abs(e - x) <= F.greatest(F.lit(1.0), F.lit(errors * HLL_RSD) * x)
+
+
 def series_grid(spark, now: int, window_seconds: int, n: int) -> tuple[DataFrame, int, int]:
     """``n`` display buckets of ``max(1, window // n)`` s starting at now − window."""
     window_seconds = max(1, int(window_seconds))

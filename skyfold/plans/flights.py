@@ -104,19 +104,22 @@ def list_summary(latest: DataFrame, aircraft: DataFrame, bbox: Bbox | None = Non
 def flight_detail(latest: DataFrame, aircraft: DataFrame, positions: DataFrame, icao24: str | None,
                   include_track: bool = True, photos: DataFrame | None = None,
                   track_points: int = 120) -> DataFrame:
-    """Q2 (single id): one row with nested track array; unknown id -> empty."""
-    ids = latest.sparkSession.createDataFrame([(icao24,)], "raw string").select(
-        norm_icao24("raw").alias("icao24")).where(F.col("icao24").isNotNull())
-    return flight_details(latest, aircraft, positions, ids, include_track, photos, track_points)
+    """Q2 (single id): one row with nested track array; unknown id -> empty.
 
+    The id is a constant of the plan, so it reaches the scans of both tables; over
+    ``sinks.write_tracks`` the track reads the row groups of that aircraft only."""
+    one = F.col("icao24") == norm_icao24(F.lit(icao24).cast("string"))
+    return flight_details(latest.where(one), aircraft, positions.where(one), None, include_track, photos, track_points)
 
-def flight_details(latest: DataFrame, aircraft: DataFrame, positions: DataFrame, ids: DataFrame,
+
+def flight_details(latest: DataFrame, aircraft: DataFrame, positions: DataFrame, ids: DataFrame | None,
                    include_track: bool = True, photos: DataFrame | None = None,
                    track_points: int = 120, flat: bool = False) -> DataFrame:
     """Q2 for a table of ids: latest row + J1 (all reference columns) + photo
     (J7 result) + newest ``track_points`` track points.  ``flat`` returns the
-    scalar part only (no nested columns) for oracle comparison."""
-    row = latest.join(ids, "icao24", "left_semi")
+    scalar part only (no nested columns) for oracle comparison.  Without ``ids``
+    the answer is that of all rows given."""
+    row = latest if ids is None else latest.join(ids, "icao24", "left_semi")
     name_ok = trim_to_null("manufacturer_name").isNotNull()
     a = aircraft.select(
         norm_icao24("icao24", validate=False).alias("icao24"), "registration",
@@ -135,7 +138,7 @@ def flight_details(latest: DataFrame, aircraft: DataFrame, positions: DataFrame,
     if photos is not None:
         out = out.join(photos.select("icao24", "photo"), "icao24", "left")
     if include_track:
-        pos = positions.join(ids, "icao24", "left_semi")
+        pos = positions if ids is None else positions.join(ids, "icao24", "left_semi")
         tr = recent_track(pos, n=track_points, as_array=True)
         out = out.join(tr, "icao24", "left")
     return out

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyfold.functions.expr import round2
 from skyfold.functions.taxonomy import (FLEET_ORDER, SIZE_ORDER, aircraft_size, aircraft_type_label,
                                         fleet_type, normalized_columns)
 from skyfold.operators.activity import (DEFAULT_SERIES_BUCKETS, MIN_SERIES_BUCKETS, activity_buckets,
@@ -21,6 +22,9 @@ from skyfold.plans.flights import snapshots
 DEFAULT_WINDOW = "24h"
 MAX_WINDOW_SECONDS = 168 * 3600
 KPI_TOP = 3
+# estimates that the answer declares and does not compute
+PLANNED = {"takeoffsLandings": "planned_v1_1", "noiseProxyIndex": "planned_v1_1_heuristic",
+           "alerts": "out_of_scope_issue_129"}
 # --------------------------------------------------------------------------
 
 
@@ -87,6 +91,42 @@ def flights_metrics(latest: DataFrame, positions: DataFrame, aircraft: DataFrame
         series=series)
 
 
+def metrics_answer(m: MetricsResult, credits: DataFrame | None = None, generated_at: str | None = None) -> DataFrame:
+    """Q3 as one row with every field of the answer.
+
+    The lists are bounded: the canonical and extra keys of a breakdown, the top
+    types, and the series' grid.  ``credits`` is W13's ratio by instance; the answer
+    takes the first instance by name, null without samples.  The estimates are
+    null and their notes say why."""
+    def listed(df: DataFrame, order: list, fields: list, out: str) -> DataFrame:
+        return df.agg(F.sort_array(F.collect_list(F.struct(*order, *fields))).alias(out))
+    item = ["key", "count", "percent"]
+    keep = lambda out, names: F.transform(out, lambda x: F.struct(*[x[n].alias(n) for n in names])).alias(out)
+    parts = [
+        listed(m.fleet, ["ordinal"], item, "fleet_breakdown").select(keep("fleet_breakdown", item)),
+        listed(m.sizes, ["ordinal"], item, "aircraft_sizes").select(keep("aircraft_sizes", item)),
+        listed(m.types.withColumn("_o", -F.col("count")), ["_o"], item, "aircraft_types").select(
+            keep("aircraft_types", item)),
+    ]
+    bucket = ["bucket_start", "events_total", "events_military", "aircraft_total", "aircraft_military",
+              "military_share_pct", "has_data"]
+    parts.append(listed(m.series, [], bucket, "activity_series"))
+    ratio = "opensky_credits_per_request_24h"
+    if credits is not None:
+        parts.append(credits.agg(round2(F.min_by("credits_per_request_24h", "instance")).alias(ratio)))
+    out = m.kpis
+    for p in parts:  # one row each
+        out = out.crossJoin(F.broadcast(p))
+    if credits is None:
+        out = out.withColumn(ratio, F.lit(None).cast("double"))
+    none = F.lit(None).cast("double")
+    estimates = F.struct(none.alias("takeoffs_window"), none.alias("landings_window"), none.alias("noise_proxy_index"),
+                         F.create_map(*[F.lit(x) for kv in PLANNED.items() for x in kv]).alias("notes"))
+    return out.withColumn("estimates", estimates).withColumn(
+        "generated_at", F.lit(generated_at) if generated_at else F.date_format(
+            F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+
+
 def kpi_strip(m: MetricsResult) -> dict:
     """Q5: top-3 fleet / size / type, imputed aircraft series, totals and the
     dominant fleet."""

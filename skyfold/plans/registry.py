@@ -1670,3 +1670,135 @@ from st, gap, n""")
 def q7_motion_answer(spark, sf):
     """Start pose, duration and static flag of every map item."""
     return motion_answer(_items(spark, sf)).select("icao24", "start_lat", "start_lon", "duration_ms", "is_static")
+
+
+# ---------------------------------------------------------------- sketches, chained windows, full answers
+from skyfold.operators.activity import activity_series, sketch_estimates, unite_buckets, within_error  # noqa: E402
+from skyfold.plans.flights import flight_detail  # noqa: E402
+from skyfold.plans.metrics import metrics_answer  # noqa: E402
+from skyfold.sources.sinks import write_tracks  # noqa: E402
+
+_DISPLAY, _DELAY = 6 * 3600, 7 * 86400
+
+
+@register("t6_stream_series_append", _ARR_EV + f""",
+kept AS (select * from ev where last_contact is not null
+         and (before is null or (last_contact // 60) * 60 + 60 > before - {_DELAY})),
+top AS (select max(last_contact) - {_DELAY} as mark from ev)
+select (last_contact // {_DISPLAY}) * {_DISPLAY} as bucket_start, count(*) as events_total,
+       cast(count_if(coalesce(military_hint, false)) as bigint) as events_military,
+       count(distinct icao24) as aircraft_total,
+       count(distinct case when coalesce(military_hint, false) then icao24 end) as aircraft_military,
+       count(distinct last_contact // 60) as minutes
+from kept, top group by 1, mark having (last_contact // {_DISPLAY}) * {_DISPLAY} + {_DISPLAY} <= mark""")
+def t6_stream_series_append(spark, sf):
+    """Closed display buckets that the chained windows emitted over five out-of-order
+    micro-batches, with a watermark of a week; what came later is not in them."""
+    aircraft = tables(spark, sf).aircraft
+    d = _run_batches(spark, sf, "t6a", lambda pos, d: St.upsert_log_sink(
+        St.stream_activity_series(St.enrich_stream(pos, aircraft), _DISPLAY, 60, _DELAY),
+        d + "/out", d + "/ckpt", output_mode="append"))
+    return spark.read.parquet(d + "/out").drop("batch_id")
+
+
+@register("a7_activity_sketches", _EV_ENRICHED + "select *, true as in_range from (" + _minutes_sql(3600) + ")")
+def a7_activity_sketches(spark, sf):
+    """Hourly sketch buckets beside the exact counts; ``in_range`` holds where both
+    estimates are within four standard errors."""
+    t = tables(spark, sf)
+    ev = enrich_events(t.positions.where(F.col("icao24").isNotNull()), t.aircraft)
+    est = sketch_estimates(activity_buckets(ev, 3600, mode="sketch")).select(
+        "bucket_epoch", F.col("aircraft_total").alias("_a"), F.col("aircraft_military").alias("_m"))
+    return activity_buckets(ev, 3600).join(est, "bucket_epoch").withColumn(
+        "in_range", within_error("_a", "aircraft_total") & within_error("_m", "aircraft_military")).drop("_a", "_m")
+
+
+@register("a8_series_united", _ARR_EV + f""",
+positions AS ({positions_sql(DUCK, "events")}),
+reports AS (select icao24, last_contact from positions where icao24 is not null
+         union all select icao24, last_contact from ev),
+p AS (select max(last_contact) as now, max(last_contact) - 604800 as start, cast(12600 as bigint) as width from positions),
+m AS (select *, (last_contact // 60) * 60 as minute from reports where last_contact is not null),
+agg AS (select least(47, case when minute < start then 0 else (minute - start) // width end) as idx,
+               count(*) as events_total, count(distinct icao24) as aircraft_exact
+        from m, p where minute >= (start // 60) * 60 and minute <= now group by 1)
+select g.idx, p.start + g.idx * p.width as bucket_start, coalesce(a.events_total, 0) as events_total,
+       coalesce(a.aircraft_exact, 0) as aircraft_exact, true as in_range
+from (select range as idx from range(48)) g cross join p left join agg a on a.idx = g.idx""")
+def a8_series_united(spark, sf):
+    """A week's display series with true distinct aircraft: minute sketches of the batch
+    history and of the stream's read model united, beside the exact counts."""
+    t = tables(spark, sf)
+    pos = t.positions.where(F.col("icao24").isNotNull())
+    streamed = _read_model(spark, sf, "a8").activity()
+    minutes = unite_buckets(activity_buckets(enrich_events(pos, t.aircraft), 60, mode="sketch"), streamed)
+    now = now_epoch(t.positions)
+    series = activity_series(minutes, now, 7 * 86400, 48, distinct="merge")
+    start, width = now - 7 * 86400, 7 * 86400 // 48
+    arrived = St.positions_stream(_arrivals(spark, sf)).where(F.col("icao24").isNotNull())
+    minute = F.floor(F.col("last_contact") / 60) * 60
+    exact = (pos.select("icao24", "last_contact").unionByName(arrived.select("icao24", "last_contact"))
+             .where((minute >= start // 60 * 60) & (minute <= now))
+             .groupBy(F.least(F.lit(47), F.greatest(F.lit(0), F.floor((minute - start) / width))).alias("idx"))
+             .agg(F.count_distinct("icao24").alias("_x")))
+    return series.join(exact, "idx", "left").select(
+        "idx", "bucket_start", "events_total", F.coalesce("_x", F.lit(0)).alias("aircraft_exact"),
+        within_error("aircraft_total", F.coalesce("_x", F.lit(0))).alias("in_range"))
+
+
+@register("q3_metrics_answer", f"""
+WITH k AS ({ORACLES["q3_kpis"]}), f AS ({ORACLES["q3_fleet_breakdown"]}), s AS ({ORACLES["q3_size_breakdown"]}),
+t AS ({ORACLES["q3_aircraft_types"]}), a AS ({ORACLES["q3_activity_series"]}),
+c AS ({ORACLES["w13_credits_per_request_24h"]})
+select 'kpi' as part, 0 as position, 'active_aircraft' as key, cast(active_aircraft as double) as value from k
+union all select 'kpi', 1, 'traffic_density', traffic_density from k
+union all select 'kpi', 2, 'military_share', military_share from k
+union all select 'kpi', 3, 'defense_score', defense_score from k
+union all select 'kpi', 4, 'activity_bucket_seconds', activity_bucket_seconds from k
+union all select 'kpi', 5, 'activity_window_seconds', activity_window_seconds from k
+union all select 'kpi', 6, 'opensky_credits_per_request_24h',
+                 (select min_by(credits_per_request_24h, instance) from c) from k
+union all select 'estimate', 0, 'takeoffsLandings: planned_v1_1', null
+union all select 'estimate', 1, 'noiseProxyIndex: planned_v1_1_heuristic', null
+union all select 'estimate', 2, 'alerts: out_of_scope_issue_129', null
+union all select 'fleet', row_number() over (order by ordinal, key) - 1, key, percent from f
+union all select 'size', row_number() over (order by ordinal, key) - 1, key, percent from s
+union all select 'type', row_number() over (order by count desc, key) - 1, key, percent from t
+union all select 'series', idx, bucket_start::varchar, military_share_pct from a""")
+def q3_metrics_answer(spark, sf):
+    """The whole metrics answer, its nested lists flattened to (part, position, key, value)."""
+    samples = tables(spark, sf).metric_samples
+    credits = Qt.credits_per_request(samples, int(samples.agg(F.max("ts")).first()[0]))
+    a = metrics_answer(_metrics(spark, sf), credits)
+    number = lambda c: F.col(c).cast("double").alias("value")
+    kpi = ["active_aircraft", "traffic_density", "military_share", "defense_score", "activity_bucket_seconds",
+           "activity_window_seconds", "opensky_credits_per_request_24h"]
+    item = lambda part, pos, key, value: F.struct(
+        F.lit(part).alias("part"), pos.cast("long").alias("position"), key.alias("key"), value.cast("double").alias("value"))
+    listed = lambda part, col, key, value: F.transform(
+        F.col(col), lambda x, i: item(part, i, x[key].cast("string"), x[value]))
+    notes = F.transform(F.map_entries("estimates.notes"), lambda e, i: item(
+        "estimate", i, F.concat(e["key"], F.lit(": "), e["value"]), F.lit(None)))
+    return a.select(F.inline(F.concat(
+        F.array(*[item("kpi", F.lit(i), F.lit(c), F.col(c)) for i, c in enumerate(kpi)]), notes,
+        listed("fleet", "fleet_breakdown", "key", "percent"), listed("size", "aircraft_sizes", "key", "percent"),
+        listed("type", "aircraft_types", "key", "percent"),
+        listed("series", "activity_series", "bucket_start", "military_share_pct"))))
+
+
+@register("q2_point_lookup", _POS + ", " + O.LATEST_CTE + """
+select l.icao24, a.registration, l.last_contact as last_seen, l.lat, l.lon, p.track_points, p.track_newest, p.track_oldest
+from latest l left join aircraft a on l.icao24 = lower(trim(a.icao24)) join (
+  select icao24, count(*) as track_points, max(last_contact) as track_newest, min(last_contact) as track_oldest
+  from (select *, row_number() over (partition by icao24 order by last_contact desc, batch_epoch desc, event_id desc) as r
+        from positions) where r <= 120 group by icao24) p on p.icao24 = l.icao24
+where l.icao24 = (select min(icao24) from latest)""")
+def q2_point_lookup(spark, sf):
+    """Detail of one aircraft over the maintained track layout: its id prunes the scan."""
+    t = tables(spark, sf)
+    latest = latest_of(t)
+    tracks = maintained(t, "tracks", "events", lambda out: write_tracks(t.positions, out))
+    d = flight_detail(latest, t.aircraft, tracks, latest.agg(F.min("icao24")).first()[0])
+    times = F.transform("track", lambda x: x["last_contact"])
+    return d.select("icao24", "registration", "last_seen", "lat", "lon", F.size("track").cast("long").alias("track_points"),
+                    F.array_max(times).alias("track_newest"), F.array_min(times).alias("track_oldest"))

@@ -28,6 +28,16 @@ def write_positions(positions: DataFrame, path: str, mode: str = "append") -> No
      .write.mode(mode).partitionBy("day").parquet(path))
 
 
+def write_tracks(positions: DataFrame, path: str, row_group_bytes: int = 16 << 20) -> None:
+    """Replace the track table that the detail answer (Q2) reads: ranges of
+    (icao24, last_contact), sorted inside, in small row groups.  Row-group
+    statistics then prune to one aircraft, and a busy aircraft is several files,
+    each a stretch of its time."""
+    order = ["icao24", "last_contact"]
+    (positions.repartitionByRange(*order).sortWithinPartitions(*order)
+     .write.mode("overwrite").option("parquet.block.size", row_group_bytes).parquet(path))
+
+
 def write_latest(latest: DataFrame, path: str) -> None:
     """Replace the latest table (written beside, then swapped by the caller's
     catalog); rows clustered by latitude for bbox pruning."""

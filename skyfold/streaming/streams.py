@@ -279,26 +279,55 @@ def stream_latest_state(valid: DataFrame, bbox: Bbox | None = None) -> DataFrame
 
 
 # ---------------------------------------------------------------- T5–T7
+def activity_windows(enriched: DataFrame, width: int, delay: str) -> DataFrame:
+    """Tumbling windows ``w`` with event counts and mergeable sketches of the
+    distinct aircraft; the watermark stands ``delay`` behind the newest report."""
+    mil = F.coalesce(F.col("military_hint"), F.lit(False))
+    ev = enriched.where(F.col("last_contact").isNotNull()) \
+        .withColumn("event_time", F.timestamp_seconds("last_contact"))
+    return (ev.withWatermark("event_time", delay)
+            .groupBy(F.window("event_time", f"{max(1, int(width))} seconds").alias("w"))
+            .agg(F.count(F.lit(1)).alias("events_total"), F.count_if(mil).alias("events_military"),
+                 F.hll_sketch_agg("icao24", HLL_LG_K).alias("aircraft_sketch"),
+                 F.hll_sketch_agg(F.when(mil, F.col("icao24")), HLL_LG_K).alias("military_sketch")))
+
+
 def stream_activity(enriched: DataFrame, width: int = 60,
                     retention_seconds: int = ACTIVITY_WATERMARK_SECONDS) -> DataFrame:
     """T5: tumbling buckets with event counts and distinct aircraft from
     mergeable HLL sketches (lgConfigK 14, ~0.8 % error like the store's
     HyperLogLog).  Sketches stay compact for small buckets, so window state is
     small; the watermark (bucket retention) evicts old windows (T7)."""
-    mil = F.coalesce(F.col("military_hint"), F.lit(False))
-    ev = enriched.where(F.col("last_contact").isNotNull()) \
-        .withColumn("event_time", F.timestamp_seconds("last_contact"))
-    agg = (ev.withWatermark("event_time", f"{bucket_ttl_seconds(width, retention_seconds)} seconds")
-           .groupBy(F.window("event_time", f"{max(1, int(width))} seconds").alias("w"))
-           .agg(F.count(F.lit(1)).alias("events_total"), F.count_if(mil).alias("events_military"),
-                F.hll_sketch_agg("icao24", HLL_LG_K).alias("aircraft_sketch"),
-                F.hll_sketch_agg(F.when(mil, F.col("icao24")), HLL_LG_K).alias("military_sketch")))
+    agg = activity_windows(enriched, width, f"{bucket_ttl_seconds(width, retention_seconds)} seconds")
     return agg.select(F.unix_seconds(F.col("w.start")).alias("bucket_epoch"), "events_total", "events_military",
                       F.hll_sketch_estimate("aircraft_sketch").alias("aircraft_total"),
                       F.hll_sketch_estimate("military_sketch").alias("aircraft_military"),
                       "aircraft_sketch", "military_sketch")
 
 
+def stream_activity_series(enriched: DataFrame, display: int, width: int = 60, delay_seconds: int = 600,
+                           start: int = 0) -> DataFrame:
+    """T6 in append mode: minute windows chained into display windows of
+    ``display`` seconds (``start`` shifts their grid).
+
+    A display bucket is emitted once, when the watermark (newest report less
+    ``delay_seconds``) passes its end; counts are summed and the minutes'
+    sketches united, so distinct aircraft are those of the whole bucket.  State
+    is one partial aggregate per open minute and open display bucket.  Reports
+    whose minute had closed when they came are not in the series: ``ReadModel``
+    corrects closed buckets, ``route_events`` lists such reports."""
+    minutes = activity_windows(enriched, width, f"{max(0, int(delay_seconds))} seconds")
+    shown = f"{max(1, int(display))} seconds"
+    at = F.window(F.window_time("w"), shown, shown, f"{int(start) % max(1, int(display))} seconds")
+    agg = minutes.groupBy(at.alias("shown")).agg(
+        *[F.sum(c).cast("long").alias(c) for c in ("events_total", "events_military")],
+        F.hll_sketch_estimate(F.hll_union_agg("aircraft_sketch")).alias("aircraft_total"),
+        F.hll_sketch_estimate(F.hll_union_agg("military_sketch")).alias("aircraft_military"),
+        F.count(F.lit(1)).alias("minutes"))
+    return agg.select(F.unix_seconds(F.col("shown.start")).alias("bucket_start"), "events_total", "events_military",
+                      "aircraft_total", "aircraft_military", "minutes")
+
+
 def retained_buckets(buckets: DataFrame, now: int, width: int = 60,
                      retention_seconds: int = ACTIVITY_WATERMARK_SECONDS) -> DataFrame:
     """T7 at read time: a bucket lives max(width, retention + width) seconds."""
