@@ -107,26 +107,38 @@ def sustained_alerts(samples: DataFrame, rules=ALERT_RULES, lookback: int = ALER
     ``samples``: metric, instance, outcome (a label, may be null), ts, seq, value.
     Rules are evaluated every ``step`` seconds, as the alert manager does: at a
     time g a series has the samples of (g - lookback, g], and none if it went
-    quiet longer ago.  So every sample is copied to the lookback / step times that
-    see it (a constant), values are aggregated per series and time, then
-    across series; no window holds a series.  An evaluation without samples has
-    no value and ends an island."""
+    quiet longer ago.  Samples are first reduced to one row per series and step, as
+    all of a step are seen by the same evaluations (``step`` must divide
+    ``lookback``); each such row goes to the lookback / step evaluations that see
+    it, which put their few rows together in order.  Windows hold one step of one
+    series.  An evaluation without samples has no value and ends an island."""
+    if lookback % step:
+        raise ValueError("the step must divide the look-back")
+    # a counter that falls was reset
+    grown = lambda before, after: F.when(after < before, after).otherwise(after - before)
+    label, order = ["metric", "instance", "outcome"], F.struct("ts", "seq")
+    d = samples.where(F.col("metric").isin(sorted({r.metric for r in rules})) & F.col("ts").isNotNull()).select(
+        *label, "ts", "seq", "value", (F.ceil(F.col("ts") / step) * step).cast("long").alias("step"))
+    before = F.lag("value").over(Window.partitionBy(*label, "step").orderBy("ts", "seq"))
+    steps = d.withColumn("_grown", grown(before, F.col("value"))).groupBy(*label, "step").agg(
+        F.sum("value").alias("total"), F.count("value").alias("n"), F.sum("_grown").alias("grown"),
+        F.min_by("value", order).alias("first"), F.max_by("value", order).alias("last"))
+    at = F.sequence("step", F.col("step") + (lookback - step), F.lit(step).cast("long"))
+    seen = steps.withColumn("at", F.explode(at)).groupBy(*label, "at").agg(
+        F.sort_array(F.collect_list(F.struct("step", "total", "n", "grown", "first", "last"))).alias("s"))
+    zero = F.lit(0.0)
+    # within the steps and from each to the next: both samples of an increase are seen
+    grew = F.aggregate("s", F.struct(zero.alias("sum"), F.lit(None).cast("double").alias("last")), lambda acc, x: F.struct(
+        (acc["sum"] + F.coalesce(x["grown"], zero) + F.coalesce(grown(acc["last"], x["first"]), zero)).alias("sum"),
+        x["last"].alias("last")), lambda acc: acc["sum"])
+    n = F.aggregate("s", F.lit(0).cast("long"), lambda acc, x: acc + x["n"])
+    mean = F.when(n > 0, F.aggregate("s", zero, lambda acc, x: acc + F.coalesce(x["total"], zero)) / n)
     spec = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.lit(r.metric).alias("m"), F.lit(r.outcome).alias("o"))
                      for r in rules])
-    d = previous_values(samples, ["metric", "instance", "outcome"], ["ts", "seq"], ["value", "ts"], prefix="_p_",
-                        chunk=time_chunk("ts", 86400))
     mine = F.filter(spec, lambda r: (r["m"] == F.col("metric")) & (r["o"].isNull() | (r["o"] == F.col("outcome"))))
-    first = F.ceil(F.col("ts") / step) * step
-    times = F.sequence(first, first + (lookback // step - 1) * step, F.lit(step).cast("long"))
-    d = d.select(F.explode(F.transform(mine, lambda r: r["rule"])).alias("rule"), "instance", "outcome", "ts", "seq",
-                 "value", "_p_value", "_p_ts", times.alias("times"))
-    d = d.select("*", F.explode("times").alias("at")).where((F.col("at") - F.col("ts")) < lookback)
-    # an increase counts if both of its samples are seen; a counter that falls was reset
-    grown = F.when(F.col("_p_ts") > F.col("at") - lookback, F.when(F.col("value") < F.col("_p_value"), F.col("value"))
-                   .otherwise(F.col("value") - F.col("_p_value"))).otherwise(0.0)
+    series = seen.select(F.explode(F.transform(mine, lambda r: r["rule"])).alias("rule"), "instance", "outcome", "at",
+                         F.element_at("s", -1)["last"].alias("last"), mean.alias("avg"), grew.alias("increase"))
     by = lambda f: F.col("rule").isin([r.name for r in rules if f(r)])
-    series = d.groupBy("rule", "at", "instance", "outcome").agg(
-        F.max_by("value", F.struct("ts", "seq")).alias("last"), F.avg("value").alias("avg"), F.sum(grown).alias("increase"))
     value = F.when(by(lambda r: r.fn == "last"), F.col("last")).when(by(lambda r: r.fn == "avg"), F.col("avg")).otherwise(
         F.col("increase"))
     alone = by(lambda r: r.across is None)

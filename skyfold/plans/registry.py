@@ -380,15 +380,13 @@ def f2_classify_bbox_counts(spark, sf):
 
 
 @register("f8_continuity_window", _POS + f""",
-cand AS (select * from positions where {O.bbox_sql()} and last_contact >= {_NOW} - 3 * 86400)
+cand AS (select * from positions where {O.bbox_sql()})
 select event_id, icao24, batch_epoch from cand
 where batch_epoch in (select distinct batch_epoch from cand where batch_epoch is not null
                       order by batch_epoch desc limit 3)
    or not exists (select 1 from cand where batch_epoch is not null)""")
 def f8_continuity_window(spark, sf):
-    p = tables(spark, sf).positions
-    now = now_epoch(p)
-    cand = p.where(in_bbox(Bbox.default()) & (F.col("last_contact") >= now - 3 * 86400))
+    cand = tables(spark, sf).positions.where(in_bbox(Bbox.default()))
     return continuity_window(cand).select("event_id", "icao24", "batch_epoch")
 
 
@@ -983,13 +981,13 @@ def w14_sustained_alerts(spark, sf):
 
 @register("w18_period_alarms", _MS + """,
 per AS (select metric, instance, (ts // 3600) * 3600 as period_start, max(value) as maximum
-        from metric_samples where metric = 'processor_queue_depth' group by 1, 2, 3),
+        from metric_samples group by 1, 2, 3),
 br AS (select * from per where maximum >= 40.0)
 select b.metric, b.instance, b.period_start from br b join br p
   on b.metric = p.metric and b.instance = p.instance and p.period_start = b.period_start - 3600""")
 def w18_period_alarms(spark, sf):
-    s = tables(spark, sf).metric_samples.where(F.col("metric") == "processor_queue_depth")
-    return Ob.period_alarms(s, 40.0, period=3600, n=2)
+    """Every metric's series against one threshold."""
+    return Ob.period_alarms(tables(spark, sf).metric_samples, 40.0, period=3600, n=2)
 
 
 # ---------------------------------------------------------------- reference build (Q4)
