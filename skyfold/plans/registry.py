@@ -1279,7 +1279,7 @@ def _run_batches(spark, sf, name, make_writer):
 
 def _state_log(spark, sf):
     return _run_batches(spark, sf, "t2", lambda pos, d: St.upsert_log_sink(
-        St.stream_latest_state(pos), d + "/out", d + "/ckpt")) + "/out"
+        St.stream_latest(pos), d + "/out", d + "/ckpt")) + "/out"
 
 
 # arrivals in the oracle: position rows with their micro-batch, and one number
@@ -1317,7 +1317,8 @@ select icao24, rank, event_id, last_contact, batch_epoch, lat, lon, coalesce(geo
        on_ground from r where rank <= 180""")
 def t3_stream_tracks(spark, sf):
     """The track table that the stream maintains: newest 180 points per aircraft."""
-    return St.track_table(St.read_upsert_log(spark, _state_log(spark, sf), ["icao24"]))
+    return St.read_track_log(spark, _run_batches(spark, sf, "t3", lambda pos, d: St.track_log_writer(
+        pos, d + "/out", d + "/ckpt")) + "/out")
 
 
 @register("t4_stream_members", _ARR + f"""

@@ -11,12 +11,14 @@ import os
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql import types as T
 from pyspark.sql.types import StructType
+from pyspark.sql.window import Window
 
 from skyfold.operators.activity import HLL_LG_K, bucket_ttl_seconds
 from skyfold.operators.enrich import enrich_events
@@ -99,10 +101,10 @@ def read_upsert_log(spark: SparkSession, out: str, keys: list[str]) -> DataFrame
             .select(*keys, *[F.col("_r")[c].alias(c) for c in cols]))
 
 
-def compact_upsert_log(spark: SparkSession, out: str, keys: list[str]) -> None:
+def compact_upsert_log(spark: SparkSession, out: str, keys: list[str], read=read_upsert_log) -> None:
     """Replace the micro-batch files of a stopped stream's log by one row per key
-    under its highest batch number, so that readers do not rescan every update
-    since the start.  The compacted files are written beside the log and take
+    (by what ``read(spark, out, keys)`` makes of it) under its highest batch
+    number, so that readers do not rescan every update since the start.  The compacted files are written beside the log and take
     the highest batch's place; older batches go last, so that a reader or a
     restart between the steps sees the same newest rows."""
     log = spark.read.parquet(out)
@@ -111,7 +113,7 @@ def compact_upsert_log(spark: SparkSession, out: str, keys: list[str]) -> None:
         return
     top = batches[-1]
     done = f"{out}-compact-{uuid.uuid4().hex[:8]}"
-    read_upsert_log(spark, out, keys).select(*[c for c in log.columns if c != "batch_id"]).write.parquet(done)
+    read(spark, out, keys).select(*[c for c in log.columns if c != "batch_id"]).write.parquet(done)
     spark.read.parquet(done).write.mode("overwrite").parquet(f"{out}/batch_id={top}")
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     spark.catalog.refreshByPath(out)
@@ -177,6 +179,14 @@ def _order_key(r: dict) -> tuple:
     return tuple((0, 0) if r[c] is None else (1, r[c]) for c in ("last_contact", "batch_epoch", "event_id"))
 
 
+def _follow(prev: dict | None, r: dict) -> dict:
+    """State of event ``r`` after the held latest ``prev``."""
+    cur = {f: r[f] for f in _LATEST_FIELDS}
+    cur |= {f"prev_{c}": prev[c] if prev else None for c in ("lat", "lon", "heading", "velocity", "last_contact")}
+    cur["prev_altitude"] = prev and (prev["geo_altitude"] if prev["geo_altitude"] is not None else prev["baro_altitude"])
+    return cur
+
+
 def _records(frames: Iterator[pd.DataFrame]) -> Iterator[dict]:
     """Rows of the frames as dicts of plain values.
 
@@ -245,10 +255,7 @@ class AircraftStateProcessor(StatefulProcessor):
                 inside, known = now_inside, r
         cur = {c: held[c] for c in _LATEST_SCHEMA.names} if held else None
         for _, r in newest:
-            prev, cur = cur, {f: r[f] for f in _LATEST_FIELDS}
-            alt = prev and (prev["geo_altitude"] if prev["geo_altitude"] is not None else prev["baro_altitude"])
-            cur |= {f"prev_{c}": prev[c] if prev else None for c in ("lat", "lon", "heading", "velocity", "last_contact")}
-            cur["prev_altitude"] = alt
+            cur = _follow(cur, r)
         points = sorted(points, key=order, reverse=True)[: self.track_length]
         self.track.put(points)
         known = known or dict.fromkeys(("last_contact", "batch_epoch", "event_id"))
@@ -278,6 +285,114 @@ def stream_latest_state(valid: DataFrame, bbox: Bbox | None = None) -> DataFrame
             .transformWithStateInPandas(AircraftStateProcessor(bbox), STATE_OUTPUT, "Update", "None"))
 
 
+# T2 and T4 without the track, T3 as a log ---------------------------------
+_ORDER = ("last_contact", "batch_epoch", "event_id")
+LATEST_OUTPUT = StructType([f for f in STATE_OUTPUT.fields if f.name != "track"])
+_LATEST_STATE = StructType([*_AIRCRAFT_STATE.fields, T.StructField("points", T.LongType())])
+
+
+def _order_columns(pdf: pd.DataFrame) -> list[np.ndarray]:
+    """The event order of a frame's rows as plain columns, most significant
+    first: per key column a flag (not null) and the value."""
+    out = []
+    for c in _ORDER:
+        known = pdf[c].notna().to_numpy()
+        out += [known, pdf[c].to_numpy() if known.all() else pdf[c].fillna(0).to_numpy().astype(np.int64)]
+    return out
+
+
+def _before(cols: list[np.ndarray], key: tuple) -> np.ndarray:
+    """Which rows come before ``key`` (an ``_order_key``) in the event order."""
+    less, equal = np.zeros(len(cols[0]), dtype=bool), np.ones(len(cols[0]), dtype=bool)
+    for col, value in zip(cols, (v for pair in key for v in pair)):
+        less |= equal & (col < value)
+        equal &= col == value
+    return less
+
+
+class LatestStateProcessor(StatefulProcessor):
+    """``AircraftStateProcessor`` without the track: one value of state per
+    aircraft.  A frame is reduced by array operations to its two newest events,
+    its newest known position and the number of late ones; only those three
+    rows become Python values, so a hot aircraft costs a sort per frame."""
+
+    def __init__(self, bbox: Bbox | None = None, track_length: int = TRACK_WRITE_LENGTH):
+        self.bbox = bbox or Bbox.default()
+        self.track_length = track_length
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("latest", _LATEST_STATE)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        held = self.state.get()
+        held = dict(zip(_LATEST_STATE.names, held)) if held is not None else None
+        start = _order_key(held) if held else None
+        late, points = (held["late"], held["points"]) if held else (0, 0)
+        inside = held["inside"] if held else None
+        known = _order_key({c: held[f"known_{c}"] for c in _ORDER}) if inside is not None else None
+        newest: list[tuple[tuple, dict]] = []
+        for pdf in rows:
+            order = _order_columns(pdf)
+            behind = _before(order, start) if start else np.zeros(len(pdf), dtype=bool)
+            late += int(behind.sum())
+            points = min(self.track_length, points + len(pdf))
+            rank = np.lexsort(order[::-1])
+            row = lambda i: next(_records([pdf.iloc[[i]]]))
+            for i in rank[~behind[rank]][-2:]:
+                r = row(i)
+                newest = sorted([*newest, (_order_key(r), r)], key=lambda x: x[0])[-2:]
+            placed = (pdf["lat"].notna() & pdf["lon"].notna()).to_numpy()
+            for i in rank[placed[rank]][-1:]:
+                r = row(i)
+                if known is None or _order_key(r) >= known:
+                    b, known = self.bbox, _order_key(r)
+                    inside = b.min_lat <= r["lat"] <= b.max_lat and b.min_lon <= r["lon"] <= b.max_lon
+        cur = {c: held[c] for c in _LATEST_SCHEMA.names} if held else None
+        for _, r in newest:
+            cur = _follow(cur, r)
+        at = [v if flag else None for flag, v in known] if known else [None] * 3
+        self.state.update(tuple(cur[c] for c in _LATEST_SCHEMA.names) + (inside, late, *at, points))
+        out = {"icao24": key[0], **cur, "inside": inside, "late_events": late, "track_points": points}
+        yield pd.DataFrame([[out[c] for c in LATEST_OUTPUT.names]], columns=LATEST_OUTPUT.names, dtype=object)
+
+    def close(self) -> None:
+        pass
+
+
+def stream_latest(valid: DataFrame, bbox: Bbox | None = None) -> DataFrame:
+    """Latest event with its predecessor, membership and late count;
+    emits the row of every aircraft seen in a micro-batch."""
+    _use_rocksdb(valid.sparkSession)
+    return (valid.select("icao24", *_LATEST_FIELDS).groupBy("icao24")
+            .transformWithStateInPandas(LatestStateProcessor(bbox), LATEST_OUTPUT, "Update", "None"))
+
+
+def newest_points(rows: DataFrame, n: int = TRACK_WRITE_LENGTH) -> DataFrame:
+    """The ``n`` newest rows of every aircraft with their ``rank``; a task passes
+    on at most ``n`` rows per aircraft (window group limit)."""
+    w = Window.partitionBy("icao24").orderBy(*[F.desc_nulls_last(c) for c in _ORDER])
+    return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= int(n))
+
+
+def track_log_writer(valid: DataFrame, out: str, checkpoint: str, n: int = TRACK_WRITE_LENGTH):
+    """T3 without state: every micro-batch appends its newest ``n`` points per
+    aircraft to the log (idempotent per batch), the reader keeps the newest ``n``
+    of all.  Points are written once, and no Python runs."""
+    points = valid.select("icao24", "event_id", "last_contact", "batch_epoch", "lat", "lon",
+                          F.coalesce("geo_altitude", "baro_altitude").alias("altitude"), "on_ground")
+    return upsert_log_sink(points, out, checkpoint, "append", lambda b, _: newest_points(b, n).drop("rank"))
+
+
+def read_track_log(spark: SparkSession, out: str, n: int = TRACK_WRITE_LENGTH) -> DataFrame:
+    """The track table of a log: newest point first (rank 1), at most ``n``."""
+    return newest_points(spark.read.parquet(out).drop("batch_id"), n)
+
+
+def compact_track_log(spark: SparkSession, out: str, n: int = TRACK_WRITE_LENGTH) -> None:
+    """The log of a stopped stream reduced to the newest ``n`` points per aircraft."""
+    compact_upsert_log(spark, out, ["icao24"], lambda spark, out, _: read_track_log(spark, out, n))
+
+
 # ---------------------------------------------------------------- T5–T7
 def activity_windows(enriched: DataFrame, width: int, delay: str) -> DataFrame:
     """Tumbling windows ``w`` with event counts and mergeable sketches of the
@@ -335,40 +450,18 @@ def retained_buckets(buckets: DataFrame, now: int, width: int = 60,
 
 
 # ---------------------------------------------------------------- T8, T10
-class BatchEpochProcessor(StatefulProcessor):
-    """The largest batch epoch seen so far; emits when it rises."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.highest = handle.getValueState("highest", _schema("epoch bigint"))
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        seen = max(int(pdf["batch_epoch"].max()) for pdf in rows)
-        held = self.highest.get()
-        if held is None or seen > held[0]:
-            self.highest.update((seen,))
-            yield pd.DataFrame({"latest_batch_epoch": [seen]})
-
-    def close(self) -> None:
-        pass
-
-
 def stream_batch_updates(valid: DataFrame) -> DataFrame:
     """A row whenever the largest batch epoch of the whole latest table
-    rises; older epochs that arrive late emit nothing.  The running maximum is
-    one number of state.  A micro-batch's rows are reduced to its distinct
-    epochs by the task that reads them, so the single state key receives a few
-    numbers per input partition, not the rows."""
-    _use_rocksdb(valid.sparkSession)
-
-    def local_max(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        top = [int(m) for pdf in frames if len(pdf) and not pd.isna(m := pdf["batch_epoch"].max())]
-        if top:
-            yield pd.DataFrame({"batch_epoch": [max(top)]})
-
-    highest = valid.select("batch_epoch").where(F.col("batch_epoch").isNotNull()).mapInPandas(
-        local_max, "batch_epoch bigint")
-    return highest.withColumn("all", F.lit(0)).groupBy("all").transformWithStateInPandas(
-        BatchEpochProcessor(), _schema("latest_batch_epoch bigint"), "Update", "None")
+    rises; older epochs that arrive late emit nothing.
+
+    One global maximum of (epoch, earlier micro-batch first): state is one row,
+    and it says in which micro-batch its epoch was first seen (the batch's
+    timestamp, which a replay repeats).  Only the micro-batch that raised it
+    passes the filter.  The maximum is partly taken before the shuffle."""
+    now = -F.unix_micros(F.current_timestamp())
+    seen = valid.where(F.col("batch_epoch").isNotNull()).select("batch_epoch", now.alias("first"))
+    top = seen.agg(F.max(F.struct("batch_epoch", "first")).alias("top"))
+    return top.where(F.col("top.first") == now).select(F.col("top.batch_epoch").alias("latest_batch_epoch"))
 
 
 def attribute_counts_writer(enriched: DataFrame, out: str, checkpoint: str):

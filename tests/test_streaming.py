@@ -1,4 +1,5 @@
 import os
+import random
 
 from pyspark.sql import functions as F
 
@@ -144,3 +145,49 @@ def test_late_rows_go_to_the_side_table(spark, tmpdir_path):
             lambda s: St.upsert_log_sink(St.late_rows(s, 600), out, f"{tmpdir_path}/ck", output_mode="append"))
     got = sorted((r.icao24, r.event_id, r.last_contact, r.reason) for r in spark.read.parquet(out).collect())
     assert got == [("a", 3, 9_000, "late"), ("b", 4, None, "no_time")]
+
+
+def _random_batches(seed, n=240, batches=3):
+    """Out-of-order rows with nulls, replays and one aircraft that has half of all."""
+    rnd = random.Random(seed)
+    rows = []
+    for e in range(n):
+        key = "hot" if rnd.random() < 0.5 else f"k{rnd.randrange(6)}"
+        lat = None if rnd.random() < 0.2 else rnd.choice([48.5, 10.0])
+        rows.append((key, e, lat, 2.0, None if rnd.random() < 0.1 else rnd.randrange(1000, 1060),
+                     None if rnd.random() < 0.1 else rnd.randrange(3)))
+    rows += rnd.sample(rows, 20)
+    rnd.shuffle(rows)
+    return [rows[i::batches] for i in range(batches)]
+
+
+def test_reduced_state_equals_row_by_row_state(spark, tmpdir_path):
+    batches = _random_batches(5)
+    one, two = os.path.join(tmpdir_path, "one"), os.path.join(tmpdir_path, "two")
+    _arrive(spark, one, batches, lambda s: St.upsert_log_sink(St.stream_latest_state(s), one + "/out", one + "/ck"))
+    _arrive(spark, two, batches, lambda s: St.upsert_log_sink(St.stream_latest(s), two + "/out", two + "/ck"))
+    cols = ["icao24", "batch_id", "event_id", "last_contact", "batch_epoch", "prev_lat", "prev_last_contact", "inside",
+            "late_events", "track_points"]
+    a = {tuple(r) for r in spark.read.parquet(one + "/out").select(*cols).collect()}
+    b = {tuple(r) for r in spark.read.parquet(two + "/out").select(*cols).collect()}
+    assert a == b and len(a) > 10
+
+
+def test_track_log_keeps_the_newest_points(spark, tmpdir_path):
+    batches, out = _random_batches(6), os.path.join(tmpdir_path, "out")
+    _arrive(spark, tmpdir_path, batches, lambda s: St.track_log_writer(s, out, f"{tmpdir_path}/ck", n=15))
+
+    def order(r):  # nulls first
+        return tuple((v is not None, v or 0) for v in (r[4], r[5], r[1]))
+
+    want = set()
+    rows = [r for b in batches for r in b]
+    for key in {r[0] for r in rows}:
+        own = sorted((r for r in rows if r[0] == key), key=order, reverse=True)[:15]
+        want |= {(key, i + 1, r[1]) for i, r in enumerate(own)}
+    got = lambda: {(r.icao24, r.rank, r.event_id) for r in St.read_track_log(spark, out, 15).collect()}
+    assert got() == want
+    # a micro-batch hands on at most 15 points of the aircraft with half of all rows
+    assert spark.read.parquet(out).where("icao24 = 'hot'").groupBy("batch_id").count().agg(F.max("count")).first()[0] == 15
+    St.compact_track_log(spark, out, 15)
+    assert got() == want and spark.read.parquet(out).count() == len(want)
