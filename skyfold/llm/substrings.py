@@ -2,45 +2,64 @@
 
 A window of ``window`` consecutive words is an edge of the token De Bruijn
 graph; an edge is repeated if its word sequence starts at two places or more
-of the corpus.  Three Spark exchanges (``blocks``) find the repeated edges:
+of the corpus.  Spark's own grouping and joins decide which are:
 
 1. Nodes.  Of the (window+1)//2-word k-mers of each window the one with the
    smallest hash (the first, if tied) is its node; equal windows choose equal
-   nodes, and only about a tenth of all k-mers are chosen.  A node that occurs
-   once in the corpus has no repeated edge.
-2. Edges.  Windows whose node is repeated send a 128-bit hash of their words;
-   what occurs twice or more is repeated.  A block sends a hash once, however
-   often it has it, so hot passages cost a row per block, not per copy.
-3. Paths.  The answers are joined back to the blocks; consecutive repeated
-   edges of a document compact into one path, kept as source coordinates
-   (word positions), and the words under it are removed.
-
-Windows are judged on the input, not on what is left.  Work and shuffle are
-linear in the text; nothing is collected, and the largest unit a task holds is
-one block or one bucket.
+   nodes, and only about a tenth of all k-mers are chosen.  Every block of
+   documents sends each of its nodes once; a node that is met once in the
+   corpus has no repeated edge.
+2. Runs.  The windows round one occurrence of a repeated node follow each other
+   and compact into a run: its source coordinates (block, first word) and its
+   words.  Runs are grouped by their words, not by a hash of them.
+3. Branches.  A node all of whose runs have the same words does not branch, and
+   its run is decided as a whole by the number of its occurrences.  Runs of the
+   other nodes, one row per kind of run, are opened into their edges, which are
+   counted over all kinds and joined back.
+4. Paths.  Which edges of a run are repeated is joined back to every occurrence
+   of the run by its words; in the block, runs that follow each other compact
+   into one path, and the words under it are removed.
+
+The hash of a node only brings runs together: what is removed was compared word
+by word.  Windows are judged on the input, not on what is left.  Work and
+shuffle are linear in the text; nothing is collected, and the largest unit a
+task holds is one block (``block_bytes`` of text, or one row, if that is longer).
+A passage with many copies is one kind of run, counted before it is shuffled; the
+join that brings answers back may be split by Spark as any skewed join.
+
+The input must be a table scan or a written table: its partitions and their order
+must not change between reads (a checksum per block makes a change an error).
 
 Defined results: a null or empty text has no words, so nothing is removed and
-``kept`` is empty; texts with fewer words than the window are whole; repeated
-rows are documents of their own, so a repeated row of at least a window's
-words is removed in both places (null or repeated ids change nothing, ids are
-not read); an empty table gives an empty result; all input columns pass
-through, input columns named as an output column are replaced.
+``kept`` is empty; texts with fewer words than the window are whole; very long
+texts are one block each and are read whole; repeated rows are documents of their
+own, so a repeated row of at least a window's words is removed in both places
+(null or repeated ids change nothing, ids are not read); an empty table gives an
+empty result; all input columns pass through, input columns named as an output
+column are replaced.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from skyfold.llm import blocks as B
 from skyfold.llm import words as W
+from skyfold.llm.storage import stored
 
 WINDOW = 35
+#: Text of a block of documents.
+BLOCK_BYTES = 1 << 21
+#: A run has at most half a window's edges, which must fit the bits of a long.
+MOST_WINDOW = 125
 
 NEW = T.StructType([
     T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
@@ -79,17 +98,20 @@ class Windows:
         new[1:] = chosen[1:] != chosen[:-1]
         return kmer[chosen[new]], np.cumsum(new) - 1
 
-    def edges(self, some: np.ndarray) -> list[np.ndarray]:
-        """128-bit hashes of the windows ``some`` (numbers into ``at``)."""
-        at = self.at[some]
-        if not len(at):
-            return [np.zeros(0, dtype=np.uint64)] * 2
-        other = W.word_hashes(self.raw, self.start, self.end, 1)
-        return [W.rolling(h, self.window, w)[at] for w, h in enumerate((self.hash, other))]
+    def runs(self, repeated: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """(node, first word, words joined by one space) of the run round every
+        occurrence of a ``repeated`` node."""
+        keys, of = self.nodes()
+        first = np.flatnonzero(np.r_[len(of) > 0, of[1:] != of[:-1]])
+        last = np.r_[first[1:], len(of)][:len(first)] - 1
+        pick = np.isin(keys, repeated)
+        a, b = self.at[first[pick]], self.at[last[pick]] + self.window - 1
+        body = [b" ".join(self.raw[i:j].tobytes().split()) for i, j in zip(self.start[a], self.end[b])]
+        return keys[pick], a, body
 
-    def paths(self, repeated: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(starts, ends) in words of the paths that repeated windows compact to."""
-        at = self.at[repeated]
+    def paths(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(starts, ends) in words of the paths that the windows which start at
+        the words ``at`` (ascending) compact to."""
         if not len(at):
             return at, at
         owner = np.searchsorted(self.row, at, "right")
@@ -112,8 +134,8 @@ class Windows:
         return pa.array([text[i:j].decode() for i, j in zip(a, b)], pa.string())
 
 
-def _new_columns(w: Windows, repeated: np.ndarray) -> dict[str, pa.Array]:
-    a, b = w.paths(repeated)
+def _new_columns(w: Windows, at: np.ndarray) -> dict[str, pa.Array]:
+    a, b = w.paths(at)
     edge = np.zeros(len(w.start) + 1, dtype=np.int32)
     edge[a] += 1
     np.subtract.at(edge, b, 1)
@@ -129,46 +151,114 @@ def _new_columns(w: Windows, repeated: np.ndarray) -> dict[str, pa.Array]:
             "removed": pa.ListArray.from_arrays(pa.array(first, pa.int32()), spans)}
 
 
+def _slices(batches: Iterator[pa.RecordBatch], source: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Runs of rows of at most ``most`` bytes of text (one row, if that is
+    longer), the same wherever Arrow batches end."""
+    held, size = [], 0
+    for batch in batches:
+        _, off = W.string_bytes(batch.column(source))
+        i, n = 0, batch.num_rows
+        while i < n:
+            j = int(np.searchsorted(off, off[i] + most - size, "right")) - 1
+            j = max(j, i if held else i + 1)
+            if j > i:
+                held.append(batch.slice(i, j - i))
+                size += int(off[j] - off[i])
+            if j < n:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, size = [], 0
+            i = j
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def _blocks(docs: DataFrame, source: str, make, schema: str, block_bytes: int) -> DataFrame:
+    """``make(batch)`` for every block of ``docs``: a dict of columns, to which the
+    block's number and checksum are added.  Blocks are numbered by the input's
+    own partition and their place there."""
+    def run(batches):
+        for k, batch in enumerate(_slices(batches, source, block_bytes)):
+            part = batch.column("_part")[0].as_py()
+            batch = batch.drop_columns(["_part"])
+            raw, off = W.string_bytes(batch.column(source))
+            mark = zlib.crc32(off.tobytes(), zlib.crc32(raw[off[0]:off[-1]]))
+            cols = make(batch)
+            n = len(next(iter(cols.values())))
+            yield pa.RecordBatch.from_pydict({"block": pa.array(np.full(n, (part << 32) + k, np.int64)),
+                                              "mark": pa.array(np.full(n, mark, np.int64)), **cols})
+
+    return docs.withColumn("_part", F.spark_partition_id()).mapInArrow(run, f"block bigint, mark bigint, {schema}")
+
+
+def _by_block(bodies: DataFrame, facts: DataFrame, make, schema: T.StructType | str) -> DataFrame:
+    """``make(key, batch, facts)`` for every block with what is known about it."""
+    def run(body: pa.Table, known: pa.Table) -> pa.Table:
+        marks = {x for t in (body, known) for x in t.column("mark").to_pylist()}
+        if len(marks) != 1 or body.num_rows != 1:
+            raise RuntimeError("a block differs between two reads: the input of the operator is not stable")
+        return make((body.column("block")[0].as_py(), marks.pop()), B.unpack_batch(body.column("body")[0].as_py()), known)
+
+    return bodies.groupBy("block").cogroup(facts.groupBy("block")).applyInArrow(run, schema)
+
+
+def repeated_edges(runs: DataFrame, window: int) -> DataFrame:
+    """(node, words, edges): the kinds of run that have repeated edges; bit i of
+    ``edges`` says whether the i-th window of the run is repeated."""
+    kinds = stored(runs.groupBy("node", "words").agg(F.count(F.lit(1)).alias("copies")), "repeat-kinds")
+    branching = kinds.groupBy("node").count().where("count > 1").select("node")
+    word = F.split("words", " ")
+    last = F.size(word) - window  # number of the run's last window
+    whole = kinds.where("copies > 1").join(branching, "node", "left_anti").withColumn("last", last).select(
+        "node", "words", F.expr("shiftleft(2L, last) - 1L").alias("edges"))
+    opened = kinds.join(branching, "node", "left_semi").select("node", "words", "copies", F.posexplode(F.transform(
+        F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice(word, i + 1, window), " "))).alias("i", "edge"))
+    often = opened.groupBy("edge").agg(F.sum("copies").alias("n")).where("n > 1").select("edge")
+    some = opened.join(often, "edge").groupBy("node", "words").agg(F.expr("bit_or(shiftleft(1L, i))").alias("edges"))
+    return whole.unionByName(some)
+
+
 def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = WINDOW,
-                   block_bytes: int = B.BLOCK_BYTES) -> DataFrame:
+                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Input columns plus ``n_words``, ``n_removed``, ``kept`` (text without the
     repeated words) and ``removed`` (paths as word positions)."""
+    if not 1 <= window <= MOST_WINDOW:
+        raise ValueError(f"a window has 1 to {MOST_WINDOW} words, not {window}")
     docs = docs.select(*[f"`{c}`" for c in docs.columns if c not in NEW.names or c == text_col])
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     source = text_col
     if text_col in NEW.names:
         source = "_text"
         docs = docs.withColumnRenamed(text_col, source)
     out = T.StructType([f for f in docs.schema.fields if f.name != "_text" or source == text_col] + NEW.fields)
 
-    def nodes(batch):
-        return None, B.pack_keys([Windows(batch.column(source), window).nodes()[0]], parts)[0]
-
-    def edges(block, body, answers):
-        w = Windows(B.unpack_batch(body).column(source), window)
-        keys, of = w.nodes()
-        packed, inverse = B.pack_keys([keys], parts)
-        some = B.unpack_bits(answers, packed)[inverse][of] if len(of) else np.zeros(0, dtype=bool)
-        packed, _ = B.pack_keys(w.edges(np.flatnonzero(some)), parts)
-        mask = zlib.compress(np.packbits(some).tobytes())
-        return pa.Table.from_batches([B.to_batch(
-            B.key_rows(block, packed, parts) + B.body_rows(block, mask, parts, "mask"))])
-
-    def paths(block, body, mask, answers):
-        batch = B.unpack_batch(body)
+    def own_nodes(batch):
+        node, copies = np.unique(Windows(batch.column(source), window).nodes()[0], return_counts=True)
+        return {"node": pa.array(node.view(np.int64)), "copies": pa.array(copies.astype(np.int64))}
+
+    def own_runs(key, batch, known):
+        w = Windows(batch.column(source), window)
+        node, at, body = w.runs(np.asarray(known.column("node"), dtype=np.int64).view(np.uint64))
+        return pa.table({"block": np.full(len(at), key[0], np.int64), "mark": np.full(len(at), key[1], np.int64),
+                         "at": at.astype(np.int64), "node": node.view(np.int64),
+                         "words": pa.array(body, pa.binary()).cast(pa.string())})
+
+    def cut(key, batch, known):
         w = Windows(batch.column(source), window)
-        some = np.flatnonzero(np.unpackbits(np.frombuffer(zlib.decompress(mask), np.uint8), count=len(w.at)))
-        packed, inverse = B.pack_keys(w.edges(some), parts)
-        repeated = some[B.unpack_bits(answers, packed)[inverse]] if len(some) else some
-        cols = {c: batch.column(c) for c in batch.schema.names} | _new_columns(w, repeated)
+        at, edges = (np.asarray(known.column(c), dtype=np.int64) for c in ("at", "edges"))
+        bit = np.arange(MOST_WINDOW // 2 + 1)
+        starts = (at[:, None] + bit)[(edges[:, None] >> bit & 1).astype(bool)]
+        cols = {c: batch.column(c) for c in batch.schema.names} | _new_columns(w, np.sort(starts))
         return pa.table([cols[f.name] for f in out.fields], names=out.names)
 
-    blocks = lambda split: B.blocks_out(docs, source, parts, split, block_bytes)
-    bodies = blocks(lambda batch: (B.pack_batch(batch), None))
-    repeated_nodes = B.by_bucket(blocks(nodes), parts, B.answer_repeated(1))
-    sent = B.by_block(repeated_nodes.union(bodies), edges, B.SCHEMA)
-    repeated_edges = B.by_bucket(sent, parts, B.answer_repeated(2))
-    return B.by_block(repeated_edges.union(bodies), paths, out, ("body", "mask", "answer"))
+    bodies = _blocks(docs, source, lambda b: {"body": pa.array([B.pack_batch(b)], pa.binary())}, "body binary", block_bytes)
+    texts = _blocks(docs.select(F.col(f"`{source}`")), source,
+                    lambda b: {"body": pa.array([B.pack_batch(b)], pa.binary())}, "body binary", block_bytes)
+    nodes = _blocks(docs.select(F.col(f"`{source}`")), source, own_nodes, "node bigint, copies bigint", block_bytes)
+    met = F.sum("copies").over(Window.partitionBy("node"))  # a block has a node once
+    nodes = nodes.withColumn("met", met).where("met > 1").select("block", "mark", "node")
+    runs = stored(_by_block(texts, nodes, own_runs, "block bigint, mark bigint, at bigint, node bigint, words string"),
+                  "repeat-runs")
+    found = runs.join(repeated_edges(runs, window), ["node", "words"]).select("block", "mark", "at", "edges")
+    return _by_block(bodies, found, cut, out)
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

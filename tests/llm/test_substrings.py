@@ -4,9 +4,10 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
-from skyfold.llm import words
+from skyfold.llm import substrings, words
 from skyfold.llm.substrings import remove_repeats
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -60,3 +61,36 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string, lang string")
     got = remove_repeats(df)
     assert got.count() == 0 and got.columns == ["doc_id", "text", "lang", "n_words", "n_removed", "kept", "removed"]
+
+
+def test_blocks_do_not_depend_on_batches():
+    rnd = random.Random(9)
+    texts = [None if rnd.random() < 0.1 else "x" * rnd.choice([0, 0, 3, 10, 70]) for _ in range(60)]
+
+    def cut(sizes):
+        batches, i = [], 0
+        while i < len(texts):
+            n = rnd.choice(sizes)
+            batches.append(pa.RecordBatch.from_pydict({"text": pa.array(texts[i:i + n], pa.string())}))
+            i += n
+        return [b.column("text").to_pylist() for b in substrings._slices(iter(batches), "text", 50)]
+
+    whole = cut([60])
+    assert sum(whole, []) == texts and len(whole) > 5
+    assert all(sum(len(t or "") for t in b) <= 50 or sum(1 for t in b if t) == 1 for b in whole)
+    for sizes in ([1], [2, 7], [0, 5]):
+        assert cut([n for n in sizes if n] if len(sizes) == 1 else sizes) == whole
+
+
+def test_a_shared_passage_in_unlike_surroundings_branches(spark):
+    """One passage inside many texts: its nodes at the ends branch, the inner ones
+    do not; a copy that begins in the middle of a run is found, too."""
+    rnd = random.Random(3)
+    passage = [f"p{i}" for i in range(120)]
+    texts = [" ".join([f"a{k}_{rnd.random()}" for _ in range(9 + k)] + passage[k % 7:120 - k % 5]
+                      + [f"b{k}_{rnd.random()}" for _ in range(8)]) for k in range(30)]
+    texts += [" ".join(passage[50:85]), " ".join(passage[50:84])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r["n_removed"] for r in remove_repeats(df).orderBy("doc_id").collect()]
+    assert got == [w[1] for w in brute(texts, 35)]
+    assert got[0] == 120 and got[-2:] == [35, 0]
