@@ -4,28 +4,26 @@ A window of ``window`` consecutive words is an edge of the token De Bruijn
 graph; an edge is repeated if its word sequence starts at two places or more
 of the corpus.  Spark's own grouping and joins decide which are:
 
-1. Nodes.  Of the (window+1)//2-word k-mers of each window the one with the
+1. Runs.  Of the (window+3)//4-word k-mers of each window the one with the
    smallest hash (the first, if tied) is its node; equal windows choose equal
-   nodes, and only about a tenth of all k-mers are chosen.  Every block of
-   documents sends each of its nodes once; a node that is met once in the
-   corpus has no repeated edge.
-2. Runs.  The windows round one occurrence of a repeated node follow each other
-   and compact into a run: its source coordinates (block, first word) and its
-   words.  Runs are grouped by their words, not by a hash of them.
-3. Branches.  A node all of whose runs have the same words does not branch, and
-   its run is decided as a whole by the number of its occurrences.  Runs of the
-   other nodes, one row per kind of run, are opened into their edges, which are
-   counted over all kinds and joined back.
-4. Paths.  Which edges of a run are repeated is joined back to every occurrence
-   of the run by its words; in the block, runs that follow each other compact
-   into one path, and the words under it are removed.
-
-The hash of a node only brings runs together: what is removed was compared word
-by word.  Windows are judged on the input, not on what is left.  Work and
-shuffle are linear in the text; nothing is collected, and the largest unit a
-task holds is one block (``block_bytes`` of text, or one row, if that is longer).
-A passage with many copies is one kind of run, counted before it is shuffled; the
-join that brings answers back may be split by Spark as any skewed join.
+   nodes.  The windows that choose one occurrence of a node follow each other and
+   compact into a run, a row of node, hash of the run's words and source
+   coordinates (block, first word); there is a run for about 14 windows.
+2. Branches.  Grouped by node: a node that is met once has no repeated edge; a
+   node all of whose runs are alike does not branch, and its runs are repeated as a
+   whole.  Joined back, this decides all runs but those of branching nodes.
+3. Edges.  Of every kind of run of a branching node one is looked up at its source
+   coordinates and opened into its edges, which are counted over all kinds; which
+   of them are repeated is joined back to all runs of the kind.
+4. Paths.  In the block, repeated edges that follow each other compact into one
+   path, and the words under it are removed.
+
+Runs and edges are told apart by 128 bits of hash.  Windows are judged on the
+input, not on what is left.  Work and shuffle are linear in the text; nothing is
+collected, and the largest unit a task holds is one block (``block_bytes`` of
+text, or one row, if that is longer).  The runs of a hot node are counted before
+they are shuffled, and the joins that bring answers back may be split by Spark as
+any skewed join.
 
 The input must be a table scan or a written table: its partitions and their order
 must not change between reads (a checksum per block makes a change an error).
@@ -49,7 +47,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from skyfold.llm import blocks as B
 from skyfold.llm import words as W
@@ -58,8 +55,8 @@ from skyfold.llm.storage import stored
 WINDOW = 35
 #: Text of a block of documents.
 BLOCK_BYTES = 1 << 21
-#: A run has at most half a window's edges, which must fit the bits of a long.
-MOST_WINDOW = 125
+#: The edges of a run must fit the bits of a long.
+MOST_WINDOW = 80
 
 NEW = T.StructType([
     T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
@@ -85,7 +82,7 @@ class Windows:
         """(hash of each chosen k-mer, for each window the number of its node)."""
         if not len(self.at):
             return np.zeros(0, dtype=np.uint64), self.at
-        k = (self.window + 1) // 2
+        k = (self.window + 3) // 4
         span = self.window - k + 1
         kmer = W.rolling(self.hash, k, 0)
         best, width = np.arange(len(kmer)), 1
@@ -98,16 +95,24 @@ class Windows:
         new[1:] = chosen[1:] != chosen[:-1]
         return kmer[chosen[new]], np.cumsum(new) - 1
 
-    def runs(self, repeated: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-        """(node, first word, words joined by one space) of the run round every
-        occurrence of a ``repeated`` node."""
+    def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(node, hash of the words, number of the first window, number of windows)
+        of every run.  The first and the last window cover all words of a run."""
         keys, of = self.nodes()
         first = np.flatnonzero(np.r_[len(of) > 0, of[1:] != of[:-1]])
-        last = np.r_[first[1:], len(of)][:len(first)] - 1
-        pick = np.isin(keys, repeated)
-        a, b = self.at[first[pick]], self.at[last[pick]] + self.window - 1
-        body = [b" ".join(self.raw[i:j].tobytes().split()) for i, j in zip(self.start[a], self.end[b])]
-        return keys[pick], a, body
+        count = np.diff(np.r_[first, len(of)]) if len(first) else first
+        if not len(first):
+            return keys, keys, first, count
+        h = W.rolling(self.hash, self.window, 0)[self.at]
+        own = W.mix(W.mix(h[first]) + W.BASES[1] * h[first + count - 1] + count.astype(np.uint64))
+        return keys, own, first, count
+
+    def edges(self) -> list[np.ndarray]:
+        """Two 64-bit hashes of every window."""
+        if not len(self.at):
+            return [np.zeros(0, dtype=np.uint64)] * 2
+        other = W.word_hashes(self.raw, self.start, self.end, 1)
+        return [W.rolling(h, self.window, w)[self.at] for w, h in enumerate((self.hash, other))]
 
     def paths(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(starts, ends) in words of the paths that the windows which start at
@@ -174,47 +179,61 @@ def _slices(batches: Iterator[pa.RecordBatch], source: str, most: int) -> Iterat
 
 def _blocks(docs: DataFrame, source: str, make, schema: str, block_bytes: int) -> DataFrame:
     """``make(batch)`` for every block of ``docs``: a dict of columns, to which the
-    block's number and checksum are added.  Blocks are numbered by the input's
-    own partition and their place there."""
+    block's name is added: the input's own partition, the place there and a
+    checksum of the texts."""
     def run(batches):
         for k, batch in enumerate(_slices(batches, source, block_bytes)):
             part = batch.column("_part")[0].as_py()
             batch = batch.drop_columns(["_part"])
             raw, off = W.string_bytes(batch.column(source))
-            mark = zlib.crc32(off.tobytes(), zlib.crc32(raw[off[0]:off[-1]]))
+            check = zlib.crc32(off.tobytes(), zlib.crc32(raw[off[0]:off[-1]])) >> 9
             cols = make(batch)
             n = len(next(iter(cols.values())))
-            yield pa.RecordBatch.from_pydict({"block": pa.array(np.full(n, (part << 32) + k, np.int64)),
-                                              "mark": pa.array(np.full(n, mark, np.int64)), **cols})
+            yield pa.RecordBatch.from_pydict({"block": pa.array(np.full(n, (part << 39) + (k << 23) + check, np.int64)), **cols})
 
-    return docs.withColumn("_part", F.spark_partition_id()).mapInArrow(run, f"block bigint, mark bigint, {schema}")
+    return docs.withColumn("_part", F.spark_partition_id()).mapInArrow(run, f"block bigint, {schema}")
 
 
 def _by_block(bodies: DataFrame, facts: DataFrame, make, schema: T.StructType | str) -> DataFrame:
-    """``make(key, batch, facts)`` for every block with what is known about it."""
+    """``make(batch, facts)`` for every block with what is known about it."""
     def run(body: pa.Table, known: pa.Table) -> pa.Table:
-        marks = {x for t in (body, known) for x in t.column("mark").to_pylist()}
-        if len(marks) != 1 or body.num_rows != 1:
+        if body.num_rows != 1:
             raise RuntimeError("a block differs between two reads: the input of the operator is not stable")
-        return make((body.column("block")[0].as_py(), marks.pop()), B.unpack_batch(body.column("body")[0].as_py()), known)
+        return make(B.unpack_batch(body.column("body")[0].as_py()), known)
 
     return bodies.groupBy("block").cogroup(facts.groupBy("block")).applyInArrow(run, schema)
 
 
-def repeated_edges(runs: DataFrame, window: int) -> DataFrame:
-    """(node, words, edges): the kinds of run that have repeated edges; bit i of
-    ``edges`` says whether the i-th window of the run is repeated."""
-    kinds = stored(runs.groupBy("node", "words").agg(F.count(F.lit(1)).alias("copies")), "repeat-kinds")
-    branching = kinds.groupBy("node").count().where("count > 1").select("node")
-    word = F.split("words", " ")
-    last = F.size(word) - window  # number of the run's last window
-    whole = kinds.where("copies > 1").join(branching, "node", "left_anti").withColumn("last", last).select(
-        "node", "words", F.expr("shiftleft(2L, last) - 1L").alias("edges"))
-    opened = kinds.join(branching, "node", "left_semi").select("node", "words", "copies", F.posexplode(F.transform(
-        F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice(word, i + 1, window), " "))).alias("i", "edge"))
-    often = opened.groupBy("edge").agg(F.sum("copies").alias("n")).where("n > 1").select("edge")
-    some = opened.join(often, "edge").groupBy("node", "words").agg(F.expr("bit_or(shiftleft(1L, i))").alias("edges"))
-    return whole.unionByName(some)
+def _signed(x: np.ndarray) -> pa.Array:
+    return pa.array(x.view(np.int64))
+
+
+def repeated_edges(runs: DataFrame, texts: DataFrame, source: str, window: int) -> DataFrame:
+    """(block, at, edges): the runs that have repeated edges; bit i of ``edges``
+    says whether the i-th window of the run is repeated."""
+    def opened(batch, known):
+        w = Windows(batch.column(source), window)
+        _, _, first, count = w.runs()
+        place = np.searchsorted(w.at[first], np.asarray(known.column("at")))
+        n = count[place]
+        i = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        at = np.repeat(first[place], n) + i
+        own = np.repeat(np.arange(len(place)), n)
+        cols = {c: known.column(c).combine_chunks().take(pa.array(own)) for c in ("node", "kind", "copies")}
+        return pa.table(cols | {"i": pa.array(i.astype(np.int32))}
+                        | {c: _signed(h[at]) for c, h in zip(("one", "two"), w.edges())})
+
+    met = runs.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("kind").alias("low"), F.max("kind").alias("high"))
+    met = met.where("n > 1").select("node", (F.col("low") != F.col("high")).alias("branches"))
+    known = stored(runs.join(met, "node"), "repeat-runs")
+    branching = known.where("branches")
+    kinds = branching.groupBy("node", "kind").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("block", "at")).alias("src"))
+    edges = stored(_by_block(texts, kinds.select("src.block", "src.at", "node", "kind", "copies"), opened,
+                             "node bigint, kind bigint, copies bigint, i int, one bigint, two bigint"), "repeat-edges")
+    often = edges.groupBy("one", "two").agg(F.sum("copies").alias("n")).where("n > 1").select("one", "two")
+    some = edges.join(often, ["one", "two"]).groupBy("node", "kind").agg(F.expr("bit_or(shiftleft(1L, i))").alias("edges"))
+    whole = known.where("not branches").select("block", "at", F.lit(-1).cast("bigint").alias("edges"))
+    return whole.unionByName(branching.join(some, ["node", "kind"]).select("block", "at", "edges"))
 
 
 def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = WINDOW,
@@ -230,35 +249,28 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = WINDOW
         docs = docs.withColumnRenamed(text_col, source)
     out = T.StructType([f for f in docs.schema.fields if f.name != "_text" or source == text_col] + NEW.fields)
 
-    def own_nodes(batch):
-        node, copies = np.unique(Windows(batch.column(source), window).nodes()[0], return_counts=True)
-        return {"node": pa.array(node.view(np.int64)), "copies": pa.array(copies.astype(np.int64))}
-
-    def own_runs(key, batch, known):
+    def own_runs(batch):
         w = Windows(batch.column(source), window)
-        node, at, body = w.runs(np.asarray(known.column("node"), dtype=np.int64).view(np.uint64))
-        return pa.table({"block": np.full(len(at), key[0], np.int64), "mark": np.full(len(at), key[1], np.int64),
-                         "at": at.astype(np.int64), "node": node.view(np.int64),
-                         "words": pa.array(body, pa.binary()).cast(pa.string())})
+        node, kind, first, _ = w.runs()
+        return {"at": pa.array(w.at[first].astype(np.int32)), "node": _signed(node), "kind": _signed(kind)}
 
-    def cut(key, batch, known):
+    def cut(batch, known):
         w = Windows(batch.column(source), window)
-        at, edges = (np.asarray(known.column(c), dtype=np.int64) for c in ("at", "edges"))
-        bit = np.arange(MOST_WINDOW // 2 + 1)
-        starts = (at[:, None] + bit)[(edges[:, None] >> bit & 1).astype(bool)]
-        cols = {c: batch.column(c) for c in batch.schema.names} | _new_columns(w, np.sort(starts))
+        _, _, first, count = w.runs()
+        at, edges = np.asarray(known.column("at"), dtype=np.int64), np.asarray(known.column("edges"), dtype=np.int64)
+        bit = np.arange(int(count.max()) if len(count) else 0)
+        on = (edges[:, None] >> bit & 1).astype(bool) & (bit < count[np.searchsorted(w.at[first], at)][:, None])
+        cols = {c: batch.column(c) for c in batch.schema.names} | _new_columns(w, np.sort((at[:, None] + bit)[on]))
         return pa.table([cols[f.name] for f in out.fields], names=out.names)
 
-    bodies = _blocks(docs, source, lambda b: {"body": pa.array([B.pack_batch(b)], pa.binary())}, "body binary", block_bytes)
-    texts = _blocks(docs.select(F.col(f"`{source}`")), source,
-                    lambda b: {"body": pa.array([B.pack_batch(b)], pa.binary())}, "body binary", block_bytes)
-    nodes = _blocks(docs.select(F.col(f"`{source}`")), source, own_nodes, "node bigint, copies bigint", block_bytes)
-    met = F.sum("copies").over(Window.partitionBy("node"))  # a block has a node once
-    nodes = nodes.withColumn("met", met).where("met > 1").select("block", "mark", "node")
-    runs = stored(_by_block(texts, nodes, own_runs, "block bigint, mark bigint, at bigint, node bigint, words string"),
-                  "repeat-runs")
-    found = runs.join(repeated_edges(runs, window), ["node", "words"]).select("block", "mark", "at", "edges")
-    return _by_block(bodies, found, cut, out)
+    def body(batch):
+        return {"body": pa.array([B.pack_batch(batch)], pa.binary())}
+
+    only = docs.select(F.col(f"`{source}`"))
+    runs = _blocks(only, source, own_runs, "at int, node bigint, kind bigint", block_bytes)
+    texts = _blocks(only, source, body, "body binary", block_bytes)
+    bodies = _blocks(docs, source, body, "body binary", block_bytes)
+    return _by_block(bodies, repeated_edges(runs, texts, source, window), cut, out)
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
