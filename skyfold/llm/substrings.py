@@ -224,14 +224,17 @@ def repeated_edges(runs: DataFrame, texts: DataFrame, source: str, window: int)
                         | {c: _signed(h[at]) for c, h in zip(("one", "two"), w.edges())})
 
     met = runs.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("kind").alias("low"), F.max("kind").alias("high"))
-    met = met.where("n > 1").select("node", (F.col("low") != F.col("high")).alias("branches"))
+    # answers are written before they are joined, so that a join has an exchange of its own
+    # on both sides and Spark can split the rows of a hot node, edge or kind
+    met = stored(met.where("n > 1").select("node", (F.col("low") != F.col("high")).alias("branches")), "repeat-nodes")
     known = stored(runs.join(met, "node"), "repeat-runs")
     branching = known.where("branches")
     kinds = branching.groupBy("node", "kind").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("block", "at")).alias("src"))
     edges = stored(_by_block(texts, kinds.select("src.block", "src.at", "node", "kind", "copies"), opened,
                              "node bigint, kind bigint, copies bigint, i int, one bigint, two bigint"), "repeat-edges")
-    often = edges.groupBy("one", "two").agg(F.sum("copies").alias("n")).where("n > 1").select("one", "two")
-    some = edges.join(often, ["one", "two"]).groupBy("node", "kind").agg(F.expr("bit_or(shiftleft(1L, i))").alias("edges"))
+    often = stored(edges.groupBy("one", "two").agg(F.sum("copies").alias("n")).where("n > 1").select("one", "two"), "repeat-often")
+    some = stored(edges.join(often, ["one", "two"]).groupBy("node", "kind").agg(
+        F.expr("bit_or(shiftleft(1L, i))").alias("edges")), "repeat-kinds")
     whole = known.where("not branches").select("block", "at", F.lit(-1).cast("bigint").alias("edges"))
     return whole.unionByName(branching.join(some, ["node", "kind"]).select("block", "at", "edges"))
 
