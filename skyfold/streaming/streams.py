@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql import types as T
@@ -80,6 +80,31 @@ def positions_stream(events_stream: DataFrame) -> DataFrame:
     return events_stream.sparkSession.sql(positions_sql(SPARK, name))
 
 
+# ---------------------------------------------------------------- state in files
+def _path(spark: SparkSession, name: str):
+    """(file system, path) of a name."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _batch_folders(spark: SparkSession, path: str, last: str = "") -> list[int]:
+    """Micro-batches with a folder under ``path`` in which ``last`` is written to the end."""
+    fs, p = _path(spark, path)
+    found = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted(int(n) for n in found if n.isdigit() and fs.exists(_path(spark, f"{path}/{n}/{last}/_SUCCESS")[1]))
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    fs, p = _path(spark, path)
+    fs.delete(p, True)
+
+
+def _without_nan(df: DataFrame, cols: list[str]) -> list[Column]:
+    """The columns with NaN as null."""
+    return [F.nanvl(F.col(c), F.lit(None).cast(df.schema[c].dataType)).alias(c)
+            if df.schema[c].dataType.typeName() in ("double", "float") else F.col(c) for c in cols]
+
+
 # ---------------------------------------------------------------- sinks
 def upsert_log_sink(df: DataFrame, out: str, checkpoint: str, output_mode: str = "update",
                     transform=None):
