@@ -9,9 +9,9 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -105,25 +105,87 @@ def _without_nan(df: DataFrame, cols: list[str]) -> list[Column]:
             if df.schema[c].dataType.typeName() in ("double", "float") else F.col(c) for c in cols]
 
 
+def _newest_rows(d: DataFrame, keys: list[str], by: str) -> DataFrame:
+    """The row of the highest ``by`` per key (one partial aggregate)."""
+    cols = [c for c in d.columns if c not in keys and c != by]
+    return (d.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.col(by)).alias("_r"))
+            .select(*keys, *[F.col("_r")[c].alias(c) for c in cols]))
+
+
+class StateLog:
+    """Keyed state of one stream: under ``path`` a ``delta`` per micro-batch with the
+    rows it changed, and after every ``span`` of them a ``base`` with one row per
+    key, so that a step reads a base and at most ``span`` deltas.
+
+    ``before(N)`` reads what earlier micro-batches wrote, so a replay of N sees
+    the same state; what a replay of the newest can read is kept."""
+
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], span: int = 8):
+        self.spark, self.path, self.keys, self.span = spark, path, keys, span
+
+    def _files(self, batch_id: int) -> tuple[int, list[int]]:
+        """(batch of the newest base before ``batch_id`` or -1, the deltas since)."""
+        base = max((b for b in _batch_folders(self.spark, f"{self.path}/base") if b < batch_id), default=-1)
+        return base, [b for b in _batch_folders(self.spark, f"{self.path}/delta") if base < b < batch_id]
+
+    def before(self, batch_id: int) -> DataFrame | None:
+        """State before a micro-batch, one row per key; None: there is none."""
+        base, deltas = self._files(batch_id)
+        paths = [f"{self.path}/base/{base:012d}"] * (base >= 0) + [f"{self.path}/delta/{b:012d}" for b in deltas]
+        if not paths:
+            return None
+        rows = self.spark.read.parquet(*paths)
+        return rows.drop("_batch") if len(paths) == 1 else _newest_rows(rows, self.keys, "_batch")
+
+    def write(self, rows: DataFrame, batch_id: int) -> DataFrame:
+        """Keep the rows that a micro-batch changed; returns them, read again."""
+        at = f"{self.path}/delta/{batch_id:012d}"
+        rows.withColumn("_batch", F.lit(int(batch_id)).cast("long")).write.mode("overwrite").parquet(at)
+        base, deltas = self._files(batch_id + 1)
+        if base < batch_id and len(deltas) >= self.span:
+            self.before(batch_id + 1).withColumn("_batch", F.lit(int(batch_id)).cast("long")).write.mode(
+                "overwrite").parquet(f"{self.path}/base/{batch_id:012d}")
+            for kind, limit in (("base", base), ("delta", base + 1)):
+                for old in _batch_folders(self.spark, f"{self.path}/{kind}"):
+                    if old < limit:
+                        _remove(self.spark, f"{self.path}/{kind}/{old:012d}")
+        return self.spark.read.parquet(at).drop("_batch")
+
+
+@dataclass(frozen=True)
+class StatefulStream:
+    """The rows of a stream and the step that its keyed state takes with each
+    micro-batch: ``step(rows, state before or None)`` gives the changed rows of state."""
+    rows: DataFrame
+    step: Callable[[DataFrame, DataFrame | None], DataFrame]
+    keys: tuple[str, ...]
+
+
 # ---------------------------------------------------------------- sinks
-def upsert_log_sink(df: DataFrame, out: str, checkpoint: str, output_mode: str = "update",
+def upsert_log_sink(df: DataFrame | StatefulStream, out: str, checkpoint: str, output_mode: str = "update",
                     transform=None):
     """Write every micro-batch to ``out/batch_id=N`` (overwrite: idempotent
-    on replay).  Readers keep the row of the highest batch per key."""
+    on replay).  Readers keep the row of the highest batch per key.  The state of
+    a ``StatefulStream`` is kept in ``checkpoint/state-log``."""
+    stateful = df if isinstance(df, StatefulStream) else None
+
     def write(batch: DataFrame, batch_id: int):
-        b = transform(batch, batch_id) if transform else batch
+        b = batch
+        if stateful:
+            log = StateLog(batch.sparkSession, f"{checkpoint}/state-log", list(stateful.keys))
+            b = log.write(stateful.step(batch, log.before(batch_id)), batch_id)
+        b = transform(b, batch_id) if transform else b
         b.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
+    if stateful:
+        df, output_mode = stateful.rows, "append"
     return (df.writeStream.outputMode(output_mode).foreachBatch(write)
             .option("checkpointLocation", checkpoint))
 
 
 def read_upsert_log(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
     """Latest row per key across the micro-batch files (one partial aggregate)."""
-    d = spark.read.parquet(out)
-    cols = [c for c in d.columns if c not in keys and c != "batch_id"]
-    return (d.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.col("batch_id")).alias("_r"))
-            .select(*keys, *[F.col("_r")[c].alias(c) for c in cols]))
+    return _newest_rows(spark.read.parquet(out), keys, "batch_id")
 
 
 def compact_upsert_log(spark: SparkSession, out: str, keys: list[str], read=read_upsert_log) -> None:
@@ -313,83 +375,58 @@ def stream_latest_state(valid: DataFrame, bbox: Bbox | None = None) -> DataFrame
 # T2 and T4 without the track, T3 as a log ---------------------------------
 _ORDER = ("last_contact", "batch_epoch", "event_id")
 LATEST_OUTPUT = StructType([f for f in STATE_OUTPUT.fields if f.name != "track"])
-_LATEST_STATE = StructType([*_AIRCRAFT_STATE.fields, T.StructField("points", T.LongType())])
-
-
-def _order_columns(pdf: pd.DataFrame) -> list[np.ndarray]:
-    """The event order of a frame's rows as plain columns, most significant
-    first: per key column a flag (not null) and the value."""
-    out = []
-    for c in _ORDER:
-        known = pdf[c].notna().to_numpy()
-        out += [known, pdf[c].to_numpy() if known.all() else pdf[c].fillna(0).to_numpy().astype(np.int64)]
-    return out
-
 
-def _before(cols: list[np.ndarray], key: tuple) -> np.ndarray:
-    """Which rows come before ``key`` (an ``_order_key``) in the event order."""
-    less, equal = np.zeros(len(cols[0]), dtype=bool), np.ones(len(cols[0]), dtype=bool)
-    for col, value in zip(cols, (v for pair in key for v in pair)):
-        less |= equal & (col < value)
-        equal &= col == value
-    return less
 
-
-class LatestStateProcessor(StatefulProcessor):
-    """``AircraftStateProcessor`` without the track: one value of state per
-    aircraft.  A frame is reduced by array operations to its two newest events,
-    its newest known position and the number of late ones; only those three
-    rows become Python values, so a hot aircraft costs a sort per frame."""
-
-    def __init__(self, bbox: Bbox | None = None, track_length: int = TRACK_WRITE_LENGTH):
-        self.bbox = bbox or Bbox.default()
-        self.track_length = track_length
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("latest", _LATEST_STATE)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        held = self.state.get()
-        held = dict(zip(_LATEST_STATE.names, held)) if held is not None else None
-        start = _order_key(held) if held else None
-        late, points = (held["late"], held["points"]) if held else (0, 0)
-        inside = held["inside"] if held else None
-        known = _order_key({c: held[f"known_{c}"] for c in _ORDER}) if inside is not None else None
-        newest: list[tuple[tuple, dict]] = []
-        for pdf in rows:
-            order = _order_columns(pdf)
-            behind = _before(order, start) if start else np.zeros(len(pdf), dtype=bool)
-            late += int(behind.sum())
-            points = min(self.track_length, points + len(pdf))
-            rank = np.lexsort(order[::-1])
-            row = lambda i: next(_records([pdf.iloc[[i]]]))
-            for i in rank[~behind[rank]][-2:]:
-                r = row(i)
-                newest = sorted([*newest, (_order_key(r), r)], key=lambda x: x[0])[-2:]
-            placed = (pdf["lat"].notna() & pdf["lon"].notna()).to_numpy()
-            for i in rank[placed[rank]][-1:]:
-                r = row(i)
-                if known is None or _order_key(r) >= known:
-                    b, known = self.bbox, _order_key(r)
-                    inside = b.min_lat <= r["lat"] <= b.max_lat and b.min_lon <= r["lon"] <= b.max_lon
-        cur = {c: held[c] for c in _LATEST_SCHEMA.names} if held else None
-        for _, r in newest:
-            cur = _follow(cur, r)
-        at = [v if flag else None for flag, v in known] if known else [None] * 3
-        self.state.update(tuple(cur[c] for c in _LATEST_SCHEMA.names) + (inside, late, *at, points))
-        out = {"icao24": key[0], **cur, "inside": inside, "late_events": late, "track_points": points}
-        yield pd.DataFrame([[out[c] for c in LATEST_OUTPUT.names]], columns=LATEST_OUTPUT.names, dtype=object)
-
-    def close(self) -> None:
-        pass
-
-
-def stream_latest(valid: DataFrame, bbox: Bbox | None = None) -> DataFrame:
+def latest_step(batch: DataFrame, held: DataFrame | None, bbox: Bbox, track_length: int = TRACK_WRITE_LENGTH) -> DataFrame:
+    """``AircraftStateProcessor`` without the track, for all aircraft of a micro-batch
+    at once: the columns of LATEST_OUTPUT and ``known``, the order key of the event
+    that the membership comes from.
+
+    The two newest events of an aircraft (a task passes on two rows of each), its
+    newest known position and its counts are partly taken before they are
+    shuffled; a busy aircraft is no group in one task.  An event older than the
+    held latest is late; both are compared by the event order, nulls first."""
+    rows = batch.select(*_without_nan(batch, ["icao24", *_LATEST_FIELDS]))
+    order = lambda of="": F.struct(*[F.col(of + c).alias(c) for c in _ORDER])
+    nth = F.row_number().over(Window.partitionBy("icao24").orderBy(*[F.desc_nulls_last(c) for c in _ORDER]))
+    event = F.struct(*_LATEST_FIELDS)
+    top = rows.withColumn("_n", nth).where(F.col("_n") <= 2).groupBy("icao24").agg(
+        F.max(F.when(F.col("_n") == 1, event)).alias("new"), F.max(F.when(F.col("_n") == 2, event)).alias("next"))
+    placed = F.when(F.col("lat").isNotNull() & F.col("lon").isNotNull(), F.struct(
+        order().alias("at"), (F.col("lat").between(bbox.min_lat, bbox.max_lat)
+                              & F.col("lon").between(bbox.min_lon, bbox.max_lon)).alias("inside")))
+    if held is None:
+        schema = StructType([*LATEST_OUTPUT.fields, T.StructField("known", StructType(
+            [T.StructField(c, T.LongType()) for c in _ORDER]))])
+        held = batch.sparkSession.createDataFrame([], schema)
+    held = held.select(F.col("icao24").alias("_key"), F.struct("*").alias("h"))
+    start = held.select("_key", order("h.").alias("_start"))
+    counts = rows.join(start, rows["icao24"].eqNullSafe(start["_key"]), "left").groupBy("icao24").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(order() < F.col("_start")).alias("late"), F.max(placed).alias("placed"))
+    counts = counts.withColumnRenamed("icao24", "_icao24")
+    d = top.join(counts, top["icao24"].eqNullSafe(counts["_icao24"]))
+    d = d.join(held, d["icao24"].eqNullSafe(held["_key"]), "left")
+    first = F.col("h").isNull()
+    fresh, two = first | (order("new.") >= order("h.")), F.col("next").isNotNull() & (first | (order("next.") >= order("h.")))
+    moved = F.col("placed").isNotNull() & (F.col("h.known").isNull() | (F.col("placed.at") >= F.col("h.known")))
+    before = lambda c: F.when(two, F.col(f"next.{c}")).when(fresh, F.col(f"h.{c}"))
+    high = lambda of: F.coalesce(F.col(f"{of}.geo_altitude"), F.col(f"{of}.baro_altitude"))
+    return d.select(
+        "icao24", *[F.when(fresh, F.col(f"new.{c}")).otherwise(F.col(f"h.{c}")).alias(c) for c in _LATEST_FIELDS],
+        *[before(c).otherwise(F.col(f"h.prev_{c}")).alias(f"prev_{c}") for c in ("lat", "lon", "heading", "velocity")],
+        F.when(two, high("next")).when(fresh, high("h")).otherwise(F.col("h.prev_altitude")).alias("prev_altitude"),
+        before("last_contact").otherwise(F.col("h.prev_last_contact")).alias("prev_last_contact"),
+        F.when(moved, F.col("placed.inside")).otherwise(F.col("h.inside")).alias("inside"),
+        (F.coalesce("h.late_events", F.lit(0)) + F.col("late")).cast("long").alias("late_events"),
+        F.least(F.lit(int(track_length)), F.coalesce("h.track_points", F.lit(0)) + F.col("n")).cast("long").alias("track_points"),
+        F.when(moved, F.col("placed.at")).otherwise(F.col("h.known")).alias("known"))
+
+
+def stream_latest(valid: DataFrame, bbox: Bbox | None = None) -> StatefulStream:
     """Latest event with its predecessor, membership and late count;
-    emits the row of every aircraft seen in a micro-batch."""
-    _use_rocksdb(valid.sparkSession)
-    return (valid.select("icao24", *_LATEST_FIELDS).groupBy("icao24")
-            .transformWithStateInPandas(LatestStateProcessor(bbox), LATEST_OUTPUT, "Update", "None"))
+    ``upsert_log_sink`` writes the row of every aircraft seen in a micro-batch."""
+    box = bbox or Bbox.default()
+    return StatefulStream(valid.select("icao24", *_LATEST_FIELDS), lambda batch, held: latest_step(batch, held, box), ("icao24",))
 
 
 def newest_points(rows: DataFrame, n: int = TRACK_WRITE_LENGTH) -> DataFrame:
