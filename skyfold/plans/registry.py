@@ -1031,10 +1031,10 @@ merged AS (select coalesce(a.icao24, b.icao) as icao24, a.country, a.category_de
 """
 
 
-def _reference(spark, sf):
+def _reference(spark, sf, keep=False):
     t = tables(spark, sf)
     csv = R.parse_aircraft_csv_lines(t.aircraft_csv_lines)
-    return R.build_aircraft_reference(csv, t.supplement_lines)
+    return R.build_aircraft_reference(csv, t.supplement_lines, keep=keep)
 
 
 @register("q4_aircraft_reference", "WITH " + _CSV_EXPECTED + """
@@ -1626,9 +1626,9 @@ def k1_publish_events(spark, sf):
 @register("k3_reference_artifact", ORACLES["q4_aircraft_reference"])
 def k3_reference_artifact(spark, sf):
     """The reference table as a versioned artifact, loaded again."""
-    table, stats = _reference(spark, sf)
+    table, stats = _reference(spark, sf, keep=True)
     target = R.write_aircraft_reference(table, stats, St.stream_dir(spark, "k3"), "1")
-    return R.load_aircraft_reference(spark, target + "/aircraft").select(*q4_aircraft_reference(spark, sf).columns)
+    return R.load_aircraft_reference(spark, target + "/aircraft").select(*table.columns)
 
 
 @register("s8_metric_samples", _MS + "select metric, instance, ts, value from metric_samples")

@@ -3,16 +3,21 @@
 The reference table is rebuilt from a CSV export (authoritative) and a
 newline-delimited JSON supplement that fills blanks and adds missing
 aircraft.  Everything is a Spark job: parse -> normalise -> last-row-wins
-per key (one partial aggregate) -> one full outer join -> versioned write."""
+per key (one partial aggregate) -> one full outer join -> versioned write.
+Lines cost far more to parse than to read, so they are dealt over all tasks
+first: a few MB of lines would otherwise be parsed by one."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyfold.functions.expr import norm_icao24, py_strip_to_null, to_bool_flag, to_year
 from skyfold.operators.sequence import materialize
 from skyfold.schemas import AIRCRAFT, AIRCRAFT_CSV_HEADER, AIRCRAFT_OPTIONAL, AIRCRAFT_REQUIRED
+from skyfold.session import shared_path
 
 CSV_OPTIONS = {"header": "true", "sep": ",", "quote": "'", "escape": "'", "encoding": "UTF-8",
                "multiLine": "true", "mode": "PERMISSIVE"}
@@ -41,13 +46,25 @@ def read_aircraft_csv(spark, path: str) -> DataFrame:
     return raw.select(*[F.col(c) for c in AIRCRAFT_CSV_HEADER], order.alias("_order"))
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder and read back."""
+    path = shared_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _dealt(lines: DataFrame, order: str) -> DataFrame:
+    """``lines`` over as many tasks as a shuffle has, however few files hold them."""
+    return lines.repartition(int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.col(order))
+
+
 def parse_aircraft_csv_lines(lines: DataFrame, line: str = "line", order: str = "line_no") -> DataFrame:
     """S3 (column form): CSV text lines already in a table, one record per
     line (``from_csv`` with the same options).  The header line is dropped."""
     header = ",".join(AIRCRAFT_CSV_HEADER)
     body = lines.where(F.col(line) != header)
     parsed = F.from_csv(F.col(line), CSV_LINE_SCHEMA, {"sep": ",", "quote": "'", "escape": "'"})
-    return materialize(body.select(line, F.col(order).alias("_order")), r=parsed).select("r.*", "_order")
+    return materialize(_dealt(body.select(line, F.col(order).alias("_order")), "_order"), r=parsed).select("r.*", "_order")
 
 
 def normalise_csv(rows: DataFrame) -> DataFrame:
@@ -80,12 +97,16 @@ def last_row_per_key(df: DataFrame, key: str, order: str = "_order", cols: list[
 def parse_supplement(lines: DataFrame, line: str = "line", order: str = "line_no") -> DataFrame:
     """One JSON object per line.  Adds ``_status``: ok / bad_json (not
     decodable or not an object) / bad_icao (key not six hex digits)."""
-    d = materialize(lines.where(F.length(F.trim(F.col(line))) > 0).select(F.col(order).alias("_order"), line),
-                    _v=F.expr(f"try_parse_json({line})")).drop(line)
-    is_obj = F.coalesce(F.expr("schema_of_variant(_v)").startswith("OBJECT"), F.lit(False))
-    get = lambda k: F.expr(f"try_variant_get(_v, '$.{k}', 'string')")
-    typ = lambda k: F.expr(f"schema_of_variant(try_variant_get(_v, '$.{k}'))")
-    icao = norm_icao24(get("icao"), validate=True, python_strip=True)
+    body = lines.where(F.length(F.trim(F.col(line))) > 0).select(F.col(order).alias("_order"), line)
+    d = materialize(_dealt(body, "_order"), _v=F.expr(f"try_parse_json({line})")).drop(line)
+    keys = ("icao", "reg", "icaotype", "short_type", "manufacturer", "model", "mil", "year", "ownop")
+    d = materialize(d, _obj=F.coalesce(F.expr("schema_of_variant(_v)").startswith("OBJECT"), F.lit(False)),
+                    **{f"_{k}": F.expr(f"try_variant_get(_v, '$.{k}', 'string')") for k in keys},
+                    **{f"_t_{k}": F.expr(f"schema_of_variant(try_variant_get(_v, '$.{k}'))") for k in ("mil", "year")})
+    is_obj = F.col("_obj")
+    get, typ = lambda k: F.col(f"_{k}"), lambda k: F.col(f"_t_{k}")
+    d = materialize(d, _hex=norm_icao24(get("icao"), validate=True, python_strip=True))
+    icao = F.col("_hex")
     mil_t, year_t = typ("mil"), typ("year")
     mil_s = get("mil")
     integral = lambda t: t.isin("BIGINT", "INT", "SMALLINT", "TINYINT")
@@ -138,13 +159,16 @@ def merge_reference(csv_rows: DataFrame, supplement: DataFrame) -> DataFrame:
 
 
 def build_aircraft_reference(csv_parsed: DataFrame, supplement_lines: DataFrame,
-                             supplement_line: str = "line", supplement_order: str = "line_no", limit: int = 0):
-    """Q4: returns (reference table, one-row stats)."""
-    csv_norm = apply_import_limit(normalise_csv(csv_parsed), limit)
+                             supplement_line: str = "line", supplement_order: str = "line_no", limit: int = 0,
+                             keep: bool = False):
+    """Q4: returns (reference table, one-row stats).  ``keep``: parsed and merged
+    rows are written once for both; without it each computes what it needs."""
+    kept = (lambda df, name: stored(df, f"reference-{name}")) if keep else lambda df, _: df
+    csv_norm = kept(apply_import_limit(normalise_csv(csv_parsed), limit), "csv")
     csv_rows = last_row_per_key(csv_norm.where(~F.col("_skipped")).drop("_skipped"), "icao24")
-    sup = parse_supplement(supplement_lines, supplement_line, supplement_order)
+    sup = kept(parse_supplement(supplement_lines, supplement_line, supplement_order), "supplement")
     sup_ok = last_row_per_key(sup.where(F.col("_status") == "ok").drop("_status"), "icao")
-    merged = merge_reference(csv_rows, sup_ok)
+    merged = kept(merge_reference(csv_rows, sup_ok), "merged")
     table = merged.drop("_in_csv", "_in_supplement")
     csv_stats = csv_norm.agg(F.count_if(~F.col("_skipped")).alias("csv_imported"),
                              F.count_if(F.col("_skipped")).alias("csv_skipped"))

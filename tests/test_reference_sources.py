@@ -147,3 +147,19 @@ def test_resolve_photo_falls_back_to_registration_and_ttl(spark):
     assert fresh == {"abc123", "def456", "f-test"}
     fresh = {r.lookup_key for r in fresh_photos(parsed, now=100 + 6 * 3600).collect()}
     assert fresh == {"f-test"}
+
+
+def test_lines_of_one_file_are_parsed_by_many_tasks_and_once(spark):
+    sup = spark.createDataFrame([(i, f'{{"icao":"{i:06x}","reg":"R{i}","mil":1}}') for i in range(64)] + [(64, "{no")],
+                                "line_no long, line string").coalesce(1)
+    csv = spark.createDataFrame([(i, f"{2 * i:06x}," + ",".join("x" * 8)) for i in range(64)],
+                                "line_no long, line string").coalesce(1)
+    for parsed in (R.parse_supplement(sup), R.parse_aircraft_csv_lines(csv)):
+        assert parsed.groupBy(F.spark_partition_id()).count().count() > 1
+    plain = R.build_aircraft_reference(R.parse_aircraft_csv_lines(csv), sup)
+    kept = R.build_aircraft_reference(R.parse_aircraft_csv_lines(csv), sup, keep=True)
+    for a, b in zip(plain, kept):
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+        plan = b._jdf.queryExecution().toString()
+        assert "parse_json" not in plan and "from_csv" not in plan
+    assert kept[0].count() == 96
