@@ -87,6 +87,7 @@ class AlertRule:
 # Fixed values -------------------------------------------------------------
 ALERT_LOOKBACK_SECONDS = 300
 ALERT_STEP_SECONDS = 60
+ALERT_SPELL_SECONDS = 21_600
 ALERT_RULES = [
     AlertRule("CriticalTargetDown", "up", "avg", None, "<", 1.0, 600),
     AlertRule("ProcessorStalled", "processor_last_processed_epoch", "last", "max", ">", 600.0, 300, age=True),
@@ -107,25 +108,36 @@ def sustained_alerts(samples: DataFrame, rules=ALERT_RULES, lookback: int = ALER
     ``samples``: metric, instance, outcome (a label, may be null), ts, seq, value.
     Rules are evaluated every ``step`` seconds, as the alert manager does: at a
     time g a series has the samples of (g - lookback, g], and none if it went
-    quiet longer ago.  Samples are first reduced to one row per series and step, as
-    all of a step are seen by the same evaluations (``step`` must divide
-    ``lookback``); each such row goes to the lookback / step evaluations that see
-    it, which put their few rows together in order.  Windows hold one step of one
-    series.  An evaluation without samples has no value and ends an island."""
+    quiet longer ago.  Samples are shuffled once, by metric and spell of
+    ALERT_SPELL_SECONDS; those that are still seen in the next spell go there too.
+    They are then reduced to one row per series and step, as all of a step are seen
+    by the same evaluations (``step`` must divide ``lookback``); a step looks back at
+    the lookback / step - 1 before it and stands for the evaluations up to the
+    next.  Windows hold one spell of one series, and all series of a metric are put
+    together in the same task.  An evaluation without samples has no value and ends
+    an island."""
     if lookback % step:
         raise ValueError("the step must divide the look-back")
     # a counter that falls was reset
     grown = lambda before, after: F.when(after < before, after).otherwise(after - before)
     label, order = ["metric", "instance", "outcome"], F.struct("ts", "seq")
+    spell, near = (lambda c: F.floor(c / ALERT_SPELL_SECONDS)), lookback - step
     d = samples.where(F.col("metric").isin(sorted({r.metric for r in rules})) & F.col("ts").isNotNull()).select(
         *label, "ts", "seq", "value", (F.ceil(F.col("ts") / step) * step).cast("long").alias("step"))
-    before = F.lag("value").over(Window.partitionBy(*label, "step").orderBy("ts", "seq"))
-    steps = d.withColumn("_grown", grown(before, F.col("value"))).groupBy(*label, "step").agg(
+    d = d.withColumn("spell", F.explode(F.sequence(spell(F.col("step")), spell(F.col("step") + near))))
+    d = d.repartition("metric", "spell")
+    before = F.lag("value").over(Window.partitionBy("metric", "spell", "instance", "outcome", "step").orderBy("ts", "seq"))
+    steps = d.withColumn("_grown", grown(before, F.col("value"))).groupBy(*label, "spell", "step").agg(
         F.sum("value").alias("total"), F.count("value").alias("n"), F.sum("_grown").alias("grown"),
         F.min_by("value", order).alias("first"), F.max_by("value", order).alias("last"))
-    at = F.sequence("step", F.col("step") + (lookback - step), F.lit(step).cast("long"))
-    seen = steps.withColumn("at", F.explode(at)).groupBy(*label, "at").agg(
-        F.sort_array(F.collect_list(F.struct("step", "total", "n", "grown", "first", "last"))).alias("s"))
+    along = Window.partitionBy("metric", "spell", "instance", "outcome").orderBy("step")
+    this = F.struct("step", "total", "n", "grown", "first", "last")
+    steps = steps.select(*label, "spell", "step", F.lead("step").over(along).alias("_next"),
+                         F.array(*[F.lag(this, k).over(along) for k in range(near // step, 0, -1)], this).alias("_s"))
+    until = F.least(F.col("step") + near, F.col("_next") - step)
+    seen = steps.withColumn("at", F.explode(F.sequence("step", until, F.lit(step).cast("long")))).where(
+        spell(F.col("at")) == F.col("spell")).select(
+        *label, "spell", "at", F.filter("_s", lambda x: x["step"] >= F.col("at") - near).alias("s"))
     zero = F.lit(0.0)
     # within the steps and from each to the next: both samples of an increase are seen
     grew = F.aggregate("s", F.struct(zero.alias("sum"), F.lit(None).cast("double").alias("last")), lambda acc, x: F.struct(
@@ -136,14 +148,17 @@ def sustained_alerts(samples: DataFrame, rules=ALERT_RULES, lookback: int = ALER
     spec = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.lit(r.metric).alias("m"), F.lit(r.outcome).alias("o"))
                      for r in rules])
     mine = F.filter(spec, lambda r: (r["m"] == F.col("metric")) & (r["o"].isNull() | (r["o"] == F.col("outcome"))))
-    series = seen.select(F.explode(F.transform(mine, lambda r: r["rule"])).alias("rule"), "instance", "outcome", "at",
+    series = seen.select("metric", "spell", F.explode(F.transform(mine, lambda r: r["rule"])).alias("rule"), "instance",
+                         "outcome", "at",
                          F.element_at("s", -1)["last"].alias("last"), mean.alias("avg"), grew.alias("increase"))
     by = lambda f: F.col("rule").isin([r.name for r in rules if f(r)])
     value = F.when(by(lambda r: r.fn == "last"), F.col("last")).when(by(lambda r: r.fn == "avg"), F.col("avg")).otherwise(
         F.col("increase"))
     alone = by(lambda r: r.across is None)
     group = F.when(alone, F.concat_ws("/", "instance", "outcome")).otherwise("")
-    all_ = series.select("rule", "at", group.alias("series"), value.alias("v")).groupBy("rule", "series", "at").agg(
+    # a rule has one metric and a time one spell: no further shuffle
+    all_ = series.select("metric", "spell", "rule", "at", group.alias("series"), value.alias("v")).groupBy(
+        "metric", "spell", "rule", "series", "at").agg(
         F.max("v").alias("max"), F.sum("v").alias("sum"))
     v = F.when(by(lambda r: r.across == "sum"), F.col("sum")).otherwise(F.col("max"))
     v = F.when(by(lambda r: r.age), F.col("at") - v).otherwise(v)

@@ -107,3 +107,16 @@ def test_alerts_aggregate_series_first(spark):
     other = "ingester_opensky_states_http_requests_total"
     assert alerts(spark, [(other, "a", "success", 60 * i, i, float(i)) for i in range(30)]) == []
     assert alerts(spark, [("ingester_opensky_requests_since_reset", "a", None, 60 * i, i, float(i)) for i in range(30)]) == []
+
+
+def test_alerts_shuffle_samples_once_and_see_across_spells(spark):
+    edge, other = Ob.ALERT_SPELL_SECONDS, "ingester_opensky_states_http_requests_total"
+    up = [("up", "a", None, edge + 60 * i, i, 0.0) for i in range(-5, 6)]
+    # the counter grows between two samples on both sides of the edge, and is reset in between once
+    grew = [(other, "a", "rate_limited", edge + t, t, v) for t, v in ((-130, 5.0), (100, 2.0), (110, 2.0))]
+    assert alerts(spark, up + grew) == [("CriticalTargetDown", "a", edge - 300, 840, True),
+                                        ("OpenSkyRateLimited", "", edge + 120, 0, False)]
+    df = spark.createDataFrame(up, "metric string, instance string, outcome string, ts long, seq long, value double")
+    plan = Ob.sustained_alerts(df)._jdf.queryExecution().executedPlan().toString()
+    keys = [line.split("hashpartitioning(")[1] for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    assert "collect_list" not in plan and sum("metric#" in k for k in keys) == 1
