@@ -24,6 +24,7 @@ gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import re
 
@@ -43,6 +44,8 @@ BUCKETS, DIMS, BITS = 256, 3, 16
 CACHE = 200_000
 #: Rows that are tokenised at a time.
 ROWS = 512
+#: Pre-tokens whose ids are put together at a time.
+SLICE = 512
 
 
 def byte_letters() -> dict[str, int]:
@@ -68,7 +71,7 @@ def piece_encoder(path: str):
     made = [vocab["".join(m)] for m in merges]
     if made == sorted(made) and len(merges) + 256 == len(vocab) and all(set(t) <= set(letters) for t in vocab):
         ranks = {bytes(letters[c] for c in t): i for t, i in vocab.items()}
-        return tiktoken.Encoding("file", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})._encode_single_piece
+        return tiktoken.Encoding("file", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
     from tokenizers import Tokenizer
     whole = Tokenizer.from_file(path)
     whole.encode_special_tokens = True
@@ -112,18 +115,27 @@ def tokenise(texts: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(flat).astype(np.uint32), np.array(total, dtype=np.int64)
 
 
+def _four_bytes(ids: list[list[int]]) -> list[bytes]:
+    """Each list of ids as little-endian unsigned 32-bit integers."""
+    end = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)) * 4).tolist()
+    flat = np.fromiter(itertools.chain.from_iterable(ids), "<u4", end[-1] // 4).tobytes()
+    return [flat[i:j] for i, j in zip([0, *end], end)]
+
+
 def _tokenise(texts: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
     encode, known = piece_encoder(path), _known.setdefault(path, {})
     flat, count = [], np.zeros(len(texts), dtype=np.int64)
     for words, inverse, rows, sizes in distinct(texts):
-        ids = []
-        for w in words:
-            got = known.get(w)
-            if got is None:
-                if len(known) >= CACHE:
-                    known.clear()
-                got = known[w] = np.array(encode(w), dtype="<u4").tobytes()
-            ids.append(got)
+        ids = list(map(known.get, words))
+        new = [i for i, got in enumerate(ids) if got is None]
+        if new:
+            fresh = [words[i] for i in new]
+            for k in range(0, len(new), SLICE):  # lists of ids do not pile up
+                for i, got in zip(new[k:k + SLICE], _four_bytes(list(map(encode, fresh[k:k + SLICE])))):
+                    ids[i] = got
+            if len(known) + len(new) > CACHE:
+                known.clear()
+            known.update(zip(fresh, [ids[i] for i in new][:CACHE]))
         if not ids:
             continue
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4

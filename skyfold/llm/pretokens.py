@@ -23,6 +23,7 @@ import base64
 import functools
 
 import numpy as np
+import pandas as pd
 
 from skyfold.llm.words import ranges, word_hashes
 
@@ -145,15 +146,18 @@ def distinct(texts: list[str]):
             size[1:] += code >= limit
         at = np.cumsum(size)[cut]
         s, e = at[:-1], at[1:]
-        raw = np.frombuffer(text.encode(), np.uint8)
+        data = text.encode()
+        raw = np.frombuffer(data, np.uint8)
         hashed = word_hashes(raw, s, e, 0)
-        _, first, inverse = np.unique(hashed, return_index=True, return_inverse=True)
+        inverse, kinds = pd.factorize(hashed)  # a hash table: no sort
+        first = np.empty(len(kinds), dtype=np.int64)
+        first[inverse[::-1]] = np.arange(len(inverse) - 1, -1, -1)
         if not _same(raw, s, e, first[inverse]):  # two pre-tokens with one hash
             seen: dict[bytes, int] = {}
-            inverse = np.array([seen.setdefault(raw[i:j].tobytes(), len(seen)) for i, j in zip(s, e)])
+            inverse = np.array([seen.setdefault(data[i:j], len(seen)) for i, j in zip(s, e)])
             words = list(seen)
         else:
-            words = [raw[i:j].tobytes() for i, j in zip(s[first].tolist(), e[first].tolist())]
+            words = [data[i:j] for i, j in zip(s[first].tolist(), e[first].tolist())]
         yield words, inverse, rows, np.diff(np.searchsorted(cut[:-1], starts))
 
 

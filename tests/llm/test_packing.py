@@ -99,3 +99,21 @@ def test_added_tokens_are_taken_out_first():
     assert list(ids[:4]) == [64, 220, 50256, 275] and list(ids[4:6]) == [50256, 50256] and ids[-1] == 64
     plain = Tokenizer.from_file(PATH).encode("<|endoftext", add_special_tokens=False).ids
     assert list(ids[6:6 + count[3]]) == plain
+
+
+def test_new_pre_tokens_are_encoded_together_within_the_cache(monkeypatch):
+    import public_tokenizers
+    from skyfold.llm import packing, pretokens
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    words, inverse, _, _ = next(iter(pretokens.distinct(["b a b", "c b"])))
+    assert words == [b"b", b" a", b" b", b"c"]  # as they appear: no sort
+    assert [words[i] for i in inverse] == [b"b", b" a", b" b", b"c", b" b"]
+    assert packing._four_bytes([[1], [2, 65536], []]) == [b"\1\0\0\0", b"\2\0\0\0\0\0\1\0", b""]
+    texts = [" ".join(f"w{i * k}x" for i in range(40)) for k in range(1, 9)]
+    want = packing.tokenise(texts, path)
+    monkeypatch.setattr(packing, "CACHE", 7)
+    monkeypatch.setattr(packing, "SLICE", 3)
+    packing._known[path].clear()
+    got = packing.tokenise(texts, path)
+    assert (got[0] == want[0]).all() and (got[1] == want[1]).all() and len(packing._known[path]) <= 7
+    packing._known[path].clear()
